@@ -51,8 +51,21 @@ def _processes(parsed: Column, side: str) -> Column:
     return F.flatten(F.transform(sides, lambda s: F.coalesce(s["process"], F.array())))
 
 
-def _parse(report: Column) -> Column:
-    return F.from_xml(report, _REPORT, XML_OPTIONS)
+def with_processes(reports: DataFrame) -> DataFrame:
+    """Reports with the array columns ``blocked`` and ``blocking``.
+
+    The operators below parse a report themselves unless it comes with these
+    columns, so a caller that needs several outputs can parse once and persist.
+    """
+    if "blocking" in reports.columns:
+        return reports
+    parsed = reports.withColumn("_doc", F.from_xml("report", _REPORT, XML_OPTIONS))
+    return parsed.withColumns(
+        {
+            "blocked": _processes(F.col("_doc"), "blocked-process"),
+            "blocking": _processes(F.col("_doc"), "blocking-process"),
+        }
+    ).drop("_doc")
 
 
 def process_rows(reports: DataFrame) -> DataFrame:
@@ -80,15 +93,13 @@ def process_rows(reports: DataFrame) -> DataFrame:
 
         return F.transform(processes, row)
 
-    parsed = reports.select("event_id", _parse(F.col("report")).alias("doc"))
-    blocked = _processes(F.col("doc"), "blocked-process")
-    blocking = _processes(F.col("doc"), "blocking-process")
     rows = F.concat(
-        tagged("Blocked", 0, blocked, BLOCKED_ATTRIBUTES),
-        tagged("BlockedBy", F.size(blocked), blocking, BLOCKING_ATTRIBUTES),
+        tagged("Blocked", 0, F.col("blocked"), BLOCKED_ATTRIBUTES),
+        tagged("BlockedBy", F.size("blocked"), F.col("blocking"), BLOCKING_ATTRIBUTES),
     )
     return (
-        parsed.select("event_id", F.explode(rows).alias("row"))
+        with_processes(reports)
+        .select("event_id", F.explode(rows).alias("row"))
         .select("event_id", "row.*")
         .withColumnRenamed("lockMode", "lock_mode")
     )
@@ -137,28 +148,23 @@ def blocked_report_render(reports: DataFrame, details: DataFrame) -> DataFrame:
     )
 
 
-def blocking_spid(report: Column) -> Column:
-    """Session id of the first blocking process, NULL if there is none."""
-    first = F.get(_processes(_parse(report), "blocking-process"), F.lit(0))
-    return first["_spid"].try_cast("int")
-
-
 def blocked_events_store(
     reports: DataFrame, existing: DataFrame | None = None, as_of: dt.datetime | None = None
 ) -> DataFrame:
     """Rows to store: new id, session id, raw document and alert time.
 
-    The alert time is ``as_of``, or the report's own if none is given.
+    The session id is the first blocking process's, NULL if there is none. The
+    alert time is ``as_of``, or the report's own if none is given.
     """
     alert = F.col("alert") if as_of is None else clock.ntz(as_of)
-    keyed = assign_keys(reports, "event_id", "blocked_events_id", existing)
-    return keyed.select(
-        "blocked_events_id",
+    first = F.get("blocking", F.lit(0))
+    rows = with_processes(reports).select(
         "event_id",
-        blocking_spid(F.col("report")).alias("spid"),
+        first["_spid"].try_cast("int").alias("spid"),
         F.col("report").alias("blocked_report"),
         alert.alias("alert_datetime"),
     )
+    return assign_keys(rows, "event_id", "blocked_events_id", existing)
 
 
 def deadlock_text_normalise(graphs: DataFrame) -> DataFrame:

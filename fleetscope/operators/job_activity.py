@@ -81,9 +81,7 @@ def current_jobs_status(
     )
 
 
-def job_step_outer(
-    steps: DataFrame, history: DataFrame, activity: DataFrame, as_of: dt.datetime
-) -> DataFrame:
+def job_step_outer(steps: DataFrame, history: DataFrame, activity: DataFrame) -> DataFrame:
     """Every step with its history rows since the start of the job's newest run.
 
     Steps that have not run since then are kept with empty history columns.
@@ -95,8 +93,8 @@ def job_step_outer(
     inner join, which skew handling can split, and the steps without any from
     an anti-join against the distinct keys, which are combined map-side.
     """
-    starts = latest_activity(activity, as_of).select(
-        "job_id", clock.minute_round(F.col("job_start")).alias("counted_from")
+    starts = activity.groupBy("job_id").agg(
+        clock.minute_round(F.max("start")).alias("counted_from")
     )
     history = history.select(
         "job_id",
@@ -126,7 +124,6 @@ def current_job_steps(
     steps: DataFrame,
     history: DataFrame,
     activity: DataFrame,
-    as_of: dt.datetime,
 ) -> DataFrame:
     """Step-level status of every listed job."""
     listed = listing.select("job_id").join(
@@ -143,7 +140,7 @@ def current_job_steps(
     seconds = clock.hhmmss_seconds(F.col("run_duration"))
     wrapped = clock.hhmmss_seconds(F.col("run_duration") % 240000)
     return (
-        job_step_outer(steps, history, activity, as_of)
+        job_step_outer(steps, history, activity)
         .join(listed, "job_id")
         .select(
             "job_id",

@@ -20,5 +20,5 @@ def fleet_status(
 ) -> DataFrame:
     """Each collected table is one frame for the whole fleet."""
     status = job_activity.current_jobs_status(listing, jobs, servers, activity, as_of)
-    steps_now = job_activity.current_job_steps(listing, jobs, steps, history, activity, as_of)
+    steps_now = job_activity.current_job_steps(listing, jobs, steps, history, activity)
     return job_activity.current_jobs_all(status, steps_now)

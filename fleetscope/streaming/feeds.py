@@ -82,11 +82,11 @@ def record_blocked_events(
     tables.create_folder(reports.sparkSession, events_at)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
+        parsed = incidents.with_processes(batch).persist()
         earlier = _earlier(batch.sparkSession, events_at, "blocked_events", batch_id)
-        _store_batch(incidents.blocked_events_store(batch, earlier), events_at, batch_id)
-        _store_batch(incidents.blocked_process_details(batch, databases), details_at, batch_id)
-        batch.unpersist()
+        _store_batch(incidents.blocked_events_store(parsed, earlier), events_at, batch_id)
+        _store_batch(incidents.blocked_process_details(parsed, databases), details_at, batch_id)
+        parsed.unpersist()
 
     drain(reports, on_batch, state)
 
@@ -98,10 +98,12 @@ def record_deadlock_events(
     tables.create_folder(graphs.sparkSession, events_at)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
         earlier = _earlier(batch.sparkSession, events_at, "deadlock_events", batch_id)
         _store_batch(
             incidents.deadlock_events_store(batch, as_of, earlier), events_at, batch_id
         )
         _store_batch(incidents.deadlock_text_normalise(batch), texts_at, batch_id)
+        batch.unpersist()
 
     drain(graphs, on_batch, state)

@@ -207,7 +207,7 @@ def _past(spark: SparkSession, d: str) -> DataFrame:
 @query
 def job_step_outer(spark: SparkSession, d: str) -> DataFrame:
     rows = job_activity.job_step_outer(
-        fx.job_steps(spark, d), _past(spark, d), fx.job_activity(spark, d), fx.AS_OF
+        fx.job_steps(spark, d), _past(spark, d), fx.job_activity(spark, d)
     )
     return _portable(rows, "step_start")
 
@@ -322,7 +322,6 @@ def current_job_steps(spark: SparkSession, d: str) -> DataFrame:
         fx.job_steps(spark, d),
         _past(spark, d),
         fx.job_activity(spark, d),
-        fx.AS_OF,
     )
     return _portable(rows, "step_start")
 
@@ -538,7 +537,7 @@ def foreign_key_audit(spark: SparkSession, d: str) -> DataFrame:
 def stream_failed_jobs(spark: SparkSession, d: str) -> DataFrame:
     """The record after polling the event feed, part of it recorded before."""
     location = fresh_folder(spark, "failed-jobs")
-    feed = feeds.file_feed(spark, d, fx.EVENT_SCHEMA, "events.parquet")
+    feed = feeds.file_feed(spark, d, fx.SCHEMAS["events"], "events.parquet")
     seen = _recorded(spark, d).drop("create_datetime")
     failure_poll.record_failures(seen, location, fx.DAY_START)
     feeds.record_failed_jobs(
@@ -557,7 +556,7 @@ def stream_failed_jobs(spark: SparkSession, d: str) -> DataFrame:
 def stream_blocked_events(spark: SparkSession, d: str) -> DataFrame:
     """The stored details with the id and session id of their event."""
     events_at, details_at = fresh_folder(spark, "blocked"), fresh_folder(spark, "details")
-    feed = feeds.file_feed(spark, d, fx.EVENT_SCHEMA, "events.parquet")
+    feed = feeds.file_feed(spark, d, fx.SCHEMAS["events"], "events.parquet")
     feeds.record_blocked_events(
         fx.reports_of(feed),
         fx.databases(spark, d),
@@ -573,8 +572,7 @@ def stream_blocked_events(spark: SparkSession, d: str) -> DataFrame:
 def stream_deadlock_events(spark: SparkSession, d: str) -> DataFrame:
     """The stored graphs joined to their normalised text."""
     events_at, texts_at = fresh_folder(spark, "deadlocks"), fresh_folder(spark, "texts")
-    documents = fx.table(spark, d, "documents")
-    feed = feeds.file_feed(spark, d, documents.schema, "documents.parquet")
+    feed = feeds.file_feed(spark, d, fx.SCHEMAS["documents"], "documents.parquet")
     feeds.record_deadlock_events(
         fx.graphs_of(feed), events_at, texts_at, fresh_folder(spark, "deadlock-state"), fx.AS_OF
     )
