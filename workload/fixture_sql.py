@@ -79,7 +79,7 @@ FIXTURES = {
         SELECT c_custkey AS job_id,
                CASE c_nationkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 3 ELSE 5
                END AS last_run_outcome
-        FROM customer WHERE c_custkey % 10 <> 0""",
+        FROM customer WHERE c_mktsegment <> 'FURNITURE'""",
     "view_rows": f"""
         SELECT h.instance_id, h.job_id, j.name AS job_name, s.step_name,
                CASE h.run_status WHEN 0 THEN 'Failed' WHEN 2 THEN 'Retry'
@@ -92,7 +92,7 @@ FIXTURES = {
              JOIN job_steps s ON h.job_id = s.job_id AND h.step_id = s.step_id
         WHERE h.run_date = 20240115 AND h.run_status <> 1""",
     "recorded": f"""
-        SELECT *, {DAY_START} AS create_datetime FROM view_rows WHERE instance_id % 3 = 0""",
+        SELECT *, {DAY_START} AS create_datetime FROM view_rows WHERE sql_severity < 8""",
     "new_rows": """
         SELECT * FROM view_rows v WHERE NOT EXISTS (
             SELECT 1 FROM recorded r
@@ -208,7 +208,7 @@ FIXTURES = {
                'set_' || CAST(event_id AS VARCHAR) || '.bak' AS file_name,
                'FULL' AS recovery_model, false AS is_damaged,
                'SRV' || CAST(user_id % 5 AS VARCHAR) AS machine, ts AS create_datetime
-        FROM events WHERE ts <= {AS_OF} AND event_id % 97 <> 0""",
+        FROM events WHERE ts <= {AS_OF} AND {K} <> 13""",
     "backup_history": f"""
         SELECT event_id AS history_id, event_id AS set_id,
                'Backup_' || {customer_name("user_id")} AS job_name,
@@ -221,14 +221,14 @@ FIXTURES = {
     "completions": f"""
         SELECT event_id AS set_id, event_id * 4 AS backup_set_id,
                'done_' || CAST(event_id AS VARCHAR) || '.bak' AS file_name
-        FROM events WHERE ts <= {AS_OF} AND event_type = 'view' AND event_id % 97 <> 0""",
+        FROM events WHERE ts <= {AS_OF} AND event_type = 'view' AND {K} <> 13""",
     "failures": f"""
         SELECT event_id AS set_id, 'failed ' || props AS message
-        FROM events WHERE ts <= {AS_OF} AND event_type = 'view' AND event_id % 3 = 0""",
+        FROM events WHERE ts <= {AS_OF} AND event_type = 'view' AND {K} < 33""",
     "tracked": f"""
         SELECT event_id AS set_id, {customer_name("user_id")} AS database,
                {letter(f"{K} % 3")} AS backup_type
-        FROM events WHERE ts <= {AS_OF} AND event_id % 97 <> 0""",
+        FROM events WHERE ts <= {AS_OF} AND {K} <> 13""",
     "candidates": """
         SELECT database_id, name, recovery_model FROM databases
         WHERE NOT is_read_only AND NOT is_in_standby AND database_id <> 2""",
@@ -267,7 +267,7 @@ FIXTURES = {
                upper(n_name) AS server_name, upper(c_name) AS instance_name,
                'F:\\Backup\\' || c_name AS backup_location,
                c_custkey % 4 = 0 AS primary_console, c_custkey % 10 <> 3 AS is_monitored,
-               CASE WHEN c_custkey % 2 = 0 THEN {OPEN_END} ELSE {DAY_START} END AS installed,
+               CASE WHEN c_acctbal >= 4500 THEN {OPEN_END} ELSE {DAY_START} END AS installed,
                strftime(DATE '2024-01-01' + CAST(c_custkey % 28 AS INTEGER), '%Y-%m-%d')
                    AS create_date
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
@@ -277,7 +277,7 @@ FIXTURES = {
                'G:\\Backup' || CAST(copy AS VARCHAR) AS backup_location
         FROM customer JOIN nation ON c_nationkey = n_nationkey
              CROSS JOIN (VALUES (0), (1)) AS copies(copy)
-        WHERE c_custkey % 3 = 0 AND (copy = 0 OR c_custkey % 9 = 0)""",
+        WHERE c_mktsegment IN ('BUILDING', 'HOUSEHOLD') AND (copy = 0 OR c_acctbal < 0)""",
     "releases": f"""
         SELECT p_partkey + 1000 AS release_id, '1.0' AS version_number,
                {brand_key("script_")} AS script_name, p_brand AS author,
@@ -286,7 +286,7 @@ FIXTURES = {
                CASE WHEN p_size % 5 = 0 THEN 'step ' || p_name END AS error_message,
                '2013-10-01' AS release_date, TIMESTAMP '2024-01-01 00:00:00' AS installed,
                TIMESTAMP '2024-01-01 00:00:00' AS updated
-        FROM part WHERE p_partkey % 2 = 0""",
+        FROM part WHERE p_type IN ('STANDARD', 'ECONOMY', 'SMALL')""",
     "offered_releases": f"""
         SELECT p_partkey * 2 + copy AS seq,
                CASE WHEN p_size % 7 <> 0 THEN '2.0' END AS version_number,
@@ -297,7 +297,7 @@ FIXTURES = {
                CASE WHEN p_size % 4 = 0 THEN 'failed|at|' || p_name ELSE '' END AS error_message,
                '2024-01-10' AS release_date
         FROM part CROSS JOIN (VALUES (0), (1)) AS copies(copy)
-        WHERE p_partkey % 3 = 0 AND (copy = 0 OR p_partkey % 15 = 0)""",
+        WHERE p_size <= 20 AND (copy = 0 OR p_size <= 4)""",
     "config": """
         SELECT c_custkey AS doc_id, 'HOST' || CAST(c_nationkey AS VARCHAR) AS "Server",
                c_name, c_mktsegment
@@ -313,17 +313,17 @@ FIXTURES = {
                    AS domain_name,
                CASE WHEN p_size % 13 = 0 THEN -1 ELSE p_size END AS max_length,
                p_size % 2 = 0 AS is_nullable,
-               CASE WHEN p_partkey % 7 = 0 THEN '(''d' || CAST(p_size AS VARCHAR) || ''')' END
-                   AS default_value, p_partkey
+               CASE WHEN p_size >= 44 THEN '(''d' || CAST(p_size AS VARCHAR) || ''')' END
+                   AS default_value, p_partkey, p_size
         FROM part""",
     "profile": """
         SELECT c.table_name, c.column_name, c.ordinal, c.data_type, c.domain_name,
                c.max_length, c.is_nullable, c.default_value,
-               CASE WHEN p_partkey % 7 = 0 AND p_partkey % 14 <> 0
+               CASE WHEN p_size >= 44 AND p_size % 2 <> 0
                     THEN 'df_' || CAST(p_partkey AS VARCHAR) END AS default_name,
-               p_partkey % 50 = 0 AS is_identity,
-               CASE WHEN p_partkey % 50 = 0 THEN 1000 ELSE 0 END AS identity_seed,
-               CASE WHEN p_partkey % 50 = 0 THEN 1 ELSE 0 END AS identity_increment,
+               p_size = 50 AS is_identity,
+               CASE WHEN p_size = 50 THEN 1000 ELSE 0 END AS identity_seed,
+               CASE WHEN p_size = 50 THEN 1 ELSE 0 END AS identity_increment,
                t.collation IS NOT NULL AS is_char
         FROM catalog_columns c JOIN (
                  SELECT DISTINCT lower(p_type) AS type_name,

@@ -159,7 +159,7 @@ def job_servers(spark: SparkSession, sf_dir: str) -> DataFrame:
     pick = F.col("c_nationkey") % 4
     return (
         table(spark, sf_dir, "customer")
-        .filter(F.col("c_custkey") % 10 != 0)
+        .filter(F.col("c_mktsegment") != "FURNITURE")
         .select(
             F.col("c_custkey").alias("job_id"),
             F.when(pick == 0, 0)
@@ -323,7 +323,7 @@ def backup_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     none = F.lit(None)
     return (
         events(spark, sf_dir, until=AS_OF)
-        .filter(event % 97 != 0)
+        .filter(_k() != 13)
         .select(
             event.alias("set_id"),
             event.alias("backup_set_id"),
@@ -365,7 +365,7 @@ def backup_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.col("event_id")
     return (
         events(spark, sf_dir, until=AS_OF)
-        .filter((F.col("event_type") == "view") & (event % 97 != 0))
+        .filter((F.col("event_type") == "view") & (_k() != 13))
         .select(
             event.alias("set_id"),
             (event * 4).alias("backup_set_id"),
@@ -378,7 +378,7 @@ def backup_tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tracked backups with the letter of the set they should have."""
     return (
         events(spark, sf_dir, until=AS_OF)
-        .filter(F.col("event_id") % 97 != 0)
+        .filter(_k() != 13)
         .select(
             F.col("event_id").alias("set_id"),
             _customer_name("user_id").alias("database"),
@@ -391,7 +391,7 @@ def backup_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.col("event_id")
     return (
         events(spark, sf_dir, until=AS_OF)
-        .filter((F.col("event_type") == "view") & (event % 3 == 0))
+        .filter((F.col("event_type") == "view") & (_k() < 33))
         .select(event.alias("set_id"), F.concat(F.lit("failed "), F.col("props")).alias("message"))
     )
 
@@ -412,7 +412,7 @@ def instances(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("F:\\Backup\\"), F.col("c_name")).alias("backup_location"),
             (key % 4 == 0).alias("primary_console"),
             (key % 10 != 3).alias("is_monitored"),
-            F.when(key % 2 == 0, clock.ntz(OPEN_END))
+            F.when(F.col("c_acctbal") >= 4500, clock.ntz(OPEN_END))
             .otherwise(clock.ntz(DAY_START))
             .alias("installed"),
             F.date_add(F.lit("2024-01-01").cast("date"), (key % 28).cast("int")).alias(
@@ -427,10 +427,10 @@ def offered_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     rows = (
         table(spark, sf_dir, "customer")
-        .filter(F.col("c_custkey") % 3 == 0)
+        .filter(F.col("c_mktsegment").isin("BUILDING", "HOUSEHOLD"))
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     )
-    copies = F.when(F.col("c_custkey") % 9 == 0, F.array(F.lit(0), F.lit(1))).otherwise(
+    copies = F.when(F.col("c_acctbal") < 0, F.array(F.lit(0), F.lit(1))).otherwise(
         F.array(F.lit(0))
     )
     return (
@@ -452,7 +452,7 @@ def releases(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = F.col("p_size") % 5 == 0
     return (
         table(spark, sf_dir, "part")
-        .filter(key % 2 == 0)
+        .filter(F.col("p_type").isin("STANDARD", "ECONOMY", "SMALL"))
         .select(
             (key + 1000).alias("release_id"),
             F.lit("1.0").cast("decimal(3,1)").alias("version_number"),
@@ -473,10 +473,10 @@ def releases(spark: SparkSession, sf_dir: str) -> DataFrame:
 def offered_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Script runs to record, in ``seq`` order; some scripts ran twice."""
     key = F.col("p_partkey")
-    copies = F.when(key % 15 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    copies = F.when(F.col("p_size") <= 4, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return (
         table(spark, sf_dir, "part")
-        .filter(key % 3 == 0)
+        .filter(F.col("p_size") <= 20)
         .withColumn("copy", F.explode(copies))
         .select(
             (key * 2 + F.col("copy")).alias("seq"),
@@ -603,7 +603,7 @@ def catalog_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(size % 13 == 0, -1).otherwise(size).alias("max_length"),
         (size % 2 == 0).alias("is_nullable"),
         F.when(
-            F.col("p_partkey") % 7 == 0,
+            size >= 44,
             F.concat(F.lit("('d"), size.cast("string"), F.lit("')")),
         ).alias("default_value"),
     )
@@ -612,7 +612,7 @@ def catalog_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "part")
-        .filter(F.col("p_partkey") % 50 == 0)
+        .filter(F.col("p_size") == 50)
         .select(
             F.col("p_brand").alias("table_name"),
             _column_name().alias("column_name"),
@@ -639,12 +639,12 @@ def catalog_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "part")
-        .filter(F.col("p_partkey") % 7 == 0)
+        .filter(F.col("p_size") >= 44)
         .select(
             F.col("p_brand").alias("table_name"),
             _column_name().alias("column_name"),
             F.concat(F.lit("df_"), F.col("p_partkey").cast("string")).alias("default_name"),
-            F.when(F.col("p_partkey") % 14 == 0, "R").otherwise("D").alias("object_type"),
+            F.when(F.col("p_size") % 2 == 0, "R").otherwise("D").alias("object_type"),
         )
     )
 
@@ -678,7 +678,7 @@ def catalog_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def catalog_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "part")
-        .filter(F.col("p_partkey") % 11 == 0)
+        .filter(F.col("p_size") == 11)
         .select(
             F.col("p_brand").alias("table_name"),
             F.concat(F.lit("ck_"), F.col("p_partkey").cast("string")).alias("check_name"),

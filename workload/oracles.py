@@ -428,7 +428,7 @@ _SELECTS = {
         SELECT p_brand, 5, 0, 'ck_' || CAST(p_partkey AS VARCHAR),
                ',CONSTRAINT [ck_' || CAST(p_partkey AS VARCHAR) || '] CHECK ([col_'
                || CAST(p_partkey AS VARCHAR) || ']>(0))'
-        FROM part WHERE p_partkey % 11 = 0
+        FROM part WHERE p_size = 11
         UNION ALL
         SELECT table_name, 6, 0, key_name,
                ',CONSTRAINT ' || key_name
