@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.functions.markup import bracketed
+from fleetscope.operators.spread import spread_lookup
 
 # Order of the parts of a table script.
 HEADER, OPENING, COLUMNS, FOREIGN_KEYS, CHECKS, KEYS, CLOSING, INDEXES = range(1, 9)
@@ -107,6 +108,32 @@ def _column_definition(system_types: bool, with_constraints: bool) -> Column:
     )
 
 
+def _key_definition() -> Column:
+    """The line of a foreign key, an index, or a primary or unique key."""
+    kind, clustered = F.col("kind"), F.col("is_clustered")
+    name = bracketed(F.col("key_name"))
+    foreign = F.concat(
+        F.lit(",CONSTRAINT "), name, F.lit(" FOREIGN KEY ("), F.col("plain_columns"),
+        F.lit(") REFERENCES "), bracketed(F.col("referenced_table")),
+        F.lit("("), F.col("referenced_columns"), F.lit(")"),
+    )
+    index = F.concat(
+        F.lit("CREATE "), F.when(clustered, "CLUSTERED").otherwise("NONCLUSTERED"),
+        F.lit(" INDEX "), name, F.lit(" ON "), bracketed(F.col("table_name")),
+        F.lit(" ("), F.col("key_columns"), F.lit(")"),
+    )
+    words = (
+        F.when((kind == "PK") & clustered, " PRIMARY KEY  CLUSTERED ")
+        .when(kind == "PK", " PRIMARY KEY  NONCLUSTERED ")
+        .when(clustered, " UNIQUE ")
+        .otherwise(" UNIQUE  NONCLUSTERED ")
+    )
+    constraint = F.concat(
+        F.lit(",CONSTRAINT "), "key_name", words, F.lit("("), "key_columns", F.lit(")")
+    )
+    return F.when(kind == "FK", foreign).when(kind == "IX", index).otherwise(constraint)
+
+
 def catalog_table_script(
     profile: DataFrame,
     key_columns: DataFrame,
@@ -122,10 +149,10 @@ def catalog_table_script(
     """
     no_position = F.lit(0).cast("long")
 
-    def lines(df: DataFrame, section: int, position: Column, item: Column, line: Column):
+    def lines(df: DataFrame, section: Column, position: Column, item: Column, line: Column):
         return df.select(
             "table_name",
-            F.lit(section).alias("section"),
+            section.alias("section"),
             position.cast("long").alias("position"),
             item.alias("item"),
             line.alias("line"),
@@ -156,70 +183,29 @@ def catalog_table_script(
     )
     script = script.unionByName(
         lines(
-            profile.join(tables, "table_name"),
-            COLUMNS,
+            spread_lookup(profile, tables, ["table_name"], "ordinal"),
+            F.lit(COLUMNS),
             F.col("ordinal"),
             F.col("column_name"),
             definition,
         )
     )
 
-    name = bracketed(F.col("key_name"))
     if with_constraints:
-        foreign = F.concat(
-            F.lit(",CONSTRAINT "),
-            name,
-            F.lit(" FOREIGN KEY ("),
-            F.col("plain_columns"),
-            F.lit(") REFERENCES "),
-            bracketed(F.col("referenced_table")),
-            F.lit("("),
-            F.col("referenced_columns"),
-            F.lit(")"),
-        )
-        script = script.unionByName(
-            lines(
-                key_columns.filter(F.col("kind") == "FK"),
-                FOREIGN_KEYS, no_position, F.col("key_name"), foreign,
-            )
-        )
         check = F.concat(
             F.lit(",CONSTRAINT "), bracketed(F.col("check_name")), F.lit(" CHECK "), "definition"
         )
         script = script.unionByName(
-            lines(checks, CHECKS, no_position, F.col("check_name"), check)
-        )
-        kind = F.when(
-            F.col("kind") == "PK",
-            F.when(F.col("is_clustered"), " PRIMARY KEY  CLUSTERED ").otherwise(
-                " PRIMARY KEY  NONCLUSTERED "
-            ),
-        ).otherwise(F.when(F.col("is_clustered"), " UNIQUE ").otherwise(" UNIQUE  NONCLUSTERED "))
-        constraint = F.concat(
-            F.lit(",CONSTRAINT "), "key_name", kind, F.lit("("), "key_columns", F.lit(")")
-        )
-        script = script.unionByName(
-            lines(
-                key_columns.filter(F.col("kind").isin("PK", "UQ")),
-                KEYS, no_position, F.col("key_name"), constraint,
-            )
-        )
-    if with_indexes:
-        index = F.concat(
-            F.lit("CREATE "),
-            F.when(F.col("is_clustered"), "CLUSTERED").otherwise("NONCLUSTERED"),
-            F.lit(" INDEX "),
-            name,
-            F.lit(" ON "),
-            bracketed(F.col("table_name")),
-            F.lit(" ("),
-            F.col("key_columns"),
-            F.lit(")"),
+            lines(checks, F.lit(CHECKS), no_position, F.col("check_name"), check)
         )
+    wanted = (["FK", "PK", "UQ"] if with_constraints else []) + (["IX"] if with_indexes else [])
+    if wanted:
+        kind = F.col("kind")
+        section = F.when(kind == "FK", FOREIGN_KEYS).when(kind == "IX", INDEXES).otherwise(KEYS)
         script = script.unionByName(
             lines(
-                key_columns.filter(F.col("kind") == "IX"),
-                INDEXES, no_position, F.col("key_name"), index,
+                key_columns.filter(kind.isin(*wanted)),
+                section, no_position, F.col("key_name"), _key_definition(),
             )
         )
     return script

@@ -149,7 +149,10 @@ def blocked_report_render(reports: DataFrame, details: DataFrame) -> DataFrame:
 
 
 def blocked_events_store(
-    reports: DataFrame, existing: DataFrame | None = None, as_of: dt.datetime | None = None
+    reports: DataFrame,
+    existing: DataFrame | None = None,
+    as_of: dt.datetime | None = None,
+    first: int = 1,
 ) -> DataFrame:
     """Rows to store: new id, session id, raw document and alert time.
 
@@ -157,14 +160,14 @@ def blocked_events_store(
     alert time is ``as_of``, or the report's own if none is given.
     """
     alert = F.col("alert") if as_of is None else clock.ntz(as_of)
-    first = F.get("blocking", F.lit(0))
+    blocker = F.get("blocking", F.lit(0))
     rows = with_processes(reports).select(
         "event_id",
-        first["_spid"].try_cast("int").alias("spid"),
+        blocker["_spid"].try_cast("int").alias("spid"),
         F.col("report").alias("blocked_report"),
         alert.alias("alert_datetime"),
     )
-    return assign_keys(rows, "event_id", "blocked_events_id", existing)
+    return assign_keys(rows, "event_id", "blocked_events_id", existing, first)
 
 
 def deadlock_text_normalise(graphs: DataFrame) -> DataFrame:
@@ -175,10 +178,10 @@ def deadlock_text_normalise(graphs: DataFrame) -> DataFrame:
 
 
 def deadlock_events_store(
-    graphs: DataFrame, as_of: dt.datetime, existing: DataFrame | None = None
+    graphs: DataFrame, as_of: dt.datetime, existing: DataFrame | None = None, first: int = 1
 ) -> DataFrame:
     """Rows to store: new id, raw graph and alert time."""
-    keyed = assign_keys(graphs, "doc_id", "deadlock_events_id", existing)
+    keyed = assign_keys(graphs, "doc_id", "deadlock_events_id", existing, first)
     return keyed.select(
         "deadlock_events_id",
         "doc_id",

@@ -88,15 +88,18 @@ def job_step_outer(steps: DataFrame, history: DataFrame, activity: DataFrame) ->
     The job start is rounded to the minute before the comparison, so a step
     started in a rounded-up half minute does not count.
 
+    Further columns of ``steps`` are kept.
+
     A left join could not split a job that holds a large part of the history,
     since that side is the optional one. So the rows that match come from an
-    inner join, which skew handling can split, and the steps without any from
-    an anti-join against the distinct keys, which are combined map-side.
+    inner join, which skew handling can split, and the steps without any are
+    found by the time of their last run, which is combined map-side.
     """
     starts = activity.groupBy("job_id").agg(
         clock.minute_round(F.max("start")).alias("counted_from")
     )
-    history = history.select(
+    steps_due = steps.join(starts, "job_id", "left")
+    runs = history.select(
         "job_id",
         "step_id",
         "instance_id",
@@ -105,17 +108,14 @@ def job_step_outer(steps: DataFrame, history: DataFrame, activity: DataFrame) ->
         clock.agent_datetime(F.col("run_date"), F.col("run_time")).alias("step_start"),
         "run_duration",
     )
-    steps = steps.select("job_id", "step_id", "step_name")
-    since_start = (
-        history.join(starts, "job_id")
-        .filter(F.col("step_start") >= F.col("counted_from"))
-        .drop("counted_from")
-    )
-    ran = steps.join(since_start, ["job_id", "step_id"])
-    never = steps.join(
-        since_start.select("job_id", "step_id").distinct(), ["job_id", "step_id"], "left_anti"
+    key = ["job_id", "step_id"]
+    ran = steps_due.join(runs, key).filter(F.col("step_start") >= F.col("counted_from"))
+    last_runs = runs.groupBy(*key).agg(F.max("step_start").alias("last_run"))
+    has_run = F.coalesce(F.col("last_run") >= F.col("counted_from"), F.lit(False))
+    never = steps_due.join(last_runs, key, "left").filter(~has_run)
+    return ran.drop("counted_from").unionByName(
+        never.drop("counted_from", "last_run"), allowMissingColumns=True
     )
-    return ran.unionByName(never, allowMissingColumns=True)
 
 
 def current_job_steps(
@@ -126,8 +126,10 @@ def current_job_steps(
     activity: DataFrame,
 ) -> DataFrame:
     """Step-level status of every listed job."""
-    listed = listing.select("job_id").join(
-        jobs.select("job_id", F.col("name").alias("job_name")), "job_id"
+    listed = (
+        steps.select("job_id", "step_id", "step_name")
+        .join(jobs.select("job_id", F.col("name").alias("job_name")), "job_id")
+        .join(listing.select("job_id"), "job_id")
     )
     has_run = F.col("instance_id").isNotNull()
     code = F.when(has_run, codes.uniform_code(F.col("run_status"))).otherwise(NEVER_RUN_CODE)
@@ -139,22 +141,18 @@ def current_job_steps(
     )
     seconds = clock.hhmmss_seconds(F.col("run_duration"))
     wrapped = clock.hhmmss_seconds(F.col("run_duration") % 240000)
-    return (
-        job_step_outer(steps, history, activity)
-        .join(listed, "job_id")
-        .select(
-            "job_id",
-            "job_name",
-            F.concat(
-                F.lit("Step "), F.col("step_id").cast("string"), F.lit(". "), F.col("step_name")
-            ).alias("step_name"),
-            "instance_id",
-            code.alias("run_status"),
-            F.coalesce(text, F.lit("Unknown status")).alias("run_status_desc"),
-            "step_start",
-            clock.wrapped_label(wrapped).alias("step_duration"),
-            seconds.alias("duration_seconds"),
-        )
+    return job_step_outer(listed, history, activity).select(
+        "job_id",
+        "job_name",
+        F.concat(
+            F.lit("Step "), F.col("step_id").cast("string"), F.lit(". "), F.col("step_name")
+        ).alias("step_name"),
+        "instance_id",
+        code.alias("run_status"),
+        F.coalesce(text, F.lit("Unknown status")).alias("run_status_desc"),
+        "step_start",
+        clock.wrapped_label(wrapped).alias("step_duration"),
+        seconds.alias("duration_seconds"),
     )
 
 

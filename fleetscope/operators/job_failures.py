@@ -20,14 +20,17 @@ def failed_jobs_view(
 
     The day is an equality on the stored ``run_date`` integer, so it reaches
     the scan. History rows without a catalogued step (job outcome rows, step
-    0) drop out in the inner join.
+    0) drop out in the inner join. Jobs and steps are joined first, so the
+    history is shuffled at most once.
     """
     failed = history.filter(
         (F.col("run_date") == clock.day_number(run_day)) & (F.col("run_status") != SUCCEEDED)
     )
+    named_steps = steps.select("job_id", "step_id", "step_name").join(
+        jobs.select("job_id", F.col("name").alias("job_name")), "job_id"
+    )
     return (
-        failed.join(jobs.select("job_id", F.col("name").alias("job_name")), "job_id")
-        .join(steps.select("job_id", "step_id", "step_name"), ["job_id", "step_id"])
+        failed.join(named_steps, ["job_id", "step_id"])
         .select(
             "instance_id",
             "job_id",

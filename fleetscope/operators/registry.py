@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fleetscope.functions import clock
 from fleetscope.operators.keys import assign_keys
 from fleetscope.operators.paging import PAGE_ROWS, paged_text
+from fleetscope.operators.spread import spread_lookup
 from fleetscope.schemas import OPEN_END
 
 FIRST_RELEASE_ID = 1000
@@ -97,13 +98,15 @@ def instance_primary_flag(
 
 
 def release_pending(offered: DataFrame, releases: DataFrame) -> DataFrame:
-    """Offered scripts that have not been applied without error.
+    """Offered scripts (list_id, script_name, ...) not yet applied without error.
 
     The applied names are made distinct first, so a name with many rows is
-    combined before it is shuffled.
+    combined before it is shuffled; a name offered many times is spread.
     """
     applied = releases.filter(~F.col("is_error")).select("script_name").distinct()
-    return offered.join(applied, "script_name", "left_anti").select(*offered.columns)
+    return spread_lookup(offered, applied, ["script_name"], "list_id", "left_anti").select(
+        *offered.columns
+    )
 
 
 def _latest_run(source: DataFrame) -> DataFrame:

@@ -25,10 +25,9 @@ class PollResult:
 
 def recorded_failures(spark, location: str, day: dt.date | None = None) -> DataFrame:
     """The recorded failures, of one execution day or of all."""
-    recorded = tables.open_table(spark, location, "failed_jobs", f"{PARTITION} date")
     if day is not None:
-        recorded = recorded.filter(F.col(PARTITION) == F.lit(day.isoformat()).cast("date"))
-    return recorded.drop(PARTITION)
+        return tables.open_partition(spark, location, "failed_jobs", PARTITION, day)
+    return tables.open_table(spark, location, "failed_jobs", f"{PARTITION} date").drop(PARTITION)
 
 
 def record_failures(new: DataFrame, location: str, as_of: dt.datetime) -> None:

@@ -12,6 +12,8 @@ SETTINGS = {
     "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a hot key even where that costs a further shuffle.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Call sites are kept for error messages only and cost a stack walk per column.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -19,6 +21,23 @@ SETTINGS = {
 }
 
 
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_settings(input_bytes: int, cores: int) -> dict[str, str]:
+    """Shuffle sizing for a run over ``input_bytes`` on ``cores`` task slots.
+
+    The number of partitions a shuffle starts with follows the data, so one
+    partition fits a task's memory; adaptive execution merges those that turn
+    out small and splits skewed ones.
+    """
+    partitions = max(2 * cores, -(-input_bytes // TARGET_PARTITION_BYTES))
+    return {
+        "spark.sql.shuffle.partitions": str(min(partitions, 200_000)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+    }
+
+
 def build_session(master: str | None = None, **overrides: str) -> SparkSession:
     """A session with the settings the operators are tested under.
 

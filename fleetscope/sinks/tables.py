@@ -1,7 +1,8 @@
 """Stored Parquet tables with one writer.
 
-A version or a partition becomes visible only when its write has committed, so
-a lost executor or driver leaves the previous state readable.
+Rows become visible only when their write has committed, so lost executors leave
+no half-written state. A version also survives a driver that is lost while it
+commits, since readers look for its success marker.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from fleetscope.schemas import table_schema
 
+VERSION = "version"
+
 
 def _path(spark: SparkSession, location: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(location)
@@ -34,50 +37,85 @@ def open_table(
     return spark.read.schema(table_schema(name, partitions)).parquet(location)
 
 
+def open_partition(
+    spark: SparkSession, location: str, name: str, partition: str, value: object
+) -> DataFrame:
+    """The rows of one partition, without listing the others; empty if there is none."""
+    folder = f"{location}/{partition}={value}"
+    path, files = _path(spark, folder)
+    if not files.exists(path):
+        return spark.createDataFrame([], table_schema(name))
+    return spark.read.schema(table_schema(name)).parquet(folder)
+
+
+def _laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows brought together by partition, a large one split over several tasks."""
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def append_rows(df: DataFrame, location: str, partition_by: Sequence[str] = ()) -> None:
-    df.write.mode("append").partitionBy(*partition_by).parquet(location)
+    _laid_out(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(location)
 
 
 def replace_partitions(df: DataFrame, location: str, partition_by: Sequence[str]) -> None:
     """Overwrite only the partitions that ``df`` has rows for.
 
-    State changes touch few days: apply the operator to those days of the table
-    and hand the result to this writer, and the rest is not rewritten.
+    ``df`` may be computed from the table itself. Each partition is swapped
+    when the job commits; partitions without rows in ``df`` stay.
     """
     (
-        df.write.mode("overwrite")
+        _laid_out(df, partition_by)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partition_by)
         .parquet(location)
     )
 
 
-def _versions(spark: SparkSession, location: str) -> list[int]:
-    """Numbers of the committed versions; others are remains of failed writes."""
+def touched_partitions(
+    table: DataFrame, changes: DataFrame, key: str, partition: str
+) -> DataFrame:
+    """The rows of all partitions in which ``changes`` has a key.
+
+    A state change names few rows. Its operator is applied to this part of the
+    table and the result goes to ``replace_partitions``; the rest is not read a
+    second time and not rewritten.
+    """
+    hit = table.select(key, partition).join(changes.select(key), key, "left_semi")
+    return table.join(hit.select(partition).distinct(), partition, "left_semi").select(
+        *table.columns
+    )
+
+
+def committed_numbers(spark: SparkSession, location: str, label: str) -> list[int]:
+    """Numbers of the committed ``label=<n>`` folders, ascending.
+
+    Folders without a success marker are remains of failed writes.
+    """
     path, files = _path(spark, location)
     if not files.exists(path):
         return []
     numbers = []
     for status in files.listStatus(path):
         folder = status.getPath()
-        name = folder.getName()
+        name, _, number = folder.getName().partition("=")
         marker = spark._jvm.org.apache.hadoop.fs.Path(folder, "_SUCCESS")
-        if name.startswith("version=") and files.exists(marker):
-            numbers.append(int(name.split("=")[1]))
+        if name == label and files.exists(marker):
+            numbers.append(int(number))
     return sorted(numbers)
 
 
 def publish_version(df: DataFrame, location: str) -> int:
     """Write a whole new state beside the current one and return its number."""
-    number = max(_versions(df.sparkSession, location), default=0) + 1
-    df.write.mode("overwrite").parquet(f"{location}/version={number}")
+    number = max(committed_numbers(df.sparkSession, location, VERSION), default=0) + 1
+    df.write.mode("overwrite").parquet(f"{location}/{VERSION}={number}")
     return number
 
 
 def current_version(spark: SparkSession, location: str, name: str) -> DataFrame:
     """The newest committed state, or an empty table."""
-    versions = _versions(spark, location)
-    if not versions:
+    numbers = committed_numbers(spark, location, VERSION)
+    if not numbers:
         return spark.createDataFrame([], table_schema(name))
     schema = table_schema(name)
-    return spark.read.schema(schema).parquet(f"{location}/version={versions[-1]}")
+    return spark.read.schema(schema).parquet(f"{location}/{VERSION}={numbers[-1]}")

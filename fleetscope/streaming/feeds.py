@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from fleetscope.operators import incidents, job_failures
 from fleetscope.plans import failure_poll
+from fleetscope.schemas import table_schema
 from fleetscope.sinks import tables
 
 BATCH = "batch"
@@ -70,9 +71,20 @@ def _store_batch(df: DataFrame, location: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{location}/{BATCH}={batch_id}")
 
 
-def _earlier(spark: SparkSession, location: str, name: str, batch_id: int) -> DataFrame:
-    stored = tables.open_table(spark, location, name, f"{BATCH} bigint")
-    return stored.filter(F.col(BATCH) < batch_id)
+def _next_key(spark: SparkSession, location: str, name: str, key: str, batch_id: int) -> int:
+    """The key after the highest one of the batches before ``batch_id``.
+
+    Keys only grow, so the newest batch that has rows decides; the older ones
+    are not read.
+    """
+    schema = table_schema(name)
+    for number in reversed(tables.committed_numbers(spark, location, BATCH)):
+        if number < batch_id:
+            batch = spark.read.schema(schema).parquet(f"{location}/{BATCH}={number}")
+            highest = batch.agg(F.max(key)).first()[0]
+            if highest is not None:
+                return highest + 1
+    return 1
 
 
 def record_blocked_events(
@@ -83,8 +95,11 @@ def record_blocked_events(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         parsed = incidents.with_processes(batch).persist()
-        earlier = _earlier(batch.sparkSession, events_at, "blocked_events", batch_id)
-        _store_batch(incidents.blocked_events_store(parsed, earlier), events_at, batch_id)
+        first = _next_key(
+            batch.sparkSession, events_at, "blocked_events", "blocked_events_id", batch_id
+        )
+        stored = incidents.blocked_events_store(parsed, first=first)
+        _store_batch(stored, events_at, batch_id)
         _store_batch(incidents.blocked_process_details(parsed, databases), details_at, batch_id)
         parsed.unpersist()
 
@@ -99,10 +114,11 @@ def record_deadlock_events(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        earlier = _earlier(batch.sparkSession, events_at, "deadlock_events", batch_id)
-        _store_batch(
-            incidents.deadlock_events_store(batch, as_of, earlier), events_at, batch_id
+        first = _next_key(
+            batch.sparkSession, events_at, "deadlock_events", "deadlock_events_id", batch_id
         )
+        stored = incidents.deadlock_events_store(batch, as_of, first=first)
+        _store_batch(stored, events_at, batch_id)
         _store_batch(incidents.deadlock_text_normalise(batch), texts_at, batch_id)
         batch.unpersist()
 

@@ -3,8 +3,9 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from fleetscope import session
+from fleetscope.operators import backups
 from fleetscope.plans import failure_poll
-from fleetscope.schemas import table_schema
+from fleetscope.schemas import DDL, table_schema
 from fleetscope.session import fresh_folder
 from fleetscope.sinks import tables
 from fleetscope.streaming import feeds
@@ -38,6 +39,32 @@ def test_only_touched_partitions_are_replaced(spark, rows, tmp_path):
     assert sorted((r.k, r.v) for r in got.collect()) == [(1, "a"), (2, "B")]
 
 
+def test_state_change_rewrites_touched_days_only(spark, rows, tmp_path):
+    """The operator runs on the touched part and the result equals the whole change."""
+    location, ddl = str(tmp_path / "h"), f"{DDL['backup_history']}, create_day date"
+    table = [
+        (i, i, "j", True, False, None, NOW, NOW, NOW, dt.date(2024, 1, 1 + i % 5)) for i in range(50)
+    ]
+    tables.append_rows(rows(ddl, *table), location, ["create_day"])
+    stored = spark.read.schema(ddl).parquet(location)
+    failures = rows("set_id bigint, message string", (3, "x"), (8, "y"), (14, "z"))
+    expected = sorted(map(tuple, backups.backup_fail(stored, failures, NOW).collect()), key=repr)
+    untouched = [f for f in stored.inputFiles() if "2024-01-04" not in f and "2024-01-05" not in f]
+    part = tables.touched_partitions(stored, failures, "set_id", "create_day")
+    assert part.count() == 20
+    tables.replace_partitions(backups.backup_fail(part, failures, NOW), location, ["create_day"])
+    after = spark.read.schema(ddl).parquet(location)
+    assert sorted(map(tuple, after.select(*stored.columns).collect()), key=repr) == expected
+    assert set(untouched) <= set(after.inputFiles())
+
+
+def test_shuffle_partitions_follow_the_data():
+    small = session.shuffle_settings(10**6, cores=8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    large = session.shuffle_settings(10 * 2**40, cores=4000)
+    assert int(large["spark.sql.shuffle.partitions"]) == 10 * 2**40 // (128 * 2**20)
+
+
 def test_working_folder_is_the_configured_one(spark):
     configured = spark.conf.get("spark.checkpoint.dir")
     assert session.working_folder(spark) == configured.rstrip("/")

@@ -256,7 +256,7 @@ _SELECTS = {
         SELECT * REPLACE ({text("step_start")} AS step_start) FROM ({_STEP_OUTER}) AS o""",
     "failed_jobs_new": "SELECT * FROM new_rows",
     "release_pending": """
-        SELECT seq, script_name, object_name FROM offered_releases o
+        SELECT seq AS list_id, script_name, object_name FROM offered_releases o
         WHERE NOT EXISTS (SELECT 1 FROM releases r
                           WHERE r.script_name = o.script_name AND NOT r.is_error)""",
     "existence_semi_join": """

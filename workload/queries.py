@@ -219,7 +219,9 @@ def failed_jobs_new(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def release_pending(spark: SparkSession, d: str) -> DataFrame:
-    offered = fx.offered_releases(spark, d).select("seq", "script_name", "object_name")
+    offered = fx.offered_releases(spark, d).select(
+        F.col("seq").alias("list_id"), "script_name", "object_name"
+    )
     return registry.release_pending(offered, fx.releases(spark, d))
 
 
