@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from workload.fixture_sql import AS_OF, OPEN_END, text, with_fixtures
+from workload.portable import NULLABLE_VALUES
 
 
 def _escape(value: str) -> str:
@@ -485,4 +486,16 @@ _SELECTS = {
         FROM job_history""",
 }
 
-ORACLES = {name: with_fixtures(select) for name, select in _SELECTS.items()}
+
+
+def _with_texts(name: str, select: str) -> str:
+    names = NULLABLE_VALUES.get(name)
+    if not names:
+        return select
+    texts = ", ".join(f"CAST({c} AS VARCHAR) AS {c}" for c in names)
+    return f"SELECT * REPLACE ({texts}) FROM ({select}) AS result"
+
+
+ORACLES = {
+    name: with_fixtures(_with_texts(name, select)) for name, select in _SELECTS.items()
+}

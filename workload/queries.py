@@ -14,12 +14,21 @@ from fleetscope.session import fresh_folder
 from fleetscope.sources import config_xml, fleet, listings, templates
 from fleetscope.streaming import feeds
 from workload import fixtures as fx
+from workload.portable import NULLABLE_VALUES
 
 QUERIES = {}
 
 
 def query(function):
-    QUERIES[function.__name__] = function
+    """Register a query under its name."""
+    name = function.__name__
+
+    def registered(spark: SparkSession, sf_dir: str) -> DataFrame:
+        texts = {c: F.col(c).cast("string") for c in NULLABLE_VALUES.get(name, ())}
+        result = function(spark, sf_dir)
+        return result.withColumns(texts) if texts else result
+
+    QUERIES[name] = registered
     return function
 
 
