@@ -36,7 +36,7 @@ def number_rows(
 
     ``order_key`` is an integer column, unique and not NULL inside each ``by``
     group. The input is evaluated twice (once for the counts), so it must be
-    deterministic; persist or checkpoint an expensive one first.
+    deterministic; cut the lineage of an expensive one first.
     """
     by = list(by)
     key = F.col(order_key).cast("long")
@@ -99,7 +99,7 @@ def sort_position(df: DataFrame, *order: str | Column, name: str = "position") -
 
     For orderings that are not an integer key. The range-partitioned sort
     splits hot values over tasks by the further sort columns. The positions
-    depend on the partition bounds, so they are fixed in a reliable checkpoint
-    before anything uses them.
+    depend on the partition bounds, so they are written out before anything
+    uses them.
     """
     return cut_lineage(df.orderBy(*order).withColumn(name, F.monotonically_increasing_id()))

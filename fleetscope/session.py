@@ -62,14 +62,11 @@ def working_folder(spark: SparkSession) -> str:
     read each other's files.
     """
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = context.getCheckpointDir()
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = "file:" + tempfile.mkdtemp(prefix="fleetscope-")
-    if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder.rstrip("/")
 
@@ -80,6 +77,12 @@ def fresh_folder(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of ``df`` in the working folder."""
-    working_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """``df`` written to the working folder and read back.
+
+    It is computed once, later readers take only the columns they need, and a
+    lost executor costs no recomputation of what came before.
+    """
+    spark = df.sparkSession
+    folder = fresh_folder(spark, "cut")
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,17 +17,46 @@ def collect_fleet(frames: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, tagged)
 
 
+@dataclass(frozen=True)
+class Split:
+    """Ranges of a numeric or date column that are read by separate tasks.
+
+    The bounds only shape the ranges; rows outside them are read as well.
+    """
+
+    column: str
+    low: str
+    high: str
+    parts: int
+
+    def options(self) -> dict[str, str]:
+        return {
+            "partitionColumn": self.column,
+            "lowerBound": self.low,
+            "upperBound": self.high,
+            "numPartitions": str(self.parts),
+        }
+
+
 def jdbc_fleet(
-    spark: SparkSession, urls: Mapping[str, str], table: str, **options: str
+    spark: SparkSession,
+    urls: Mapping[str, str],
+    table: str,
+    splits: Mapping[str, Split] | None = None,
+    **options: str,
 ) -> DataFrame:
     """One JDBC frame per server; filters and columns are pushed to each server.
 
-    Credentials come in ``options`` or the driver's own store, never from code.
+    A server with a large table gets a ``Split``, others are read by one task
+    each. Credentials come in ``options`` or the driver's own store, never from
+    code.
     """
-    frames = {
-        server: spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
-        for server, url in urls.items()
-    }
+    splits = splits or {}
+    frames = {}
+    for server, url in urls.items():
+        ranges = splits[server].options() if server in splits else {}
+        reader = spark.read.format("jdbc").options(url=url, dbtable=table, **ranges, **options)
+        frames[server] = reader.load()
     return collect_fleet(frames)
 
 

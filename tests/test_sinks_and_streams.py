@@ -71,6 +71,19 @@ def test_working_folder_is_the_configured_one(spark):
     assert fresh_folder(spark, "x") != fresh_folder(spark, "x")
 
 
+def test_cut_lineage_is_computed_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    cut = session.cut_lineage(spark.range(1000).mapInPandas(count, "id long"))
+    assert cut.count() == 1000 and cut.agg(F.sum("id")).first()[0] == 499_500
+    assert seen.value == 1000
+
+
 def history_row(instance, status=0):
     return (instance, 1, 1, status, 20240115, 905, 10, 0, 0, "m", "S")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 AS_OF = "TIMESTAMP '2024-01-15 13:30:00'"
 DAY_START = "TIMESTAMP '2024-01-15 00:00:00'"
 DAY_END = "TIMESTAMP '2024-01-16 00:00:00'"
@@ -358,8 +360,6 @@ FIXTURES = {
 
 def with_fixtures(select: str) -> str:
     """``select`` behind the fixtures it names, directly or through others."""
-    import re
-
     def named_in(sql: str) -> list[str]:
         words = set(re.findall(r"(?:FROM|JOIN)\s+([a-z_]+)", sql))
         return [name for name in FIXTURES if name in words]
