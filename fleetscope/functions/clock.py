@@ -86,4 +86,4 @@ def minute_round(moment: Column) -> Column:
 
 def stamp(moment: Column) -> Column:
     """``yyyy-MM-dd HH:mm:ss`` text."""
-    return F.date_format(moment, "yyyy-MM-dd HH:mm:ss")
+    return F.substring(moment.cast("string"), 1, 19)

@@ -111,7 +111,8 @@ def release_pending(offered: DataFrame, releases: DataFrame) -> DataFrame:
 
 def _latest_run(source: DataFrame) -> DataFrame:
     """Cleaned source rows, the last one (by ``seq``) per script."""
-    error = F.replace(F.nullif(F.col("error_message"), F.lit("")), F.lit("|"), F.lit(" "))
+    blank = F.rtrim("error_message") == ""
+    error = F.when(~blank, F.replace("error_message", F.lit("|"), F.lit(" ")))
     version = F.coalesce("version_number", F.lit(DEFAULT_VERSION).cast("decimal(3,1)"))
     cleaned = source.withColumns({"error_message": error, "version_number": version})
     values = [c for c in cleaned.columns if c not in ("script_name", "seq")]

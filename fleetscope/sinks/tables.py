@@ -27,6 +27,11 @@ def create_folder(spark: SparkSession, location: str) -> str:
     return location
 
 
+def is_folder(spark: SparkSession, location: str) -> bool:
+    path, files = _path(spark, location)
+    return files.exists(path) and files.getFileStatus(path).isDirectory()
+
+
 def open_table(
     spark: SparkSession, location: str, name: str, partitions: str = ""
 ) -> DataFrame:

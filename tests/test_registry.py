@@ -77,7 +77,7 @@ def test_upsert_rules(spark, rows):
         run(5, "a", version=None, message="p|q"),
         run(9, "d"),
         run(7, "c", option="New", message=""),
-        run(8, "c", option="Last"),
+        run(8, "c", option="Last", message="  "),
     )
     once = registry.release_upsert(table, source, NOW)
     got = {g["script_name"]: g for g in as_dicts(once)}

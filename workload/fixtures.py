@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from fleetscope.functions import clock
 from fleetscope.schemas import OPEN_END
+from fleetscope.sinks.tables import is_folder
+from fleetscope.streaming.feeds import file_feed
 
 AS_OF = dt.datetime(2024, 1, 15, 13, 30)
 AS_OF_DIFF = dt.datetime(2024, 1, 15, 12, 30)
@@ -48,6 +50,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def feed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table as a stream of its files, be it one file or a folder of them."""
+    location = f"{sf_dir}/{name}.parquet"
+    if is_folder(spark, location):
+        return file_feed(spark, location, SCHEMAS[name], "*.parquet")
+    return file_feed(spark, sf_dir, SCHEMAS[name], f"{name}.parquet")
+
+
 def events(
     spark: SparkSession,
     sf_dir: str,

@@ -123,7 +123,8 @@ _NEW_NAMES = """
 _LAST_RUN = """
     SELECT script_name, seq, coalesce(version_number, '1.0') AS version_number, author,
            object_name, description, option, is_error,
-           replace(nullif(error_message, ''), '|', ' ') AS error_message, release_date
+           CASE WHEN rtrim(error_message) <> '' THEN replace(error_message, '|', ' ') END
+               AS error_message, release_date
     FROM offered_releases
     QUALIFY row_number() OVER (PARTITION BY script_name ORDER BY seq DESC) = 1"""
 

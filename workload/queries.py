@@ -548,7 +548,7 @@ def foreign_key_audit(spark: SparkSession, d: str) -> DataFrame:
 def stream_failed_jobs(spark: SparkSession, d: str) -> DataFrame:
     """The record after polling the event feed, part of it recorded before."""
     location = fresh_folder(spark, "failed-jobs")
-    feed = feeds.file_feed(spark, d, fx.SCHEMAS["events"], "events.parquet")
+    feed = fx.feed(spark, d, "events")
     seen = _recorded(spark, d).drop("create_datetime")
     failure_poll.record_failures(seen, location, fx.DAY_START)
     feeds.record_failed_jobs(
@@ -567,7 +567,7 @@ def stream_failed_jobs(spark: SparkSession, d: str) -> DataFrame:
 def stream_blocked_events(spark: SparkSession, d: str) -> DataFrame:
     """The stored details with the id and session id of their event."""
     events_at, details_at = fresh_folder(spark, "blocked"), fresh_folder(spark, "details")
-    feed = feeds.file_feed(spark, d, fx.SCHEMAS["events"], "events.parquet")
+    feed = fx.feed(spark, d, "events")
     feeds.record_blocked_events(
         fx.reports_of(feed),
         fx.databases(spark, d),
@@ -583,7 +583,7 @@ def stream_blocked_events(spark: SparkSession, d: str) -> DataFrame:
 def stream_deadlock_events(spark: SparkSession, d: str) -> DataFrame:
     """The stored graphs joined to their normalised text."""
     events_at, texts_at = fresh_folder(spark, "deadlocks"), fresh_folder(spark, "texts")
-    feed = feeds.file_feed(spark, d, fx.SCHEMAS["documents"], "documents.parquet")
+    feed = fx.feed(spark, d, "documents")
     feeds.record_deadlock_events(
         fx.graphs_of(feed), events_at, texts_at, fresh_folder(spark, "deadlock-state"), fx.AS_OF
     )
