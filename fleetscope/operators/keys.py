@@ -3,15 +3,14 @@
 A plain ``row_number()`` over one ordering sends every row of a group to one
 task. Here the integer order key is cut into fixed blocks: the blocks are
 counted with map-side combine, running totals over the counts give each block
-its offset, and ``row_number()`` runs inside a block only. With unique 63-bit
-keys no window ever holds more than 2**16 data rows or 2**24 block counts,
-whatever the size of the group.
+its offset, and the numbering runs inside a block only. With unique 63-bit keys
+no window ever holds more than 2**16 data rows or 2**24 block counts, whatever
+the size of the group.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,10 +21,27 @@ BLOCK_BITS = 16
 SUPER_BITS = 40
 
 
-def _match(left: DataFrame, right: DataFrame, names: Sequence[str]) -> Column:
-    """Null-safe equality of ``names`` on the left and ``_r_names`` on the right."""
-    return reduce(
-        lambda a, b: a & b, [left[n].eqNullSafe(right[f"_r_{n}"]) for n in names]
+def _running_total(
+    rows: DataFrame, marks: DataFrame, group: Sequence[str], order: str
+) -> DataFrame:
+    """Add ``_total``: the sum of ``_add`` up to each row of its group.
+
+    ``marks`` has at most one row per group, whose ``_add`` the group starts
+    with. It enters the window as the first row instead of a join, so the rows
+    are shuffled and sorted once, and a NULL group keeps its rows.
+    """
+    marked = rows.withColumn("_is_row", F.lit(1)).unionByName(
+        marks.withColumn("_is_row", F.lit(0)), allowMissingColumns=True
+    )
+    window = (
+        Window.partitionBy(*group)
+        .orderBy("_is_row", order)
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return (
+        marked.withColumn("_total", F.sum("_add").over(window))
+        .filter(F.col("_is_row") == 1)
+        .drop("_is_row")
     )
 
 
@@ -39,40 +55,24 @@ def number_rows(
     deterministic; cut the lineage of an expensive one first.
     """
     by = list(by)
-    key = F.col(order_key).cast("long")
-    blocked = df.withColumn("_block", F.shiftright(key, BLOCK_BITS))
-
-    blocks = (
-        blocked.groupBy(*by, "_block")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_super", F.shiftright(F.col("_block"), SUPER_BITS - BLOCK_BITS))
-    )
-    supers = blocks.groupBy(*by, "_super").agg(F.sum("_n").alias("_n"))
-
-    def before(ordering: str, *partition: str) -> Column:
-        window = (
-            Window.partitionBy(*partition)
-            .orderBy(ordering)
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        return F.coalesce(F.sum("_n").over(window), F.lit(0))
-
-    blocks = blocks.withColumn("_inside", before("_block", *by, "_super"))
-    supers = supers.select(
-        *[F.col(c).alias(f"_r_{c}") for c in [*by, "_super"]],
-        before("_super", *by).alias("_ahead"),
-    )
-    offsets = blocks.join(supers, _match(blocks, supers, [*by, "_super"])).select(
-        *[F.col(c).alias(f"_r_{c}") for c in [*by, "_block"]],
-        (F.col("_inside") + F.col("_ahead")).alias("_offset"),
+    block = F.shiftright(F.col(order_key).cast("long"), BLOCK_BITS)
+    one = F.lit(1).cast("long")
+    rows = df.withColumns({"_block": block, "_add": one})
+
+    blocks = rows.groupBy(*by, "_block").agg(F.count(one).alias("_add"))
+    blocks = blocks.withColumn("_super", F.shiftright("_block", SUPER_BITS - BLOCK_BITS))
+    supers = blocks.groupBy(*by, "_super").agg(F.sum("_add").alias("_add"))
+
+    before = F.col("_total") - F.col("_add")
+    all_supers = Window.partitionBy(*by).orderBy("_super")
+    super_marks = supers.withColumn("_total", F.sum("_add").over(all_supers)).select(
+        *by, "_super", before.alias("_add")
     )
-
-    inside_block = Window.partitionBy(*by, "_block").orderBy(order_key)
-    return (
-        blocked.join(offsets, _match(blocked, offsets, [*by, "_block"]))
-        .withColumn(name, F.col("_offset") + F.row_number().over(inside_block))
-        .select(*df.columns, name)
+    block_marks = _running_total(blocks, super_marks, [*by, "_super"], "_block").select(
+        *by, "_block", before.alias("_add")
     )
+    numbered = _running_total(rows, block_marks, [*by, "_block"], order_key)
+    return numbered.select(*df.columns, F.col("_total").alias(name))
 
 
 def assign_keys(
