@@ -9,8 +9,8 @@ from fleetscope.functions import clock, codes
 from fleetscope.operators import (
     audits, backups, catalog, incidents, job_activity, job_failures, keys, registry, services,
 )
-from fleetscope.plans import failure_poll, fleet_status
-from fleetscope.session import fresh_folder
+from fleetscope.plans import backup_cycle, failure_poll, fleet_status
+from fleetscope.session import cut_lineage, fresh_folder
 from fleetscope.sources import config_xml, fleet, listings, templates
 from fleetscope.streaming import feeds
 from workload import fixtures as fx
@@ -398,11 +398,11 @@ def _names(spark: SparkSession, d: str) -> DataFrame:
 @query
 def backup_start(spark: SparkSession, d: str) -> DataFrame:
     """The new rows of both tables, joined on the key they share."""
-    new_sets, new_history = backups.backup_start(
-        _names(spark, d), fx.backup_sets(spark, d), fx.backup_history(spark, d), fx.AS_OF
+    decision = backup_cycle.decide(
+        fx.databases(spark, d), fx.backup_history(spark, d), fx.backup_sets(spark, d), fx.AS_OF
     )
-    both = new_sets.select("set_id", "backup_set_id", "database").join(
-        new_history.drop("error_message"), "set_id"
+    both = decision.new_sets.select("set_id", "backup_set_id", "database").join(
+        decision.new_history.drop("error_message"), "set_id"
     )
     return _portable(both, "process_start", "process_finish", "create_datetime")
 
@@ -475,7 +475,7 @@ def backup_names(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def failed_jobs_report(spark: SparkSession, d: str) -> DataFrame:
-    return job_failures.failed_jobs_report(_new(spark, d), fx.AS_OF)
+    return job_failures.failed_jobs_report(cut_lineage(_new(spark, d)), fx.AS_OF)
 
 
 @query
