@@ -44,6 +44,13 @@ _REPORT = (
 )
 
 
+# Only what the session id needs; the parser's cost grows with the fields asked for.
+_BLOCKERS = (
+    "`blocked-process-report` array<struct<"
+    "`blocking-process`: array<struct<process: array<struct<`_spid`: string>>>>>>"
+)
+
+
 def _processes(parsed: Column, side: str) -> Column:
     """The process elements of one side, over all reports in the document."""
     reports = F.coalesce(parsed["blocked-process-report"], F.array())
@@ -160,10 +167,13 @@ def blocked_events_store(
     alert time is ``as_of``, or the report's own if none is given.
     """
     alert = F.col("alert") if as_of is None else clock.ntz(as_of)
-    blocker = F.get("blocking", F.lit(0))
-    rows = with_processes(reports).select(
+    if "blocking" in reports.columns:
+        blocking = F.col("blocking")
+    else:
+        blocking = _processes(F.from_xml("report", _BLOCKERS, XML_OPTIONS), "blocking-process")
+    rows = reports.select(
         "event_id",
-        blocker["_spid"].try_cast("int").alias("spid"),
+        F.get(blocking, F.lit(0))["_spid"].try_cast("int").alias("spid"),
         F.col("report").alias("blocked_report"),
         alert.alias("alert_datetime"),
     )
