@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 from typing import NamedTuple
 
 import numpy as np
@@ -10,8 +13,27 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+import fleetscope
+
 #: Bytes of text that a task turns into arrays at once.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 5 << 20
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, which need it in their tasks; once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(fleetscope.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="fleetscope-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

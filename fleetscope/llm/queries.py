@@ -6,20 +6,56 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.llm import bpe, mixing, token_codes
-from fleetscope.llm.common import table
+from fleetscope.llm import (
+    bpe, langid, mixing, mtree, ngram_join, nn_descent, quality, suffix_dedup, token_codes, url_filter,
+)
+from fleetscope.llm.common import ship_package, table
 from fleetscope.session import fresh_folder
 
 TOKENIZER = "word_bpe_49k.json"
+QUALITY_FROM = 0.3
 QUERIES = {}
 ORACLES = {}
 
 
 def query(function):
-    QUERIES[function.__name__] = function
+    """Register a query under its name."""
+
+    def registered(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = registered
     return function
 
 
+@query
+def op1_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_join.join(table(spark, d, "documents"))
+
+
+def _fold(modulus: int):
+    """A document's fold, from its id alone."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus
+
+
+@query
+def op2_quality(spark: SparkSession, d: str) -> DataFrame:
+    docs, held_out = table(spark, d, "documents"), _fold(5) == 0
+    model = quality.fit(docs, table(spark, d, "labels").filter(~held_out))
+    scored = quality.score(docs, model)
+    predicted = (F.col("score") >= QUALITY_FROM).cast("int")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@query
+def op3_language(spark: SparkSession, d: str) -> DataFrame:
+    docs, held_out = table(spark, d, "documents"), _fold(4) == 2
+    model = langid.fit(docs.filter(~held_out))
+    found = langid.predict(docs, model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op4_mixing(spark: SparkSession, d: str) -> DataFrame:
     mixed = mixing.mix(table(spark, d, "documents"))
@@ -66,6 +102,35 @@ FROM queued CROSS JOIN cut
 """
 
 
+@query
+def op5_nn_descent(spark: SparkSession, d: str) -> DataFrame:
+    return nn_descent.near_duplicates(table(spark, d, "embeddings"))
+
+
+@query
+def op6_mtree(spark: SparkSession, d: str) -> DataFrame:
+    return mtree.top_k(table(spark, d, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+ORACLES["op6_mtree"] = """
+WITH rows AS (
+  SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id, list_dot_product(q.v, r.v)::BIGINT AS score
+  FROM rows q JOIN rows r ON q.vec_id % 50 = 0 AND q.vec_id <> r.vec_id)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 5
+"""
+
+
+@query
+def op7_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    return url_filter.judge(table(spark, d, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 @query
 def op8_token_codes(spark: SparkSession, d: str) -> DataFrame:
     folder = fresh_folder(spark, "codes")
@@ -73,6 +138,19 @@ def op8_token_codes(spark: SparkSession, d: str) -> DataFrame:
     return token_codes.read_documents(token_codes.read_shards(spark, folder))
 
 
+@query
+def op9_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    kept = suffix_dedup.remove_repeats(table(spark, d, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return kept.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op10_bpe(spark: SparkSession, d: str) -> DataFrame:
     coded = bpe.encode(table(spark, d, "documents"), public_tokenizers.path(TOKENIZER), decoded=True)
