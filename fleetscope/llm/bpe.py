@@ -17,7 +17,6 @@ kept as they are, extra columns are ignored, an empty table gives an empty one.
 from __future__ import annotations
 
 import re
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,15 +33,18 @@ LEAF = 2048
 #: Texts with more characters are spread over tasks, in parts of about PART.
 LONG_CHARS = 32_768
 PART = 8_192
-#: Words remembered by a task, in each of two generations.
+#: Pieces of words that a process remembers the ids of, before it starts anew.
 REMEMBERED = 150_000
 #: Characters below this one have one normal form and a lower case of their own.
 SIMPLE = 0x250
-LAST = chr(SIMPLE)
+#: Words made of them only.
+PLAIN = r"^[\x{21}-\x{7E}\x{A1}-\x{24F}]*$"
 #: The characters that stand for bytes in the model's alphabet (fixed by byte-level BPE): printable
 #: bytes for themselves, the others in order from 256 on.
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 BYTE = {b: chr(b) for b in _SHOWN} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*_SHOWN}))}
+#: The same for text whose bytes stand as characters; the blank stays.
+SYMBOLS = {chr(b): c for b, c in BYTE.items() if b != 0x20 and chr(b) != c}
 #: White space to Python and Arrow, but not to the tokenizer.
 _ODD_SPACE = "[\x1c-\x1f]"
 
@@ -67,11 +69,10 @@ class Encoder:
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         size = tokenizer.get_vocab_size()
         self.token = [tokenizer.id_to_token(i) or "" for i in range(size)]
-        self.ends = [t.endswith("</w>") for t in self.token]
-        self.plain = [t[:-4] if e else t for t, e in zip(self.token, self.ends)]
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {"\n": b""}
+        self.is_end = np.array([t.endswith("</w>") for t in self.token])
+        self.plain = [t[:-4] if e else t for t, e in zip(self.token, self.is_end)]
+        self.known: dict[str, int] = {}
+        self._forget()
         self.pattern = self._pattern()
 
     def _pattern(self):
@@ -86,23 +87,37 @@ class Encoder:
         every = "".join(c for c in map(chr, range(SIMPLE)) if not c.isspace())
         if self.tokenizer.normalizer.normalize_str(every) != every.lower():
             return None
+        bare = json.loads(self.tokenizer.to_str()) | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}}
+        self.bare = type(self.tokenizer).from_str(json.dumps(bare | {"added_tokens": []}))
         return regex.compile(steps[0]["pattern"]["Regex"] + r"|\n")
 
-    def _simple(self, words: list[str]) -> list[bytes]:
-        """Ids of words whose characters are all below SIMPLE: pieces are looked up alone."""
-        pieces = self.pattern.findall("\n".join(words).lower())
+    def _simple(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words with plain characters, and each word's number of ids."""
+        text = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "\n")[0].as_py()
+        pieces = self.pattern.findall(text.lower())
         if len(self.known) > REMEMBERED:
-            self.known = {"\n": b""}
-        known, model = self.known, self.tokenizer.model
-        for piece in set(pieces) - known.keys():
-            symbols = piece if piece.isascii() and piece.isprintable() else "".join(map(BYTE.__getitem__, piece.encode()))
-            known[piece] = array("i", [t.id for t in model.tokenize(symbols)]).tobytes()
-        ids = list(map(known.__getitem__, pieces))
-        out, start = [], 0
-        for stop in [i for i, piece in enumerate(pieces) if piece == "\n"] + [len(pieces)]:
-            out.append(ids[start] if stop == start + 1 else b"".join(ids[start:stop]))
-            start = stop + 1
-        return out
+            self._forget()
+        known = self.known
+        new = list(set(pieces) - known.keys())
+        if new:
+            symbols = " ".join(new).encode().decode("latin-1")
+            for c in set(symbols) & SYMBOLS.keys():
+                symbols = symbols.replace(c, SYMBOLS[c])
+            ids = np.array(self.bare.encode_batch_fast([symbols], add_special_tokens=False)[0].ids, np.int32)
+            ends = np.flatnonzero(self.is_end[ids]) + 1
+            if len(ends) != len(new):
+                raise RuntimeError("a piece was split or lost")
+            known.update(zip(new, range(len(self.ends) - 1, len(self.ends) - 1 + len(new))))
+            self.ends = np.concatenate([self.ends, ends + len(self.ids)])
+            self.ids = np.concatenate([self.ids, ids])
+        places = np.fromiter(map(known.__getitem__, pieces), np.int32, len(pieces))
+        starts, lengths = self.ends[:-1], np.diff(self.ends)
+        per_piece = np.concatenate(([0], np.cumsum(lengths[places])))
+        breaks = per_piece[np.flatnonzero(places == 0)]  # the line end is piece 0, without ids
+        return self.ids[ragged_take(starts, lengths, places)], np.diff(breaks, prepend=0, append=per_piece[-1])
+
+    def _forget(self) -> None:
+        self.known, self.ids, self.ends = {"\n": 0}, np.zeros(0, np.int32), np.zeros(2, np.int64)
 
     def _whole(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -169,51 +184,37 @@ class Encoder:
 
     # --- Words -----------------------------------------------------------------------
 
-    def _encode(self, words: list[str]) -> list[bytes]:
-        """Ids of new words: short ones many at once, with a special token between."""
-        out: list[bytes] = [b""] * len(words)
-        short, simple = [], []
-        for i, word in enumerate(words):
-            if self.pattern and len(word) <= self.leaf and "<|" not in word and (word.isascii() or max(word) < LAST):
-                simple.append(i)
-            elif len(word) > self.leaf:
-                out[i] = np.array(self.long_word(word), np.int32).tobytes()
-            elif self.marker is None or any(s in word for s in self.special):
-                out[i] = np.array(self._whole(word), np.int32).tobytes()
-            else:
-                short.append(i)
-        for i, ids in zip(simple, self._simple([words[i] for i in simple]) if simple else []):
-            out[i] = ids
-        for k in range(0, len(short), 4096):
-            some = short[k : k + 4096]
-            text = self.marker.join(words[i] for i in some)
-            ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-            ids = np.array(ids, np.int32)
-            cuts = np.flatnonzero(ids == self.special[self.marker]).tolist()
-            if len(cuts) != len(some) - 1:
-                raise RuntimeError("a word holds the separating token")
-            for i, start, stop in zip(some, [0, *[c + 1 for c in cuts]], [*cuts, len(ids)]):
-                out[i] = ids[start:stop].tobytes()
-        return out
-
-    def words(self, words: list[str]) -> list[bytes]:
-        """Ids of each word as 32-bit integers."""
-        young, old = self.young, self.old
-        out = [young.get(w) for w in words]
-        missing = []
-        for i, ids in enumerate(out):
-            if ids is None:
-                if (kept := old.get(words[i])) is not None:
-                    out[i] = young[words[i]] = kept
-                else:
-                    missing.append(i)
-        for i, ids in zip(missing, self._encode([words[i] for i in missing])):
-            out[i] = ids
-            if len(words[i]) <= 64:
-                young[words[i]] = ids
-        if len(young) > REMEMBERED:
-            self.old, self.young = young, {}
-        return out
+    def _other(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are long, hold special tokens or need the full normalisation."""
+        return [
+            np.array(self.long_word(w) if len(w) > self.leaf else self._whole(w), np.int32).tobytes() for w in words
+        ]
+
+    def words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words one after the other, and each word's number of ids."""
+        if not len(words):
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        plain = np.zeros(len(words), bool)
+        if self.pattern:
+            plain = pc.and_(
+                pc.match_substring_regex(words, PLAIN),
+                pc.and_not(pc.less_equal(pc.binary_length(words), self.leaf), pc.match_substring(words, "<|")),
+            ).to_numpy(zero_copy_only=False)
+            if any("<|" not in s for s in self.special):
+                plain[:] = False
+        ids, lengths = np.zeros(0, np.int32), np.zeros(len(words), np.int64)
+        if plain.any():
+            ids, lengths[plain] = self._simple(words.filter(pa.array(plain)))
+        if not plain.all():
+            others = np.flatnonzero(~plain)
+            known = self._other(words.take(pa.array(others)).to_pylist())
+            lengths[others] = [len(x) // 4 for x in known]
+            ends = np.cumsum(lengths)
+            both = np.empty(int(ends[-1]), np.int32)
+            both[np.repeat(plain, lengths)] = ids
+            both[np.repeat(~plain, lengths)] = np.frombuffer(b"".join(known), np.int32)
+            ids = both
+        return ids, lengths
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text's begin."""
@@ -223,9 +224,7 @@ class Encoder:
             starts = np.concatenate(([0], np.cumsum([len(x) for x in ids])))
             return np.concatenate([np.asarray(x, np.int32) for x in ids]), starts
         starts, codes, uniques = split_words(texts)
-        known = self.words(uniques.to_pylist())
-        lengths = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        flat = np.frombuffer(b"".join(known), np.int32)
+        flat, lengths = self.words(uniques)
         ids = flat[ragged_take(np.cumsum(lengths) - lengths, lengths, codes)]
         ends = np.concatenate(([0], np.cumsum(lengths[codes])))
         return ids, ends[starts]
@@ -308,16 +307,14 @@ def _encode_parts(path: str):
 
     def run(batches):
         code = encoder(path)
-        for batch in text_slices(batches, "part", 1 << 20):
+        for batch in text_slices(batches, "part"):
             kinds = batch.column(2).to_pylist()
-            ids = []
-            for kind, part in zip(kinds, batch.column(3).to_pylist()):
-                if kind == "words":
-                    odd = re.search(_ODD_SPACE, part)
-                    found = code._whole(part) if odd else code.texts(pa.array([part]))[0]
-                else:
-                    found = [int(part)] if kind == "id" else code.piece(part)
-                ids.append(np.asarray(found, np.int32).tobytes())
+            flat, starts = code.texts(pc.if_else(pc.equal(batch.column(2), "words"), batch.column(3), ""))
+            ids = [flat[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]
+            for i, kind in enumerate(kinds):
+                if kind != "words":
+                    part = batch.column(3)[i].as_py()
+                    ids[i] = np.array([int(part)] if kind == "id" else code.piece(part), np.int32).tobytes()
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array([k == "more" for k in kinds]), pa.array(ids, pa.binary())],
                 schema=schema,
@@ -334,9 +331,9 @@ def _join_parts(path: str):
         code = encoder(path)
         a, b = np.frombuffer(left, np.int32).tolist(), np.frombuffer(right, np.int32).tolist()
         start = len(a) - 1  # the piece begins behind the last word end before
-        while start and not code.ends[a[start - 1]] and a[start - 1] not in code.special.values():
+        while start and not code.is_end[a[start - 1]] and a[start - 1] not in code.special.values():
             start -= 1
-        stop = next((i + 1 for i, t in enumerate(b) if code.ends[t]), len(b))
+        stop = next((i + 1 for i, t in enumerate(b) if code.is_end[t]), len(b))
         return np.array(a[:start] + code.join(a[start:], b[:stop]) + b[stop:], np.int32).tobytes()
 
     def run(batches):
