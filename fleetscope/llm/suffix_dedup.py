@@ -5,7 +5,7 @@ document with a smaller id. Documents are taken in batches of consecutive ids,
 and each batch gets a sparse suffix array: of every ``LENGTH``-byte window only
 the suffix at its *anchor* counts, the ``GRAM``-byte string with the smallest
 hash in it. Equal windows have equal anchors, and neighbouring windows mostly
-share one, so a window run of one anchor (about 19 windows) is one entry, sorted
+share one, so a window run of one anchor (about 10 windows) is one entry, sorted
 by the anchor's hash, with a fingerprint of all the bytes that its windows cover.
 
 The arrays are cut into ranges of the hash. In each range the batches enter a
@@ -37,20 +37,22 @@ from fleetscope.llm.common import mix64, text_slices, texts_of
 from fleetscope.session import cut_lineage
 
 LENGTH = 50
-GRAM = 16
+GRAM = 32
 #: Window starts that can share an anchor at most.
 REACH = LENGTH - GRAM + 1
 #: Bytes of text in a batch; bytes of entries in a hash range, at 12 an entry.
 BATCH_BYTES = 6 << 20
 RANGE_BYTES = 10 << 20
-ENTRIES_PER_BYTE = 0.055
+ENTRIES_PER_BYTE = 0.1
 #: Ranges of ids that are counted before they are cut into batches.
 ID_RANGES = 512
-_SLICE = 1 << 18
+#: Positions handled at once, few enough for a processor's cache.
+_SLICE = 1 << 15
 _LAST = (1 << 63) - 1
 
 _rng = np.random.default_rng(50)
 _BYTE = _rng.integers(1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FACTORS = _rng.integers(1 << 63, size=GRAM // 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _R = 0xD1342543DE82EF95
 _MASK = (1 << 64) - 1
 
@@ -93,8 +95,10 @@ class Runs:
         at = np.flatnonzero(valid[a:b])
         eight = _loads(raw[a : min(b + REACH + GRAM + 8, len(raw))])
         n = b - a + REACH - 1
-        n = min(n, len(eight) - 8)
-        x = eight[:n] * np.uint64(0x9E3779B97F4A7C15) + eight[8 : 8 + n] * np.uint64(0xC2B2AE3D27D4EB4F)
+        n = min(n, len(eight) - GRAM + 8)
+        x = np.zeros(n, np.uint64)
+        for shift, factor in zip(range(0, GRAM, 8), _FACTORS):
+            x += eight[shift : shift + n] * factor
         x ^= x >> np.uint64(29)
         x *= np.uint64(0x165667B19E3779F9)
         x ^= x >> np.uint64(32)
@@ -114,7 +118,8 @@ class Runs:
         sums = np.zeros(len(piece) + 1, np.uint64)
         np.cumsum(_BYTE[piece] * _UP[: len(piece)], out=sums[1:])
         mark = (sums[last + LENGTH] - sums[first]) * _DOWN[first] + (last - first).astype(np.uint64)
-        return first + a, last + a, low[begin], (mix64(mark) >> np.uint64(32)).astype(np.uint32)
+        # Smallest hashes crowd near zero; scrambled again they spread over the ranges.
+        return first + a, last + a, mix64(low[begin]), (mix64(mark) >> np.uint64(32)).astype(np.uint32)
 
 
 def whole(anchor: np.ndarray, mark: np.ndarray) -> np.ndarray:
@@ -136,18 +141,20 @@ class Family:
         shared[:-1] |= anchor[:-1] == anchor[1:]
         touched = []
         for level in self.levels:
-            at = np.minimum(np.searchsorted(level["keys"], key), len(level["keys"]) - 1)
-            seen |= level["keys"][at] == key
-            low = np.searchsorted(level["anchor"], anchor, "left")
-            high = np.searchsorted(level["anchor"], anchor, "right")
-            shared |= high > low
-            touched.append((level, low, high))
+            low = np.searchsorted(level["anchor"], anchor)
+            hit = np.flatnonzero(level["anchor"][np.minimum(low, len(level["anchor"]) - 1)] == anchor)
+            at = np.minimum(np.searchsorted(level["keys"], key[hit]), len(level["keys"]) - 1)
+            seen[hit] |= level["keys"][at] == key[hit]
+            shared[hit] = True
+            touched.append((level, hit, low[hit]))
         fresh = ~seen
-        for level, low, high in touched:
-            hit = fresh & (high > low)
-            change = np.zeros(len(level["anchor"]) + 1, np.int64)
-            np.add.at(change, low[hit], 1)
-            np.add.at(change, high[hit], -1)
+        for level, hit, low in touched:
+            # Every entry of the level with an anchor that a new entry shares.
+            low, hit = low[fresh[hit]], hit[fresh[hit]]
+            high = np.searchsorted(level["anchor"], anchor[hit], "right")
+            change = np.zeros(len(level["anchor"]) + 1, np.int32)
+            np.add.at(change, low, 1)
+            np.add.at(change, high, -1)
             level["asked"] |= np.cumsum(change)[:-1] > 0
         if fresh.any():
             self.levels.append({
@@ -209,19 +216,23 @@ class _Batch:
         self.raw = np.frombuffer(b"".join([*(texts[i] for i in place), bytes(64)]), np.uint8)
         self.runs = Runs(self.raw, self.starts, self.ends)
 
-    def first_of_each(self) -> np.ndarray:
-        """For each different run, by its number, the first that is equal."""
-        return np.unique(self.runs.whole, return_index=True)[1]
+    def asked(self, numbers: np.ndarray) -> np.ndarray:
+        """The first of each run with one of the sorted numbers, in the order of their anchors."""
+        some = np.flatnonzero(_member(self.runs.whole, numbers))
+        one = some[np.unique(self.runs.whole[some], return_index=True)[1]]
+        return one[np.argsort(self.runs.anchor[one], kind="stable")]
 
 
 def _entries(bits: int):
     schema = pa.schema([("range", pa.int64()), ("batch", pa.int64()), ("anchor", pa.binary()), ("mark", pa.binary())])
 
     def run(key, rows):
-        runs = (batch := _Batch(rows)).runs
-        one = batch.first_of_each()
-        one = one[np.lexsort((runs.print[one], runs.anchor[one]))]
+        runs = _Batch(rows).runs
+        one = np.argsort(runs.anchor, kind="stable")
         anchor, mark = runs.anchor[one], runs.print[one]
+        new = np.ones(len(one), bool)
+        new[1:] = (anchor[1:] != anchor[:-1]) | (mark[1:] != mark[:-1])
+        anchor, mark = anchor[new], mark[new]
         ranges = (anchor >> np.uint64(64 - bits)).astype(np.int64)
         cuts = np.flatnonzero(np.diff(ranges, prepend=-1))
         stops = np.append(cuts[1:], len(anchor))
@@ -263,6 +274,13 @@ def _flagged(flags: pa.Table, kind: int) -> np.ndarray:
     return np.sort(np.concatenate([np.zeros(0, np.uint64), *found]))
 
 
+def _member(values: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """Which values are among the sorted numbers."""
+    if not len(numbers):
+        return np.zeros(len(values), bool)
+    return numbers[np.minimum(np.searchsorted(numbers, values), len(numbers) - 1)] == values
+
+
 def _send(bits: int):
     """The bytes of the asked runs, once per batch, to their hash range."""
     schema = pa.schema(
@@ -273,9 +291,7 @@ def _send(bits: int):
         if not rows.num_rows or not flags.num_rows:
             return schema.empty_table()
         batch = _Batch(rows)
-        runs, one = batch.runs, batch.first_of_each()
-        one = one[np.isin(runs.whole[one], _flagged(flags, ASKED))]
-        one = one[np.argsort(runs.anchor[one], kind="stable")]
+        runs, one = batch.runs, batch.asked(_flagged(flags, ASKED))
         ranges = (runs.anchor[one] >> np.uint64(64 - bits)).astype(np.int64)
         cuts = np.flatnonzero(np.diff(ranges, prepend=-1))
         size = (runs.last[one] - runs.first[one] + LENGTH).astype(np.int64)
@@ -336,8 +352,8 @@ def _remove(key, rows, flags):
     batch = _Batch(rows)
     runs, n = batch.runs, len(batch.raw) - 64
     # Whole runs: seen in an earlier batch, or in a smaller document of this one.
-    gone = np.isin(runs.whole, _flagged(flags, SEEN))
-    by = np.lexsort((batch.order[runs.doc], runs.whole))
+    gone = _member(runs.whole, _flagged(flags, SEEN))
+    by = np.argsort(runs.whole, kind="stable")  # the runs stand in the order of their documents
     new = np.ones(len(by), bool)
     new[1:] = runs.whole[by][1:] != runs.whole[by][:-1]
     own = batch.order[runs.doc[by]]
