@@ -31,10 +31,12 @@ from fleetscope.session import cut_lineage
 #: Characters of a piece that is encoded in one go.
 LEAF = 2048
 #: Texts with more characters are spread over tasks, in parts of about PART.
-LONG_CHARS = 32_768
-PART = 8_192
+LONG_CHARS = 65_536
+PART = 16_384
+#: Bytes of text encoded at once; texts, ids and decoded texts of a slice are in memory together.
+ENCODE_BYTES = 5 << 19
 #: Pieces of words that a process remembers the ids of, before it starts anew.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 #: Characters below this one have one normal form and a lower case of their own.
 SIMPLE = 0x250
 #: Words made of them only.
@@ -307,7 +309,7 @@ def _encode_parts(path: str):
 
     def run(batches):
         code = encoder(path)
-        for batch in text_slices(batches, "part"):
+        for batch in text_slices(batches, "part", ENCODE_BYTES):
             kinds = batch.column(2).to_pylist()
             flat, starts = code.texts(pc.if_else(pc.equal(batch.column(2), "words"), batch.column(3), ""))
             ids = [flat[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:])]
@@ -402,7 +404,7 @@ def encode(
 
     def short(batches):
         code = encoder(path)
-        for batch in text_slices(batches, "_text"):
+        for batch in text_slices(batches, "_text", ENCODE_BYTES):
             ids, starts = code.texts(texts_of(batch, "_text"))
             yield _finish(batch.column(0), ids, starts, decoded, path, schema)
 
