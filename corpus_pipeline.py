@@ -2,12 +2,73 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from fleetscope.llm import bpe, mixing, ngram_join, quality, suffix_dedup
+from fleetscope.llm.common import ship_package, table
 from fleetscope.session import fresh_folder
 
-STAGES = []
+TOKENIZER = "word_bpe_49k.json"
+QUALITY_FROM = 0.3
 
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learned from the labelled ones among them, does not reject."""
+    ship_package(spark)
+    learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
+    model = quality.fit(docs, table(spark, sf_dir, "labels").filter(learn))
+    scored = quality.score(docs, model, name="_score")
+    return scored.filter(F.col("_score") >= QUALITY_FROM).select(docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates."""
+    ship_package(spark)
+    kept = ngram_join.join(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_of"))
+    rows = docs.withColumn("_mark", ngram_join.text_mark("text"))
+    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_of")), "left_semi")
+    return rows.dropDuplicates(["doc_id", "_mark"]).select(docs.columns)
+
+
+def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without the passages that an earlier one has."""
+    ship_package(spark)
+    others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
+    shape = docs.select(others).schema
+    kept = suffix_dedup.remove_repeats(docs, carry=F.to_json(F.struct(*others)))
+    kept = suffix_dedup.kept_text(kept.select("doc_id", "carry", "kept"))
+    kept = kept.withColumn("_others", F.from_json("carry", shape)).select("doc_id", "text", "_others.*")
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as often as the mix takes them."""
+    ship_package(spark)
+    rows = docs.withColumn("_mark", ngram_join.text_mark("text"))
+    shares = mixing.mix(rows, carry=["_mark"]).filter("repeats > 0")
+    shares = shares.select(F.col("doc_id").alias("_id"), F.col("_mark").alias("_of"), "repeats")
+    rows = rows.join(shares, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_of")))
+    return rows.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("repeats")))).select(docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, the ids of the text and the text that they decode to."""
+    ship_package(spark)
+    coded = bpe.encode(docs, public_tokenizers.path(TOKENIZER), decoded=True)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
+
+
+STAGES = [
+    ("quality", good_quality),
+    ("near_duplicates", one_of_each_group),
+    ("repeats", without_repeats),
+    ("mix", mixed),
+    ("encode", encoded),
+]
+
+# MinHash, suffix arrays and BPE have no SQL; tests compare every stage with a brute-force version.
 ORACLE_SQL = None
 
 

@@ -72,10 +72,14 @@ def mix(
     key: str = "doc_id",
     source: str = "source",
     text: str = "text",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Per document doc_id, size, source_size, target, repeats and taken (words, repeats counted)."""
+    """Per document doc_id, size, source_size, target, repeats and taken (words, repeats counted).
+
+    ``carry`` names further columns that come with them.
+    """
     rows = docs.select(
-        F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size")
+        F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), *carry
     ).withColumn("_hash", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     rows = cut_lineage(rows)
     n = rows.count()
@@ -125,5 +129,5 @@ def mix(
     repeats = F.when(F.col("size") > 0, repeats).otherwise(0)
     return rows.select(
         "doc_id", "size", "source_size", F.col("target"), repeats.alias("repeats"),
-        (F.col("size") * repeats).alias("taken"),
+        (F.col("size") * repeats).alias("taken"), *carry,
     )

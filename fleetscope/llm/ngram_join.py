@@ -20,7 +20,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.llm.common import mix64, split_words, text_slices, texts_of, word_hashes
@@ -139,19 +139,21 @@ def join(
     similarity: float = SIMILARITY,
     recall: float = RECALL,
 ) -> DataFrame:
-    """Per document ``key``, class_id, n_links and kept.
+    """Per document ``key``, mark, class_id, n_links and kept.
 
     class_id is the smallest id that links lead to, n_links the number of other documents at
-    ``similarity`` or more, and kept marks the document of that id, one for each class.
+    ``similarity`` or more. kept marks the document of that id, one for each class; rows with both key
+    and text alike share the mark and are kept or not together.
     """
     bands, rows = banding(similarity, recall, similarity / 2)
-    texts = docs.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).alias("text"))
+    texts = docs.select(F.col(key).cast("long").alias("doc_id"), text_mark(text).alias("mark"), F.col(text).alias("text"))
     ddl = "doc_id long, mark long, n int, one long, two long, bands array<long>"
     signed = cut_lineage(texts.mapInArrow(_signatures(bands, rows, n), ddl))
     same = ["one", "two", "n"]
+    id_order = F.coalesce("doc_id", F.lit((1 << 63) - 1))
     classes = signed.filter("n > 0").groupBy(*same).agg(
         F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("low"),
-        F.min(F.struct("doc_id", "mark")).alias("first"), F.first("bands").alias("bands"),
+        F.min(F.struct(id_order.alias("at"), "mark", "doc_id")).alias("first"), F.first("bands").alias("bands"),
     )
     classes = cut_lineage(classes)
     # Candidates: classes in one bucket, each with the bucket's smallest.
@@ -159,23 +161,32 @@ def join(
     heads = held.groupBy("band").agg(F.min("a").alias("b"), F.max("a").alias("_most")).filter("b < _most").drop("_most")
     found = components(held.join(heads, "band").filter("a <> b").select("a", "b"))
     members = classes.join(found, F.col("one") == F.col("id")).select(
-        F.col("component"), F.col("one").alias("node"), F.col("size").alias("weight"), "first.*"
-    )
-    keys = members.withColumnsRenamed({"doc_id": "_id", "mark": "_mark"})
+        F.col("component"), F.col("one").alias("node"), F.col("size").alias("weight"),
+        F.col("first.doc_id").alias("_id"), F.col("first.mark").alias("_mark"),
+    )
+    keys = members
     members = texts.join(keys, texts["doc_id"].eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")))
     # Rows with both id and text alike stand for one.
     members = members.select("component", "node", "weight", "text").dropDuplicates(["node"])
     compared = cut_lineage(compare_members(cut_lineage(members), _linked(similarity, n), ["text"]))
     links = compared.groupBy("node").agg(F.sum("links").alias("links"))
     joined = components(compared.filter("links > 0").select(F.col("node").alias("a"), F.col("root").alias("b")))
-    known = classes.select(*same, "size", "low").join(links, F.col("one") == F.col("node"), "left").drop("node")
+    known = classes.select(*same, "size", "low", "first").join(links, F.col("one") == F.col("node"), "left").drop("node")
     known = known.join(joined, F.col("one") == F.col("id"), "left").drop("id")
     known = known.withColumn("component", F.coalesce("component", "one"))
-    lowest = known.groupBy("component").agg(F.min("low").alias("class_id"))
+    lowest = known.groupBy("component").agg(F.min("low").alias("class_id"), F.min("first").alias("head"))
     known = known.join(lowest, "component").select(
-        *same, "class_id", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+        *same, "class_id", "head", (F.col("size") - 1 + F.coalesce("links", F.lit(0))).alias("n_links")
+    )
+    linked = signed.filter("n > 0").select("doc_id", "mark", *same).join(known, same)
+    kept = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("mark") == F.col("head.mark"))
+    linked = linked.select("doc_id", "mark", "class_id", "n_links", kept.alias("kept"))
+    alone = signed.filter("n = 0").select(
+        "doc_id", "mark", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.lit(True).alias("kept")
     )
-    linked = signed.filter("n > 0").select("doc_id", *same).join(known, same).select("doc_id", "class_id", "n_links")
-    alone = signed.filter("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    out = linked.unionByName(alone)
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id"))).withColumnRenamed("doc_id", key)
+    return linked.unionByName(alone).withColumnRenamed("doc_id", key)
+
+
+def text_mark(text: str) -> Column:
+    """A hash of the text that, beside the key, tells rows apart."""
+    return F.xxhash64(F.col(text))

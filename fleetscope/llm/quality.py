@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetscope.llm.common import text_slices, texts_of
 
@@ -163,15 +164,14 @@ def fit(
     return Model(idf, axes, vectors, votes, marks, sizes.get(1, 0) / total, neighbours, sharpness)
 
 
-def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` and the score of each document: the nearer to 1, the likelier label 1."""
+def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score") -> DataFrame:
+    """The rows with the score of their text in column ``name``, which replaces one of that name."""
     held = docs.sparkSession.sparkContext.broadcast(model)
-    schema = pa.schema([("key", pa.int64()), ("score", pa.float64())])
+    kept = docs.drop(name)
 
     def run(batches):
-        for batch in text_slices(batches, "_text", 2 << 20):
-            scores = held.value.scores(trigram_counts(texts_of(batch, "_text")))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], schema=schema)
+        for batch in text_slices(batches, text, 2 << 20):
+            scores = held.value.scores(trigram_counts(texts_of(batch, text)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, name])
 
-    rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("_text"))
-    return rows.mapInArrow(run, "key long, score double").withColumnRenamed("key", key)
+    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(name, T.DoubleType())]))

@@ -31,7 +31,7 @@ def query(function):
 
 @query
 def op1_ngram_join(spark: SparkSession, d: str) -> DataFrame:
-    return ngram_join.join(table(spark, d, "documents"))
+    return ngram_join.join(table(spark, d, "documents")).select("doc_id", "class_id", "n_links", "kept")
 
 
 def _fold(modulus: int):
@@ -43,7 +43,7 @@ def _fold(modulus: int):
 def op2_quality(spark: SparkSession, d: str) -> DataFrame:
     docs, held_out = table(spark, d, "documents"), _fold(5) == 0
     model = quality.fit(docs, table(spark, d, "labels").filter(~held_out))
-    scored = quality.score(docs, model)
+    scored = quality.score(docs.select("doc_id", "text"), model)
     predicted = (F.col("score") >= QUALITY_FROM).cast("int")
     return scored.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
 

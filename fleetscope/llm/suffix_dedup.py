@@ -30,8 +30,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fleetscope.llm.common import mix64, text_slices, texts_of
 from fleetscope.session import cut_lineage
@@ -177,7 +178,8 @@ class Family:
 
 # --- Batches -----------------------------------------------------------------------
 
-_TEXTS = pa.schema([("batch", pa.int64()), ("id", pa.int64()), ("order", pa.int64()), ("text", pa.binary())])
+_TEXTS = pa.schema([("batch", pa.int64()), ("id", pa.int64()), ("order", pa.int64()), ("carry", pa.string()), ("text", pa.binary())])
+_TEXTS_DDL = "batch long, id long, order long, carry string, text binary"
 _FLAGS = pa.schema([("batch", pa.int64()), ("kind", pa.int32()), ("anchor", pa.binary()), ("mark", pa.binary())])
 _FLAGS_DDL = "batch long, kind int, anchor binary, mark binary"
 SEEN, ASKED, COVERED = 0, 1, 2
@@ -192,10 +194,10 @@ def _packed(docs: DataFrame) -> DataFrame:
         squeeze = zstandard.ZstdCompressor(level=1).compress
         for batch in text_slices(batches, "text"):
             texts = texts_of(batch, "text").cast(pa.binary()).to_pylist()
-            columns = [*batch.columns[:3], pa.array([squeeze(t) for t in texts], pa.binary())]
+            columns = [*batch.columns[:4], pa.array([squeeze(t) for t in texts], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=_TEXTS)
 
-    return docs.mapInArrow(run, "batch long, id long, order long, text binary")
+    return docs.mapInArrow(run, _TEXTS_DDL)
 
 
 class _Batch:
@@ -209,6 +211,7 @@ class _Batch:
         order = np.array(rows.column("order").to_pylist(), np.int64)
         place = sorted(range(len(texts)), key=lambda i: (order[i], texts[i]))
         self.ids = [rows.column("id")[i].as_py() for i in place]
+        self.carry = [rows.column("carry")[i].as_py() for i in place]
         self.order = order[place]
         lengths = np.array([len(texts[i]) for i in place], np.int64)
         self.ends = np.cumsum(lengths)
@@ -343,7 +346,7 @@ def _compare(key, rows):
 
 
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-_KEPT = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(_SPAN)), ("kept", pa.binary())])
+_KEPT = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(_SPAN)), ("kept", pa.binary()), ("carry", pa.string())])
 
 
 def _remove(key, rows, flags):
@@ -383,7 +386,8 @@ def _remove(key, rows, flags):
         kept.append(batch.raw[a:b][~mask].tobytes())
     sizes = batch.ends - batch.starts
     return pa.Table.from_arrays(
-        [pa.array(batch.ids, pa.int64()), pa.array(sizes), pa.array(spans, pa.list_(_SPAN)), pa.array(kept, pa.binary())],
+        [pa.array(batch.ids, pa.int64()), pa.array(sizes), pa.array(spans, pa.list_(_SPAN)), pa.array(kept, pa.binary()),
+         pa.array(batch.carry, pa.string())],
         schema=_KEPT,
     )
 
@@ -436,15 +440,19 @@ def _steps(cuts: list[int]):
     return half(0, len(cuts))
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document ``key``, n_bytes, the removed spans (byte ranges) and the kept bytes."""
+def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: Column | None = None) -> DataFrame:
+    """Per document ``key``, n_bytes, the removed spans (byte ranges) and the kept bytes.
+
+    ``carry`` is a string that comes with each row. Cuts can fall inside a character: see ``kept_text``.
+    """
     order = F.coalesce(F.col(key).cast("long"), F.lit(_LAST))
-    rows = docs.select(F.col(key).cast("long").alias("id"), order.alias("order"), F.col(text).alias("text"))
+    carry = F.lit(None).cast("string") if carry is None else carry
+    rows = docs.select(F.col(key).cast("long").alias("id"), order.alias("order"), carry.alias("carry"), F.col(text).alias("text"))
     rows, total = _batches(rows)
     bits = 4
     while (RANGE_BYTES << bits) < total * ENTRIES_PER_BYTE * 12:
         bits += 1
-    texts = _packed(rows.select("batch", "id", "order", "text")).groupBy("batch")
+    texts = _packed(rows.select("batch", "id", "order", "carry", "text")).groupBy("batch")
     entries = texts.applyInArrow(_entries(bits), "range long, batch long, anchor binary, mark binary")
     flags = cut_lineage(entries.groupBy("range").applyInArrow(_scan, _FLAGS_DDL))
     asked = flags.filter(F.col("kind") == ASKED).groupBy("batch")
@@ -454,6 +462,22 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     covered = sent.groupBy("range").applyInArrow(_compare, _FLAGS_DDL)
     flags = flags.filter(F.col("kind") == SEEN).unionByName(covered)
     kept = texts.cogroup(flags.groupBy("batch")).applyInArrow(
-        _remove, "id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
+        _remove, "id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary, carry string"
     )
     return kept.withColumnRenamed("id", key)
+
+
+def kept_text(kept: DataFrame, bytes_: str = "kept", name: str = "text") -> DataFrame:
+    """The rows with the kept bytes as text; the rests of characters cut in two are left out."""
+    rows = kept.drop(name)
+
+    def run(batches):
+        for batch in text_slices(batches, bytes_):
+            at = batch.schema.get_field_index(bytes_)
+            texts = [None if b is None else b.decode(errors="ignore") for b in batch.column(at).to_pylist()]
+            columns = [c for i, c in enumerate(batch.columns) if i != at]
+            names = [n for i, n in enumerate(batch.schema.names) if i != at]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*names, name])
+
+    fields = [f for f in rows.schema.fields if f.name != bytes_]
+    return rows.mapInArrow(run, T.StructType([*fields, T.StructField(name, T.StringType())]))
