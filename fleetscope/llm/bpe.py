@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetscope.llm.common import ragged_take, split_words, text_slices, texts_of
+from fleetscope.llm.common import ragged_take, release, split_words, text_slices, texts_of, tidy
 from fleetscope.session import cut_lineage
 
 #: Characters of a piece that is encoded in one go.
@@ -74,7 +74,7 @@ class Encoder:
         self.is_end = np.array([t.endswith("</w>") for t in self.token])
         self.plain = [t[:-4] if e else t for t, e in zip(self.token, self.is_end)]
         self.known: dict[str, int] = {}
-        self._forget()
+        self.forget()
         self.pattern = self._pattern()
 
     def _pattern(self):
@@ -98,7 +98,7 @@ class Encoder:
         text = pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "\n")[0].as_py()
         pieces = self.pattern.findall(text.lower())
         if len(self.known) > REMEMBERED:
-            self._forget()
+            self.forget()
         known = self.known
         new = list(set(pieces) - known.keys())
         if new:
@@ -118,7 +118,7 @@ class Encoder:
         breaks = per_piece[np.flatnonzero(places == 0)]  # the line end is piece 0, without ids
         return self.ids[ragged_take(starts, lengths, places)], np.diff(breaks, prepend=0, append=per_piece[-1])
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         self.known, self.ids, self.ends = {"\n": 0}, np.zeros(0, np.int32), np.zeros(2, np.int64)
 
     def _whole(self, text: str) -> list[int]:
@@ -367,7 +367,7 @@ def _encode_long(long: DataFrame, path: str, column: str) -> DataFrame:
     last = parts.agg(F.max("node")).first()[0]
     if last is None:
         return spark.createDataFrame([], "_row long, ids binary")
-    nodes = parts.repartition("_row", "node").mapInArrow(_encode_parts(path), node)
+    nodes = parts.repartition("_row", "node").mapInArrow(tidy(_encode_parts(path)), node)
     while last:
         last //= 2
         one = F.struct("node", "more", "ids")
@@ -407,6 +407,9 @@ def encode(
         for batch in text_slices(batches, "_text", ENCODE_BYTES):
             ids, starts = code.texts(texts_of(batch, "_text"))
             yield _finish(batch.column(0), ids, starts, decoded, path, schema)
+            del ids, starts
+        code.forget()
+        release()
 
     def long(batches):
         for batch in batches:

@@ -65,6 +65,27 @@ def text_slices(
             start = stop
 
 
+def release() -> None:
+    """Gives memory that this worker has freed back to the system; workers outlive their tasks."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not every C library has it
+        pass
+
+
+def tidy(run):
+    """``run`` over batches, with the memory released at the end of the task."""
+
+    def tidied(batches):
+        yield from run(batches)
+        release()
+
+    return tidied
+
+
 class Words(NamedTuple):
     """Words of several texts: those of text i are codes[starts[i]:starts[i + 1]]."""
 

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetscope.llm.common import release
 from fleetscope.session import cut_lineage
 
 #: Members of a block; components up to this size are compared in one go.
@@ -86,6 +87,7 @@ def compare_members(
                     break
                 label = low
             roots[some] = nodes[some][label]
+        release()
         return pa.Table.from_arrays([pa.array(nodes), pa.array(links), pa.array(roots)], schema=schema)
 
     return rows.groupBy("_pack", "_i", "_j").applyInArrow(run, "node long, links long, root long")

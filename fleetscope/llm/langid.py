@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetscope.llm.common import split_words, text_slices, texts_of
+from fleetscope.llm.common import split_words, text_slices, texts_of, tidy
 
 TRIGRAMS = 1 << 14
 #: First code points of script ranges and the script's number; letters before the first are none.
@@ -149,7 +149,7 @@ def fit(
             )
 
     rows = docs.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("_text"))
-    counted = rows.mapInArrow(run, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(tidy(run), "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
     found = counted.toArrow()
     names = sorted(set(found.column("lang").to_pylist()))
     counts = np.zeros((len(names), TRIGRAMS + N_SCRIPTS))
@@ -199,4 +199,4 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
 
     rows = docs.select(F.col(key).cast("long").alias("key"), F.col(text).alias("_text"))
     ddl = "key long, lang_pred string, score double, spans array<struct<lang string, start long, n_words long>>"
-    return rows.mapInArrow(run, ddl).withColumnRenamed("key", key)
+    return rows.mapInArrow(tidy(run), ddl).withColumnRenamed("key", key)

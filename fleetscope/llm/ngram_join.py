@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetscope.llm.common import mix64, split_words, text_slices, texts_of, word_hashes
+from fleetscope.llm.common import mix64, split_words, text_slices, texts_of, tidy, word_hashes
 from fleetscope.llm.graph import compare_members, components
 from fleetscope.session import cut_lineage
 
@@ -148,7 +148,7 @@ def join(
     bands, rows = banding(similarity, recall, similarity / 2)
     texts = docs.select(F.col(key).cast("long").alias("doc_id"), text_mark(text).alias("mark"), F.col(text).alias("text"))
     ddl = "doc_id long, mark long, n int, one long, two long, bands array<long>"
-    signed = cut_lineage(texts.mapInArrow(_signatures(bands, rows, n), ddl))
+    signed = cut_lineage(texts.mapInArrow(tidy(_signatures(bands, rows, n)), ddl))
     same = ["one", "two", "n"]
     id_order = F.coalesce("doc_id", F.lit((1 << 63) - 1))
     classes = signed.filter("n > 0").groupBy(*same).agg(

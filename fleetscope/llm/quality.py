@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetscope.llm.common import text_slices, texts_of
+from fleetscope.llm.common import text_slices, texts_of, tidy
 
 #: Hashed trigrams, dimensions of the latent space, texts compared at once.
 FEATURES = 2048
@@ -139,7 +139,7 @@ def fit(
                 [batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.int64()), packed], schema=schema
             )
 
-    rows = sample.mapInArrow(run, "key long, label long, counts binary")
+    rows = sample.mapInArrow(tidy(run), "key long, label long, counts binary")
     rows = rows.dropDuplicates(["key", "label"]).orderBy("key", "label").limit(2 * per_label).collect()
     if not rows:
         empty = np.zeros((0, dimensions), np.float32)
@@ -174,4 +174,4 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
             scores = held.value.scores(trigram_counts(texts_of(batch, text)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*batch.schema.names, name])
 
-    return kept.mapInArrow(run, T.StructType([*kept.schema.fields, T.StructField(name, T.DoubleType())]))
+    return kept.mapInArrow(tidy(run), T.StructType([*kept.schema.fields, T.StructField(name, T.DoubleType())]))

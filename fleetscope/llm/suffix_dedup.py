@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetscope.llm.common import mix64, text_slices, texts_of
+from fleetscope.llm.common import mix64, release, text_slices, texts_of, tidy
 from fleetscope.session import cut_lineage
 
 LENGTH = 50
@@ -197,7 +197,7 @@ def _packed(docs: DataFrame) -> DataFrame:
             columns = [*batch.columns[:4], pa.array([squeeze(t) for t in texts], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, schema=_TEXTS)
 
-    return docs.mapInArrow(run, _TEXTS_DDL)
+    return docs.mapInArrow(tidy(run), _TEXTS_DDL)
 
 
 class _Batch:
@@ -230,6 +230,7 @@ def _entries(bits: int):
     schema = pa.schema([("range", pa.int64()), ("batch", pa.int64()), ("anchor", pa.binary()), ("mark", pa.binary())])
 
     def run(key, rows):
+        release()  # what the group before has left
         runs = _Batch(rows).runs
         one = np.argsort(runs.anchor, kind="stable")
         anchor, mark = runs.anchor[one], runs.print[one]
@@ -250,6 +251,7 @@ def _entries(bits: int):
 
 
 def _scan(key, rows):
+    release()
     family, out = Family(), []
     batches = rows.column("batch").to_numpy()
     for i in np.argsort(batches, kind="stable").tolist():
@@ -293,6 +295,7 @@ def _send(bits: int):
     def run(key, rows, flags):
         if not rows.num_rows or not flags.num_rows:
             return schema.empty_table()
+        release()
         batch = _Batch(rows)
         runs, one = batch.runs, batch.asked(_flagged(flags, ASKED))
         ranges = (runs.anchor[one] >> np.uint64(64 - bits)).astype(np.int64)
@@ -313,6 +316,7 @@ def _send(bits: int):
 
 def _compare(key, rows):
     """Single windows of the runs of a hash range: those that start in a smaller document."""
+    release()
     n = rows.num_rows
     joined = {c: [rows.column(c)[i].as_py() for i in range(n)] for c in ("key", "order", "size", "bytes")}
     keys = np.frombuffer(b"".join(joined["key"]), np.uint64)
@@ -352,6 +356,7 @@ _KEPT = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.lis
 def _remove(key, rows, flags):
     if not rows.num_rows:
         return _KEPT.empty_table()
+    release()
     batch = _Batch(rows)
     runs, n = batch.runs, len(batch.raw) - 64
     # Whole runs: seen in an earlier batch, or in a smaller document of this one.
@@ -480,4 +485,4 @@ def kept_text(kept: DataFrame, bytes_: str = "kept", name: str = "text") -> Data
             yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*names, name])
 
     fields = [f for f in rows.schema.fields if f.name != bytes_]
-    return rows.mapInArrow(run, T.StructType([*fields, T.StructField(name, T.StringType())]))
+    return rows.mapInArrow(tidy(run), T.StructType([*fields, T.StructField(name, T.StringType())]))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetscope.llm.bpe import encoder
-from fleetscope.llm.common import text_slices, texts_of
+from fleetscope.llm.common import release, text_slices, texts_of
 
 CHUNKS = (8, 8, 16)
 BLOCK = 512
@@ -153,6 +153,8 @@ def write(
                     seq, keys, sizes, held, n = seq + 1, [], [], [], 0
         if keys:
             yield shard()
+        code.forget()
+        release()
 
     rows = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
     rows = rows.withColumn("_tie", F.xxhash64("_text"))
