@@ -38,7 +38,3 @@ def replace_all(text: Column, replacements: Mapping[str, str]) -> Column:
     for search, value in replacements.items():
         text = F.replace(text, F.lit(search), F.lit(value))
     return text
-
-
-def with_defaults(columns: Sequence[str], default: str = "") -> list[Column]:
-    return [F.coalesce(F.col(c), F.lit(default)).alias(c) for c in columns]

@@ -148,7 +148,7 @@ def blocked_report_render(reports: DataFrame, details: DataFrame) -> DataFrame:
         F.concat(
             F.lit(opening + titles),
             F.coalesce("lines", F.lit("")),
-            F.lit("</table>" + opening + "<tr><th>XMLData</th></tr><tr><td>"),
+            F.lit("</table>" + opening + "<tr><th>Report</th></tr><tr><td>"),
             markup.escape(F.col("report")),
             F.lit("</td></tr></table>"),
         ).alias("body"),
@@ -171,9 +171,11 @@ def blocked_events_store(
         blocking = F.col("blocking")
     else:
         blocking = _processes(F.from_xml("report", _BLOCKERS, XML_OPTIONS), "blocking-process")
+    # The first session id of the document; a process may lack one.
+    sessions = F.filter(F.transform(blocking, lambda p: p["_spid"]), lambda s: s.isNotNull())
     rows = reports.select(
         "event_id",
-        F.get(blocking, F.lit(0))["_spid"].try_cast("int").alias("spid"),
+        F.get(sessions, F.lit(0)).try_cast("int").alias("spid"),
         F.col("report").alias("blocked_report"),
         alert.alias("alert_datetime"),
     )

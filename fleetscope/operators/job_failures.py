@@ -8,24 +8,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.functions import clock, codes
-from fleetscope.operators.paging import PAGE_ROWS, html_report
+from fleetscope.operators.paging import html_report
 
 SUCCEEDED = 1
 
 
 def failed_jobs_view(
-    history: DataFrame, jobs: DataFrame, steps: DataFrame, run_day: dt.date
+    history: DataFrame, jobs: DataFrame, steps: DataFrame, run_day: dt.date | None
 ) -> DataFrame:
-    """Steps that did not succeed on ``run_day``.
+    """Steps that did not succeed on ``run_day``, or on any day if it is None.
 
     The day is an equality on the stored ``run_date`` integer, so it reaches
     the scan. History rows without a catalogued step (job outcome rows, step
     0) drop out in the inner join. Jobs and steps are joined first, so the
     history is shuffled at most once.
     """
-    failed = history.filter(
-        (F.col("run_date") == clock.day_number(run_day)) & (F.col("run_status") != SUCCEEDED)
-    )
+    of_day = F.lit(True) if run_day is None else F.col("run_date") == clock.day_number(run_day)
+    failed = history.filter(of_day & (F.col("run_status") != SUCCEEDED))
     named_steps = steps.select("job_id", "step_id", "step_name").join(
         jobs.select("job_id", F.col("name").alias("job_name")), "job_id"
     )
@@ -72,7 +71,7 @@ def new_row_guard(new: DataFrame) -> DataFrame:
 
 
 def failed_jobs_report(
-    new: DataFrame, as_of: dt.datetime, page_rows: int = PAGE_ROWS
+    new: DataFrame, as_of: dt.datetime, page_rows: int | None = None
 ) -> DataFrame:
     """Per server, an HTML table of the new failures in id order."""
     return html_report(
@@ -88,6 +87,6 @@ def failed_jobs_report(
             ("Execution Datetime", clock.stamp(F.col("exec_date"))),
             ("Run Duration", F.col("run_duration")),
         ],
-        f"Please see below for failed SQL Jobs executed on: {as_of:%Y-%m-%d %H:%M:%S}",
+        f"Job steps that failed, as of {as_of:%Y-%m-%d %H:%M:%S}",
         page_rows,
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetscope.functions import clock
 from fleetscope.operators.keys import assign_keys
-from fleetscope.operators.paging import PAGE_ROWS, paged_text
+from fleetscope.operators.paging import paged_text, text_lines
 from fleetscope.operators.spread import spread_lookup
 from fleetscope.schemas import OPEN_END
 
@@ -155,17 +155,20 @@ def release_upsert(releases: DataFrame, source: DataFrame, as_of: dt.datetime) -
 
 
 def recipients_concat(
-    emails: DataFrame, by: Sequence[str] = (), page_rows: int = PAGE_ROWS
+    emails: DataFrame, by: Sequence[str] = (), page_rows: int | None = None
 ) -> DataFrame:
-    """Active addresses in lower case, joined by ``; `` in id order.
+    """Active addresses in lower case and id order: position and recipient.
 
-    Up to ``page_rows`` addresses make one value; more make further pages.
-    Without ``by``, a table with no active address gives one row with NULL.
+    With ``page_rows`` they come joined by ``; ``, so many in a page. Then, without ``by``, a table
+    with no active address gives one row with NULL.
     """
     active = emails.filter("is_active")
+    if page_rows is None:
+        return text_lines(active, F.lower("address"), "email_id", by, "recipient")
     pages = paged_text(
-        active, F.lower("address"), "email_id", by, RECIPIENT_SEPARATOR, page_rows, "recipients"
-    )
+        active, F.lower("address"), "email_id", by, RECIPIENT_SEPARATOR,
+        page_rows=page_rows, name="recipients",
+    )
     if by:
         return pages
     first_page = emails.sparkSession.range(1).select(F.lit(1).cast("long").alias("page"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.operators.keys import sort_position
-from fleetscope.operators.paging import PAGE_ROWS, html_report
+from fleetscope.operators.paging import html_report
 
 # The service families that are watched.
 WATCHED_PREFIXES = ("SQLAGENT", "MSSQL")
@@ -25,7 +25,7 @@ def stopped_services(services: DataFrame) -> DataFrame:
 
 
 def stopped_services_report(
-    stopped: DataFrame, as_of: dt.datetime, page_rows: int = PAGE_ROWS
+    stopped: DataFrame, as_of: dt.datetime, page_rows: int | None = None
 ) -> DataFrame:
     """Per server, an HTML table of the stopped services ordered by name."""
     ordered = sort_position(
@@ -43,7 +43,6 @@ def stopped_services_report(
             ("Service", F.col("name")),
             ("DisplayName", F.col("service_name")),
         ],
-        "Please see below for SQL services that are not running executed on: "
-        f"{as_of:%Y-%m-%d %H:%M:%S}",
+        f"Watched services that do not run, as of {as_of:%Y-%m-%d %H:%M:%S}",
         page_rows,
     )

@@ -33,7 +33,7 @@ def shuffle_settings(input_bytes: int, cores: int) -> dict[str, str]:
     """
     partitions = max(2 * cores, -(-input_bytes // TARGET_PARTITION_BYTES))
     return {
-        "spark.sql.shuffle.partitions": str(min(partitions, 200_000)),
+        "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
     }
 

@@ -50,19 +50,27 @@ def record_failed_jobs(
     steps: DataFrame,
     location: str,
     state: str,
-    run_day: dt.date,
     as_of: dt.datetime,
 ) -> None:
-    """Append the failures of ``run_day`` that are not recorded yet."""
+    """Append the failures that are not recorded yet, whatever their day.
+
+    A batch is compared with the partitions of its own days, so late rows and a backlog are kept.
+    """
     spark = history.sparkSession
     tables.create_folder(spark, location)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        recorded = failure_poll.recorded_failures(batch.sparkSession, location, run_day)
-        view = job_failures.failed_jobs_view(batch, jobs, steps, run_day)
-        once = view.dropDuplicates(["server", "instance_id"])
-        new = job_failures.failed_jobs_new(once, recorded)
-        failure_poll.record_failures(new, location, as_of)
+        view = job_failures.failed_jobs_view(batch, jobs, steps, None)
+        once = view.dropDuplicates(["server", "instance_id"]).persist()
+        try:
+            days = [r[0] for r in once.select(F.to_date("exec_date")).distinct().collect()]
+            for day in days:
+                recorded = failure_poll.recorded_failures(batch.sparkSession, location, day)
+                of_day = once.filter(F.to_date("exec_date").eqNullSafe(F.lit(day).cast("date")))
+                new = job_failures.failed_jobs_new(of_day, recorded)
+                failure_poll.record_failures(new, location, as_of)
+        finally:
+            once.unpersist()
 
     drain(history, on_batch, state)
 
@@ -95,13 +103,16 @@ def record_blocked_events(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         parsed = incidents.with_processes(batch).persist()
-        first = _next_key(
-            batch.sparkSession, events_at, "blocked_events", "blocked_events_id", batch_id
-        )
-        stored = incidents.blocked_events_store(parsed, first=first)
-        _store_batch(stored, events_at, batch_id)
-        _store_batch(incidents.blocked_process_details(parsed, databases), details_at, batch_id)
-        parsed.unpersist()
+        try:
+            first = _next_key(
+                batch.sparkSession, events_at, "blocked_events", "blocked_events_id", batch_id
+            )
+            stored = incidents.blocked_events_store(parsed, first=first)
+            _store_batch(stored, events_at, batch_id)
+            details = incidents.blocked_process_details(parsed, databases)
+            _store_batch(details, details_at, batch_id)
+        finally:
+            parsed.unpersist()
 
     drain(reports, on_batch, state)
 
@@ -114,12 +125,14 @@ def record_deadlock_events(
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        first = _next_key(
-            batch.sparkSession, events_at, "deadlock_events", "deadlock_events_id", batch_id
-        )
-        stored = incidents.deadlock_events_store(batch, as_of, first=first)
-        _store_batch(stored, events_at, batch_id)
-        _store_batch(incidents.deadlock_text_normalise(batch), texts_at, batch_id)
-        batch.unpersist()
+        try:
+            first = _next_key(
+                batch.sparkSession, events_at, "deadlock_events", "deadlock_events_id", batch_id
+            )
+            stored = incidents.deadlock_events_store(batch, as_of, first=first)
+            _store_batch(stored, events_at, batch_id)
+            _store_batch(incidents.deadlock_text_normalise(batch), texts_at, batch_id)
+        finally:
+            batch.unpersist()
 
     drain(graphs, on_batch, state)

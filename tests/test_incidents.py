@@ -25,6 +25,13 @@ def blocking(*processes):
     return f"<blocking-process>{''.join(processes)}</blocking-process>"
 
 
+def test_session_is_the_first_that_is_given(spark, rows):
+    document = report(blocked(process()), blocking(process(), process(spid="77"), process(spid="8")))
+    reports = rows("blocked_reports", (1, NOW, document))
+    stored = incidents.blocked_events_store(reports).first()
+    assert stored["spid"] == 77 and stored["blocked_report"] == document
+
+
 DATABASES = [(5, "sales", 1, False, False)]
 
 

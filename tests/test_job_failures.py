@@ -67,14 +67,21 @@ def test_report_pages_are_ordered_and_escaped(spark, rows):
     assert "&lt;200&gt;" in pages[1]["body"] and body.endswith("</table></body></html>")
 
 
+def test_report_lines_make_the_page(spark, rows):
+    view = jf.failed_jobs_view(*inputs(rows, *[history_row(i) for i in range(1, 1500)]), DAY)
+    lines = jf.failed_jobs_report(view, NOW).orderBy("server", "section", "position").collect()
+    page = jf.failed_jobs_report(view, NOW, page_rows=2000).collect()
+    assert len(lines) == 1501 and "".join(r.line for r in lines) == page[0].body
+
+
 def test_poll_records_before_it_reports_and_only_once(spark, rows):
     location = fresh_folder(spark, "poll")
     emails = rows("alert_emails", (1, "a", "A@Example.com", True))
     history, jobs, steps = inputs(rows, history_row(1), history_row(2))
     first = failure_poll.poll(history, jobs, steps, emails, location, DAY, NOW)
     assert first.new.count() == 2
-    assert first.report.count() == 1
-    assert first.recipients.first()["recipients"] == "a@example.com"
+    assert [r.section for r in first.report.orderBy("section", "position").collect()] == [1, 2, 2, 3]
+    assert first.recipients.first()["recipient"] == "a@example.com"
     assert failure_poll.recorded_failures(spark, location).count() == 2
     assert failure_poll.poll(history, jobs, steps, emails, location, DAY, NOW) is None
     history = rows("job_history", history_row(1), history_row(2), history_row(3))

@@ -101,10 +101,12 @@ def test_recipients(spark, rows):
     emails = rows(
         "alert_emails", (2, "b", "B@Example.com", True), (1, "a", "A@Example.com", True), (3, "c", "C@x", False)
     )
-    assert registry.recipients_concat(emails).first()["recipients"] == "a@example.com; b@example.com"
+    assert registry.recipients_concat(emails, page_rows=10).first()["recipients"] == "a@example.com; b@example.com"
+    lines = as_dicts(registry.recipients_concat(emails), "position")
+    assert [r["recipient"] for r in lines] == ["a@example.com", "b@example.com"]
     pages = as_dicts(registry.recipients_concat(emails, page_rows=1), "page")
     assert [p["recipients"] for p in pages] == ["a@example.com", "b@example.com"]
-    nobody = registry.recipients_concat(emails.filter("email_id = 3"))
+    nobody = registry.recipients_concat(emails.filter("email_id = 3"), page_rows=1)
     assert [r.recipients for r in nobody.collect()] == [None]
 
 

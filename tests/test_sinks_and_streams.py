@@ -94,7 +94,7 @@ def test_failed_job_feed_adds_each_failure_once(spark, rows, tmp_path):
 
     def run(state_folder):
         feed = feeds.file_feed(spark, source, table_schema("job_history"), files_per_batch=1)
-        feeds.record_failed_jobs(feed, jobs, steps, location, state_folder, DAY, NOW)
+        feeds.record_failed_jobs(feed, jobs, steps, location, state_folder, NOW)
         found = failure_poll.recorded_failures(spark, location)
         return sorted(r.instance_id for r in found.collect())
 
@@ -105,8 +105,12 @@ def test_failed_job_feed_adds_each_failure_once(spark, rows, tmp_path):
     assert run(state) == [1, 3]
     history(history_row(3), history_row(4)).write.mode("append").parquet(source)
     assert run(state) == [1, 3, 4]
+    # rows of another day come late and are kept
+    late = (7, 1, 1, 0, 20240113, 905, 10, 0, 0, "m", "S")
+    history(late, history_row(4)).write.mode("append").parquet(source)
+    assert run(state) == [1, 3, 4, 7]
     # a feed that starts over sees everything again and adds nothing
-    assert run(fresh_folder(spark, "st")) == [1, 3, 4]
+    assert run(fresh_folder(spark, "st")) == [1, 3, 4, 7]
 
 
 def test_blocked_feed_keys_follow_over_batches(spark, rows, tmp_path):

@@ -23,23 +23,21 @@ def _heading(*titles: str) -> str:
     return '<tr valign="top">' + "".join(f"<th>{t}</th>" for t in titles) + "</tr>"
 
 
-def _paged(rows: str, by: str, order: str, line: str, separator: str, name: str) -> str:
-    """Pages of 1000 lines per group; ``line`` is an expression over ``rows``."""
+def _lines(rows: str, by: str, order: str, line: str, name: str) -> str:
+    """Every line of a group with its position; ``line`` is an expression over ``rows``."""
     return f"""
-        SELECT {by}, (position - 1) // 1000 + 1 AS page, count(*) AS n_rows,
-               string_agg(line, '{separator}' ORDER BY position) AS {name}
-        FROM (SELECT {by}, {line} AS line,
-                     row_number() OVER (PARTITION BY {by} ORDER BY {order}) AS position
-              FROM {rows}) AS numbered
-        GROUP BY ALL"""
+        SELECT {by}, row_number() OVER (PARTITION BY {by} ORDER BY {order}) AS position,
+               {line} AS {name}
+        FROM {rows}"""
 
 
 def _report(rows: str, order: str, line: str, lead: str, *titles: str) -> str:
     head = f'<html><body>{lead}<br/><br/><table border="1">' + _heading(*titles)
     return f"""
-        SELECT server, page, n_rows,
-               '{head}' || body || '</table></body></html>' AS body
-        FROM ({_paged(rows, "server", order, line, "", "body")}) AS pages"""
+        SELECT server, 2 AS section, position, line
+        FROM ({_lines(rows, "server", order, line, "line")}) AS numbered
+        UNION ALL SELECT DISTINCT server, 1, 0, '{head}' FROM {rows}
+        UNION ALL SELECT DISTINCT server, 3, 0, '</table></body></html>' FROM {rows}"""
 
 
 def _clock(seconds: str) -> str:
@@ -205,8 +203,8 @@ _SELECTS = {
     "blocked_events_store": """
         SELECT row_number() OVER (ORDER BY event_id) AS blocked_events_id, event_id,
                CASE WHEN event_id % 7 <> 0 THEN CAST(user_id AS INTEGER) END AS spid,
-               ts AS alert_datetime
-        FROM events""",
+               report AS blocked_report, ts AS alert_datetime
+        FROM events JOIN (SELECT event_id, report FROM blocked_reports) AS r USING (event_id)""",
     "deadlock_events_store": f"""
         SELECT row_number() OVER (ORDER BY doc_id) AS deadlock_events_id, doc_id,
                graph AS deadlock_graph, {AS_OF} AS alert_datetime
@@ -270,17 +268,16 @@ _SELECTS = {
         SELECT event_id, position, database_id, currentdb FROM named_processes""",
     "lateral_derive": "SELECT * FROM service_levels",
     "catalog_column_profile": "SELECT * FROM profile",
-    "recipients_concat": _paged(
+    "recipients_concat": _lines(
         "(SELECT c_nationkey AS team, c_custkey, c_name FROM customer WHERE c_acctbal > 0)",
-        "team", "c_custkey", "lower(c_name || '@Example.com')", "; ", "recipients",
+        "team", "c_custkey", "lower(c_name || '@Example.com')", "recipient",
     ),
     "backup_latest_set": """
         SELECT database_name, type, max(backup_set_id) AS backup_set_id
         FROM backupset GROUP BY database_name, type""",
     "backup_verify_missing": """
         SELECT set_id, database, backup_type,
-               'Verify failed. Backup information for database: ' || database || ' not found.'
-                   AS message
+               'No backup is on record for ' || database AS message
         FROM tracked t
         WHERE NOT EXISTS (SELECT 1 FROM backupset b
                           WHERE b.database_name = t.database AND b.type = t.backup_type)""",
@@ -390,7 +387,7 @@ _SELECTS = {
             "job_name", "step_name", "sql_message_id", "sql_severity", "message",
             "strftime(exec_date, '%Y-%m-%d %H:%M:%S')", "run_duration",
         ),
-        "Please see below for failed SQL Jobs executed on: 2024-01-15 13:30:00",
+        "Job steps that failed, as of 2024-01-15 13:30:00",
         "Job Name", "Step Name", "SQL Message Id", "SQL Severity", "Message",
         "Execution Datetime", "Run Duration",
     ),
@@ -398,15 +395,14 @@ _SELECTS = {
         "stopped",
         "name, row_id",
         _row("status", "name", "service_name"),
-        "Please see below for SQL services that are not running executed on: "
-        "2024-01-15 13:30:00",
+        "Watched services that do not run, as of 2024-01-15 13:30:00",
         "Status", "Service", "DisplayName",
     ),
     "blocked_process_details": "SELECT * FROM details",
     "blocked_report_render": f"""
         SELECT r.event_id,
                '{_TABLE}{_heading(*_DETAIL_TITLES)}' || coalesce(t.lines, '')
-               || '</table>{_TABLE}<tr><th>XMLData</th></tr><tr><td>'
+               || '</table>{_TABLE}<tr><th>Report</th></tr><tr><td>'
                || {_escape("r.report")} || '</td></tr></table>' AS body
         FROM blocked_reports r
              LEFT JOIN (SELECT event_id, string_agg({_row(*_DETAIL_TITLES)}, ''

@@ -123,7 +123,7 @@ def failed_jobs_append(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def blocked_events_store(spark: SparkSession, d: str) -> DataFrame:
-    return incidents.blocked_events_store(fx.blocked_reports(spark, d)).drop("blocked_report")
+    return incidents.blocked_events_store(fx.blocked_reports(spark, d))
 
 
 @query
@@ -557,10 +557,9 @@ def stream_failed_jobs(spark: SparkSession, d: str) -> DataFrame:
         fx.job_steps(spark, d),
         location,
         fresh_folder(spark, "failed-jobs-state"),
-        fx.RUN_DAY,
         fx.AS_OF,
     )
-    return failure_poll.recorded_failures(spark, location)
+    return failure_poll.recorded_failures(spark, location, fx.RUN_DAY)
 
 
 @query
