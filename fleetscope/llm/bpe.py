@@ -34,7 +34,7 @@ LEAF = 2048
 LONG_CHARS = 65_536
 PART = 16_384
 #: Bytes of text encoded at once; texts, ids and decoded texts of a slice are in memory together.
-ENCODE_BYTES = 5 << 19
+ENCODE_BYTES = 3 << 19
 #: Pieces of words that a process remembers the ids of, before it starts anew.
 REMEMBERED = 100_000
 #: Characters below this one have one normal form and a lower case of their own.
