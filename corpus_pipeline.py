@@ -68,7 +68,8 @@ STAGES = [
     ("encode", encoded),
 ]
 
-# MinHash, suffix arrays and BPE have no SQL; tests compare every stage with a brute-force version.
+# MinHash, suffix arrays and BPE have no SQL. Tests hold the stages against labels, brute-force cuts, the tokenizer and
+# their operators, which have brute-force tests of their own.
 ORACLE_SQL = None
 
 
