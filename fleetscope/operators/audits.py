@@ -32,8 +32,9 @@ def key_constraint_audit(table: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def foreign_key_audit(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
-    """Children whose parent does not exist; a NULL key refers to nothing."""
-    return children.filter(F.col(key).isNotNull()).join(
-        parents.select(key), key, "left_anti"
-    ).select(*children.columns)
+def foreign_key_audit(children: DataFrame, parents: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Children whose parent does not exist; a key with a NULL refers to nothing."""
+    key = list(key)
+    return children.dropna(subset=key).join(parents.select(*key), key, "left_anti").select(
+        *children.columns
+    )

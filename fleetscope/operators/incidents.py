@@ -106,16 +106,16 @@ def process_rows(reports: DataFrame) -> DataFrame:
     )
     return (
         with_processes(reports)
-        .select("event_id", F.explode(rows).alias("row"))
-        .select("event_id", "row.*")
+        .select("event_id", "server", F.explode(rows).alias("row"))
+        .select("event_id", "server", "row.*")
         .withColumnRenamed("lockMode", "lock_mode")
     )
 
 
 def database_name_lookup(rows: DataFrame, databases: DataFrame) -> DataFrame:
-    """Replace ``database_id`` by ``currentdb``, empty for an unknown id."""
-    names = databases.select("database_id", F.col("name").alias("currentdb"))
-    return rows.join(names, "database_id", "left").withColumn(
+    """Add the name of ``database_id`` on its server as ``currentdb``, empty for an unknown id."""
+    names = databases.select("server", "database_id", F.col("name").alias("currentdb"))
+    return rows.join(names, ["server", "database_id"], "left").withColumn(
         "currentdb", F.coalesce("currentdb", F.lit(""))
     )
 

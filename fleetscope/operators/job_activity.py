@@ -11,6 +11,8 @@ from fleetscope.functions import clock, codes
 from fleetscope.schemas import NEVER_STARTED
 
 NEVER_RUN_CODE = 4
+JOB = ["server", "job_id"]
+STEP = [*JOB, "step_id"]
 
 
 def latest_activity(activity: DataFrame, as_of: dt.datetime) -> DataFrame:
@@ -24,8 +26,8 @@ def latest_activity(activity: DataFrame, as_of: dt.datetime) -> DataFrame:
     )
     started = activity.filter(F.col("start").isNotNull())
     newest = F.max(F.struct(F.col("start"), seconds.alias("seconds")))
-    return started.groupBy("job_id").agg(newest.alias("newest")).select(
-        "job_id",
+    return started.groupBy(*JOB).agg(newest.alias("newest")).select(
+        *JOB,
         F.col("newest.start").alias("job_start"),
         F.col("newest.seconds").alias("duration_seconds"),
     )
@@ -37,8 +39,8 @@ def latest_activity_per_job(
     """Every job with its newest start and duration, defaults if it never ran."""
     latest = latest_activity(activity, as_of)
     seconds = F.coalesce(F.col("duration_seconds"), F.lit(0))
-    return jobs.select("job_id").join(latest, "job_id", "left").select(
-        "job_id",
+    return jobs.select(*JOB).join(latest, JOB, "left").select(
+        *JOB,
         F.coalesce("job_start", clock.ntz(NEVER_STARTED)).alias("job_start"),
         clock.wrapped_label(seconds).alias("job_duration"),
         seconds.cast("long").alias("duration_seconds"),
@@ -60,11 +62,11 @@ def current_jobs_status(
     running = F.col("running") != 0
     seconds = F.coalesce(F.col("duration_seconds"), F.lit(0))
     return (
-        listing.join(jobs.select("job_id", "name", "enabled"), "job_id")
-        .join(servers.select("job_id", "last_run_outcome"), "job_id", "left")
-        .join(latest_activity(activity, as_of), "job_id", "left")
+        listing.join(jobs.select(*JOB, "name", "enabled"), JOB)
+        .join(servers.select(*JOB, "last_run_outcome"), JOB, "left")
+        .join(latest_activity(activity, as_of), JOB, "left")
         .select(
-            "job_id",
+            *JOB,
             F.col("name").alias("job_name"),
             F.coalesce("job_start", clock.ntz(NEVER_STARTED)).alias("job_start"),
             clock.wrapped_label(seconds).alias("job_duration"),
@@ -95,24 +97,22 @@ def job_step_outer(steps: DataFrame, history: DataFrame, activity: DataFrame) ->
     inner join, which skew handling can split, and the steps without any are
     found by the time of their last run, which is combined map-side.
     """
-    starts = activity.groupBy("job_id").agg(
+    starts = activity.groupBy(*JOB).agg(
         clock.minute_round(F.max("start")).alias("counted_from")
     )
-    steps_due = steps.join(starts, "job_id", "left")
+    steps_due = steps.join(starts, JOB, "left")
     runs = history.select(
-        "job_id",
-        "step_id",
+        *STEP,
         "instance_id",
         "run_status",
         "message",
         clock.agent_datetime(F.col("run_date"), F.col("run_time")).alias("step_start"),
         "run_duration",
     )
-    key = ["job_id", "step_id"]
-    ran = steps_due.join(runs, key).filter(F.col("step_start") >= F.col("counted_from"))
-    last_runs = runs.groupBy(*key).agg(F.max("step_start").alias("last_run"))
+    ran = steps_due.join(runs, STEP).filter(F.col("step_start") >= F.col("counted_from"))
+    last_runs = runs.groupBy(*STEP).agg(F.max("step_start").alias("last_run"))
     has_run = F.coalesce(F.col("last_run") >= F.col("counted_from"), F.lit(False))
-    never = steps_due.join(last_runs, key, "left").filter(~has_run)
+    never = steps_due.join(last_runs, STEP, "left").filter(~has_run)
     return ran.drop("counted_from").unionByName(
         never.drop("counted_from", "last_run"), allowMissingColumns=True
     )
@@ -127,9 +127,9 @@ def current_job_steps(
 ) -> DataFrame:
     """Step-level status of every listed job."""
     listed = (
-        steps.select("job_id", "step_id", "step_name")
-        .join(jobs.select("job_id", F.col("name").alias("job_name")), "job_id")
-        .join(listing.select("job_id"), "job_id")
+        steps.select(*STEP, "step_name")
+        .join(jobs.select(*JOB, F.col("name").alias("job_name")), JOB)
+        .join(listing.select(*JOB), JOB)
     )
     has_run = F.col("instance_id").isNotNull()
     code = F.when(has_run, codes.uniform_code(F.col("run_status"))).otherwise(NEVER_RUN_CODE)
@@ -142,7 +142,7 @@ def current_job_steps(
     seconds = clock.hhmmss_seconds(F.col("run_duration"))
     wrapped = clock.hhmmss_seconds(F.col("run_duration") % 240000)
     return job_step_outer(listed, history, activity).select(
-        "job_id",
+        *JOB,
         "job_name",
         F.concat(
             F.lit("Step "), F.col("step_id").cast("string"), F.lit(". "), F.col("step_name")
@@ -160,6 +160,7 @@ def current_jobs_all(status: DataFrame, step_status: DataFrame) -> DataFrame:
     """Job-level and step-level rows in one result without duplicates."""
     nothing = F.lit(None)
     job_rows = status.select(
+        "server",
         "job_name",
         nothing.cast("string").alias("step_name"),
         F.col("current_step").alias("current_step"),
@@ -171,6 +172,7 @@ def current_jobs_all(status: DataFrame, step_status: DataFrame) -> DataFrame:
         F.lit("Job-Level").alias("level"),
     )
     step_rows = step_status.select(
+        "server",
         "job_name",
         "step_name",
         nothing.cast("int").alias("current_step"),

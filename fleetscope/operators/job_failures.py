@@ -25,11 +25,11 @@ def failed_jobs_view(
     """
     of_day = F.lit(True) if run_day is None else F.col("run_date") == clock.day_number(run_day)
     failed = history.filter(of_day & (F.col("run_status") != SUCCEEDED))
-    named_steps = steps.select("job_id", "step_id", "step_name").join(
-        jobs.select("job_id", F.col("name").alias("job_name")), "job_id"
+    named_steps = steps.select("server", "job_id", "step_id", "step_name").join(
+        jobs.select("server", "job_id", F.col("name").alias("job_name")), ["server", "job_id"]
     )
     return (
-        failed.join(named_steps, ["job_id", "step_id"])
+        failed.join(named_steps, ["server", "job_id", "step_id"])
         .select(
             "instance_id",
             "job_id",

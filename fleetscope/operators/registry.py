@@ -100,35 +100,38 @@ def instance_primary_flag(
 def release_pending(offered: DataFrame, releases: DataFrame) -> DataFrame:
     """Offered scripts (list_id, script_name, ...) not yet applied without error.
 
-    The applied names are made distinct first, so a name with many rows is
-    combined before it is shuffled; a name offered many times is spread.
+    Script names are compared without case. The applied names are made distinct
+    first, so a name with many rows is combined before it is shuffled; a name
+    offered many times is spread.
     """
-    applied = releases.filter(~F.col("is_error")).select("script_name").distinct()
-    return spread_lookup(offered, applied, ["script_name"], "list_id", "left_anti").select(
-        *offered.columns
-    )
+    script = F.lower("script_name").alias("_script")
+    applied = releases.filter(~F.col("is_error")).select(script).distinct()
+    return spread_lookup(
+        offered.select("*", script), applied, ["_script"], "list_id", "left_anti"
+    ).select(*offered.columns)
 
 
 def _latest_run(source: DataFrame) -> DataFrame:
-    """Cleaned source rows, the last one (by ``seq``) per script."""
+    """Cleaned source rows, the last one (by ``seq``) per script, its folded name as ``_script``."""
     blank = F.rtrim("error_message") == ""
     error = F.when(~blank, F.replace("error_message", F.lit("|"), F.lit(" ")))
     version = F.coalesce("version_number", F.lit(DEFAULT_VERSION).cast("decimal(3,1)"))
     cleaned = source.withColumns({"error_message": error, "version_number": version})
-    values = [c for c in cleaned.columns if c not in ("script_name", "seq")]
+    values = [c for c in cleaned.columns if c != "seq"]
     last = F.max_by(F.struct(*values), "seq").alias("last")
     return (
-        cleaned.groupBy("script_name")
+        cleaned.groupBy(F.lower("script_name").alias("_script"))
         .agg(F.max("seq").alias("seq"), last)
-        .select("script_name", "seq", "last.*")
+        .select("_script", "seq", "last.*")
     )
 
 
 def release_upsert(releases: DataFrame, source: DataFrame, as_of: dt.datetime) -> DataFrame:
     """The release table after script runs are recorded, one row per script.
 
-    A known script keeps its id and first install time, everything else is
-    replaced. A new script gets the next id in ``seq`` order.
+    A known script keeps its id, the stored spelling of its name and its first
+    install time, everything else is replaced. A new script gets the next id in
+    ``seq`` order. Names are compared without case.
     """
     now = clock.ntz(as_of)
     runs = _latest_run(source)
@@ -137,8 +140,9 @@ def release_upsert(releases: DataFrame, source: DataFrame, as_of: dt.datetime) -
         "error_message", "release_date",
     ]
     hit = F.col("_run").isNotNull()
-    change = runs.select("script_name", F.struct(*replaced).alias("_run"))
-    kept = releases.join(change, "script_name", "left").select(
+    change = runs.select("_script", F.struct(*replaced).alias("_run"))
+    known = releases.withColumn("_script", F.lower("script_name"))
+    kept = known.join(change, "_script", "left").select(
         *[
             F.when(hit, F.col(f"_run.{c}")).otherwise(F.col(c)).alias(c)
             if c in replaced
@@ -148,7 +152,7 @@ def release_upsert(releases: DataFrame, source: DataFrame, as_of: dt.datetime) -
             for c in releases.columns
         ]
     )
-    new = runs.join(releases.select("script_name"), "script_name", "left_anti")
+    new = runs.join(known.select("_script"), "_script", "left_anti")
     keyed = assign_keys(new, "seq", "release_id", releases, first=FIRST_RELEASE_ID)
     added = keyed.withColumns({"installed": now, "updated": now}).select(*releases.columns)
     return kept.unionByName(added)

@@ -37,10 +37,10 @@ def record(
 ) -> tuple[DataFrame, DataFrame]:
     """Both tables after completions and missing backups were taken in.
 
-    ``tracked`` (set_id, database, backup_type) are the backups that should
+    ``tracked`` (server, set_id, database, backup_type) are the backups that should
     exist by now.
     """
-    failures = backups.backup_verify_missing(tracked, backupset).select("set_id", "message")
-    verified = completions.join(failures.select("set_id"), "set_id", "left_anti")
+    failures = backups.backup_verify_missing(tracked, backupset).select(*backups.SET, "message")
+    verified = completions.join(failures.select(*backups.SET), backups.SET, "left_anti")
     new_sets, closed = backups.backup_complete(sets, history, verified, backupset, as_of)
     return new_sets, backups.backup_fail(closed, failures, as_of)

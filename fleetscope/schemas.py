@@ -11,24 +11,25 @@ OPEN_END = dt.datetime(2999, 12, 31)
 # Fixed value: the start reported for a job that has never run.
 NEVER_STARTED = dt.datetime(1900, 1, 1)
 
-
+# Ids and names are unique per server only: every table collected from servers has the column
+# ``server``, and every join of such tables compares it.
 DDL = {
     "job_history": """
         instance_id bigint, job_id bigint, step_id int, run_status int,
         run_date int, run_time int, run_duration int, sql_message_id int,
         sql_severity int, message string, server string""",
-    "jobs": "job_id bigint, name string, enabled int",
-    "job_steps": "job_id bigint, step_id int, step_name string",
-    "job_activity": "job_id bigint, start timestamp_ntz, stop timestamp_ntz",
-    "job_listing": "job_id bigint, running int, current_step int, job_state int",
-    "job_servers": "job_id bigint, last_run_outcome int",
+    "jobs": "job_id bigint, name string, enabled int, server string",
+    "job_steps": "job_id bigint, step_id int, step_name string, server string",
+    "job_activity": "job_id bigint, start timestamp_ntz, stop timestamp_ntz, server string",
+    "job_listing": "job_id bigint, running int, current_step int, job_state int, server string",
+    "job_servers": "job_id bigint, last_run_outcome int, server string",
     "failed_jobs": """
         instance_id bigint, job_id bigint, job_name string, step_name string,
         run_status string, sql_message_id int, sql_severity int,
         message string, exec_date timestamp_ntz, run_duration int,
         server string, create_datetime timestamp_ntz""",
     "service_lines": "server string, row_id bigint, value string",
-    "blocked_reports": "event_id bigint, alert timestamp_ntz, report string",
+    "blocked_reports": "event_id bigint, alert timestamp_ntz, report string, server string",
     "blocked_events": """
         blocked_events_id bigint, event_id bigint, spid int,
         blocked_report string, alert_datetime timestamp_ntz""",
@@ -38,7 +39,7 @@ DDL = {
         alert_datetime timestamp_ntz""",
     "databases": """
         database_id bigint, name string, recovery_model int,
-        is_read_only boolean, is_in_standby boolean""",
+        is_read_only boolean, is_in_standby boolean, server string""",
     "backupset": """
         backup_set_id bigint, database_name string, name string, type string,
         first_lsn decimal(25,0), last_lsn decimal(25,0),
@@ -50,11 +51,12 @@ DDL = {
         first_lsn decimal(25,0), last_lsn decimal(25,0),
         backup_start_date timestamp_ntz, backup_finish_date timestamp_ntz,
         size_kb bigint, type string, file_name string, recovery_model string,
-        is_damaged boolean, machine string, create_datetime timestamp_ntz""",
+        is_damaged boolean, machine string, create_datetime timestamp_ntz,
+        server string""",
     "backup_history": """
         history_id bigint, set_id bigint, job_name string, is_running boolean,
         is_error boolean, error_message string, process_start timestamp_ntz,
-        process_finish timestamp_ntz, create_datetime timestamp_ntz""",
+        process_finish timestamp_ntz, create_datetime timestamp_ntz, server string""",
     "instances": """
         server_instance_id string, server_name string, instance_name string,
         backup_location string, primary_console boolean, is_monitored boolean,

@@ -78,7 +78,7 @@ def replace_partitions(df: DataFrame, location: str, partition_by: Sequence[str]
 
 
 def touched_partitions(
-    table: DataFrame, changes: DataFrame, key: str, partition: str
+    table: DataFrame, changes: DataFrame, key: Sequence[str], partition: str
 ) -> DataFrame:
     """The rows of all partitions in which ``changes`` has a key.
 
@@ -86,7 +86,8 @@ def touched_partitions(
     table and the result goes to ``replace_partitions``; the rest is not read a
     second time and not rewritten.
     """
-    hit = table.select(key, partition).join(changes.select(key), key, "left_semi")
+    key = list(key)
+    hit = table.select(*key, partition).join(changes.select(*key), key, "left_semi")
     return table.join(hit.select(partition).distinct(), partition, "left_semi").select(
         *table.columns
     )

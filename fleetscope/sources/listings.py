@@ -29,27 +29,27 @@ def _first_word(text: Column) -> Column:
     return F.substring_index(F.trim(text), " ", 1)
 
 
+def _without(text: Column, word: Column) -> Column:
+    """``text`` without ``word`` wherever it occurs, in any case."""
+    folded = F.collate(text, "UTF8_LCASE")
+    return F.collate(F.replace(folded, F.collate(word, "UTF8_LCASE"), F.lit("")), "UTF8_BINARY")
+
+
 def derive_levels(lines: DataFrame) -> DataFrame:
     """Name, then status, then display name, each derived from the one before.
 
-    A derived text is removed wherever it occurs in the line, so a display name
-    that repeats the service name loses it. ``is_complete`` is false where a
+    A derived text is removed wherever it occurs in the line, in any case, so a
+    display name that repeats the service name loses it. ``is_complete`` is false where a
     level has no blank to end at.
     """
     body = lines.filter(F.col("value").isNotNull() & (F.col("row_id") > HEADER_LINES))
     return (
         body.withColumn("name", _first_word(F.col("value")))
-        .withColumn("after_name", F.replace(F.col("value"), F.col("name"), F.lit("")))
+        .withColumn("after_name", _without(F.col("value"), F.col("name")))
         .withColumn("status", _first_word(F.col("after_name")))
         .withColumn(
             "service_name",
-            F.trim(
-                F.replace(
-                    F.replace(F.col("value"), F.col("status"), F.lit("")),
-                    F.col("name"),
-                    F.lit(""),
-                )
-            ),
+            F.trim(_without(_without(F.col("value"), F.col("status")), F.col("name"))),
         )
         .withColumn(
             "is_complete",

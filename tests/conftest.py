@@ -27,11 +27,18 @@ def sf_dir():
 
 @pytest.fixture(scope="session")
 def rows(spark):
-    """Builds a frame of a declared table (or of a DDL schema) from tuples."""
+    """Builds a frame of a declared table (or of a DDL schema) from tuples.
+
+    Rows of a table whose last column is the server may leave it out.
+    """
 
     def build(name_or_ddl, *values):
-        schema = name_or_ddl if " " in name_or_ddl else table_schema(name_or_ddl)
-        return spark.createDataFrame(list(values), schema)
+        if " " in name_or_ddl:
+            return spark.createDataFrame(list(values), name_or_ddl)
+        schema = table_schema(name_or_ddl)
+        short = len(schema) - 1 if schema.names[-1] == "server" else None
+        values = [(*v, "S") if len(v) == short else v for v in values]
+        return spark.createDataFrame(values, schema)
 
     return build
 

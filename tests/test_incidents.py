@@ -102,6 +102,7 @@ def test_one_database_in_most_reports(spark, rows):
             F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(5).cast("string"),
             F.lit('"/></blocked-process></blocked-process-report></TextData>'),
         ).alias("report"),
+        F.lit("S").alias("server"),
     )
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -120,3 +121,11 @@ def test_graph_text(spark, rows):
     assert [(s["deadlock_events_id"], s["deadlock_graph"]) for s in stored] == [
         (1, "<a>&#x0A;b&#x20;c</a>"), (2, ""),
     ]
+
+
+def test_database_ids_belong_to_their_server(spark, rows):
+    databases = rows("databases", (5, "Sales", 1, False, False, "A"), (5, "HR", 1, False, False, "B"))
+    document = report(blocked(process(currentdb="5")))
+    reports = rows("blocked_reports", (1, NOW, document, "B"), (2, NOW, document, "C"))
+    got = as_dicts(incidents.blocked_process_details(reports, databases), "event_id")
+    assert [(g["event_id"], g["currentdb"]) for g in got] == [(1, "HR"), (2, "")]

@@ -134,3 +134,19 @@ def test_one_job_with_most_of_the_history(spark, rows):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     key = lambda t: (t[0], t[1], -1 if t[2] is None else t[2])
     assert sorted([(r.job_id, r.step_id, r.instance_id) for r in got], key=key) == sorted(expected, key=key)
+
+
+def test_equal_job_ids_on_two_servers(spark, rows):
+    both = ("A", "B")
+    jobs = rows("jobs", *[(1, f"job {s}", 1, s) for s in both])
+    listing = rows("job_listing", *[(1, 0, 0, 4, s) for s in both])
+    servers = rows("job_servers", (1, 0, "A"), (1, 1, "B"))
+    activity = rows("job_activity", (1, at(9), at(10), "A"), (1, at(11), at(12), "B"))
+    status = as_dicts(ja.current_jobs_status(listing, jobs, servers, activity, NOW), "server")
+    assert [(s["job_name"], s["run_status_desc"], s["job_start"]) for s in status] == [
+        ("job A", "Failed", at(9)), ("job B", "Success", at(11)),
+    ]
+    steps = rows("job_steps", *[(1, 1, "copy", s) for s in both])
+    history = rows("job_history", (*hist(1, 1, 1, 1, 100000)[:-1], "A"), (*hist(2, 1, 1, 1, 100000)[:-1], "B"))
+    ran = as_dicts(ja.current_job_steps(listing, jobs, steps, history, activity), "server")
+    assert [(r["server"], r["instance_id"]) for r in ran] == [("A", 1), ("B", None)]

@@ -20,8 +20,11 @@ def history_row(instance, status=0, step=1, day=20240115, server="S1", message="
 def inputs(rows, *history):
     return (
         rows("job_history", *history),
-        rows("jobs", (1, "load", 1)),
-        rows("job_steps", (1, 1, "copy"), (1, 2, "check")),
+        rows("jobs", (1, "load", 1, "S1"), (1, "load", 1, "S2")),
+        rows(
+            "job_steps",
+            *[(1, n, name, s) for s in ("S1", "S2") for n, name in ((1, "copy"), (2, "check"))],
+        ),
     )
 
 
@@ -133,10 +136,9 @@ def test_most_rows_on_one_job_without_broadcast(spark):
         F.lit("m").alias("message"),
         F.lit("S").alias("server"),
     )
-    jobs = spark.range(50).select(F.col("id").alias("job_id"), F.lit("j").alias("name"))
-    steps = spark.range(50).select(
-        F.col("id").alias("job_id"), F.lit(1).alias("step_id"), F.lit("s").alias("step_name")
-    )
+    on_server = spark.range(50).select(F.col("id").alias("job_id"), F.lit("S").alias("server"))
+    jobs = on_server.withColumn("name", F.lit("j"))
+    steps = on_server.withColumns({"step_id": F.lit(1), "step_name": F.lit("s")})
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         view = jf.failed_jobs_view(history, jobs, steps, DAY)

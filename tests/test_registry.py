@@ -92,6 +92,14 @@ def test_upsert_rules(spark, rows):
     assert {g["script_name"]: g for g in as_dicts(twice)} == got
 
 
+def test_script_names_are_compared_without_case(spark, rows):
+    table = rows("releases", release(1005, "a.SQL"))
+    after = as_dicts(registry.release_upsert(table, rows(RUN, run(1, "A.sql"), run(2, "A.SQL")), NOW))
+    assert [(r["release_id"], r["script_name"], r["author"]) for r in after] == [(1005, "a.SQL", "you")]
+    offered = rows("list_id int, script_name string", (1, "A.sql"), (2, "b.sql"))
+    assert [r.list_id for r in registry.release_pending(offered, table).collect()] == [2]
+
+
 def test_first_release_id(spark, rows):
     got = registry.release_upsert(rows("releases"), rows(RUN, run(1, "a")), NOW)
     assert got.first()["release_id"] == 1000

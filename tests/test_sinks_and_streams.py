@@ -43,14 +43,16 @@ def test_state_change_rewrites_touched_days_only(spark, rows, tmp_path):
     """The operator runs on the touched part and the result equals the whole change."""
     location, ddl = str(tmp_path / "h"), f"{DDL['backup_history']}, create_day date"
     table = [
-        (i, i, "j", True, False, None, NOW, NOW, NOW, dt.date(2024, 1, 1 + i % 5)) for i in range(50)
+        (i, i, "j", True, False, None, NOW, NOW, NOW, "S", dt.date(2024, 1, 1 + i % 5)) for i in range(50)
     ]
     tables.append_rows(rows(ddl, *table), location, ["create_day"])
     stored = spark.read.schema(ddl).parquet(location)
-    failures = rows("set_id bigint, message string", (3, "x"), (8, "y"), (14, "z"))
+    failures = rows(
+        "server string, set_id bigint, message string", ("S", 3, "x"), ("S", 8, "y"), ("S", 14, "z")
+    )
     expected = sorted(map(tuple, backups.backup_fail(stored, failures, NOW).collect()), key=repr)
     untouched = [f for f in stored.inputFiles() if "2024-01-04" not in f and "2024-01-05" not in f]
-    part = tables.touched_partitions(stored, failures, "set_id", "create_day")
+    part = tables.touched_partitions(stored, failures, backups.SET, "create_day")
     assert part.count() == 20
     tables.replace_partitions(backups.backup_fail(part, failures, NOW), location, ["create_day"])
     after = spark.read.schema(ddl).parquet(location)

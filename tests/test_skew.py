@@ -53,9 +53,9 @@ def hot_history(spark, n=60_000):
 
 
 def dimensions(spark):
-    jobs = spark.range(900).select(F.col("id").alias("job_id"), F.lit("j").alias("name"))
+    jobs = spark.range(900).select(F.col("id").alias("job_id"), F.lit("j").alias("name"), F.lit("S").alias("server"))
     numbers = F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))
-    steps = jobs.select("job_id", numbers.alias("step_id"), F.lit("s").alias("step_name"))
+    steps = jobs.select("server", "job_id", numbers.alias("step_id"), F.lit("s").alias("step_name"))
     return jobs, steps
 
 
@@ -71,6 +71,7 @@ def test_hot_job_in_the_failure_view(spark):
 def test_hot_job_in_the_step_status(spark):
     jobs, steps = dimensions(spark)
     activity = jobs.select(
+        "server",
         "job_id",
         F.lit("2024-01-15 09:00:00").cast("timestamp_ntz").alias("start"),
         F.lit(None).cast("timestamp_ntz").alias("stop"),

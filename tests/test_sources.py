@@ -64,7 +64,7 @@ LISTING = "\r\n".join(
         "Name  Status DisplayName",
         "----  ------ -----------",
         "MSSQL$A    Stopped  SQL Server (MSSQL$A)",
-        "sqlagent$a Running  Agent Running fine",
+        "sqlagent$a Running  Agent running (SQLAGENT$A) fine",
         "",
         "SQLWriter  Stopped  Writer",
         "MSSQL$B",
@@ -79,7 +79,7 @@ def test_listing_levels_and_rejects(spark, rows):
     parsed = as_dicts(listings.parse_listing(lines), "row_id")
     assert [(p["name"], p["status"], p["service_name"]) for p in parsed] == [
         ("MSSQL$A", "Stopped", "SQL Server ()"),
-        ("sqlagent$a", "Running", "Agent  fine"),
+        ("sqlagent$a", "Running", "Agent  () fine"),
         ("SQLWriter", "Stopped", "Writer"),
         ("SQLAGENT$D", "stopped", "Agent D"),
     ]

@@ -12,8 +12,26 @@ OPEN_END = "TIMESTAMP '2999-12-31 00:00:00'"
 K = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER)"
 
 
-def customer_name(key: str) -> str:
-    return f"'Customer#' || lpad(CAST({key} AS VARCHAR), 9, '0')"
+BACKUP_TIME = "(ts - INTERVAL '15 days 10 hours 30 minutes')"
+HISTORY_SET = f"CASE WHEN {K} = 13 THEN -(event_id // 5) - 1 ELSE event_id // 5 END"
+
+
+def server(key: str) -> str:
+    return f"'SRV' || CAST({key} % 5 AS VARCHAR)"
+
+
+def database_name(key: str) -> str:
+    return f"'Customer#' || lpad(CAST({key} // 5 AS VARCHAR), 9, '0')"
+
+
+TRACKED_NAME = (
+    f"CASE WHEN event_id % 3 = 0 THEN upper({database_name('user_id')}) "
+    f"ELSE {database_name('user_id')} END"
+)
+
+
+def without(value: str, word: str) -> str:
+    return f"regexp_replace({value}, regexp_escape({word}), '', 'gi')"
 
 
 def text(moment: str) -> str:
@@ -41,7 +59,7 @@ _LOGIN = "'user<' || CAST(user_id AS VARCHAR) || '>'"
 
 FIXTURES = {
     "job_history_all": f"""
-        SELECT event_id AS instance_id, user_id AS job_id, {K} % 4 AS step_id,
+        SELECT event_id AS instance_id, user_id // 5 AS job_id, {K} % 4 AS step_id,
                CASE event_type WHEN 'error' THEN 0 WHEN 'purchase' THEN 1
                                WHEN 'view' THEN 2 WHEN 'click' THEN 3 ELSE 4 END AS run_status,
                CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS run_date,
@@ -49,36 +67,36 @@ FIXTURES = {
                CAST({_SECONDS} // 3600 * 10000 + {_SECONDS} // 60 % 60 * 100
                     + {_SECONDS} % 60 AS INTEGER) AS run_duration,
                {K} * 100 AS sql_message_id, {K} % 25 AS sql_severity, props AS message,
-               'SRV' || CAST(user_id % 5 AS VARCHAR) AS server, ts
+               {server("user_id")} AS server, ts
         FROM events""",
     "job_history": "SELECT * EXCLUDE (ts) FROM job_history_all",
     "job_past": f"SELECT * EXCLUDE (ts) FROM job_history_all WHERE ts <= {AS_OF}",
-    "jobs": """
-        SELECT c_custkey AS job_id, c_name AS name,
+    "jobs": f"""
+        SELECT c_custkey // 5 AS job_id, {server("c_custkey")} AS server, c_name AS name,
                CASE WHEN c_acctbal >= 0 THEN 1 ELSE 0 END AS enabled
         FROM customer""",
-    "job_steps": """
-        SELECT c_custkey AS job_id, step_id,
+    "job_steps": f"""
+        SELECT c_custkey // 5 AS job_id, {server("c_custkey")} AS server, step_id,
                c_mktsegment || '_' || CAST(step_id AS VARCHAR) AS step_name
         FROM customer CROSS JOIN (VALUES (1), (2), (3)) AS s(step_id)""",
     "job_activity": f"""
-        SELECT user_id AS job_id, ts AS start,
+        SELECT user_id // 5 AS job_id, {server("user_id")} AS server, ts AS start,
                CASE WHEN event_id % 5 <> 0
                     THEN ts + to_seconds(CAST(floor(value) AS BIGINT)) END AS stop
         FROM events WHERE ts <= {AS_OF} AND event_type = 'signup'""",
     "latest_activity": f"""
-        SELECT job_id, start AS job_start,
+        SELECT server, job_id, start AS job_start,
                datesub('second', start, coalesce(stop, {AS_OF})) AS duration_seconds
         FROM job_activity
-        QUALIFY row_number() OVER (PARTITION BY job_id
+        QUALIFY row_number() OVER (PARTITION BY server, job_id
             ORDER BY start DESC, coalesce(stop, {AS_OF}) DESC) = 1""",
-    "job_listing": """
-        SELECT c_custkey AS job_id, CAST(c_custkey % 2 AS INTEGER) AS running,
+    "job_listing": f"""
+        SELECT c_custkey // 5 AS job_id, {server("c_custkey")} AS server, CAST(c_custkey % 2 AS INTEGER) AS running,
                CAST(c_custkey % 4 AS INTEGER) AS current_step,
                CAST(c_custkey % 8 AS INTEGER) AS job_state
         FROM customer""",
-    "job_servers": """
-        SELECT c_custkey AS job_id,
+    "job_servers": f"""
+        SELECT c_custkey // 5 AS job_id, {server("c_custkey")} AS server,
                CASE c_nationkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 3 ELSE 5
                END AS last_run_outcome
         FROM customer WHERE c_mktsegment <> 'FURNITURE'""",
@@ -90,8 +108,9 @@ FIXTURES = {
                strptime(CAST(h.run_date AS VARCHAR) || lpad(CAST(h.run_time AS VARCHAR), 6, '0'),
                         '%Y%m%d%H%M%S') AS exec_date,
                h.run_duration, h.server
-        FROM job_history h JOIN jobs j ON h.job_id = j.job_id
-             JOIN job_steps s ON h.job_id = s.job_id AND h.step_id = s.step_id
+        FROM job_history h JOIN jobs j ON h.server = j.server AND h.job_id = j.job_id
+             JOIN job_steps s ON h.server = s.server AND h.job_id = s.job_id
+                             AND h.step_id = s.step_id
         WHERE h.run_date = 20240115 AND h.run_status <> 1""",
     "recorded": f"""
         SELECT *, {DAY_START} AS create_datetime FROM view_rows WHERE sql_severity < 8""",
@@ -107,7 +126,8 @@ FIXTURES = {
         SELECT server, row_id,
                CASE WHEN s_suppkey % 29 = 0 THEN NULL WHEN s_suppkey % 31 = 0 THEN name
                     ELSE name || '  ' || CASE WHEN s_suppkey % 2 = 0 THEN 'Running'
-                         ELSE 'Stopped' END || '  SQL Server (' || name || ')' END
+                         ELSE 'Stopped' END || '  SQL Server ('
+                         || CASE WHEN s_suppkey % 7 = 0 THEN lower(name) ELSE name END || ')' END
         FROM (SELECT CAST(s_nationkey AS VARCHAR) AS server, s_suppkey + 4 AS row_id, s_suppkey,
                      CASE s_suppkey % 3 WHEN 0 THEN 'MSSQL$' WHEN 1 THEN 'SQLAGENT$'
                      ELSE 'SQLWriter' END || CAST(s_suppkey AS VARCHAR) AS name
@@ -115,13 +135,13 @@ FIXTURES = {
     "service_name": """
         SELECT server, row_id, value, split_part(trim(value), ' ', 1) AS name
         FROM service_lines WHERE value IS NOT NULL AND row_id > 3""",
-    "service_status": """
+    "service_status": f"""
         SELECT *, split_part(trim(after_name), ' ', 1) AS status
-        FROM (SELECT *, replace(value, name, '') AS after_name FROM service_name) AS a""",
-    "service_levels": """
+        FROM (SELECT *, {without("value", "name")} AS after_name FROM service_name) AS a""",
+    "service_levels": f"""
         SELECT *,
-               trim(replace(CASE WHEN status = '' THEN value
-                                 ELSE replace(value, status, '') END, name, '')) AS service_name,
+               trim({without(f"CASE WHEN status = '' THEN value ELSE {without('value', 'status')} END", "name")})
+                   AS service_name,
                instr(trim(value), ' ') > 0 AND instr(trim(after_name), ' ') > 0 AS is_complete
         FROM service_status""",
     "services": """
@@ -130,29 +150,31 @@ FIXTURES = {
     "stopped": """
         SELECT * FROM services WHERE upper(status) <> 'RUNNING'
            AND (upper(name) LIKE 'SQLAGENT%' OR upper(name) LIKE 'MSSQL%')""",
-    "databases": """
-        SELECT c_custkey + 1 AS database_id, c_name AS name,
+    "databases": f"""
+        SELECT {server("c_custkey")} AS server, c_custkey // 5 + 1 AS database_id,
+               {database_name("c_custkey")} AS name,
                CAST(c_custkey % 3 + 1 AS INTEGER) AS recovery_model,
                c_mktsegment = 'MACHINERY' AS is_read_only, c_nationkey = 0 AS is_in_standby
         FROM customer""",
     "process_rows": f"""
-        SELECT event_id, 0 AS position, 'Blocked' AS nature,
+        SELECT event_id, {server("user_id")} AS server, 0 AS position, 'Blocked' AS nature,
                CAST({_SECONDS} AS VARCHAR) AS waittime,
                CASE WHEN event_id % 5 <> 0 THEN 'user_transaction' ELSE '' END
                    AS transactionname,
                CASE WHEN event_id % 2 <> 0 THEN 'X' ELSE '' END AS lock_mode,
                event_type AS status, 'app & co' AS clientapp,
                CASE WHEN event_id % 3 <> 0 THEN {_HOST} ELSE '' END AS hostname,
-               {_LOGIN} AS loginname, user_id AS database_id, props AS inputbuf
+               {_LOGIN} AS loginname, user_id // 5 AS database_id, props AS inputbuf
         FROM events
         UNION ALL
-        SELECT event_id, 1, 'BlockedBy', '', '', '', 'running', '', {_HOST},
-               CASE WHEN event_id % 11 <> 0 THEN {_LOGIN} ELSE '' END, user_id + 1,
+        SELECT event_id, {server("user_id")}, 1, 'BlockedBy', '', '', '', 'running', '', {_HOST},
+               CASE WHEN event_id % 11 <> 0 THEN {_LOGIN} ELSE '' END, user_id // 5 + 1,
                CASE WHEN event_id % 4 <> 0 THEN props ELSE '' END
         FROM events WHERE event_id % 7 <> 0""",
     "named_processes": """
         SELECT p.*, coalesce(b.name, '') AS currentdb
-        FROM process_rows p LEFT JOIN databases b ON b.database_id = p.database_id""",
+        FROM process_rows p
+             LEFT JOIN databases b ON b.server = p.server AND b.database_id = p.database_id""",
     "details": """
         SELECT event_id, position, nature, waittime, transactionname, lock_mode, status,
                clientapp, hostname, loginname, currentdb, inputbuf
@@ -168,7 +190,7 @@ FIXTURES = {
                || {attribute("clientapp", "'app & co'")}
                || {attribute("hostname", f"CASE WHEN event_id % 3 <> 0 THEN {_HOST} END")}
                || {attribute("loginname", _LOGIN)}
-               || {attribute("currentdb", "user_id")}
+               || {attribute("currentdb", "user_id // 5")}
                || '><inputbuf>' || props || '</inputbuf></process></blocked-process>'
                || CASE WHEN event_id % 7 <> 0 THEN
                   '<blocking-process><process'
@@ -176,7 +198,7 @@ FIXTURES = {
                   || {attribute("status", "'running'")}
                   || {attribute("hostname", _HOST)}
                   || {attribute("loginname", f"CASE WHEN event_id % 11 <> 0 THEN {_LOGIN} END")}
-                  || {attribute("currentdb", "user_id + 1")}
+                  || {attribute("currentdb", "user_id // 5 + 1")}
                   || '>' || CASE WHEN event_id % 4 <> 0
                             THEN '<inputbuf>' || props || '</inputbuf>' ELSE '' END
                   || '</process></blocking-process>' ELSE '' END
@@ -186,7 +208,7 @@ FIXTURES = {
         SELECT doc_id, replace(replace(text, chr(10), '&#x0A;'), ' ', '&#x20;') AS graph
         FROM documents""",
     "backupset": f"""
-        SELECT o_orderkey AS backup_set_id, {customer_name("o_custkey")} AS database_name,
+        SELECT o_orderkey // 5 AS backup_set_id, {database_name("o_custkey")} AS database_name,
                'set_' || CAST(o_orderkey AS VARCHAR) AS name,
                CASE o_orderstatus WHEN 'F' THEN 'D' WHEN 'O' THEN 'I' WHEN 'P' THEN 'L' END
                    AS type,
@@ -197,51 +219,55 @@ FIXTURES = {
                CAST(round(o_totalprice * 100) AS BIGINT) AS backup_size,
                CASE WHEN o_orderkey % 3 = 0 THEN 'FULL' ELSE 'SIMPLE' END AS recovery_model,
                o_orderkey % 50 = 0 AS is_damaged,
-               'SRV' || CAST(o_orderkey % 5 AS VARCHAR) AS server_name
+               {server("o_orderkey")} AS server_name
         FROM orders""",
     "backup_sets": f"""
-        SELECT event_id AS set_id, event_id AS backup_set_id,
-               {customer_name("user_id")} AS database,
+        SELECT {server("event_id")} AS server, event_id // 5 AS set_id,
+               event_id // 5 AS backup_set_id, {TRACKED_NAME} AS database,
                'set_' || CAST(event_id AS VARCHAR) AS name,
                CAST(NULL AS VARCHAR) AS first_lsn, CAST(NULL AS VARCHAR) AS last_lsn,
                CAST(NULL AS TIMESTAMP) AS backup_start_date,
                CAST(NULL AS TIMESTAMP) AS backup_finish_date,
                CAST(NULL AS BIGINT) AS size_kb, {letter(f"{K} % 3")} AS type,
                'set_' || CAST(event_id AS VARCHAR) || '.bak' AS file_name,
-               'FULL' AS recovery_model, false AS is_damaged,
-               'SRV' || CAST(user_id % 5 AS VARCHAR) AS machine, ts AS create_datetime
-        FROM events WHERE ts <= {AS_OF} AND {K} <> 13""",
+               'FULL' AS recovery_model, false AS is_damaged, {server("event_id")} AS machine,
+               {BACKUP_TIME} AS create_datetime
+        FROM events""",
     "backup_history": f"""
-        SELECT event_id AS history_id, event_id AS set_id,
-               'Backup_' || {customer_name("user_id")} AS job_name,
+        SELECT {server("event_id")} AS server, event_id // 5 AS history_id,
+               {HISTORY_SET} AS set_id, 'Backup_' || {database_name("user_id")} AS job_name,
                event_type = 'view' AS is_running, event_type = 'error' AS is_error,
                CASE WHEN event_type = 'error' THEN props END AS error_message,
-               ts AS process_start,
-               CASE WHEN event_type = 'view' THEN {OPEN_END} ELSE ts END AS process_finish,
-               ts AS create_datetime
-        FROM events WHERE ts <= {AS_OF}""",
+               {BACKUP_TIME} AS process_start,
+               CASE WHEN event_type = 'view' THEN {OPEN_END} ELSE {BACKUP_TIME} END
+                   AS process_finish,
+               {BACKUP_TIME} AS create_datetime
+        FROM events""",
     "completions": f"""
-        SELECT event_id AS set_id, event_id * 4 AS backup_set_id,
+        SELECT {server("event_id")} AS server, {HISTORY_SET} AS set_id,
+               event_id // 3 AS backup_set_id,
                'done_' || CAST(event_id AS VARCHAR) || '.bak' AS file_name
-        FROM events WHERE ts <= {AS_OF} AND event_type = 'view' AND {K} <> 13""",
+        FROM events CROSS JOIN (VALUES (0), (1)) AS turns(turn)
+        WHERE event_type = 'view' AND (turn = 0 OR event_id % 2 = 0)""",
     "failures": f"""
-        SELECT event_id AS set_id, 'failed ' || props AS message
-        FROM events WHERE ts <= {AS_OF} AND event_type = 'view' AND {K} < 33""",
+        SELECT {server("event_id")} AS server, {HISTORY_SET} AS set_id,
+               'failed ' || props AS message
+        FROM events CROSS JOIN (VALUES (0), (1)) AS turns(turn)
+        WHERE event_type = 'view' AND {K} < 33 AND (turn = 0 OR event_id % 2 = 0)""",
     "tracked": f"""
-        SELECT event_id AS set_id, {customer_name("user_id")} AS database,
-               {letter(f"{K} % 3")} AS backup_type
-        FROM events WHERE ts <= {AS_OF} AND {K} <> 13""",
+        SELECT {server("event_id")} AS server, event_id // 5 AS set_id,
+               {TRACKED_NAME} AS database, {letter(f"{K} % 3")} AS backup_type
+        FROM events""",
     "candidates": """
-        SELECT database_id, name, recovery_model FROM databases
+        SELECT server, database_id, name, recovery_model FROM databases
         WHERE NOT is_read_only AND NOT is_in_standby AND database_id <> 2""",
     "latest_history": """
-        SELECT s.database, h.history_id, h.process_finish, h.is_running
-        FROM backup_history h JOIN backup_sets s ON h.set_id = s.set_id
-        WHERE h.history_id = (SELECT max(h2.history_id)
-                              FROM backup_history h2 JOIN backup_sets s2 ON h2.set_id = s2.set_id
-                              WHERE s2.database = s.database)""",
+        SELECT h.server, s.database, h.history_id, h.process_finish, h.is_running
+        FROM backup_history h JOIN backup_sets s ON h.server = s.server AND h.set_id = s.set_id
+        QUALIFY row_number() OVER (PARTITION BY h.server, lower(s.database)
+                                   ORDER BY h.history_id DESC) = 1""",
     "plan_rows": """
-        SELECT c.database_id, c.name AS database, c.recovery_model,
+        SELECT c.server, c.database_id, c.name AS database, c.recovery_model,
                coalesce(l.is_running, false) AS is_running, hours.plan_hour,
                CASE WHEN coalesce(l.is_running, false) THEN NULL
                     WHEN l.process_finish IS NULL
@@ -249,13 +275,16 @@ FIXTURES = {
                     WHEN c.database_id > 4 AND hours.plan_hour IN (4, 8, 12, 16, 20) THEN 'I'
                     WHEN c.database_id > 4 AND c.recovery_model IN (1, 2) THEN 'L'
                END AS backup_type
-        FROM candidates c LEFT JOIN latest_history l ON l.database = c.name
-             CROSS JOIN (VALUES (13), (12)) AS hours(plan_hour)""",
+        FROM candidates c
+             LEFT JOIN latest_history l
+                    ON l.server = c.server AND lower(l.database) = lower(c.name)
+             CROSS JOIN (VALUES (13), (16)) AS hours(plan_hour)""",
     "names": """
-        SELECT database_id, database, backup_type,
+        SELECT server, database_id, database, backup_type,
                CASE backup_type WHEN 'D' THEN 'Full Backup' WHEN 'I' THEN 'Differential Backup'
                     ELSE 'Transaction Log' END AS operation,
-               database || CASE backup_type WHEN 'D' THEN '_Database_Full_'
+               'F:\\' || server || '\\' || database || '\\' || database
+                    || CASE backup_type WHEN 'D' THEN '_Database_Full_'
                     WHEN 'I' THEN '_Database_Differential_' ELSE '_Transaction_Log_' END
                     || '20240115_13-30-00.00'
                     || CASE backup_type WHEN 'D' THEN '.bak' WHEN 'I' THEN '.dif' ELSE '.trn' END
@@ -275,31 +304,35 @@ FIXTURES = {
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "offered_instances": """
         SELECT CASE copy WHEN 0 THEN '  ' || lower(n_name) || ' ' ELSE n_name END AS server_name,
-               CASE copy WHEN 0 THEN lower(c_name) || '  ' ELSE c_name END AS instance_name,
+               CASE copy WHEN 0 THEN lower(name) || '  ' ELSE name END AS instance_name,
                'G:\\Backup' || CAST(copy AS VARCHAR) AS backup_location
-        FROM customer JOIN nation ON c_nationkey = n_nationkey
+        FROM (SELECT *, CASE WHEN c_mktsegment IN ('BUILDING', 'HOUSEHOLD') THEN c_name
+                             ELSE c_name || '_new' END AS name FROM customer) AS c
+             JOIN nation ON c_nationkey = n_nationkey
              CROSS JOIN (VALUES (0), (1)) AS copies(copy)
-        WHERE c_mktsegment IN ('BUILDING', 'HOUSEHOLD') AND (copy = 0 OR c_acctbal < 0)""",
+        WHERE copy = 0 OR c_acctbal < 0""",
     "releases": f"""
         SELECT p_partkey + 1000 AS release_id, '1.0' AS version_number,
-               {brand_key("script_")} AS script_name, p_brand AS author,
+               CASE WHEN p_type IN ('STANDARD', 'ECONOMY', 'SMALL') THEN {brand_key("script_")}
+                    ELSE {brand_key("past_")} END AS script_name, p_brand AS author,
                p_name AS object_name, p_type AS description, 'New' AS option,
                p_size % 5 = 0 AS is_error,
                CASE WHEN p_size % 5 = 0 THEN 'step ' || p_name END AS error_message,
                '2013-10-01' AS release_date, TIMESTAMP '2024-01-01 00:00:00' AS installed,
                TIMESTAMP '2024-01-01 00:00:00' AS updated
-        FROM part WHERE p_type IN ('STANDARD', 'ECONOMY', 'SMALL')""",
+        FROM part""",
     "offered_releases": f"""
         SELECT p_partkey * 2 + copy AS seq,
                CASE WHEN p_size % 7 <> 0 THEN '2.0' END AS version_number,
-               {brand_key("script_")} AS script_name, p_brand AS author,
+               CASE WHEN p_partkey % 3 = copy THEN upper({brand_key("script_")})
+                    ELSE {brand_key("script_")} END AS script_name, p_brand AS author,
                p_name AS object_name, p_type AS description,
                CASE copy WHEN 0 THEN 'New' ELSE 'Alter' END AS option,
                p_size % 4 = 0 AS is_error,
                CASE WHEN p_size % 4 = 0 THEN 'failed|at|' || p_name ELSE '' END AS error_message,
                '2024-01-10' AS release_date
         FROM part CROSS JOIN (VALUES (0), (1)) AS copies(copy)
-        WHERE p_size <= 20 AND (copy = 0 OR p_size <= 4)""",
+        WHERE copy = 0 OR p_size <= 4""",
     "config": """
         SELECT c_custkey AS doc_id, 'HOST' || CAST(c_nationkey AS VARCHAR) AS "Server",
                c_name, c_mktsegment
@@ -345,7 +378,7 @@ FIXTURES = {
                {brand_key("col_")} AS column_name,
                {brand_key("ref_col_")} AS referenced_column, p_partkey % 16 AS key_ordinal,
                p_size % 2 = 1 AS is_descending
-        FROM part WHERE p_size <= 25""",
+        FROM part""",
     "key_columns": """
         SELECT table_name, key_name, kind, is_clustered, referenced_table,
                count(*) AS n_columns,

@@ -17,10 +17,11 @@ from fleetscope.sinks.tables import is_folder
 from fleetscope.streaming.feeds import file_feed
 
 AS_OF = dt.datetime(2024, 1, 15, 13, 30)
-AS_OF_DIFF = dt.datetime(2024, 1, 15, 12, 30)
+AS_OF_DIFF = dt.datetime(2024, 1, 15, 16, 30)
 RUN_DAY = dt.date(2024, 1, 15)
 DAY_START = dt.datetime(2024, 1, 15)
 DAY_END = dt.datetime(2024, 1, 16)
+SERVERS = 5
 
 SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -80,8 +81,18 @@ def _k() -> Column:
     return F.regexp_extract("props", "([0-9]+)", 1).cast("int")
 
 
-def _customer_name(key: str) -> Column:
-    return F.concat(F.lit("Customer#"), F.lpad(F.col(key).cast("string"), 9, "0"))
+def _database_name(key: str) -> Column:
+    """One name on every server."""
+    return F.concat(F.lit("Customer#"), F.lpad(_local(key).cast("string"), 9, "0"))
+
+
+def _server(key: str) -> Column:
+    """The server of a key; ``_local`` is its number there, so numbers repeat over servers."""
+    return F.concat(F.lit("SRV"), (F.col(key) % SERVERS).cast("string"))
+
+
+def _local(key: str) -> Column:
+    return clock.int_div(F.col(key), SERVERS)
 
 
 def _after(moment: str, seconds: Column) -> Column:
@@ -96,7 +107,7 @@ def history_of(source: DataFrame) -> DataFrame:
     ts = F.col("ts")
     return source.select(
         F.col("event_id").alias("instance_id"),
-        F.col("user_id").alias("job_id"),
+        _local("user_id").alias("job_id"),
         (_k() % 4).alias("step_id"),
         F.when(F.col("event_type") == "error", 0)
         .when(F.col("event_type") == "purchase", 1)
@@ -110,7 +121,7 @@ def history_of(source: DataFrame) -> DataFrame:
         (_k() * 100).alias("sql_message_id"),
         (_k() % 25).alias("sql_severity"),
         F.col("props").alias("message"),
-        F.concat(F.lit("SRV"), (F.col("user_id") % 5).cast("string")).alias("server"),
+        _server("user_id").alias("server"),
     )
 
 
@@ -124,9 +135,10 @@ def day_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("job_id"),
+        _local("c_custkey").alias("job_id"),
         F.col("c_name").alias("name"),
         F.when(F.col("c_acctbal") >= 0, 1).otherwise(0).alias("enabled"),
+        _server("c_custkey").alias("server"),
     )
 
 
@@ -134,11 +146,12 @@ def job_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     step = F.explode(F.array(F.lit(1), F.lit(2), F.lit(3)))
     return (
         table(spark, sf_dir, "customer")
-        .select(F.col("c_custkey").alias("job_id"), "c_mktsegment", step.alias("step_id"))
+        .select("c_custkey", "c_mktsegment", step.alias("step_id"))
         .select(
-            "job_id",
+            _local("c_custkey").alias("job_id"),
             "step_id",
             F.concat_ws("_", "c_mktsegment", F.col("step_id").cast("string")).alias("step_name"),
+            _server("c_custkey").alias("server"),
         )
     )
 
@@ -148,9 +161,10 @@ def job_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
         events(spark, sf_dir, until=AS_OF)
         .filter(F.col("event_type") == "signup")
         .select(
-            F.col("user_id").alias("job_id"),
+            _local("user_id").alias("job_id"),
             F.col("ts").alias("start"),
             F.when(F.col("event_id") % 5 != 0, _after("ts", F.floor("value"))).alias("stop"),
+            _server("user_id").alias("server"),
         )
     )
 
@@ -158,10 +172,11 @@ def job_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def job_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     return table(spark, sf_dir, "customer").select(
-        key.alias("job_id"),
+        _local("c_custkey").alias("job_id"),
         (key % 2).cast("int").alias("running"),
         (key % 4).cast("int").alias("current_step"),
         (key % 8).cast("int").alias("job_state"),
+        _server("c_custkey").alias("server"),
     )
 
 
@@ -171,7 +186,8 @@ def job_servers(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "customer")
         .filter(F.col("c_mktsegment") != "FURNITURE")
         .select(
-            F.col("c_custkey").alias("job_id"),
+            _local("c_custkey").alias("job_id"),
+            _server("c_custkey").alias("server"),
             F.when(pick == 0, 0)
             .when(pick == 1, 1)
             .when(pick == 2, 3)
@@ -200,7 +216,7 @@ def service_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("  "),
         F.when(F.col("s_suppkey") % 2 == 0, "Running").otherwise("Stopped"),
         F.lit("  SQL Server ("),
-        name,
+        F.when(F.col("s_suppkey") % 7 == 0, F.lower(name)).otherwise(name),
         F.lit(")"),
     )
     value = (
@@ -245,7 +261,7 @@ def reports_of(source: DataFrame) -> DataFrame:
         _xml_attribute("clientapp", F.lit("app & co")),
         _xml_attribute("hostname", unless(3, host)),
         _xml_attribute("loginname", login),
-        _xml_attribute("currentdb", F.col("user_id")),
+        _xml_attribute("currentdb", _local("user_id")),
         F.lit(">"),
         inputbuf,
         F.lit("</process></blocked-process>"),
@@ -256,7 +272,7 @@ def reports_of(source: DataFrame) -> DataFrame:
         _xml_attribute("status", F.lit("running")),
         _xml_attribute("hostname", host),
         _xml_attribute("loginname", unless(11, login)),
-        _xml_attribute("currentdb", F.col("user_id") + 1),
+        _xml_attribute("currentdb", _local("user_id") + 1),
         F.lit(">"),
         F.when(event % 4 != 0, inputbuf).otherwise(F.lit("")),
         F.lit("</process></blocking-process>"),
@@ -270,6 +286,7 @@ def reports_of(source: DataFrame) -> DataFrame:
             F.when(event % 7 != 0, blocking).otherwise(F.lit("")),
             F.lit("</blocked-process-report></TextData>"),
         ).alias("report"),
+        _server("user_id").alias("server"),
     )
 
 
@@ -292,11 +309,12 @@ def deadlock_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def databases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "customer").select(
-        (F.col("c_custkey") + 1).alias("database_id"),
-        F.col("c_name").alias("name"),
+        (_local("c_custkey") + 1).alias("database_id"),
+        _database_name("c_custkey").alias("name"),
         (F.col("c_custkey") % 3 + 1).cast("int").alias("recovery_model"),
         (F.col("c_mktsegment") == "MACHINERY").alias("is_read_only"),
         (F.col("c_nationkey") == 0).alias("is_in_standby"),
+        _server("c_custkey").alias("server"),
     )
 
 
@@ -312,8 +330,8 @@ def backupset(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderstatus") == "P", "L")
     )
     return table(spark, sf_dir, "orders").select(
-        key.alias("backup_set_id"),
-        _customer_name("o_custkey").alias("database_name"),
+        _local("o_orderkey").alias("backup_set_id"),
+        _database_name("o_custkey").alias("database_name"),
         F.concat(F.lit("set_"), key.cast("string")).alias("name"),
         letter.alias("type"),
         (key * 1000).cast("decimal(25,0)").alias("first_lsn"),
@@ -323,86 +341,106 @@ def backupset(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.col("o_totalprice") * 100).cast("long").alias("backup_size"),
         F.when(key % 3 == 0, "FULL").otherwise("SIMPLE").alias("recovery_model"),
         (key % 50 == 0).alias("is_damaged"),
-        F.concat(F.lit("SRV"), (key % 5).cast("string")).alias("server_name"),
+        _server("o_orderkey").alias("server_name"),
     )
 
 
+def backup_location() -> Column:
+    """The backup folder of a server."""
+    return F.concat(F.lit("F:\\"), F.col("server"), F.lit("\\"))
+
+
+def _backup_time() -> Column:
+    """The time of an event, moved so that the last one lies before ``AS_OF``."""
+    return F.col("ts") - F.make_dt_interval(F.lit(15), F.lit(10), F.lit(30))
+
+
+def _tracked_name() -> Column:
+    """The database of an event, every third time in another case."""
+    name = _database_name("user_id")
+    return F.when(F.col("event_id") % 3 == 0, F.upper(name)).otherwise(name)
+
+
+def _history_set() -> Column:
+    """The set that an event's history names; one in a hundred has none."""
+    return F.when(_k() == 13, -_local("event_id") - 1).otherwise(_local("event_id"))
+
+
+def _twice(df: DataFrame) -> DataFrame:
+    """Every other row repeated, as servers that report again do."""
+    turns = F.when(F.col("event_id") % 2 == 0, 2).otherwise(1)
+    return df.withColumn("_turn", F.explode(F.sequence(F.lit(1), turns))).drop("_turn")
+
+
 def backup_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    event = F.col("event_id")
-    text = event.cast("string")
+    text = F.col("event_id").cast("string")
     none = F.lit(None)
-    return (
-        events(spark, sf_dir, until=AS_OF)
-        .filter(_k() != 13)
-        .select(
-            event.alias("set_id"),
-            event.alias("backup_set_id"),
-            _customer_name("user_id").alias("database"),
-            F.concat(F.lit("set_"), text).alias("name"),
-            none.cast("decimal(25,0)").alias("first_lsn"),
-            none.cast("decimal(25,0)").alias("last_lsn"),
-            none.cast("timestamp_ntz").alias("backup_start_date"),
-            none.cast("timestamp_ntz").alias("backup_finish_date"),
-            none.cast("long").alias("size_kb"),
-            _letter(_k() % 3).alias("type"),
-            F.concat(F.lit("set_"), text, F.lit(".bak")).alias("file_name"),
-            F.lit("FULL").alias("recovery_model"),
-            F.lit(False).alias("is_damaged"),
-            F.concat(F.lit("SRV"), (F.col("user_id") % 5).cast("string")).alias("machine"),
-            F.col("ts").alias("create_datetime"),
-        )
+    return events(spark, sf_dir).select(
+        _local("event_id").alias("set_id"),
+        _local("event_id").alias("backup_set_id"),
+        _tracked_name().alias("database"),
+        F.concat(F.lit("set_"), text).alias("name"),
+        none.cast("decimal(25,0)").alias("first_lsn"),
+        none.cast("decimal(25,0)").alias("last_lsn"),
+        none.cast("timestamp_ntz").alias("backup_start_date"),
+        none.cast("timestamp_ntz").alias("backup_finish_date"),
+        none.cast("long").alias("size_kb"),
+        _letter(_k() % 3).alias("type"),
+        F.concat(F.lit("set_"), text, F.lit(".bak")).alias("file_name"),
+        F.lit("FULL").alias("recovery_model"),
+        F.lit(False).alias("is_damaged"),
+        _server("event_id").alias("machine"),
+        _backup_time().alias("create_datetime"),
+        _server("event_id").alias("server"),
     )
 
 
 def backup_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     running = F.col("event_type") == "view"
     failed = F.col("event_type") == "error"
-    return events(spark, sf_dir, until=AS_OF).select(
-        F.col("event_id").alias("history_id"),
-        F.col("event_id").alias("set_id"),
-        F.concat(F.lit("Backup_"), _customer_name("user_id")).alias("job_name"),
+    moment = _backup_time()
+    return events(spark, sf_dir).select(
+        _local("event_id").alias("history_id"),
+        _history_set().alias("set_id"),
+        F.concat(F.lit("Backup_"), _database_name("user_id")).alias("job_name"),
         running.alias("is_running"),
         failed.alias("is_error"),
         F.when(failed, F.col("props")).alias("error_message"),
-        F.col("ts").alias("process_start"),
-        F.when(running, clock.ntz(OPEN_END)).otherwise(F.col("ts")).alias("process_finish"),
-        F.col("ts").alias("create_datetime"),
+        moment.alias("process_start"),
+        F.when(running, clock.ntz(OPEN_END)).otherwise(moment).alias("process_finish"),
+        moment.alias("create_datetime"),
+        _server("event_id").alias("server"),
     )
 
 
 def backup_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What servers report for running backups; some name an unknown set."""
+    """What servers report for running backups; some name an unknown set, some come twice."""
     event = F.col("event_id")
-    return (
-        events(spark, sf_dir, until=AS_OF)
-        .filter((F.col("event_type") == "view") & (_k() != 13))
-        .select(
-            event.alias("set_id"),
-            (event * 4).alias("backup_set_id"),
-            F.concat(F.lit("done_"), event.cast("string"), F.lit(".bak")).alias("file_name"),
-        )
+    return _twice(events(spark, sf_dir).filter(F.col("event_type") == "view")).select(
+        _server("event_id").alias("server"),
+        _history_set().alias("set_id"),
+        clock.int_div(event, 3).alias("backup_set_id"),
+        F.concat(F.lit("done_"), event.cast("string"), F.lit(".bak")).alias("file_name"),
     )
 
 
 def backup_tracked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tracked backups with the letter of the set they should have."""
-    return (
-        events(spark, sf_dir, until=AS_OF)
-        .filter(_k() != 13)
-        .select(
-            F.col("event_id").alias("set_id"),
-            _customer_name("user_id").alias("database"),
-            _letter(_k() % 3).alias("backup_type"),
-        )
+    return events(spark, sf_dir).select(
+        _server("event_id").alias("server"),
+        _local("event_id").alias("set_id"),
+        _tracked_name().alias("database"),
+        _letter(_k() % 3).alias("backup_type"),
     )
 
 
 def backup_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    event = F.col("event_id")
-    return (
-        events(spark, sf_dir, until=AS_OF)
-        .filter((F.col("event_type") == "view") & (_k() < 33))
-        .select(event.alias("set_id"), F.concat(F.lit("failed "), F.col("props")).alias("message"))
+    """Failures of running backups, some reported twice."""
+    running = (F.col("event_type") == "view") & (_k() < 33)
+    return _twice(events(spark, sf_dir).filter(running)).select(
+        _server("event_id").alias("server"),
+        _history_set().alias("set_id"),
+        F.concat(F.lit("failed "), F.col("props")).alias("message"),
     )
 
 
@@ -433,11 +471,16 @@ def instances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offered_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Instances to register: padded lower-case names, some offered twice."""
+    """Instances to register: known ones in two segments, the rest new.
+
+    Padded lower-case names, some offered twice.
+    """
     nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    known = F.col("c_mktsegment").isin("BUILDING", "HOUSEHOLD")
+    name = F.when(known, F.col("c_name")).otherwise(F.concat("c_name", F.lit("_new")))
     rows = (
         table(spark, sf_dir, "customer")
-        .filter(F.col("c_mktsegment").isin("BUILDING", "HOUSEHOLD"))
+        .withColumn("name", name)
         .join(nations, F.col("c_nationkey") == F.col("n_nationkey"))
     )
     copies = F.when(F.col("c_acctbal") < 0, F.array(F.lit(0), F.lit(1))).otherwise(
@@ -449,8 +492,8 @@ def offered_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(F.col("copy") == 0, F.concat(F.lit("  "), F.lower("n_name"), F.lit(" ")))
             .otherwise(F.col("n_name"))
             .alias("server_name"),
-            F.when(F.col("copy") == 0, F.concat(F.lower("c_name"), F.lit("  ")))
-            .otherwise(F.col("c_name"))
+            F.when(F.col("copy") == 0, F.concat(F.lower("name"), F.lit("  ")))
+            .otherwise(F.col("name"))
             .alias("instance_name"),
             F.concat(F.lit("G:\\Backup"), F.col("copy").cast("string")).alias("backup_location"),
         )
@@ -460,13 +503,15 @@ def offered_instances(spark: SparkSession, sf_dir: str) -> DataFrame:
 def releases(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("p_partkey")
     failed = F.col("p_size") % 5 == 0
+    offered = F.col("p_type").isin("STANDARD", "ECONOMY", "SMALL")
     return (
         table(spark, sf_dir, "part")
-        .filter(F.col("p_type").isin("STANDARD", "ECONOMY", "SMALL"))
         .select(
             (key + 1000).alias("release_id"),
             F.lit("1.0").cast("decimal(3,1)").alias("version_number"),
-            F.concat(F.lit("script_"), key.cast("string")).alias("script_name"),
+            F.concat(
+                F.when(offered, "script_").otherwise("past_"), key.cast("string")
+            ).alias("script_name"),
             F.col("p_brand").alias("author"),
             F.col("p_name").alias("object_name"),
             F.col("p_type").alias("description"),
@@ -481,19 +526,19 @@ def releases(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def offered_releases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Script runs to record, in ``seq`` order; some scripts ran twice."""
+    """Script runs to record, in ``seq`` order; some scripts ran twice, some in another case."""
     key = F.col("p_partkey")
+    name = F.concat(F.lit("script_"), key.cast("string"))
     copies = F.when(F.col("p_size") <= 4, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     return (
         table(spark, sf_dir, "part")
-        .filter(F.col("p_size") <= 20)
         .withColumn("copy", F.explode(copies))
         .select(
             (key * 2 + F.col("copy")).alias("seq"),
             F.when(F.col("p_size") % 7 != 0, F.lit("2.0").cast("decimal(3,1)")).alias(
                 "version_number"
             ),
-            F.concat(F.lit("script_"), key.cast("string")).alias("script_name"),
+            F.when(key % 3 == F.col("copy"), F.upper(name)).otherwise(name).alias("script_name"),
             F.col("p_brand").alias("author"),
             F.col("p_name").alias("object_name"),
             F.col("p_type").alias("description"),
@@ -668,7 +713,6 @@ def catalog_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).otherwise("IX")
     return (
         table(spark, sf_dir, "part")
-        .filter(F.col("p_size") <= 25)
         .select(
             F.col("p_brand").alias("table_name"),
             F.concat(F.lower(kind), F.lit("_"), block.cast("string")).alias("key_name"),

@@ -75,32 +75,33 @@ _NEVER = "coalesce(l.job_start, TIMESTAMP '1900-01-01 00:00:00')"
 _DURATION = "coalesce(l.duration_seconds, 0)"
 
 _STATUS_ROWS = f"""
-    SELECT e.job_id, j.name AS job_name, {text(_NEVER)} AS job_start,
+    SELECT e.server, e.job_id, j.name AS job_name, {text(_NEVER)} AS job_start,
            {_clock(_DURATION)} AS job_duration, {_DURATION} AS duration_seconds, e.current_step,
            CASE WHEN e.running <> 0 THEN {_RUNNING_CODE.format("e.job_state")}
                 ELSE s.last_run_outcome END AS run_status,
            CASE WHEN e.running <> 0 THEN {_RUNNING_LABEL.format("e.job_state")}
                 ELSE {_OUTCOME.format("s.last_run_outcome")} END AS run_status_desc,
            CASE WHEN j.enabled = 1 THEN 'Enabled' ELSE 'Disabled' END AS is_enabled
-    FROM job_listing e JOIN jobs j ON e.job_id = j.job_id
-         LEFT JOIN job_servers s ON e.job_id = s.job_id
-         LEFT JOIN latest_activity l ON e.job_id = l.job_id"""
+    FROM job_listing e JOIN jobs j ON e.server = j.server AND e.job_id = j.job_id
+         LEFT JOIN job_servers s ON e.server = s.server AND e.job_id = s.job_id
+         LEFT JOIN latest_activity l ON e.server = l.server AND e.job_id = l.job_id"""
 
 _STEP_OUTER = """
-    SELECT s.job_id, s.step_id, s.step_name, h.instance_id, h.run_status, h.message,
+    SELECT s.server, s.job_id, s.step_id, s.step_name, h.instance_id, h.run_status, h.message,
            h.step_start, h.run_duration
     FROM job_steps s
          LEFT JOIN (SELECT p.*, strptime(CAST(p.run_date AS VARCHAR)
                                || lpad(CAST(p.run_time AS VARCHAR), 6, '0'), '%Y%m%d%H%M%S')
                                AS step_start
                     FROM job_past p) AS h
-             ON h.job_id = s.job_id AND h.step_id = s.step_id
+             ON h.server = s.server AND h.job_id = s.job_id AND h.step_id = s.step_id
             AND h.step_start >= (SELECT date_trunc('minute', max(a.job_start)
                                         + INTERVAL 30 SECOND)
-                                 FROM latest_activity a WHERE a.job_id = s.job_id)"""
+                                 FROM latest_activity a
+                                 WHERE a.server = s.server AND a.job_id = s.job_id)"""
 
 _STEP_ROWS = f"""
-    SELECT o.job_id, j.name AS job_name,
+    SELECT o.server, o.job_id, j.name AS job_name,
            'Step ' || CAST(o.step_id AS VARCHAR) || '. ' || o.step_name AS step_name,
            o.instance_id,
            CASE WHEN o.instance_id IS NULL THEN 4
@@ -112,11 +113,12 @@ _STEP_ROWS = f"""
            {text("o.step_start")} AS step_start,
            {_clock(_seconds("o.run_duration % 240000"))} AS step_duration,
            {_seconds("o.run_duration")} AS duration_seconds
-    FROM ({_STEP_OUTER}) AS o JOIN job_listing e ON o.job_id = e.job_id
-         JOIN jobs j ON o.job_id = j.job_id"""
+    FROM ({_STEP_OUTER}) AS o
+         JOIN job_listing e ON o.server = e.server AND o.job_id = e.job_id
+         JOIN jobs j ON o.server = j.server AND o.job_id = j.job_id"""
 
 _NEW_NAMES = """
-    SELECT names.*, row_number() OVER (ORDER BY database_id) AS position FROM names"""
+    SELECT names.*, row_number() OVER (ORDER BY server, database_id) AS position FROM names"""
 
 _LAST_RUN = """
     SELECT script_name, seq, coalesce(version_number, '1.0') AS version_number, author,
@@ -124,10 +126,10 @@ _LAST_RUN = """
            CASE WHEN rtrim(error_message) <> '' THEN replace(error_message, '|', ' ') END
                AS error_message, release_date
     FROM offered_releases
-    QUALIFY row_number() OVER (PARTITION BY script_name ORDER BY seq DESC) = 1"""
+    QUALIFY row_number() OVER (PARTITION BY lower(script_name) ORDER BY seq DESC) = 1"""
 
 _COMPLETED_SETS = f"""
-    SELECT t.set_id, coalesce(n.backup_set_id, t.backup_set_id) AS backup_set_id,
+    SELECT t.server, t.set_id, coalesce(n.backup_set_id, t.backup_set_id) AS backup_set_id,
            CASE WHEN n.set_id IS NULL THEN t.database ELSE n.database_name END AS database,
            CASE WHEN n.set_id IS NULL THEN t.name ELSE n.name END AS name,
            CASE WHEN n.set_id IS NULL THEN t.first_lsn ELSE n.first_lsn END AS first_lsn,
@@ -144,9 +146,11 @@ _COMPLETED_SETS = f"""
            CASE WHEN n.set_id IS NULL THEN t.machine ELSE n.server_name END AS machine,
            {text("t.create_datetime")} AS create_datetime
     FROM backup_sets t
-         LEFT JOIN (SELECT c.set_id, c.file_name, b.*
-                    FROM completions c JOIN backupset b ON b.backup_set_id = c.backup_set_id
-                   ) AS n ON n.set_id = t.set_id"""
+         LEFT JOIN (SELECT DISTINCT c.server, c.set_id, c.file_name, b.*
+                    FROM completions c
+                         JOIN backupset b ON b.server_name = c.server
+                                         AND b.backup_set_id = c.backup_set_id
+                   ) AS n ON n.server = t.server AND n.set_id = t.set_id"""
 
 _COLUMN_LINE = """
     '[' || column_name || '] ' ||
@@ -250,15 +254,17 @@ _SELECTS = {
                s.file_name, s.recovery_model, s.is_damaged, s.machine, h.job_name, h.is_running,
                h.is_error, h.error_message, {text("h.process_start")} AS process_start,
                {text("h.process_finish")} AS process_finish,
-               {text("h.create_datetime")} AS create_datetime
-        FROM backup_history h JOIN backup_sets s ON h.set_id = s.set_id""",
+               {text("h.create_datetime")} AS create_datetime, h.server
+        FROM backup_history h
+             JOIN backup_sets s ON h.server = s.server AND h.set_id = s.set_id""",
     "job_step_outer": f"""
         SELECT * REPLACE ({text("step_start")} AS step_start) FROM ({_STEP_OUTER}) AS o""",
     "failed_jobs_new": "SELECT * FROM new_rows",
     "release_pending": """
         SELECT seq AS list_id, script_name, object_name FROM offered_releases o
         WHERE NOT EXISTS (SELECT 1 FROM releases r
-                          WHERE r.script_name = o.script_name AND NOT r.is_error)""",
+                          WHERE lower(r.script_name) = lower(o.script_name)
+                            AND NOT r.is_error)""",
     "existence_semi_join": """
         SELECT o_orderkey AS profile_id, o_orderpriority AS profile_name
         FROM orders
@@ -273,30 +279,32 @@ _SELECTS = {
         "team", "c_custkey", "lower(c_name || '@Example.com')", "recipient",
     ),
     "backup_latest_set": """
-        SELECT database_name, type, max(backup_set_id) AS backup_set_id
-        FROM backupset GROUP BY database_name, type""",
+        SELECT server_name, database_name, type, max(backup_set_id) AS backup_set_id
+        FROM backupset GROUP BY server_name, database_name, type""",
     "backup_verify_missing": """
-        SELECT set_id, database, backup_type,
+        SELECT server, set_id, database, backup_type,
                'No backup is on record for ' || database AS message
         FROM tracked t
         WHERE NOT EXISTS (SELECT 1 FROM backupset b
-                          WHERE b.database_name = t.database AND b.type = t.backup_type)""",
+                          WHERE b.server_name = t.server AND b.type = t.backup_type
+                            AND lower(b.database_name) = lower(t.database))""",
     "backup_latest_history": f"""
         SELECT * REPLACE ({text("process_finish")} AS process_finish) FROM latest_history""",
     "catalog_key_columns": "SELECT * FROM key_columns",
     "new_row_guard": "SELECT server, count(*) AS new_rows FROM new_rows GROUP BY server",
     "latest_activity_per_job": f"""
-        SELECT j.job_id, {text(_NEVER)} AS job_start, {_clock(_DURATION)} AS job_duration,
+        SELECT j.server, j.job_id, {text(_NEVER)} AS job_start, {_clock(_DURATION)} AS job_duration,
                {_DURATION} AS duration_seconds
-        FROM jobs j LEFT JOIN latest_activity l ON j.job_id = l.job_id""",
+        FROM jobs j
+             LEFT JOIN latest_activity l ON j.server = l.server AND j.job_id = l.job_id""",
     "current_jobs_status": _STATUS_ROWS,
     "current_job_steps": _STEP_ROWS,
     "current_jobs_all": f"""
-        SELECT job_name, NULL AS step_name, current_step, run_status, run_status_desc,
+        SELECT server, job_name, NULL AS step_name, current_step, run_status, run_status_desc,
                job_start AS started, job_duration AS duration, is_enabled, 'Job-Level' AS level
         FROM ({_STATUS_ROWS}) AS by_job
         UNION
-        SELECT job_name, step_name, NULL, run_status, run_status_desc, step_start,
+        SELECT server, job_name, step_name, NULL, run_status, run_status_desc, step_start,
                step_duration, NULL, 'Step-Level'
         FROM ({_STEP_ROWS}) AS by_step""",
     "instance_topology_union": """
@@ -317,17 +325,17 @@ _SELECTS = {
                    AS error_message,
                coalesce(n.release_date, r.release_date) AS release_date, r.installed,
                CASE WHEN n.script_name IS NULL THEN r.updated ELSE {AS_OF} END AS updated
-        FROM releases r LEFT JOIN ({_LAST_RUN}) AS n ON n.script_name = r.script_name
+        FROM releases r LEFT JOIN ({_LAST_RUN}) AS n ON lower(n.script_name) = lower(r.script_name)
         UNION ALL
         SELECT (SELECT max(release_id) FROM releases) + row_number() OVER (ORDER BY seq),
                version_number, script_name, author, object_name, description, option, is_error,
                error_message, release_date, {AS_OF}, {AS_OF}
         FROM ({_LAST_RUN}) AS n
-        WHERE script_name NOT IN (SELECT script_name FROM releases)""",
+        WHERE lower(script_name) NOT IN (SELECT lower(script_name) FROM releases)""",
     "instance_register": f"""
         SELECT server_name, instance_name, backup_location, primary_console, is_monitored,
                {text("installed")} AS installed, create_date
-        FROM instances WHERE installed < {AS_OF}
+        FROM instances
         UNION ALL
         SELECT server_name, instance_name, min(backup_location), false, true,
                {text(OPEN_END)}, '2024-01-15'
@@ -335,7 +343,7 @@ _SELECTS = {
                      upper(trim(instance_name)) AS instance_name, backup_location
               FROM offered_instances) AS o
         WHERE NOT EXISTS (SELECT 1 FROM instances i
-                          WHERE i.installed < {AS_OF} AND i.server_name = o.server_name
+                          WHERE i.server_name = o.server_name
                             AND i.instance_name = o.instance_name)
         GROUP BY server_name, instance_name""",
     "instance_primary_flag": f"""
@@ -348,22 +356,25 @@ _SELECTS = {
     "backup_start": f"""
         SELECT (SELECT max(set_id) FROM backup_sets) + position AS set_id,
                CAST(0 AS BIGINT) AS backup_set_id, database,
-               (SELECT max(history_id) FROM backup_history) + position AS history_id, job_name,
+               (SELECT max(history_id) FROM backup_history) + position AS history_id, job_name, server,
+               CAST(NULL AS VARCHAR) AS error_message,
                true AS is_running, false AS is_error, {text(AS_OF)} AS process_start,
                {text(OPEN_END)} AS process_finish, {text(AS_OF)} AS create_datetime
         FROM ({_NEW_NAMES}) AS n""",
     "backup_complete": f"""
-        SELECT h.set_id, h.history_id, CASE WHEN c.set_id IS NULL THEN h.is_running ELSE false END
+        SELECT h.server, h.set_id, h.history_id, CASE WHEN c.set_id IS NULL THEN h.is_running ELSE false END
                    AS is_running,
                CASE WHEN c.set_id IS NULL THEN h.is_error ELSE false END AS is_error,
                CASE WHEN c.set_id IS NULL THEN h.error_message END AS error_message,
                {text(f"CASE WHEN c.set_id IS NULL THEN h.process_finish ELSE {AS_OF} END")}
                    AS process_finish,
-               s.* EXCLUDE (set_id)
-        FROM backup_history h LEFT JOIN completions c ON c.set_id = h.set_id
-             LEFT JOIN ({_COMPLETED_SETS}) AS s ON s.set_id = h.set_id""",
+               s.* EXCLUDE (server, set_id)
+        FROM backup_history h
+             LEFT JOIN (SELECT DISTINCT server, set_id FROM completions) AS c
+                    ON c.server = h.server AND c.set_id = h.set_id
+             LEFT JOIN ({_COMPLETED_SETS}) AS s ON s.server = h.server AND s.set_id = h.set_id""",
     "backup_fail": f"""
-        SELECT h.history_id, h.set_id, h.job_name,
+        SELECT h.server, h.history_id, h.set_id, h.job_name,
                h.is_running AND f.set_id IS NULL AS is_running,
                h.is_error OR f.set_id IS NOT NULL AS is_error,
                coalesce(f.message, h.error_message) AS error_message,
@@ -371,12 +382,14 @@ _SELECTS = {
                {text(f"CASE WHEN f.set_id IS NULL THEN h.process_finish ELSE {AS_OF} END")}
                    AS process_finish,
                {text("h.create_datetime")} AS create_datetime
-        FROM backup_history h LEFT JOIN failures f ON f.set_id = h.set_id""",
+        FROM backup_history h
+             LEFT JOIN (SELECT DISTINCT * FROM failures) AS f
+                    ON f.server = h.server AND f.set_id = h.set_id""",
     "backup_retention": """
-        SELECT 'history' AS table_name, history_id AS row_id, create_datetime
+        SELECT 'history' AS table_name, server, history_id AS row_id, create_datetime
         FROM backup_history WHERE CAST(create_datetime AS DATE) > DATE '2024-01-11'
         UNION ALL
-        SELECT 'sets', set_id, create_datetime
+        SELECT 'sets', server, set_id, create_datetime
         FROM backup_sets WHERE CAST(create_datetime AS DATE) > DATE '2024-01-11'""",
     "backup_plan": "SELECT * FROM plan_rows",
     "backup_names": "SELECT * FROM names",
@@ -455,8 +468,9 @@ _SELECTS = {
         GROUP BY server_name, instance_name
         HAVING count(*) > 1 OR instance_name IS NULL""",
     "foreign_key_audit": """
-        SELECT history_id, set_id, job_name, is_running, is_error FROM backup_history h
-        WHERE NOT EXISTS (SELECT 1 FROM backup_sets s WHERE s.set_id = h.set_id)""",
+        SELECT server, history_id, set_id, job_name, is_running, is_error FROM backup_history h
+        WHERE NOT EXISTS (SELECT 1 FROM backup_sets s
+                          WHERE s.server = h.server AND s.set_id = h.set_id)""",
     "stream_failed_jobs": f"""
         SELECT {_FAILURE_COLUMNS}, create_datetime FROM recorded
         UNION ALL SELECT {_FAILURE_COLUMNS}, {AS_OF} FROM new_rows""",

@@ -375,7 +375,7 @@ def release_upsert(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def instance_register(spark: SparkSession, d: str) -> DataFrame:
-    known = fx.instances(spark, d).filter(F.col("installed") < clock.ntz(fx.AS_OF))
+    known = fx.instances(spark, d)
     registered = registry.instance_register(known, fx.offered_instances(spark, d), fx.AS_OF)
     return _portable(registered.drop("server_instance_id"), "installed")
 
@@ -392,7 +392,7 @@ def _names(spark: SparkSession, d: str) -> DataFrame:
     plan = backups.backup_plan(
         fx.databases(spark, d), fx.backup_history(spark, d), fx.backup_sets(spark, d), fx.AS_OF
     )
-    return backups.backup_names(plan, fx.AS_OF)
+    return backups.backup_names(plan, fx.AS_OF, location=fx.backup_location())
 
 
 @query
@@ -401,16 +401,16 @@ def backup_start(spark: SparkSession, d: str) -> DataFrame:
     decision = backup_cycle.decide(
         fx.databases(spark, d), fx.backup_history(spark, d), fx.backup_sets(spark, d), fx.AS_OF
     )
-    both = decision.new_sets.select("set_id", "backup_set_id", "database").join(
-        decision.new_history.drop("error_message"), "set_id"
+    both = decision.new_sets.select("server", "set_id", "backup_set_id", "database").join(
+        decision.new_history.drop("server"), "set_id"
     )
     return _portable(both, "process_start", "process_finish", "create_datetime")
 
 
 def _both_tables(sets: DataFrame, history: DataFrame) -> DataFrame:
     both = history.select(
-        "set_id", "history_id", "is_running", "is_error", "error_message", "process_finish"
-    ).join(sets, "set_id", "left")
+        *backups.SET, "history_id", "is_running", "is_error", "error_message", "process_finish"
+    ).join(sets, backups.SET, "left")
     return _portable(
         both, "process_finish", "backup_start_date", "backup_finish_date", "create_datetime"
     )
@@ -442,7 +442,7 @@ def backup_retention(spark: SparkSession, d: str) -> DataFrame:
     """What both tables keep after the daily run; a reset keeps nothing."""
     kept = [
         backups.backup_retention(table, fx.AS_OF, days).select(
-            F.lit(name).alias("table_name"), F.col(key).alias("row_id"), "create_datetime"
+            F.lit(name).alias("table_name"), "server", F.col(key).alias("row_id"), "create_datetime"
         )
         for name, key, table, days in (
             ("history", "history_id", fx.backup_history(spark, d), backups.RETENTION_DAYS),
@@ -536,9 +536,9 @@ def key_constraint_audit(spark: SparkSession, d: str) -> DataFrame:
 @query
 def foreign_key_audit(spark: SparkSession, d: str) -> DataFrame:
     orphans = audits.foreign_key_audit(
-        fx.backup_history(spark, d), fx.backup_sets(spark, d), "set_id"
+        fx.backup_history(spark, d), fx.backup_sets(spark, d), backups.SET
     )
-    return orphans.select("history_id", "set_id", "job_name", "is_running", "is_error")
+    return orphans.select("server", "history_id", "set_id", "job_name", "is_running", "is_error")
 
 
 # --- Streams ------------------------------------------------------------------------
