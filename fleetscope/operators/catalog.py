@@ -11,6 +11,8 @@ from fleetscope.operators.spread import spread_lookup
 # Order of the parts of a table script.
 HEADER, OPENING, COLUMNS, FOREIGN_KEYS, CHECKS, KEYS, CLOSING, INDEXES = range(1, 9)
 
+TABLE = ["schema_name", "table_name"]
+
 
 def catalog_column_profile(
     columns: DataFrame, identity: DataFrame, types: DataFrame, defaults: DataFrame
@@ -20,7 +22,7 @@ def catalog_column_profile(
     The type is found by the domain if there is one, else by the data type; a
     column of an unknown type drops out. Only default objects count as defaults.
     """
-    key = ["table_name", "column_name"]
+    key = [*TABLE, "column_name"]
     named = defaults.filter(F.col("object_type") == "D").select(*key, "default_name")
     return (
         columns.withColumn("type_name", F.coalesce("domain_name", "data_type"))
@@ -55,10 +57,10 @@ def catalog_key_columns(keys: DataFrame) -> DataFrame:
         return F.array_join(F.transform("parts", lambda p: p[field]), ",")
 
     return (
-        keys.groupBy("table_name", "key_name", "kind", "is_clustered", "referenced_table")
+        keys.groupBy(*TABLE, "key_name", "kind", "is_clustered", "referenced_table")
         .agg(F.array_sort(F.collect_list(part)).alias("parts"))
         .select(
-            "table_name",
+            *TABLE,
             "key_name",
             "kind",
             "is_clustered",
@@ -141,36 +143,41 @@ def catalog_table_script(
     with_constraints: bool = True,
     with_indexes: bool = True,
     system_types: bool = False,
+    database: str | None = None,
+    new_name: str | None = None,
 ) -> DataFrame:
     """The script of every table, one row per line.
 
+    The header names ``database`` (if given), schema and table, or ``new_name``.
+
     Sorted by table, section, position and item the lines read as the script.
     Lines stay rows, so a table of any width is spread over tasks.
     """
     no_position = F.lit(0).cast("long")
+    title = F.concat_ws(".", F.lit(database), *TABLE) if new_name is None else F.lit(new_name)
 
     def lines(df: DataFrame, section: Column, position: Column, item: Column, line: Column):
         return df.select(
-            "table_name",
+            *TABLE,
             section.alias("section"),
             position.cast("long").alias("position"),
             item.alias("item"),
             line.alias("line"),
         )
 
-    tables = profile.groupBy("table_name").agg(F.max("ordinal").alias("last_ordinal"))
+    tables = profile.groupBy(*TABLE).agg(F.max("ordinal").alias("last_ordinal"))
     framed = F.explode(
         F.array(
             F.struct(
                 F.lit(HEADER).alias("section"),
-                F.concat(F.lit("CREATE TABLE "), "table_name").alias("line"),
+                F.concat(F.lit("CREATE TABLE "), title).alias("line"),
             ),
             F.struct(F.lit(OPENING).alias("section"), F.lit("(").alias("line")),
             F.struct(F.lit(CLOSING).alias("section"), F.lit(")").alias("line")),
         )
     )
-    script = tables.select("table_name", framed.alias("frame")).select(
-        "table_name",
+    script = tables.select(*TABLE, framed.alias("frame")).select(
+        *TABLE,
         F.col("frame.section").alias("section"),
         no_position.alias("position"),
         F.lit("").alias("item"),
@@ -183,7 +190,7 @@ def catalog_table_script(
     )
     script = script.unionByName(
         lines(
-            spread_lookup(profile, tables, ["table_name"], "ordinal"),
+            spread_lookup(profile, tables, TABLE, "ordinal"),
             F.lit(COLUMNS),
             F.col("ordinal"),
             F.col("column_name"),

@@ -90,7 +90,8 @@ def job_step_outer(steps: DataFrame, history: DataFrame, activity: DataFrame) ->
     The job start is rounded to the minute before the comparison, so a step
     started in a rounded-up half minute does not count.
 
-    Further columns of ``steps`` are kept.
+    Further columns of ``steps`` are kept. History older than the oldest of
+    these starts is left out by the stored day, which reaches the scan.
 
     A left join could not split a job that holds a large part of the history,
     since that side is the optional one. So the rows that match come from an
@@ -100,8 +101,10 @@ def job_step_outer(steps: DataFrame, history: DataFrame, activity: DataFrame) ->
     starts = activity.groupBy(*JOB).agg(
         clock.minute_round(F.max("start")).alias("counted_from")
     )
+    oldest = F.min("counted_from")
+    first_day = starts.agg(F.date_format(oldest, "yyyyMMdd").cast("int")).scalar()
     steps_due = steps.join(starts, JOB, "left")
-    runs = history.select(
+    runs = history.filter(F.col("run_date") >= first_day).select(
         *STEP,
         "instance_id",
         "run_status",

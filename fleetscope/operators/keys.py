@@ -4,8 +4,8 @@ A plain ``row_number()`` over one ordering sends every row of a group to one
 task. Here the integer order key is cut into fixed blocks: the blocks are
 counted with map-side combine, running totals over the counts give each block
 its offset, and the numbering runs inside a block only. With unique 63-bit keys
-no window ever holds more than 2**16 data rows or 2**24 block counts, whatever
-the size of the group.
+no window ever holds more than 2**10 data rows, so that wide rows spread too,
+or 2**21 counts, whatever the size of the group.
 """
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from fleetscope.session import cut_lineage
 
-BLOCK_BITS = 16
-SUPER_BITS = 40
+# Bits of the order key that a block leaves out, and of a block that each level above it leaves out.
+BLOCK_BITS = 10
+LEVEL_BITS = (16, 16)
 
 
 def _running_total(
@@ -45,6 +46,22 @@ def _running_total(
     )
 
 
+def _rows_before(
+    counts: DataFrame, by: Sequence[str], levels: Sequence[int] = LEVEL_BITS
+) -> DataFrame:
+    """For each block of ``counts`` (by, _block, _add), the sum of the blocks before it as ``_add``."""
+    before = F.col("_total") - F.col("_add")
+    if levels:
+        counts = counts.withColumn("_above", F.shiftright("_block", levels[0]))
+        above = counts.groupBy(*by, F.col("_above").alias("_block")).agg(F.sum("_add").alias("_add"))
+        marks = _rows_before(above, by, levels[1:]).withColumnRenamed("_block", "_above")
+        totals = _running_total(counts, marks, [*by, "_above"], "_block")
+    else:
+        in_order = Window.partitionBy(*by).orderBy("_block")
+        totals = counts.withColumn("_total", F.sum("_add").over(in_order))
+    return totals.select(*by, "_block", before.alias("_add"))
+
+
 def number_rows(
     df: DataFrame, order_key: str, by: Sequence[str] = (), name: str = "row_no"
 ) -> DataFrame:
@@ -58,20 +75,8 @@ def number_rows(
     block = F.shiftright(F.col(order_key).cast("long"), BLOCK_BITS)
     one = F.lit(1).cast("long")
     rows = df.withColumns({"_block": block, "_add": one})
-
-    blocks = rows.groupBy(*by, "_block").agg(F.count(one).alias("_add"))
-    blocks = blocks.withColumn("_super", F.shiftright("_block", SUPER_BITS - BLOCK_BITS))
-    supers = blocks.groupBy(*by, "_super").agg(F.sum("_add").alias("_add"))
-
-    before = F.col("_total") - F.col("_add")
-    all_supers = Window.partitionBy(*by).orderBy("_super")
-    super_marks = supers.withColumn("_total", F.sum("_add").over(all_supers)).select(
-        *by, "_super", before.alias("_add")
-    )
-    block_marks = _running_total(blocks, super_marks, [*by, "_super"], "_block").select(
-        *by, "_block", before.alias("_add")
-    )
-    numbered = _running_total(rows, block_marks, [*by, "_block"], order_key)
+    counts = rows.groupBy(*by, "_block").agg(F.count(one).alias("_add"))
+    numbered = _running_total(rows, _rows_before(counts, by), [*by, "_block"], order_key)
     return numbered.select(*df.columns, F.col("_total").alias(name))
 
 

@@ -93,6 +93,12 @@ def touched_partitions(
     )
 
 
+def is_committed(spark: SparkSession, location: str, label: str, number: int) -> bool:
+    """Whether the folder ``label=<number>`` was written to the end."""
+    marker, files = _path(spark, f"{location}/{label}={number}/_SUCCESS")
+    return files.exists(marker)
+
+
 def committed_numbers(spark: SparkSession, location: str, label: str) -> list[int]:
     """Numbers of the committed ``label=<n>`` folders, ascending.
 

@@ -31,11 +31,26 @@ def element_array(xml: Column, path: str, attributes: Sequence[str]) -> Column:
     Every level may repeat. The result is an array of structs with one string
     field ``_name`` per attribute; it is empty where nothing matches.
     """
+    return _elements_at(_parsed(xml, [path], attributes), path)
+
+
+def _parsed(xml: Column, paths: Sequence[str], attributes: Sequence[str]) -> Column:
+    """The document with just the elements on ``paths``; each path's last one has the attributes."""
+
+    def fields(levels: list[list[str]]) -> str:
+        found = [f"`_{a}`: string" for a in attributes] if [] in levels else []
+        for name in dict.fromkeys(level[0] for level in levels if level):
+            below = [level[1:] for level in levels if level and level[0] == name]
+            found.append(f"`{name}`: array<struct<{fields(below)}>>")
+        return ", ".join(found)
+
+    kind = f"struct<{fields([path.split('/') for path in paths])}>"
+    return F.from_xml(xml, kind, XML_OPTIONS)
+
+
+def _elements_at(document: Column, path: str) -> Column:
     first, *further = path.split("/")
-    node = "struct<" + ", ".join(f"`_{a}`: string" for a in attributes) + ">"
-    for level in reversed(further):
-        node = f"struct<`{level}`: array<{node}>>"
-    found = F.coalesce(F.from_xml(xml, f"`{first}` array<{node}>", XML_OPTIONS)[first], F.array())
+    found = F.coalesce(document[first], F.array())
     for level in further:
         found = _children(found, level)
     return found
@@ -86,8 +101,15 @@ def instance_topology(
     secondary_path: str,
     attributes: Sequence[str],
     keep: str = "doc_id",
+    xml: str = "xml",
 ) -> DataFrame:
-    """Primary and secondary instances of each document, duplicates removed."""
-    primary = shred_elements(docs, primary_path, attributes, keep=keep)
-    secondary = shred_elements(docs, secondary_path, attributes, keep=keep)
-    return primary.unionByName(secondary).distinct()
+    """Primary and secondary instances of each document, duplicates removed.
+
+    A document is parsed once and its duplicates are found inside the row, so
+    nothing is shuffled.
+    """
+    paths = [primary_path, secondary_path]
+    parsed = docs.select(keep, _parsed(F.col(xml), paths, attributes).alias("_doc"))
+    nodes = F.concat(*[_elements_at(F.col("_doc"), path) for path in paths])
+    rows = parsed.select(keep, F.explode(F.array_distinct(nodes)).alias("node"))
+    return rows.select(keep, *[F.col(f"node.`_{a}`").alias(a) for a in attributes])

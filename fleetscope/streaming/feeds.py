@@ -82,12 +82,13 @@ def _store_batch(df: DataFrame, location: str, batch_id: int) -> None:
 def _next_key(spark: SparkSession, location: str, name: str, key: str, batch_id: int) -> int:
     """The key after the highest one of the batches before ``batch_id``.
 
-    Keys only grow, so the newest batch that has rows decides; the older ones
-    are not read.
+    Batches are numbered without gaps and keys only grow, so the newest earlier
+    batch that has rows decides; its folder is opened by name and no other one
+    is listed, however many batches there are.
     """
     schema = table_schema(name)
-    for number in reversed(tables.committed_numbers(spark, location, BATCH)):
-        if number < batch_id:
+    for number in range(batch_id - 1, -1, -1):
+        if tables.is_committed(spark, location, BATCH, number):
             batch = spark.read.schema(schema).parquet(f"{location}/{BATCH}={number}")
             highest = batch.agg(F.max(key)).first()[0]
             if highest is not None:

@@ -2,7 +2,7 @@ import datetime as dt
 
 from fleetscope.operators import job_activity as ja
 from fleetscope.plans.fleet_status import fleet_status
-from tests.conftest import as_dicts
+from tests.conftest import as_dicts, plan_of
 
 NOW = dt.datetime(2024, 1, 15, 13, 30)
 
@@ -150,3 +150,14 @@ def test_equal_job_ids_on_two_servers(spark, rows):
     history = rows("job_history", (*hist(1, 1, 1, 1, 100000)[:-1], "A"), (*hist(2, 1, 1, 1, 100000)[:-1], "B"))
     ran = as_dicts(ja.current_job_steps(listing, jobs, steps, history, activity), "server")
     assert [(r["server"], r["instance_id"]) for r in ran] == [("A", 1), ("B", None)]
+
+
+def test_history_before_the_oldest_start_is_not_scanned(spark, rows, tmp_path):
+    old, new = hist(1, 1, 1, 1, 100000, day=20240101), hist(2, 1, 1, 1, 100000)
+    rows("job_history", old, new).write.parquet(str(tmp_path / "h"))
+    history = spark.read.parquet(str(tmp_path / "h"))
+    got = ja.job_step_outer(rows("job_steps", *STEPS), history, rows("job_activity", (1, at(9), None)))
+    assert "isnotnull(run_date" in plan_of(got) and "run_date" in plan_of(got).split("DataFilters")[1]
+    assert sorted((r.job_id, r.step_id, r.instance_id or 0) for r in got.collect()) == [(1, 1, 2), (1, 2, 0), (2, 1, 0)]
+    nothing = ja.job_step_outer(rows("job_steps", *STEPS), history, rows("job_activity"))
+    assert [r.instance_id for r in nothing.collect()] == [None] * 3

@@ -41,6 +41,13 @@ def test_topology_without_duplicates(spark, rows):
     assert sorted((r.Server, r.Instance) for r in got.collect()) == [(" T ", ""), ("S", "A"), ("S", "B")]
 
 
+def test_topology_parses_once_and_does_not_shuffle(spark, rows):
+    plan = plan_of(config_xml.instance_topology(
+        docs(rows), "Instances/Primary", "Instances/More/Database", ["Server", "Instance"]
+    ))
+    assert "Exchange" not in plan and plan.count("from_xml(") == 1
+
+
 def test_settings_do_not_shuffle(spark, rows):
     assert "Exchange" not in plan_of(config_xml.pivot_settings(docs(rows), "Mail/Setting", {"port": "int"}))
 

@@ -16,6 +16,9 @@ BACKUP_TIME = "(ts - INTERVAL '15 days 10 hours 30 minutes')"
 HISTORY_SET = f"CASE WHEN {K} = 13 THEN -(event_id // 5) - 1 ELSE event_id // 5 END"
 
 
+SCHEMA_NAME = "CASE WHEN p_partkey % 4 = 0 THEN 'archive' ELSE 'dbo' END"
+
+
 def server(key: str) -> str:
     return f"'SRV' || CAST({key} % 5 AS VARCHAR)"
 
@@ -343,7 +346,7 @@ FIXTURES = {
         SELECT doc_id, "Server",
                CASE WHEN doc_id % 3 = 0 THEN c_name ELSE c_name || '_C' END FROM config""",
     "catalog_columns": f"""
-        SELECT p_brand AS table_name, {brand_key("col_")} AS column_name, p_partkey AS ordinal,
+        SELECT {SCHEMA_NAME} AS schema_name, p_brand AS table_name, {brand_key("col_")} AS column_name, p_partkey AS ordinal,
                lower(p_type) AS data_type, CASE WHEN p_size % 10 = 0 THEN 'small' END
                    AS domain_name,
                CASE WHEN p_size % 13 = 0 THEN -1 ELSE p_size END AS max_length,
@@ -352,7 +355,7 @@ FIXTURES = {
                    AS default_value, p_partkey, p_size
         FROM part""",
     "profile": """
-        SELECT c.table_name, c.column_name, c.ordinal, c.data_type, c.domain_name,
+        SELECT c.schema_name, c.table_name, c.column_name, c.ordinal, c.data_type, c.domain_name,
                c.max_length, c.is_nullable, c.default_value,
                CASE WHEN p_size >= 44 AND p_size % 2 <> 0
                     THEN 'df_' || CAST(p_partkey AS VARCHAR) END AS default_name,
@@ -367,7 +370,7 @@ FIXTURES = {
                  FROM part WHERE p_type <> 'PROMO') AS t
              ON t.type_name = coalesce(c.domain_name, c.data_type)""",
     "catalog_keys": f"""
-        SELECT p_brand AS table_name,
+        SELECT {SCHEMA_NAME} AS schema_name, p_brand AS table_name,
                CASE p_partkey // 16 % 4 WHEN 0 THEN 'pk_' WHEN 1 THEN 'uq_' WHEN 2 THEN 'fk_'
                     ELSE 'ix_' END || CAST(p_partkey // 16 AS VARCHAR) AS key_name,
                CASE p_partkey // 16 % 4 WHEN 0 THEN 'PK' WHEN 1 THEN 'UQ' WHEN 2 THEN 'FK'
@@ -380,14 +383,14 @@ FIXTURES = {
                p_size % 2 = 1 AS is_descending
         FROM part""",
     "key_columns": """
-        SELECT table_name, key_name, kind, is_clustered, referenced_table,
+        SELECT schema_name, table_name, key_name, kind, is_clustered, referenced_table,
                count(*) AS n_columns,
                string_agg(column_name || CASE WHEN is_descending THEN ' DESC' ELSE ' ASC' END,
                           ',' ORDER BY key_ordinal) AS key_columns,
                string_agg(column_name, ',' ORDER BY key_ordinal) AS plain_columns,
                string_agg(referenced_column, ',' ORDER BY key_ordinal) AS referenced_columns
         FROM catalog_keys
-        GROUP BY table_name, key_name, kind, is_clustered, referenced_table""",
+        GROUP BY schema_name, table_name, key_name, kind, is_clustered, referenced_table""",
 }
 
 

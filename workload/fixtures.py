@@ -643,6 +643,11 @@ def templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Catalog snapshots -----------------------------------------------------------
 
 
+def _schema_name() -> Column:
+    """Two schemas, so that most table names are in both."""
+    return F.when(F.col("p_partkey") % 4 == 0, "archive").otherwise("dbo").alias("schema_name")
+
+
 def _column_name() -> Column:
     return F.concat(F.lit("col_"), F.col("p_partkey").cast("string"))
 
@@ -650,6 +655,7 @@ def _column_name() -> Column:
 def catalog_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.col("p_size")
     return table(spark, sf_dir, "part").select(
+        _schema_name(),
         F.col("p_brand").alias("table_name"),
         _column_name().alias("column_name"),
         F.col("p_partkey").alias("ordinal"),
@@ -669,6 +675,7 @@ def catalog_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "part")
         .filter(F.col("p_size") == 50)
         .select(
+            _schema_name(),
             F.col("p_brand").alias("table_name"),
             _column_name().alias("column_name"),
             F.lit(1000).alias("seed"),
@@ -696,6 +703,7 @@ def catalog_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "part")
         .filter(F.col("p_size") >= 44)
         .select(
+            _schema_name(),
             F.col("p_brand").alias("table_name"),
             _column_name().alias("column_name"),
             F.concat(F.lit("df_"), F.col("p_partkey").cast("string")).alias("default_name"),
@@ -714,6 +722,7 @@ def catalog_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "part")
         .select(
+            _schema_name(),
             F.col("p_brand").alias("table_name"),
             F.concat(F.lower(kind), F.lit("_"), block.cast("string")).alias("key_name"),
             kind.alias("kind"),
@@ -734,6 +743,7 @@ def catalog_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "part")
         .filter(F.col("p_size") == 11)
         .select(
+            _schema_name(),
             F.col("p_brand").alias("table_name"),
             F.concat(F.lit("ck_"), F.col("p_partkey").cast("string")).alias("check_name"),
             F.concat(F.lit("(["), _column_name(), F.lit("]>(0))")).alias("definition"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from workload.fixture_sql import AS_OF, OPEN_END, text, with_fixtures
+from workload.fixture_sql import AS_OF, OPEN_END, SCHEMA_NAME, text, with_fixtures
 from workload.portable import NULLABLE_VALUES
 
 
@@ -164,7 +164,7 @@ _COLUMN_LINE = """
               || CASE WHEN default_name IS NOT NULL
                       THEN 'CONSTRAINT [' || default_name || '] DEFAULT' || upper(default_value)
                       ELSE '' END
-    END || CASE WHEN ordinal = max(ordinal) OVER (PARTITION BY table_name) THEN '' ELSE ',' END"""
+    END || CASE WHEN ordinal = max(ordinal) OVER (PARTITION BY schema_name, table_name) THEN '' ELSE ',' END"""
 
 _GRAPH_LEAD = (
     "--Note: Save this output as .xdl file and open in SSMS to view graphically "
@@ -423,25 +423,26 @@ _SELECTS = {
                         FROM details GROUP BY event_id) AS t ON t.event_id = r.event_id""",
     "deadlock_text_normalise": f"SELECT doc_id, {_GRAPH_BODY} AS body FROM graphs",
     "catalog_table_script": f"""
-        SELECT table_name, section, CAST(0 AS BIGINT) AS position, '' AS item,
-               CASE section WHEN 1 THEN 'CREATE TABLE ' || table_name WHEN 2 THEN '('
+        SELECT schema_name, table_name, section, CAST(0 AS BIGINT) AS position, '' AS item,
+               CASE section WHEN 1 THEN 'CREATE TABLE console.' || schema_name || '.' || table_name
+                            WHEN 2 THEN '('
                     ELSE ')' END AS line
-        FROM (SELECT DISTINCT table_name FROM profile) AS t
+        FROM (SELECT DISTINCT schema_name, table_name FROM profile) AS t
              CROSS JOIN (VALUES (1), (2), (7)) AS s(section)
         UNION ALL
-        SELECT table_name, 3, ordinal, column_name, {_COLUMN_LINE} FROM profile
+        SELECT schema_name, table_name, 3, ordinal, column_name, {_COLUMN_LINE} FROM profile
         UNION ALL
-        SELECT table_name, 4, 0, key_name,
+        SELECT schema_name, table_name, 4, 0, key_name,
                ',CONSTRAINT [' || key_name || '] FOREIGN KEY (' || plain_columns
                || ') REFERENCES [' || referenced_table || '](' || referenced_columns || ')'
         FROM key_columns WHERE kind = 'FK'
         UNION ALL
-        SELECT p_brand, 5, 0, 'ck_' || CAST(p_partkey AS VARCHAR),
+        SELECT {SCHEMA_NAME}, p_brand, 5, 0, 'ck_' || CAST(p_partkey AS VARCHAR),
                ',CONSTRAINT [ck_' || CAST(p_partkey AS VARCHAR) || '] CHECK ([col_'
                || CAST(p_partkey AS VARCHAR) || ']>(0))'
         FROM part WHERE p_size = 11
         UNION ALL
-        SELECT table_name, 6, 0, key_name,
+        SELECT schema_name, table_name, 6, 0, key_name,
                ',CONSTRAINT ' || key_name
                || CASE WHEN kind = 'PK' AND is_clustered THEN ' PRIMARY KEY  CLUSTERED '
                        WHEN kind = 'PK' THEN ' PRIMARY KEY  NONCLUSTERED '
@@ -449,7 +450,7 @@ _SELECTS = {
                || '(' || key_columns || ')'
         FROM key_columns WHERE kind IN ('PK', 'UQ')
         UNION ALL
-        SELECT table_name, 8, 0, key_name,
+        SELECT schema_name, table_name, 8, 0, key_name,
                'CREATE ' || CASE WHEN is_clustered THEN 'CLUSTERED' ELSE 'NONCLUSTERED' END
                || ' INDEX [' || key_name || '] ON [' || table_name || '] (' || key_columns || ')'
         FROM key_columns WHERE kind = 'IX'""",

@@ -506,9 +506,10 @@ def deadlock_text_normalise(spark: SparkSession, d: str) -> DataFrame:
 @query
 def catalog_table_script(spark: SparkSession, d: str) -> DataFrame:
     return catalog.catalog_table_script(
-        _profile(spark, d),
+        cut_lineage(_profile(spark, d)),
         catalog.catalog_key_columns(fx.catalog_keys(spark, d)),
         fx.catalog_checks(spark, d),
+        database="console",
     )
 
 
