@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -23,10 +24,12 @@ class PollResult:
     recipients: DataFrame
 
 
-def recorded_failures(spark, location: str, day: dt.date | None = None) -> DataFrame:
-    """The recorded failures, of one execution day or of all."""
-    if day is not None:
-        return tables.open_partition(spark, location, "failed_jobs", PARTITION, day)
+def recorded_failures(
+    spark, location: str, days: Sequence[dt.date | None] | None = None
+) -> DataFrame:
+    """The recorded failures, of some execution days or of all."""
+    if days is not None:
+        return tables.open_partitions(spark, location, "failed_jobs", PARTITION, days)
     return tables.open_table(spark, location, "failed_jobs", f"{PARTITION} date").drop(PARTITION)
 
 
@@ -51,7 +54,7 @@ def poll(
     reporting, so a failed run reports nothing twice. Without news, None.
     """
     spark = history.sparkSession
-    recorded = recorded_failures(spark, tables.create_folder(spark, location), run_day)
+    recorded = recorded_failures(spark, tables.create_folder(spark, location), [run_day])
     view = job_failures.failed_jobs_view(history, jobs, steps, run_day)
     new = cut_lineage(job_failures.failed_jobs_new(view, recorded))
     if new.isEmpty():

@@ -80,9 +80,27 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """``df`` written to the working folder and read back.
 
     It is computed once, later readers take only the columns they need, and a
-    lost executor costs no recomputation of what came before.
+    lost executor costs no recomputation of what came before. ``drop_cuts``
+    deletes it when the results made from it are written.
     """
     spark = df.sparkSession
     folder = fresh_folder(spark, "cut")
     df.write.parquet(folder)
+    _cuts.setdefault(spark.sparkContext.applicationId, []).append(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+_cuts: dict[str, list[str]] = {}
+
+
+def drop_cuts(spark: SparkSession) -> int:
+    """Delete what ``cut_lineage`` wrote so far and return the number of folders.
+
+    For a caller whose results are written: frames made from a cut cannot be
+    read any more.
+    """
+    folders = _cuts.pop(spark.sparkContext.applicationId, [])
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return len(folders)

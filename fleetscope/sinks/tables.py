@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from fleetscope.schemas import table_schema
 
 VERSION = "version"
+# Fixed value: the folder that Spark writes rows without a partition value to.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _path(spark: SparkSession, location: str):
@@ -42,15 +44,15 @@ def open_table(
     return spark.read.schema(table_schema(name, partitions)).parquet(location)
 
 
-def open_partition(
-    spark: SparkSession, location: str, name: str, partition: str, value: object
+def open_partitions(
+    spark: SparkSession, location: str, name: str, partition: str, values: Sequence[object]
 ) -> DataFrame:
-    """The rows of one partition, without listing the others; empty if there is none."""
-    folder = f"{location}/{partition}={value}"
-    path, files = _path(spark, folder)
-    if not files.exists(path):
+    """The rows of some partitions, without listing the others; empty if there are none."""
+    folders = [f"{location}/{partition}={NO_VALUE if v is None else v}" for v in values]
+    present = [f for f in folders if _path(spark, f)[1].exists(_path(spark, f)[0])]
+    if not present:
         return spark.createDataFrame([], table_schema(name))
-    return spark.read.schema(table_schema(name)).parquet(folder)
+    return spark.read.schema(table_schema(name)).parquet(*present)
 
 
 def _laid_out(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:

@@ -54,7 +54,8 @@ def record_failed_jobs(
 ) -> None:
     """Append the failures that are not recorded yet, whatever their day.
 
-    A batch is compared with the partitions of its own days, so late rows and a backlog are kept.
+    A batch is compared with the partitions of its own days, all at once, so late rows and a
+    backlog are kept.
     """
     spark = history.sparkSession
     tables.create_folder(spark, location)
@@ -64,11 +65,9 @@ def record_failed_jobs(
         once = view.dropDuplicates(["server", "instance_id"]).persist()
         try:
             days = [r[0] for r in once.select(F.to_date("exec_date")).distinct().collect()]
-            for day in days:
-                recorded = failure_poll.recorded_failures(batch.sparkSession, location, day)
-                of_day = once.filter(F.to_date("exec_date").eqNullSafe(F.lit(day).cast("date")))
-                new = job_failures.failed_jobs_new(of_day, recorded)
-                failure_poll.record_failures(new, location, as_of)
+            recorded = failure_poll.recorded_failures(batch.sparkSession, location, days)
+            new = job_failures.failed_jobs_new(once, recorded)
+            failure_poll.record_failures(new, location, as_of)
         finally:
             once.unpersist()
 

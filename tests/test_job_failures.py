@@ -106,10 +106,10 @@ def test_record_reads_one_day_partition(spark, rows):
     location = fresh_folder(spark, "record")
     view = jf.failed_jobs_view(*inputs(rows, history_row(1)), DAY)
     failure_poll.record_failures(view, location, NOW)
-    day = failure_poll.recorded_failures(spark, location, DAY)
+    day = failure_poll.recorded_failures(spark, location, [DAY])
     assert day.columns == failure_poll.recorded_failures(spark, location).columns
     assert day.count() == 1 and all("exec_day=2024-01-15" in f for f in day.inputFiles())
-    assert failure_poll.recorded_failures(spark, location, dt.date(2024, 1, 16)).isEmpty()
+    assert failure_poll.recorded_failures(spark, location, [dt.date(2024, 1, 16)]).isEmpty()
 
 
 def test_flagship_bounds_reach_the_scan(spark, sf_dir):

@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -86,6 +87,13 @@ def test_cut_lineage_is_computed_once(spark):
     assert seen.value == 1000
 
 
+def test_cuts_are_deleted_on_request(spark):
+    cut = session.cut_lineage(spark.range(10))
+    folder = cut.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
+    assert session.drop_cuts(spark) >= 1 and not Path(folder).exists()
+    assert session.drop_cuts(spark) == 0
+
+
 def history_row(instance, status=0):
     return (instance, 1, 1, status, 20240115, 905, 10, 0, 0, "m", "S")
 
@@ -111,8 +119,12 @@ def test_failed_job_feed_adds_each_failure_once(spark, rows, tmp_path):
     late = (7, 1, 1, 0, 20240113, 905, 10, 0, 0, "m", "S")
     history(late, history_row(4)).write.mode("append").parquet(source)
     assert run(state) == [1, 3, 4, 7]
+    # so are rows without a time
+    undated = (8, 1, 1, 0, 0, 905, 10, 0, 0, "m", "S")
+    history(undated).write.mode("append").parquet(source)
+    assert run(state) == [1, 3, 4, 7, 8]
     # a feed that starts over sees everything again and adds nothing
-    assert run(fresh_folder(spark, "st")) == [1, 3, 4, 7]
+    assert run(fresh_folder(spark, "st")) == [1, 3, 4, 7, 8]
 
 
 def test_blocked_feed_keys_follow_over_batches(spark, rows, tmp_path):

@@ -560,7 +560,7 @@ def stream_failed_jobs(spark: SparkSession, d: str) -> DataFrame:
         fresh_folder(spark, "failed-jobs-state"),
         fx.AS_OF,
     )
-    return failure_poll.recorded_failures(spark, location, fx.RUN_DAY)
+    return failure_poll.recorded_failures(spark, location, [fx.RUN_DAY])
 
 
 @query
