@@ -13,6 +13,7 @@ from fleetscope.operators.keys import assign_keys
 from fleetscope.operators.paging import paged_text, text_lines
 from fleetscope.operators.spread import spread_lookup
 from fleetscope.schemas import OPEN_END
+from fleetscope.session import cut_lineage
 
 FIRST_RELEASE_ID = 1000
 DEFAULT_VERSION = "1.0"
@@ -131,7 +132,8 @@ def release_upsert(releases: DataFrame, source: DataFrame, as_of: dt.datetime) -
 
     A known script keeps its id, the stored spelling of its name and its first
     install time, everything else is replaced. A new script gets the next id in
-    ``seq`` order. Names are compared without case.
+    ``seq`` order. Names are compared without case. Both inputs are read and
+    joined once; the joined rows are written and serve both kinds of script.
     """
     now = clock.ntz(as_of)
     runs = _latest_run(source)
@@ -140,9 +142,10 @@ def release_upsert(releases: DataFrame, source: DataFrame, as_of: dt.datetime) -
         "error_message", "release_date",
     ]
     hit = F.col("_run").isNotNull()
-    change = runs.select("_script", F.struct(*replaced).alias("_run"))
-    known = releases.withColumn("_script", F.lower("script_name"))
-    kept = known.join(change, "_script", "left").select(
+    change = runs.select("_script", F.struct("seq", "script_name", *replaced).alias("_run"))
+    known = releases.withColumns({"_script": F.lower("script_name"), "_known": F.lit(True)})
+    both = cut_lineage(known.join(change, "_script", "full"))
+    kept = both.filter("_known").select(
         *[
             F.when(hit, F.col(f"_run.{c}")).otherwise(F.col(c)).alias(c)
             if c in replaced
@@ -152,8 +155,8 @@ def release_upsert(releases: DataFrame, source: DataFrame, as_of: dt.datetime) -
             for c in releases.columns
         ]
     )
-    new = runs.join(known.select("_script"), "_script", "left_anti")
-    keyed = assign_keys(new, "seq", "release_id", releases, first=FIRST_RELEASE_ID)
+    new = both.filter(F.col("_known").isNull()).select("_run.*")
+    keyed = assign_keys(new, "seq", "release_id", both, first=FIRST_RELEASE_ID)
     added = keyed.withColumns({"installed": now, "updated": now}).select(*releases.columns)
     return kept.unionByName(added)
 

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 16
+# A key with more than one in so many rows is spread; so at most this many keys are.
+PIECES = 1000
 
 
 def spread_lookup(
@@ -16,19 +18,33 @@ def spread_lookup(
     keys: Sequence[str],
     spread_by: str,
     how: str = "inner",
-    salts: int = SALTS,
+    pieces: int = PIECES,
 ) -> DataFrame:
     """Join ``rows`` to ``keyed``, which has one row per ``keys``.
 
     A table that was just aggregated on the join keys is not shuffled again for
     the join, and adaptive execution splits a hot key only between two fresh
-    shuffles. So the rows of a key are spread by a hash of the column
-    ``spread_by`` and the aggregated rows are repeated for each salt. Use it
+    shuffles. So the keys are counted (map-side combined, the rows' other columns
+    are not read for it), and those with more than one in ``pieces`` of all rows
+    get as many salts as they hold such parts: their rows are spread by a hash of
+    the column ``spread_by``, and their row of ``keyed`` is repeated for each salt.
+    All other keys are joined as they are. At most ``pieces`` keys can be hot,
+    which bounds the list that is broadcast. ``rows`` is evaluated twice. Use it
     where ``keyed`` is the result of an aggregation; ``how`` is inner, left,
     left_semi or left_anti.
     """
-    salted = rows.withColumn(
-        "_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
+    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    part = F.col("_n") * pieces / counts.agg(F.sum("_n")).scalar()
+    hot = counts.filter(part > 1).select(
+        *[F.col(k).alias(f"_hot_{k}") for k in keys], F.ceil(part).alias("_salts")
     )
-    repeated = keyed.withColumn("_salt", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+
+    def with_salts(df: DataFrame, salt: Column) -> DataFrame:
+        same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
+        marked = df.join(F.broadcast(hot), same, "left").withColumn("_salt", salt)
+        return marked.drop("_salts", *[f"_hot_{k}" for k in keys])
+
+    salts = F.coalesce("_salts", F.lit(1).cast("long"))
+    salted = with_salts(rows, F.pmod(F.xxhash64(spread_by), salts))
+    repeated = with_salts(keyed, F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")

@@ -109,10 +109,25 @@ def test_spread_lookup_equals_the_plain_join(spark):
         F.col("id").alias("n"), F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 40).alias("k")
     )
     keyed = spark.range(0, 40, 3).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    rows = rows.unionByName(spark.range(900).select(F.col("id").alias("n"), F.lit(None).cast("long").alias("k")))
     for how in ("inner", "left", "left_semi", "left_anti"):
         plain = rows.join(keyed, ["k"], how)
-        spread = spread_lookup(rows, keyed, ["k"], "n", how).select(*plain.columns)
-        assert spread.exceptAll(plain).isEmpty() and plain.exceptAll(spread).isEmpty()
+        for pieces in (1, 5, 1000):
+            spread = spread_lookup(rows, keyed, ["k"], "n", how, pieces).select(*plain.columns)
+            assert spread.exceptAll(plain).isEmpty() and plain.exceptAll(spread).isEmpty()
+    assert spread_lookup(rows.limit(0), keyed, ["k"], "n", "left").isEmpty()
+
+
+def test_only_hot_keys_are_repeated(spark):
+    """One key with half of 20,000 rows: it is repeated, the 10,000 others are not."""
+    rows = spark.range(20_000).select(
+        F.col("id").alias("n"), F.when(F.col("id") % 2 == 0, -1).otherwise(F.col("id")).alias("k")
+    )
+    keyed = rows.groupBy("k").agg(F.count("*").alias("v"))
+    with settings(spark, {**SMALL, "spark.sql.adaptive.enabled": "false"}):
+        joined = spread_lookup(rows, keyed, ["k"], "n")
+        assert joined.count() == 20_000
+        assert joined.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 4_500
 
 
 def test_hot_day_is_split_when_written(spark, tmp_path):
