@@ -4,12 +4,13 @@ Vectors are compared when their labels are equal and not null. Equal vectors of
 label are one node. A first neighbour graph comes from random projections: nodes
 with the same signs are compared, large groups along one projection. The graph is
 then refined: the neighbours of a node, forward and backward, are compared with
-each other, and every node keeps its best. A list whose last entry still reaches
-the threshold is saturated and doubles for the next round. Refinement ends when
-hardly a neighbour changes.
+each other, and every node keeps its best inside its component and its best outside.
+Refinement ends when hardly a neighbour changes and no components merge.
 
-Edges at the threshold or above form components. Inside each, all pairs are
-compared exactly, in blocks, so saturated nodes lose no link. A bounded sample of
+Every pair met at the threshold or above is a link, whatever the lists keep: a task
+returns its links as spanning edges, and these form the components. A list of
+neighbours outside the component thus never fills with links. Inside each component
+all pairs are compared exactly, in blocks. A bounded sample of
 nodes is compared with all others to audit the recall; while it is below
 ``recall``, more projections are added.
 
@@ -35,7 +36,6 @@ THRESHOLD = 0.93
 EXPLORE = 0.6
 NEIGHBOURS = 8
 TABLES = 12
-ROUNDS = 5
 #: Nodes with the same signs that are compared all with all.
 WINDOW = 256
 AUDIT = 200
@@ -53,29 +53,56 @@ def unit(column) -> np.ndarray:
     return x / np.sqrt((x * x).sum(1, keepdims=True))
 
 
-def _best(ids: np.ndarray, x: np.ndarray, keep: int, out: list) -> None:
-    """Adds for each row its ``keep`` nearest others at EXPLORE or above."""
+def _best(ids: np.ndarray, x: np.ndarray, threshold: float, known: np.ndarray, out: list, joined: list) -> None:
+    """Adds for each row its nearest others at EXPLORE or above, and all links of the rows as spanning edges.
+
+    ``known`` are the components so far. NEIGHBOURS rows of the own component and as many of others are
+    kept, so links inside a dense component crowd out no others.
+    """
     near = x @ x.T
     np.fill_diagonal(near, -2)
-    if near.shape[1] > keep:
-        part = np.argpartition(near, near.shape[1] - keep, axis=1)[:, -keep:]
-    else:
-        part = np.tile(np.arange(near.shape[1]), (len(near), 1))
-    value = np.take_along_axis(near, part, 1)
-    row, at = np.nonzero(value >= EXPLORE)
-    out.append((ids[row], ids[part[row, at]], value[row, at]))
-
-
-def _edges(found: list) -> pa.Table:
-    if not found:
-        return _EDGES.empty_table()
-    a, b, cosine = map(np.concatenate, zip(*found))
-    # One row for an edge, however often the task met it.
-    order = np.lexsort((b, a))
-    a, b, cosine = a[order], b[order], cosine[order]
-    new = np.ones(len(a), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    return pa.Table.from_arrays([pa.array(a[new]), pa.array(b[new]), pa.array(cosine[new])], schema=_EDGES)
+    match = near >= threshold - 1e-9
+    label = np.unique(known, return_inverse=True)[1].reshape(-1)
+    same = label[:, None] == label
+    if (match & ~same).any():
+        match |= same
+        label = np.arange(len(ids))
+        while True:
+            low = np.minimum(label, np.where(match, label[None, :], len(ids)).min(1))
+            low = low[low]
+            if (low == label).all():
+                break
+            label = low
+        # Each row with the first of its component: as connected as all its links.
+        new = np.flatnonzero(known != known[label])
+        joined.append((ids[new], ids[label[new]]))
+        same = label[:, None] == label
+    for side in (same, ~same):
+        value = np.where(side, near, -2)
+        part = np.tile(np.arange(len(ids)), (len(ids), 1))
+        if len(ids) > NEIGHBOURS:
+            part = np.argpartition(value, len(ids) - NEIGHBOURS, axis=1)[:, -NEIGHBOURS:]
+        value = np.take_along_axis(value, part, 1)
+        row, at = np.nonzero(value >= EXPLORE)
+        out.append((ids[row], ids[part[row, at]], value[row, at]))
+
+
+def _edges(found: list, joined: list) -> pa.Table:
+    """Edges with their cosine, and without one those that only say that their ends are connected by links."""
+    joined = [(a, b, np.full(len(a), np.nan)) for a, b in joined]
+    parts = []
+    for kind in (found, joined):
+        if not kind:
+            continue
+        a, b, cosine = map(np.concatenate, zip(*kind))
+        # One row for an edge, however often the task met it.
+        order = np.lexsort((b, a))
+        a, b, cosine = a[order], b[order], cosine[order]
+        new = np.ones(len(a), bool)
+        new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        columns = [pa.array(a[new]), pa.array(b[new]), pa.array(cosine[new], from_pandas=True)]
+        parts.append(pa.Table.from_arrays(columns, schema=_EDGES))
+    return pa.concat_tables(parts) if parts else _EDGES.empty_table()
 
 
 def _groups(*columns: np.ndarray) -> list[np.ndarray]:
@@ -88,7 +115,7 @@ def _groups(*columns: np.ndarray) -> list[np.ndarray]:
     return np.split(order, np.flatnonzero(new)[1:]) if len(order) else []
 
 
-def _first_graph(nodes: DataFrame, tables: range) -> DataFrame:
+def _first_graph(nodes: DataFrame, tables: range, threshold: float) -> DataFrame:
     """Edges between nodes with equal signs in one of the random projections.
 
     The number of signs follows the size of the label, so a group has about 32 nodes.
@@ -119,13 +146,14 @@ def _first_graph(nodes: DataFrame, tables: range) -> DataFrame:
 
     def search(key, rows):
         ids, along = rows.column("id").to_numpy(), rows.column("along").to_numpy()
-        found: list = []
+        found, joined = [], []
         for group in _groups(rows.column("bucket").to_numpy(), rows.column("dim").to_numpy(), rows.column("label").to_numpy()):
             group = group[np.argsort(along[group], kind="stable")]
             x = unit(rows.column("v").take(pa.array(group)))
             for k in range(0, max(1, len(group) - WINDOW // 2), WINDOW // 2):
-                _best(ids[group[k : k + WINDOW]], x[k : k + WINDOW], NEIGHBOURS, found)
-        return _edges(found)
+                some = ids[group[k : k + WINDOW]]
+                _best(some, x[k : k + WINDOW], threshold, some, found, joined)
+        return _edges(found, joined)
 
     ddl = "table int, label long, dim int, bucket long, id long, along double, v array<double>"
     # A task takes many small groups; the groups of one label and table are spread over tasks by their signs.
@@ -134,33 +162,35 @@ def _first_graph(nodes: DataFrame, tables: range) -> DataFrame:
     return spread.groupBy("table", "_pack").applyInArrow(search, _EDGES_DDL)
 
 
-def _lists(edges: DataFrame, room: DataFrame | None) -> DataFrame:
-    """The best neighbours of every node: NEIGHBOURS, or as many as ``room`` (id, keep) grants it."""
-    edges = edges.groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
-    order = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
-    ranked = edges.withColumn("rank", F.row_number().over(order))
-    if room is None:
-        return ranked.filter(F.col("rank") <= NEIGHBOURS)
-    kept = ranked.join(room.withColumnRenamed("id", "a"), "a", "left")
-    return kept.filter(F.col("rank") <= F.coalesce("keep", F.lit(NEIGHBOURS))).drop("keep")
+def _lists(edges: DataFrame, found: DataFrame) -> DataFrame:
+    """The NEIGHBOURS best neighbours of every node inside its component ``found`` so far, and as many outside."""
+    edges = edges.filter("cosine is not null").groupBy("a", "b").agg(F.max("cosine").alias("cosine"))
+    for end in ("a", "b"):
+        edges = edges.join(found.select(F.col("id").alias(end), F.col("component").alias(f"_{end}")), end, "left")
+    outside = F.coalesce("_a", "a") != F.coalesce("_b", "b")
+    return _nearest(edges.select("a", "b", "cosine", outside.alias("outside")))
+
 
+def _nearest(edges: DataFrame) -> DataFrame:
+    order = Window.partitionBy("a", "outside").orderBy(F.desc("cosine"), "b")
+    return edges.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= NEIGHBOURS).drop("_rank")
 
-def _neighbours_of_neighbours(lists: DataFrame, nodes: DataFrame, keep: int) -> DataFrame:
+
+def _neighbours_of_neighbours(lists: DataFrame, nodes: DataFrame, found: DataFrame, threshold: float) -> DataFrame:
     """Edges between the neighbours of each node, forward and backward."""
-    back = lists.select(F.col("b").alias("a"), F.col("a").alias("b"), "cosine")
-    order = Window.partitionBy("a").orderBy(F.desc("cosine"), "b")
-    back = back.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= keep)
+    back = _nearest(lists.select(F.col("b").alias("a"), F.col("a").alias("b"), "cosine", "outside"))
     both = lists.select("a", "b").unionByName(back.select("a", "b"))
     both = both.unionByName(both.select("a", F.col("a").alias("b"))).distinct()
-    rows = both.join(nodes.select(F.col("id").alias("b"), "v"), "b")
+    known = nodes.select("id", "v").join(found, "id", "left")
+    rows = both.join(known.select(F.col("id").alias("b"), "v", F.coalesce("component", "id").alias("known")), "b")
     packs = 64
 
     def run(key, rows):
-        at, ids = rows.column("a").to_numpy(), rows.column("b").to_numpy()
-        found: list = []
+        at, ids, known = (rows.column(c).to_numpy() for c in ("a", "b", "known"))
+        near, joined = [], []
         for group in _groups(at):
-            _best(ids[group], unit(rows.column("v").take(pa.array(group))), keep, found)
-        return _edges(found)
+            _best(ids[group], unit(rows.column("v").take(pa.array(group))), threshold, known[group], near, joined)
+        return _edges(near, joined)
 
     return rows.groupBy(F.pmod(F.xxhash64("a"), F.lit(packs)).alias("_pack")).applyInArrow(run, _EDGES_DDL)
 
@@ -173,22 +203,32 @@ def _cosines(threshold: float):
     return linked
 
 
-def _refined(nodes: DataFrame, edges: DataFrame, threshold: float, rounds: int) -> DataFrame:
-    lists, keep, room = cut_lineage(_lists(edges, None)), NEIGHBOURS, None
-    for _ in range(rounds):
-        before = lists.agg(F.count(F.lit(1)), F.sum("cosine")).first()
-        per_node = lists.groupBy(F.col("a").alias("id")).agg(F.count(F.lit(1)).alias("n"), F.min("cosine").alias("least"))
-        grown = per_node.filter((F.col("n") >= keep) & (F.col("least") >= threshold))
-        keep *= 2
-        room = grown.select("id", F.lit(keep).alias("keep"))
-        more = _neighbours_of_neighbours(lists, nodes, keep)
-        old = per_node.select("id", F.greatest(F.col("n"), F.lit(NEIGHBOURS)).cast("int").alias("keep"))
-        room = old.unionByName(room).groupBy("id").agg(F.max("keep").alias("keep"))
-        lists = cut_lineage(_lists(lists.select("a", "b", "cosine").unionByName(more), room))
-        after = lists.agg(F.count(F.lit(1)), F.sum("cosine")).first()
-        if not after[0] or (after[0] == before[0] and after[1] - before[1] <= 1e-3 * after[1]):
-            break
-    return lists
+def _joined(edges: DataFrame) -> DataFrame:
+    return edges.filter("cosine is null").select("a", "b")
+
+
+def _refined(nodes: DataFrame, edges: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The edges after refinement, and the components of all links found on the way."""
+    joined = cut_lineage(_joined(edges).distinct())
+    found = cut_lineage(components(joined))
+    lists = cut_lineage(_lists(edges, found))
+    while True:
+        while True:
+            before = lists.agg(F.count(F.lit(1)), F.sum("cosine")).first()
+            more = cut_lineage(_neighbours_of_neighbours(lists, nodes, found, threshold))
+            joined = joined.unionByName(_joined(more))
+            lists = cut_lineage(_lists(lists.select("a", "b", "cosine").unionByName(more), found))
+            after = lists.agg(F.count(F.lit(1)), F.sum("cosine")).first()
+            if not after[0] or (after[0] == before[0] and after[1] - before[1] <= 1e-3 * after[1]):
+                break
+        joined = cut_lineage(joined.distinct())
+        merged = cut_lineage(components(joined))
+        # Every node of a component but one stands for a merge.
+        merges = [c.agg(F.count(F.lit(1)) - F.countDistinct("component")).first()[0] for c in (found, merged)]
+        found = merged
+        if merges[0] == merges[1]:
+            return lists.select("a", "b", "cosine").unionByName(joined.withColumn("cosine", F.lit(None).cast("double"))), found
+        lists = cut_lineage(_lists(lists.select("a", "b", "cosine"), found))
 
 
 def audit(nodes: DataFrame, links: DataFrame, threshold: float, sample: int = AUDIT) -> float:
@@ -243,11 +283,9 @@ def near_duplicates(
     nodes = cut_lineage(nodes.select(F.col("node").alias("id"), "label", F.size("v").alias("dim"), "v", "weight", "low"))
     edges, tables = None, 0
     for _ in range(3):
-        more = _first_graph(nodes, range(tables, tables + TABLES))
+        more = cut_lineage(_first_graph(nodes, range(tables, tables + TABLES), threshold))
         tables += TABLES
-        edges = _refined(nodes, more if edges is None else edges.select("a", "b", "cosine").unionByName(more), threshold, ROUNDS)
-        close = edges.filter(F.col("cosine") >= threshold - 1e-9).select("a", "b")
-        found = components(close)
+        edges, found = _refined(nodes, more if edges is None else edges.unionByName(more), threshold)
         members = nodes.join(found, "id").select("component", F.col("id").alias("node"), "weight", "v")
         compared = cut_lineage(compare_members(members, _cosines(threshold), ["v"]))
         links = compared.groupBy(F.col("node").alias("id")).agg(F.sum("links").alias("links"))

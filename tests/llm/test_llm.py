@@ -225,6 +225,17 @@ def test_nn_descent(vectors):
             assert (got[i]["n_links"], got[i]["component_id"], got[i]["kept"]) == (0, i, True)
 
 
+def test_nn_descent_joins_dense_groups(spark):
+    """Two groups whose links to each other are weaker than those to over 256 of their own."""
+    rng = np.random.default_rng(3)
+    centres = np.zeros((2, 32))
+    centres[0, 0], centres[1, :2] = 1, (0.945, (1 - 0.945**2) ** 0.5)
+    x = np.repeat(centres, 300, 0) + 0.003 * rng.standard_normal((600, 32))
+    data = spark.createDataFrame([(i, 1, v) for i, v in enumerate(x.tolist())], "vec_id long, label long, embedding array<double>")
+    got = nn_descent.near_duplicates(data).collect()
+    assert {(r["n_links"], r["component_id"]) for r in got} == {(599, 0)}
+
+
 def test_mtree(vectors):
     rows = [(i, np.floor(256 * np.array(v, float))) for i, v in rows_of(vectors, "vec_id", "embedding") if usable(v, True)]
     want = []
