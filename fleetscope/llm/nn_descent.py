@@ -36,6 +36,9 @@ THRESHOLD = 0.93
 EXPLORE = 0.6
 NEIGHBOURS = 8
 TABLES = 12
+#: Rows with their vectors that a refining task holds at most, about, and the fewest packs they are cut into.
+PACK_ROWS = 20_000
+PACKS = 64
 #: Nodes with the same signs that are compared all with all.
 WINDOW = 256
 AUDIT = 200
@@ -115,6 +118,10 @@ def _groups(*columns: np.ndarray) -> list[np.ndarray]:
     return np.split(order, np.flatnonzero(new)[1:]) if len(order) else []
 
 
+def _packs(rows: int) -> int:
+    return max(PACKS, -(-rows // PACK_ROWS))
+
+
 def _first_graph(nodes: DataFrame, tables: range, threshold: float) -> DataFrame:
     """Edges between nodes with equal signs in one of the random projections.
 
@@ -157,7 +164,7 @@ def _first_graph(nodes: DataFrame, tables: range, threshold: float) -> DataFrame
 
     ddl = "table int, label long, dim int, bucket long, id long, along double, v array<double>"
     # A task takes many small groups; the groups of one label and table are spread over tasks by their signs.
-    pack = F.pmod(F.xxhash64("table", "label", "bucket"), F.lit(64))
+    pack = F.pmod(F.xxhash64("table", "label", "bucket"), F.lit(_packs(nodes.count())))
     spread = sized.mapInArrow(project, ddl).withColumn("_pack", pack)
     return spread.groupBy("table", "_pack").applyInArrow(search, _EDGES_DDL)
 
@@ -181,9 +188,10 @@ def _neighbours_of_neighbours(lists: DataFrame, nodes: DataFrame, found: DataFra
     back = _nearest(lists.select(F.col("b").alias("a"), F.col("a").alias("b"), "cosine", "outside"))
     both = lists.select("a", "b").unionByName(back.select("a", "b"))
     both = both.unionByName(both.select("a", F.col("a").alias("b"))).distinct()
+    both = cut_lineage(both)
+    packs = _packs(both.count())
     known = nodes.select("id", "v").join(found, "id", "left")
     rows = both.join(known.select(F.col("id").alias("b"), "v", F.coalesce("component", "id").alias("known")), "b")
-    packs = 64
 
     def run(key, rows):
         at, ids, known = (rows.column(c).to_numpy() for c in ("a", "b", "known"))

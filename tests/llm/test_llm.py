@@ -236,6 +236,10 @@ def test_nn_descent_joins_dense_groups(spark):
     assert {(r["n_links"], r["component_id"]) for r in got} == {(599, 0)}
 
 
+def test_nn_descent_packs_follow_the_rows():
+    assert all(rows / nn_descent._packs(rows) <= nn_descent.PACK_ROWS for rows in (0, 10**6, 10**7, 25 * 10**7))
+
+
 def test_mtree(vectors):
     rows = [(i, np.floor(256 * np.array(v, float))) for i, v in rows_of(vectors, "vec_id", "embedding") if usable(v, True)]
     want = []
