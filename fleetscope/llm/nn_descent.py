@@ -10,9 +10,14 @@ Refinement ends when hardly a neighbour changes and no components merge.
 Every pair met at the threshold or above is a link, whatever the lists keep: a task
 returns its links as spanning edges, and these form the components. A list of
 neighbours outside the component thus never fills with links. Inside each component
-all pairs are compared exactly, in blocks. A bounded sample of
-nodes is compared with all others to audit the recall; while it is below
-``recall``, more projections are added.
+all pairs are compared exactly, in blocks.
+
+The number of projections follows the number of signs, so that a pair at the
+threshold shares a group with probability ``FOUND`` in any label's size. An audit
+draws nodes that fresh projections have links for, of every group size, compares
+them with all others, and takes the mean share of found links per node. The fresh
+links always join the result; while a group size is below ``recall``, refinement
+goes on from them, and after ``ATTEMPTS`` the operator fails.
 
 Vectors that are null, empty, of length zero, or hold null or non-finite
 components, and vectors without a label, link with nothing. Vectors of different
@@ -22,6 +27,8 @@ never a component's id unless all ids are null. Extra columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,14 +42,19 @@ THRESHOLD = 0.93
 #: Neighbours below this cosine lead to none at the threshold and are not kept.
 EXPLORE = 0.6
 NEIGHBOURS = 8
+#: Fewest projections, and the probability that one of them at least brings a pair at the threshold together.
 TABLES = 12
+FOUND = 0.99
 #: Rows with their vectors that a refining task holds at most, about, and the fewest packs they are cut into.
 PACK_ROWS = 20_000
 PACKS = 64
 #: Nodes with the same signs that are compared all with all.
 WINDOW = 256
+#: Nodes audited of each group size, about, and those compared at once.
 AUDIT = 200
+AUDIT_BLOCK = 500
 RECALL = 0.95
+ATTEMPTS = 6
 
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("cosine", pa.float64())])
 _EDGES_DDL = "a long, b long, cosine double"
@@ -122,8 +134,14 @@ def _packs(rows: int) -> int:
     return max(PACKS, -(-rows // PACK_ROWS))
 
 
-def _first_graph(nodes: DataFrame, tables: range, threshold: float) -> DataFrame:
-    """Edges between nodes with equal signs in one of the random projections.
+def _tables(bits: int, threshold: float) -> int:
+    """Projections of so many signs after which a pair at the threshold has shared all signs with probability FOUND."""
+    equal = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** bits
+    return TABLES if equal >= FOUND else max(TABLES, math.ceil(math.log(1 - FOUND) / math.log1p(-equal)))
+
+
+def _first_graph(nodes: DataFrame, attempt: int, threshold: float) -> DataFrame:
+    """Edges between nodes with equal signs in one of the random projections of the attempt.
 
     The number of signs follows the size of the label, so a group has about 32 nodes.
     """
@@ -139,15 +157,21 @@ def _first_graph(nodes: DataFrame, tables: range, threshold: float) -> DataFrame
                 rows = np.flatnonzero(dims == dim)
                 part = batch.take(pa.array(rows))
                 x = unit(part.column(3))
-                for t in tables:
-                    most = int(bits[rows].max())
-                    plane = np.random.default_rng((t, dim)).standard_normal((dim, most + 1))
-                    y = x @ plane
-                    sign = (y[:, :most] > 0) & (np.arange(most) < bits[rows][:, None])
-                    bucket = sign @ (1 << np.arange(most, dtype=np.int64)) if most else np.zeros(len(rows), np.int64)
+                own, tables = bits[rows], np.zeros(len(rows), np.int32)
+                for n in np.unique(own).tolist():
+                    tables[own == n] = _tables(n, threshold)
+                most = int(own.max())
+                for t in range(tables.max()):
+                    some = np.flatnonzero(tables > t)
+                    there = part.take(pa.array(some))
+                    # The last column orders the nodes of a group.
+                    plane = np.random.default_rng((attempt, t, dim)).standard_normal((dim, 64))
+                    y = x[some] @ plane[:, [*range(most), 63]]
+                    sign = (y[:, :most] > 0) & (np.arange(most) < own[some][:, None])
+                    bucket = sign @ (1 << np.arange(most, dtype=np.int64)) if most else np.zeros(len(some), np.int64)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(rows), t, np.int32)), part.column(1), part.column(2), pa.array(bucket), part.column(0),
-                         pa.array(y[:, most]), part.column(3)],
+                        [pa.array(np.full(len(some), t, np.int32)), there.column(1), there.column(2), pa.array(bucket),
+                         there.column(0), pa.array(y[:, most]), there.column(3)],
                         schema=schema,
                     )
 
@@ -239,37 +263,56 @@ def _refined(nodes: DataFrame, edges: DataFrame, threshold: float) -> tuple[Data
         lists = cut_lineage(_lists(lists.select("a", "b", "cosine"), found))
 
 
-def audit(nodes: DataFrame, links: DataFrame, threshold: float, sample: int = AUDIT) -> float:
-    """Share of the true links of a bounded sample of nodes that ``links`` (id, links) has found.
+def audit(nodes: DataFrame, found: DataFrame, merged: DataFrame, fresh: DataFrame, threshold: float, sample: int = AUDIT) -> float:
+    """The least recall of a group size: the mean over audited nodes of the share of their true links inside ``found``.
 
-    The sample's vectors are broadcast, and every node is compared with all of them.
+    Audited are about ``sample`` nodes of each group size (powers of two) with links in ``fresh``, which
+    ``found`` (id, component) does not know, and as many of all nodes. Sizes are those of the components
+    ``merged`` of both. The sample's vectors are broadcast, and every node is compared with all of them.
     """
-    chosen = nodes.orderBy(F.xxhash64("id"), "id").limit(sample).select("id", "label", "dim", "v").collect()
+    sizes = merged.groupBy("component").agg(F.floor(F.log2(F.count(F.lit(1)))).cast("int").alias("size"))
+    ends = fresh.select(F.col("a").alias("id")).unionByName(fresh.select(F.col("b").alias("id"))).distinct()
+    ends = ends.join(merged, "id").join(sizes, "component").select("id", "size")
+    ends = ends.unionByName(nodes.select("id", F.lit(-1).alias("size")))
+    counts = {r["size"]: r["n"] for r in ends.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = F.lit(0.0)
+    for size, n in counts.items():
+        share = F.when(F.col("size") == size, F.lit(sample / n)).otherwise(share)
+    drawn = ends.filter(F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1 << 30)) / F.lit(float(1 << 30)) < share)
+    known = nodes.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    drawn = drawn.groupBy("id").agg(F.collect_set("size").alias("sizes")).join(known, "id")
+    chosen = drawn.select("id", "sizes", "label", "dim", "v", "component").collect()  # some sample a size
     groups: dict = {}
     for r in chosen:
         groups.setdefault((r["label"], r["dim"]), []).append(r)
-    held = nodes.sparkSession.sparkContext.broadcast(
-        {k: (np.array([r["id"] for r in v]), unit(pa.array([r["v"] for r in v]))) for k, v in groups.items()}
-    )
-    schema = pa.schema([("id", pa.int64()), ("links", pa.int64())])
+    blocks = [(k, v[i : i + AUDIT_BLOCK]) for k, v in groups.items() for i in range(0, len(v), AUDIT_BLOCK)]
+    held = nodes.sparkSession.sparkContext.broadcast([
+        (*k, np.array([r["id"] for r in v]), np.array([r["component"] for r in v]), unit(pa.array([r["v"] for r in v])))
+        for k, v in blocks
+    ])
+    schema = pa.schema([("id", pa.int64()), ("true", pa.int64()), ("found", pa.int64())])
 
     def run(batches):
         for batch in batches:
-            labels, dims = batch.column(1).to_numpy(), batch.column(2).to_numpy()
-            ids, weight = batch.column(0).to_numpy(), batch.column(4).to_numpy()
-            for (label, dim), (own, x) in held.value.items():
+            ids, labels, dims, weight, component = (batch.column(i).to_numpy() for i in (0, 1, 2, 4, 5))
+            for label, dim, own, inside, x in held.value:
                 rows = np.flatnonzero((labels == label) & (dims == dim))
                 if len(rows):
                     near = x @ unit(batch.column(3).take(pa.array(rows))).T >= threshold
                     near &= own[:, None] != ids[rows]
-                    n = near @ weight[rows]
-                    yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(n)], schema=schema)
+                    both = near & (inside[:, None] == component[rows])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(own), pa.array(near @ weight[rows]), pa.array(both @ weight[rows])], schema=schema
+                    )
 
-    true = nodes.select("id", "label", "dim", "v", "weight").mapInArrow(run, "id long, links long")
-    true = true.groupBy("id").agg(F.sum("links").alias("true"))
-    both = true.join(links, "id", "left").agg(F.sum("true").alias("t"), F.sum(F.least("true", F.coalesce("links", F.lit(0)))).alias("f"))
-    row = both.first()
-    return 1.0 if not row["t"] else row["f"] / row["t"]
+    compared = known.select("id", "label", "dim", "v", "weight", "component").mapInArrow(run, "id long, true long, found long")
+    compared = compared.groupBy("id").agg(F.sum("true").alias("true"), F.sum("found").alias("found"))
+    shares = {r["id"]: r["found"] / r["true"] for r in compared.filter(F.col("true") > 0).collect()}
+    by_size: dict[int, list[float]] = {}
+    for r in chosen:
+        for size in r["sizes"] if r["id"] in shares else ():
+            by_size.setdefault(size, []).append(shares[r["id"]])
+    return min((sum(v) / len(v) for v in by_size.values()), default=1.0)
 
 
 def near_duplicates(
@@ -289,16 +332,21 @@ def near_duplicates(
     good = rows.filter("ok").withColumn("node", F.xxhash64("label", "v"))
     nodes = good.groupBy("node", "label", "v").agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("low"))
     nodes = cut_lineage(nodes.select(F.col("node").alias("id"), "label", F.size("v").alias("dim"), "v", "weight", "low"))
-    edges, tables = None, 0
-    for _ in range(3):
-        more = cut_lineage(_first_graph(nodes, range(tables, tables + TABLES), threshold))
-        tables += TABLES
-        edges, found = _refined(nodes, more if edges is None else edges.unionByName(more), threshold)
-        members = nodes.join(found, "id").select("component", F.col("id").alias("node"), "weight", "v")
-        compared = cut_lineage(compare_members(members, _cosines(threshold), ["v"]))
-        links = compared.groupBy(F.col("node").alias("id")).agg(F.sum("links").alias("links"))
-        if audit(nodes, links, threshold) >= recall:
+    edges, attempt = cut_lineage(_first_graph(nodes, 0, threshold)), 0
+    while True:
+        edges, found = _refined(nodes, edges, threshold)
+        attempt += 1
+        fresh = cut_lineage(_first_graph(nodes, attempt, threshold))
+        merged = cut_lineage(components(_joined(edges).unionByName(_joined(fresh))))
+        reached = audit(nodes, found, merged, _joined(fresh), threshold)
+        if reached >= recall:
             break
+        if attempt == ATTEMPTS:
+            raise RuntimeError(f"recall of {reached:.3f} instead of {recall} after {attempt} attempts")
+        edges = edges.unionByName(fresh)
+    members = nodes.join(merged, "id").select("component", F.col("id").alias("node"), "weight", "v")
+    compared = cut_lineage(compare_members(members, _cosines(threshold), ["v"]))
+    links = compared.groupBy(F.col("node").alias("id")).agg(F.sum("links").alias("links"))
     joined = components(compared.filter("links > 0").select(F.col("node").alias("a"), F.col("root").alias("b")))
     known = nodes.select("id", "label", "v", "weight", "low").join(links, "id", "left").join(joined, "id", "left")
     known = known.withColumn("component", F.coalesce("component", "id"))

@@ -240,6 +240,30 @@ def test_nn_descent_packs_follow_the_rows():
     assert all(rows / nn_descent._packs(rows) <= nn_descent.PACK_ROWS for rows in (0, 10**6, 10**7, 25 * 10**7))
 
 
+def test_nn_descent_tables_follow_the_signs():
+    for bits in (0, 5, 15, 18, 25):
+        equal = (1 - np.arccos(0.93) / np.pi) ** bits
+        assert 1 - (1 - equal) ** nn_descent._tables(bits, 0.93) >= 0.99
+
+
+def test_nn_descent_audit_sees_rare_pairs(spark):
+    """Six pairs among 3,000 vectors, and none of them found."""
+    x = np.random.default_rng(5).standard_normal((3000, 32))
+    x[-6:] = x[:6] + 0.05 * x[6:12]
+    nodes = spark.createDataFrame([(i, 1, 32, v, 1) for i, v in enumerate(x.tolist())], "id long, label long, dim int, v array<double>, weight long")
+    found = spark.createDataFrame([], "id long, component long")
+    fresh = nn_descent._joined(nn_descent._first_graph(nodes, 1, 0.93))
+    merged = nn_descent.components(fresh)
+    assert nn_descent.audit(nodes, found, merged, fresh, 0.93) == 0
+    assert nn_descent.audit(nodes, merged, merged, fresh, 0.93) >= 0.95
+
+
+def test_nn_descent_fails_below_its_recall(spark, vectors, monkeypatch):
+    monkeypatch.setattr(nn_descent, "ATTEMPTS", 1, raising=False)
+    with pytest.raises(RuntimeError, match="recall"):
+        nn_descent.near_duplicates(vectors, recall=1.01)
+
+
 def test_mtree(vectors):
     rows = [(i, np.floor(256 * np.array(v, float))) for i, v in rows_of(vectors, "vec_id", "embedding") if usable(v, True)]
     want = []
