@@ -18,8 +18,8 @@ The scan knows two kinds of matches:
   send their bytes to the hash range, where their windows are compared one by one.
 
 Inside a batch, equal runs are matched before anything is sent, so a passage that
-many documents share is one entry per batch. Fingerprints of runs have 96 bits,
-those of windows 64 within a range.
+many documents share is one entry per batch. Runs of one anchor are told apart by a
+64-bit mark of their bytes, windows by 64 bits within a range.
 
 Null texts are empty. Documents under ``LENGTH`` bytes lose nothing. Rows with one
 id do not take from each other; a null id counts as larger than all others. Extra
@@ -41,7 +41,7 @@ LENGTH = 50
 GRAM = 32
 #: Window starts that can share an anchor at most.
 REACH = LENGTH - GRAM + 1
-#: Bytes of text in a batch; bytes of entries in a hash range, at 12 an entry.
+#: Bytes of text in a batch; bytes of entries in a hash range, at 16 an entry.
 BATCH_BYTES = 6 << 20
 RANGE_BYTES = 10 << 20
 ENTRIES_PER_BYTE = 0.1
@@ -84,7 +84,7 @@ class Runs:
         np.add.at(valid, ends[long] - LENGTH + 1, -1)
         valid = np.cumsum(valid, dtype=np.int8).astype(bool)
         parts = [self._slice(raw, valid, a) for a in range(0, len(raw) - 64, _SLICE)]
-        parts = parts or [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint32))]
+        parts = parts or [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64))]
         self.first, self.last, self.anchor, self.print = map(np.concatenate, zip(*parts))
         self.whole = whole(self.anchor, self.print)
         self.doc = np.searchsorted(starts, self.first, side="right") - 1
@@ -120,12 +120,12 @@ class Runs:
         np.cumsum(_BYTE[piece] * _UP[: len(piece)], out=sums[1:])
         mark = (sums[last + LENGTH] - sums[first]) * _DOWN[first] + (last - first).astype(np.uint64)
         # Smallest hashes crowd near zero; scrambled again they spread over the ranges.
-        return first + a, last + a, mix64(low[begin]), (mix64(mark) >> np.uint64(32)).astype(np.uint32)
+        return first + a, last + a, mix64(low[begin]), mix64(mark)
 
 
 def whole(anchor: np.ndarray, mark: np.ndarray) -> np.ndarray:
     """One number for anchor and fingerprint together."""
-    return mix64(anchor + mark.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return mix64(anchor + mark * np.uint64(0x9E3779B97F4A7C15))
 
 
 class Family:
@@ -172,7 +172,7 @@ class Family:
     def asked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Batch, anchor and fingerprint of the entries whose windows have to be compared."""
         chosen = [[level[c][level["asked"]] for level in self.levels] for c in ("batch", "anchor", "mark")]
-        empty = (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint32))
+        empty = (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.uint64))
         return tuple(np.concatenate([e, *c]) for e, c in zip(empty, chosen))
 
 
@@ -256,7 +256,7 @@ def _scan(key, rows):
     batches = rows.column("batch").to_numpy()
     for i in np.argsort(batches, kind="stable").tolist():
         anchor = np.frombuffer(rows.column("anchor")[i].as_py(), np.uint64)
-        mark = np.frombuffer(rows.column("mark")[i].as_py(), np.uint32)
+        mark = np.frombuffer(rows.column("mark")[i].as_py(), np.uint64)
         anchor, mark = family.add(int(batches[i]), anchor, mark)
         if len(anchor):
             out.append((int(batches[i]), SEEN, anchor.tobytes(), mark.tobytes()))
@@ -273,7 +273,7 @@ def _flagged(flags: pa.Table, kind: int) -> np.ndarray:
     """Sorted numbers of the runs flagged so."""
     chosen = [i for i, k in enumerate(flags.column("kind").to_pylist()) if k == kind]
     found = [
-        whole(np.frombuffer(flags.column("anchor")[i].as_py(), np.uint64), np.frombuffer(flags.column("mark")[i].as_py(), np.uint32))
+        whole(np.frombuffer(flags.column("anchor")[i].as_py(), np.uint64), np.frombuffer(flags.column("mark")[i].as_py(), np.uint64))
         for i in chosen
     ]
     return np.sort(np.concatenate([np.zeros(0, np.uint64), *found]))
@@ -455,7 +455,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", car
     rows = docs.select(F.col(key).cast("long").alias("id"), order.alias("order"), carry.alias("carry"), F.col(text).alias("text"))
     rows, total = _batches(rows)
     bits = 4
-    while (RANGE_BYTES << bits) < total * ENTRIES_PER_BYTE * 12:
+    while (RANGE_BYTES << bits) < total * ENTRIES_PER_BYTE * 16:
         bits += 1
     texts = _packed(rows.select("batch", "id", "order", "carry", "text")).groupBy("batch")
     entries = texts.applyInArrow(_entries(bits), "range long, batch long, anchor binary, mark binary")

@@ -402,6 +402,16 @@ def test_repeats_over_many_batches(spark, monkeypatch, batch_bytes):
     check_cut(table(spark, "/root/testdata/sf0.001", "documents"))
 
 
+def test_marks_of_many_runs_differ():
+    """As many different runs as one frequent passage has contexts; 32 bits would make some of them equal."""
+    n = 300_000
+    text = np.random.default_rng(9).integers(97, 123, (n, suffix_dedup.LENGTH), np.uint8)
+    raw = np.concatenate([text.reshape(-1), np.zeros(64, np.uint8)])
+    starts = np.arange(n) * suffix_dedup.LENGTH
+    runs = suffix_dedup.Runs(raw, starts, starts + suffix_dedup.LENGTH)
+    assert len(runs.first) == n == len(np.unique(runs.print))
+
+
 # --- The pipeline ----------------------------------------------------------------------
 
 
