@@ -275,6 +275,22 @@ def test_mtree(vectors):
     assert sorted(rows_of(got, "query_id", "rank", "vec_id", "score")) == sorted(want)
 
 
+def test_mtree_keeps_rows_of_repeated_ids(spark):
+    """Copies of a query, of its best hit, and an id with two vectors of one score are rows of their own."""
+    rng = np.random.default_rng(4)
+    x = (rng.standard_normal((300, 4))).tolist()
+    rows = [(i, v) for i, v in enumerate(x)]
+    rows += [(50, x[50])] * 5 + [(51, x[50]), (50, x[3]), (100, x[9])]
+    rows += [(7, [4 * c for c in x[150]])] * 5 + [(400, [1.0, 0, 0, 0]), (401, [0, 1.0, 0, 0]), (401, [1.0, 0, 0, 0])]
+    data = spark.createDataFrame([(i, [float(c) for c in v]) for i, v in rows], "vec_id long, embedding array<double>")
+    want, floored = [], [(i, np.floor(256 * np.array(v, float))) for i, v in rows]
+    for query in {i for i, _ in rows if i % 50 == 0}:
+        scored = sorted((-int(q @ v), j) for i, q in floored if i == query for j, v in floored if j != query)
+        want += [(query, rank + 1, j, -score) for rank, (score, j) in enumerate(scored[:5])]
+    got = mtree.top_k(data, F.col("vec_id") % 50 == 0)
+    assert sorted(rows_of(got, "query_id", "rank", "vec_id", "score")) == sorted(want)
+
+
 def test_mtree_passes_pages_over():
     rng = np.random.default_rng(2)
     x = np.floor(rng.standard_normal((40, 1, 16)) * 900 + rng.standard_normal((40, 100, 16)) * 20).reshape(-1, 16)
