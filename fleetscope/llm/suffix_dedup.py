@@ -2,9 +2,9 @@
 
 A byte goes if a string of ``LENGTH`` bytes that covers it also starts in a
 document with a smaller id. Documents are taken in batches of consecutive ids,
-and each batch gets a sparse suffix array: of every ``LENGTH``-byte window only
-the suffix at its *anchor* counts, the ``GRAM``-byte string with the smallest
-hash in it. Equal windows have equal anchors, and neighbouring windows mostly
+and each batch gets a sorted array, by hashes and not by suffixes: of every
+``LENGTH``-byte window only its *anchor* counts, the ``GRAM``-byte string with the
+smallest hash in it. Equal windows have equal anchors, and neighbouring windows mostly
 share one, so a window run of one anchor (about 10 windows) is one entry, sorted
 by the anchor's hash, with a fingerprint of all the bytes that its windows cover.
 
