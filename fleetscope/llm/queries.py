@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetscope.llm import (
-    bpe, langid, mixing, mtree, ngram_join, nn_descent, quality, suffix_dedup, token_codes, url_filter,
+    bpe, langid, mixing, mtree, ngram_join, nn_descent, quality, spelling, suffix_dedup, token_alignment, token_codes,
+    url_filter, warc,
 )
 from fleetscope.llm.common import ship_package, table
 from fleetscope.session import fresh_folder
@@ -160,3 +161,24 @@ def op10_bpe(spark: SparkSession, d: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op11_spelling(spark: SparkSession, d: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, d, "documents"), one_in=199))
+
+
+@query
+def op12_warc(spark: SparkSession, d: str) -> DataFrame:
+    folder = fresh_folder(spark, "warc")
+    warc.write(table(spark, d, "pages"), folder)
+    found = warc.read(spark, folder, with_payload=False)
+    return found.select(
+        F.col("row_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@query
+def op13_alignment(spark: SparkSession, d: str) -> DataFrame:
+    sides = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return token_alignment.align_tokens(token_alignment.code(table(spark, d, "documents"), *sides))
