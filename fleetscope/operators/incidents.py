@@ -33,6 +33,13 @@ GRAPH_LEAD = (
 )
 GRAPH_ENTITIES = ("&#x0A;", "&#x20;")
 
+# How the rendered tables look.
+TABLE_STYLE = 'class="incident" rules="all"'
+
+# Names of databases that may be broadcast, and ids in one part of a server's dictionary.
+MAX_NAMES = 1 << 18
+PART_IDS = 256
+
 _PROCESS = (
     "array<struct<process: array<struct<`_spid`: string, `_currentdb`: string, "
     + ", ".join(f"`_{a}`: string" for a in BLOCKED_ATTRIBUTES)
@@ -75,24 +82,22 @@ def with_processes(reports: DataFrame) -> DataFrame:
     ).drop("_doc")
 
 
-def process_rows(reports: DataFrame) -> DataFrame:
-    """One row per process in each report, with the raw database id.
+def process_list(reports: DataFrame) -> DataFrame:
+    """Reports with the array ``processes``: blocked processes first, then blocking ones, in document order.
 
-    The blocking side has no wait time, transaction or lock mode. ``position``
-    counts blocked processes first, then blocking ones, in document order.
+    The blocking side has no wait time, transaction or lock mode.
     """
 
-    def tagged(nature: str, rank: int, processes: Column, attributes) -> Column:
-        def row(process: Column, index: Column) -> Column:
+    def tagged(nature: str, processes: Column, attributes) -> Column:
+        def row(process: Column) -> Column:
             values = [
                 (F.coalesce(process[f"_{a}"], F.lit("")) if a in attributes else F.lit("")).alias(
-                    a
+                    "lock_mode" if a == "lockMode" else a
                 )
                 for a in BLOCKED_ATTRIBUTES
             ]
             return F.struct(
                 F.lit(nature).alias("nature"),
-                (index + rank).alias("position"),
                 *values,
                 process["_currentdb"].try_cast("long").alias("database_id"),
                 F.coalesce(F.get(process["inputbuf"], F.lit(0)), F.lit("")).alias("inputbuf"),
@@ -100,55 +105,93 @@ def process_rows(reports: DataFrame) -> DataFrame:
 
         return F.transform(processes, row)
 
-    rows = F.concat(
-        tagged("Blocked", 0, F.col("blocked"), BLOCKED_ATTRIBUTES),
-        tagged("BlockedBy", F.size("blocked"), F.col("blocking"), BLOCKING_ATTRIBUTES),
+    both = F.concat(
+        tagged("Blocked", F.col("blocked"), BLOCKED_ATTRIBUTES),
+        tagged("BlockedBy", F.col("blocking"), BLOCKING_ATTRIBUTES),
     )
-    return (
-        with_processes(reports)
-        .select("event_id", "server", F.explode(rows).alias("row"))
-        .select("event_id", "server", "row.*")
-        .withColumnRenamed("lockMode", "lock_mode")
+    return with_processes(reports).withColumn("processes", both)
+
+
+def process_rows(reports: DataFrame) -> DataFrame:
+    """One row per process in each report, with its ``position`` in the list and the raw database id."""
+    rows = reports if "processes" in reports.columns else process_list(reports)
+    return rows.select("event_id", "server", F.posexplode("processes").alias("position", "row")).select(
+        "event_id", "server", "position", "row.*"
     )
 
 
-def database_name_lookup(rows: DataFrame, databases: DataFrame) -> DataFrame:
-    """Add the name of ``database_id`` on its server as ``currentdb``, empty for an unknown id."""
-    names = databases.select("server", "database_id", F.col("name").alias("currentdb"))
-    return rows.join(names, ["server", "database_id"], "left").withColumn(
-        "currentdb", F.coalesce("currentdb", F.lit(""))
+def server_dictionaries(databases: DataFrame) -> DataFrame:
+    """One row per server with ``names``: part of the ids -> id -> name.
+
+    A look-up in a map compares key by key, so the ids of a server are split into
+    parts of PART_IDS: one with many databases costs two short searches. A server has at most as many
+    databases as its engine allows (32,767), so a row is bounded. Of several names of an id the largest counts.
+    """
+    one = databases.filter(F.col("database_id").isNotNull()).groupBy("server", "database_id").agg(F.max("name").alias("name"))
+    part = F.floor(F.col("database_id") / PART_IDS).alias("part")
+    parts = one.groupBy("server", part).agg(
+        F.map_from_entries(F.collect_list(F.struct("database_id", "name"))).alias("ids")
     )
+    return parts.groupBy("server").agg(F.map_from_entries(F.collect_list(F.struct("part", "ids"))).alias("names"))
+
+
+def database_name_lookup(
+    reports: DataFrame, databases: DataFrame, max_names: int = MAX_NAMES
+) -> DataFrame:
+    """Reports with the array ``processes``, each with the name of its database on its server as ``currentdb``.
+
+    The name of an unknown id is empty. The names are looked up inside the list, in the server's
+    dictionary, so reports are neither exploded nor shuffled. Dictionaries are broadcast
+    up to ``max_names`` names, which are counted first; beyond that, ids and names meet in a shuffle of the narrow
+    columns, and the lists of names are joined to the reports.
+    """
+    listed = process_list(reports)
+    few = databases.limit(max_names + 1).count() <= max_names
+
+    def named(name_of) -> Column:
+        return F.transform(
+            "processes",
+            lambda p, i: p.withField("currentdb", F.coalesce(name_of(p, i), F.lit(""))),
+        )
+
+    if few:
+        rows = listed.join(F.broadcast(server_dictionaries(databases)), "server", "left")
+
+        def in_dictionary(process: Column, _: Column) -> Column:
+            part = F.floor(process["database_id"] / PART_IDS)
+            return F.try_element_at(F.try_element_at(F.col("names"), part), process["database_id"])
+
+        return rows.withColumn("processes", named(in_dictionary)).drop("names")
+    asked = listed.select("event_id", "server", F.posexplode("processes.database_id").alias("position", "database_id"))
+    names = databases.groupBy("server", "database_id").agg(F.max("name").alias("name"))
+    found = asked.join(names, ["server", "database_id"])
+    lists = found.groupBy("event_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("position", "name"))).alias("names")
+    )
+    rows = listed.join(lists, "event_id", "left")
+    return rows.withColumn("processes", named(lambda p, i: F.try_element_at(F.col("names"), i))).drop("names")
 
 
 def blocked_process_details(reports: DataFrame, databases: DataFrame) -> DataFrame:
     """Blocked and blocking processes of each report, ten text columns."""
-    named = database_name_lookup(process_rows(reports), databases)
+    named = process_rows(database_name_lookup(reports, databases))
     return named.select("event_id", "position", *DETAIL_COLUMNS)
 
 
-def blocked_report_render(reports: DataFrame, details: DataFrame) -> DataFrame:
-    """Per event, the details as an HTML table followed by the escaped document.
+def blocked_report_render(reports: DataFrame, databases: DataFrame) -> DataFrame:
+    """Per event, its processes as an HTML table followed by the escaped document.
 
-    The rows gathered per event are the processes of one document.
+    Lines are made inside the list of a report, so a report stays one row from the scan to the result.
     """
-    row = markup.table_row([F.col(c) for c in REPORT_COLUMNS])
-    tables = (
-        details.select("event_id", F.struct("position", row.alias("html")).alias("line"))
-        .groupBy("event_id")
-        .agg(
-            F.array_join(
-                F.transform(F.array_sort(F.collect_list("line")), lambda line: line["html"]), ""
-            ).alias("lines")
-        )
-    )
-    opening = '<table cellpadding="2" cellspacing="2" border="1">'
+    lines = F.transform("processes", lambda p: markup.table_row([p[c] for c in REPORT_COLUMNS]))
+    opening = f"<table {TABLE_STYLE}>"
     titles = markup.heading_row(REPORT_COLUMNS)
-    return reports.select("event_id", "report").join(tables, "event_id", "left").select(
+    return database_name_lookup(reports, databases).select(
         "event_id",
         F.concat(
             F.lit(opening + titles),
-            F.coalesce("lines", F.lit("")),
-            F.lit("</table>" + opening + "<tr><th>Report</th></tr><tr><td>"),
+            F.array_join(lines, ""),
+            F.lit(f"</table>{opening}<tr><th>Report</th></tr><tr><td>"),
             markup.escape(F.col("report")),
             F.lit("</td></tr></table>"),
         ).alias("body"),
@@ -179,7 +222,7 @@ def blocked_events_store(
         F.col("report").alias("blocked_report"),
         alert.alias("alert_datetime"),
     )
-    return assign_keys(rows, "event_id", "blocked_events_id", existing, first)
+    return assign_keys(rows, "event_id", "blocked_events_id", existing, first, wide=True)
 
 
 def deadlock_text_normalise(graphs: DataFrame) -> DataFrame:
@@ -193,7 +236,7 @@ def deadlock_events_store(
     graphs: DataFrame, as_of: dt.datetime, existing: DataFrame | None = None, first: int = 1
 ) -> DataFrame:
     """Rows to store: new id, raw graph and alert time."""
-    keyed = assign_keys(graphs, "doc_id", "deadlock_events_id", existing, first)
+    keyed = assign_keys(graphs, "doc_id", "deadlock_events_id", existing, first, wide=True)
     return keyed.select(
         "deadlock_events_id",
         "doc_id",

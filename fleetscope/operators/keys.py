@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 
 from fleetscope.session import cut_lineage
 
+# Runs that the numbering in place may broadcast, and that one file may have.
+MAX_RUNS = 1 << 18
+MAX_FILE_RUNS = 256
+
 # Bits of the order key that a block leaves out, and of a block that each level above it leaves out.
 BLOCK_BITS = 10
 LEVEL_BITS = (16, 16)
@@ -80,22 +84,61 @@ def number_rows(
     return numbered.select(*df.columns, F.col("_total").alias(name))
 
 
+def number_in_place(
+    df: DataFrame,
+    order_key: str,
+    name: str = "row_no",
+    max_runs: int = MAX_RUNS,
+    max_file_runs: int = MAX_FILE_RUNS,
+) -> DataFrame:
+    """``number_rows`` without groups, for rows too wide to be shuffled.
+
+    The rows are written out where they are, each task's sorted by the order key,
+    which gives every row a lasting address: its file and its position there. Only
+    keys and addresses are shuffled. A row's number minus its position never falls
+    inside a file, and stays the same as long as no other file has a key between; so a file
+    is a few runs of rows with one such offset, which are the sums of the row counts before them. The
+    runs are broadcast, and each row adds its run's offset to its position.
+
+    Files whose keys are interleaved have many runs. Beyond ``max_runs`` in all
+    or ``max_file_runs`` in one file the rows are numbered by ``number_rows``,
+    with the same result.
+    """
+    placed = cut_lineage(df.sortWithinPartitions(order_key))
+    address = [F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_at")]
+    numbered = number_rows(placed.select(order_key, *address), order_key, name="_number")
+    offset = (F.col("_number") - F.col("_at")).alias("_offset")
+    runs = cut_lineage(numbered.groupBy("_file", offset).agg(F.min("_at").alias("_from")))
+    sizes = runs.groupBy("_file").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.max("n")).first()
+    if (sizes[0] or 0) > max_runs or (sizes[1] or 0) > max_file_runs:
+        return number_rows(placed, order_key, name=name)
+    # The rows of a file are those of one task, and its runs at most max_file_runs.
+    per_file = runs.groupBy("_file").agg(F.collect_list(F.struct("_from", "_offset")).alias("_runs"))
+    rows = placed.select("*", *address).join(F.broadcast(per_file), "_file")
+    begun = F.filter("_runs", lambda run: run["_from"] <= F.col("_at"))
+    number = F.col("_at") + F.array_max(begun)["_offset"]
+    return rows.select(*df.columns, number.alias(name))
+
+
 def assign_keys(
     df: DataFrame,
     order_key: str,
     name: str,
     existing: DataFrame | None = None,
     first: int = 1,
+    wide: bool = False,
 ) -> DataFrame:
     """Consecutive keys for new rows, following the highest key in ``existing``.
 
     ``existing`` is the table that already holds keys in column ``name``;
-    without one, or when it is empty, keys start at ``first``.
+    without one, or when it is empty, keys start at ``first``. ``wide`` rows are
+    numbered in place: they are written once and not shuffled.
     """
     last = F.lit(first - 1).cast("long")
     if existing is not None:
         last = F.coalesce(existing.agg(F.max(name).cast("long")).scalar(), last)
-    numbered = number_rows(df, order_key, name="_position")
+    number = number_in_place if wide else number_rows
+    numbered = number(df, order_key, name="_position")
     return numbered.select((F.col("_position") + last).alias(name), *df.columns)
 
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -76,8 +77,7 @@ def test_stored_session_id_is_the_first_or_missing(spark, rows):
 def test_rendered_report_escapes_everything(spark, rows):
     document = report(blocked(process("<inputbuf>a &lt; b</inputbuf>", currentdb="5")))
     reports = rows("blocked_reports", (1, NOW, document), (2, NOW, "<TextData/>"))
-    details = incidents.blocked_process_details(reports, rows("databases", *DATABASES))
-    got = as_dicts(incidents.blocked_report_render(reports, details), "event_id")
+    got = as_dicts(incidents.blocked_report_render(reports, rows("databases", *DATABASES)), "event_id")
     assert "<td>sales</td><td>Blocked</td>" in got[0]["body"]
     assert "<td>a &lt; b</td>" in got[0]["body"]
     assert "&lt;TextData&gt;" in got[0]["body"] and "<TextData>" not in got[0]["body"]
@@ -129,3 +129,51 @@ def test_database_ids_belong_to_their_server(spark, rows):
     reports = rows("blocked_reports", (1, NOW, document, "B"), (2, NOW, document, "C"))
     got = as_dicts(incidents.blocked_process_details(reports, databases), "event_id")
     assert [(g["event_id"], g["currentdb"]) for g in got] == [(1, "HR"), (2, "")]
+
+
+def in_both_ways(reports, databases):
+    """Details with dictionaries, and with ids and names shuffled."""
+    out = []
+    for most in (1000, 0):
+        named = incidents.process_rows(incidents.database_name_lookup(reports, databases, max_names=most))
+        out.append(sorted(map(tuple, named.select("event_id", "position", "database_id", "currentdb").collect()), key=str))
+    assert out[0] == out[1]
+    return out[0]
+
+
+def test_names_of_a_server_with_many_databases(spark, rows):
+    """Ids over many parts of the dictionary, an id twice, a missing id and name, reports without processes."""
+    many = [(i, f"db{i}", 1, False, False, "A") for i in range(-3, 900, 3)]
+    databases = rows("databases", *many, (3, "db30", 1, False, False, "A"), (None, "none", 1, False, False, "A"),
+                     (6, None, 1, False, False, "B"))
+    document = report(blocked(*[process(currentdb=str(i)) for i in (897, 898, 3, -3)], process()), blocking(process(currentdb="6")))
+    reports = rows("blocked_reports", (1, NOW, document, "A"), (2, NOW, document, "B"), (3, NOW, "<a/>", "A"), (4, NOW, None, "C"))
+    got = in_both_ways(reports, databases)
+    assert [name for event, _, _, name in got if event == 1] == ["db897", "", "db30", "db-3", "", "db6"]
+    assert {name for event, _, _, name in got if event == 2} == {""}
+    assert {event for event, *_ in got} == {1, 2}
+
+
+def test_render_reads_once_and_shuffles_no_text(spark, rows, tmp_path):
+    reports = rows("blocked_reports", *[(i, NOW, report(blocked(process(currentdb="5")))) for i in range(9)])
+    reports.write.parquet(f"{tmp_path}/reports")
+    rendered = incidents.blocked_report_render(spark.read.parquet(f"{tmp_path}/reports"), rows("databases", *DATABASES))
+    assert rendered.filter("body LIKE '%<td>sales</td>%'").count() == 9
+    plan = plan_of(rendered)
+    assert plan.count("Scan parquet") == 1 and "Generate" not in plan and "from_xml" in plan
+    # The dictionaries are grouped by server; reports are not exchanged.
+    exchanges = re.findall(r"(?<!Broadcast)(?<!Reused)Exchange \w+\(?\w*", plan)
+    assert set(exchanges) == {"Exchange hashpartitioning(server"}
+
+
+def test_storing_shuffles_no_text(spark, rows):
+    texts = [(i, NOW, report(blocking(process(spid=str(i))))) for i in range(50, 0, -1)]
+    stored = incidents.blocked_events_store(rows("blocked_reports", *texts).repartition(4), first=7)
+    got = as_dicts(stored, "event_id")
+    assert [(g["blocked_events_id"], g["spid"]) for g in got] == [(i + 6, i) for i in range(1, 51)]
+    graphs = incidents.deadlock_events_store(rows("deadlock_docs", (7, "<a/>"), (9, "")), NOW)
+    for frame in (stored, graphs):
+        plan = plan_of(frame)
+        exchanges = re.findall(r"(?<!Broadcast)(?<!Reused)Exchange \w+\(?\w*", plan)
+        assert set(exchanges) == {"Exchange hashpartitioning(_file"}  # the runs of each file
+        assert "Window" not in plan

@@ -94,3 +94,45 @@ def test_pages_join_to_the_whole_text(spark):
     assert "".join(r.body for r in got if r.g == "hot") == "".join(f"<{i}>" for i in range(0, 5000, 2))
     assert [r.body for r in got if r.g == "cold"] == ["<a>?"]
     assert [r.page for r in got if r.g == "hot"] == list(range(1, 26))
+
+
+def in_place(spark, df, **limits):
+    keyed = keys.number_in_place(df, "k", name="n", **limits)
+    return keyed, [r.n for r in keyed.orderBy("k").collect()]
+
+
+@pytest.mark.parametrize("layout", ["ordered", "ranges", "late", "interleaved", "one", "empty"])
+def test_numbers_in_place_match_the_order(spark, layout):
+    """Files one after the other, in any order, with late rows between, or with all keys mixed."""
+    df = spark.range(0, 6000, 3, 5).select(F.col("id").alias("k"), F.repeat(F.lit("x"), 100).alias("text"))
+    if layout == "ranges":
+        df = df.select(((F.col("k") * 7) % 6000 - 3000).alias("k"), "text").repartitionByRange(6, F.desc("k"))
+    if layout == "late":
+        df = df.unionByName(spark.createDataFrame([(k, "late") for k in (-5, 1000, 1001, 5999, 9000)], "k long, text string"))
+    if layout == "interleaved":
+        df = df.repartition(7)
+    if layout == "one":
+        df = df.limit(1)
+    if layout == "empty":
+        df = df.limit(0)
+    keyed, numbers = in_place(spark, df)
+    assert numbers == list(range(1, df.count() + 1))
+    assert sorted(keyed.drop("n").collect()) == sorted(df.collect())
+    # The runs of each file are put together; no other exchange is left when rows are numbered.
+    exchanges = re.findall(r"(?<!Broadcast)(?<!Reused)Exchange \w+\(?\w*", plan_of(keyed))
+    assert (set(exchanges) <= {"Exchange hashpartitioning(_file"}) == (layout != "interleaved")
+
+
+def test_many_runs_are_numbered_by_blocks(spark):
+    df = spark.range(0, 2000, 1, 4).select(F.col("id").alias("k")).repartition(4)
+    for limits in ({"max_runs": 3}, {"max_file_runs": 1}):
+        keyed, numbers = in_place(spark, df, **limits)
+        assert numbers == list(range(1, 2001)) and "Window" in plan_of(keyed)
+
+
+def test_wide_keys_follow_the_existing_maximum(spark):
+    df = spark.range(10, 0, -1, 3).select(F.col("id").alias("k"))
+    existing = spark.createDataFrame([(41,)], "key long")
+    for given, first in ((existing, 42), (existing.limit(0), 1), (None, 1)):
+        keyed = keys.assign_keys(df, "k", "key", given, wide=True).orderBy("k")
+        assert [r["key"] for r in keyed.collect()] == list(range(first, first + 10))

@@ -103,8 +103,8 @@ FIXTURES = {
                CASE c_nationkey % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 3 ELSE 5
                END AS last_run_outcome
         FROM customer WHERE c_mktsegment <> 'FURNITURE'""",
-    "view_rows": f"""
-        SELECT h.instance_id, h.job_id, j.name AS job_name, s.step_name,
+    "failed_rows": f"""
+        SELECT h.run_date, h.instance_id, h.job_id, j.name AS job_name, s.step_name,
                CASE h.run_status WHEN 0 THEN 'Failed' WHEN 2 THEN 'Retry'
                     WHEN 3 THEN 'Canceled' WHEN 4 THEN 'In progress' END AS run_status,
                h.sql_message_id, h.sql_severity, h.message,
@@ -114,7 +114,8 @@ FIXTURES = {
         FROM job_history h JOIN jobs j ON h.server = j.server AND h.job_id = j.job_id
              JOIN job_steps s ON h.server = s.server AND h.job_id = s.job_id
                              AND h.step_id = s.step_id
-        WHERE h.run_date = 20240115 AND h.run_status <> 1""",
+        WHERE h.run_status <> 1""",
+    "view_rows": "SELECT * EXCLUDE (run_date) FROM failed_rows WHERE run_date = 20240115",
     "recorded": f"""
         SELECT *, {DAY_START} AS create_datetime FROM view_rows WHERE sql_severity < 8""",
     "new_rows": """

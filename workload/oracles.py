@@ -175,7 +175,7 @@ _FAILURE_COLUMNS = (
     "instance_id, job_id, job_name, step_name, run_status, sql_message_id, sql_severity, "
     "message, exec_date, run_duration, server"
 )
-_TABLE = '<table cellpadding="2" cellspacing="2" border="1">'
+_TABLE = '<table class="incident" rules="all">'
 _DETAIL_TITLES = (
     "currentdb", "nature", "waittime", "transactionname", "lock_mode", "status", "clientapp",
     "hostname", "loginname", "inputbuf",
@@ -474,14 +474,17 @@ _SELECTS = {
                           WHERE s.server = h.server AND s.set_id = h.set_id)""",
     "stream_failed_jobs": f"""
         SELECT {_FAILURE_COLUMNS}, create_datetime FROM recorded
-        UNION ALL SELECT {_FAILURE_COLUMNS}, {AS_OF} FROM new_rows""",
+        UNION ALL SELECT {_FAILURE_COLUMNS}, {AS_OF} FROM failed_rows f
+        WHERE NOT EXISTS (SELECT 1 FROM recorded r
+                          WHERE r.server = f.server AND r.instance_id = f.instance_id)""",
     "stream_blocked_events": """
-        SELECT d.*, k.blocked_events_id,
+        SELECT d.*, k.blocked_events_id, k.blocked_report, k.alert_datetime,
                CASE WHEN d.event_id % 7 <> 0 THEN CAST(k.user_id AS INTEGER) END AS spid
         FROM details d
-             JOIN (SELECT event_id, user_id,
-                          row_number() OVER (ORDER BY event_id) AS blocked_events_id
-                   FROM events) AS k ON k.event_id = d.event_id""",
+             JOIN (SELECT e.event_id, e.user_id, r.report AS blocked_report, e.ts AS alert_datetime,
+                          row_number() OVER (ORDER BY e.event_id) AS blocked_events_id
+                   FROM events e JOIN blocked_reports r ON r.event_id = e.event_id) AS k
+             ON k.event_id = d.event_id""",
     "stream_deadlock_events": f"""
         SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS deadlock_events_id,
                graph AS deadlock_graph, {AS_OF} AS alert_datetime, {_GRAPH_BODY} AS body

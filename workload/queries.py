@@ -243,9 +243,8 @@ def existence_semi_join(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def database_name_lookup(spark: SparkSession, d: str) -> DataFrame:
-    rows = incidents.process_rows(fx.blocked_reports(spark, d))
-    named = incidents.database_name_lookup(rows, fx.databases(spark, d))
-    return named.select("event_id", "position", "database_id", "currentdb")
+    named = incidents.database_name_lookup(fx.blocked_reports(spark, d), fx.databases(spark, d))
+    return incidents.process_rows(named).select("event_id", "position", "database_id", "currentdb")
 
 
 @query
@@ -493,9 +492,7 @@ def blocked_process_details(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def blocked_report_render(spark: SparkSession, d: str) -> DataFrame:
-    reports = fx.blocked_reports(spark, d)
-    details = incidents.blocked_process_details(reports, fx.databases(spark, d))
-    return incidents.blocked_report_render(reports, details)
+    return incidents.blocked_report_render(fx.blocked_reports(spark, d), fx.databases(spark, d))
 
 
 @query
@@ -560,7 +557,7 @@ def stream_failed_jobs(spark: SparkSession, d: str) -> DataFrame:
         fresh_folder(spark, "failed-jobs-state"),
         fx.AS_OF,
     )
-    return failure_poll.recorded_failures(spark, location, [fx.RUN_DAY])
+    return failure_poll.recorded_failures(spark, location)
 
 
 @query
@@ -575,7 +572,7 @@ def stream_blocked_events(spark: SparkSession, d: str) -> DataFrame:
         details_at,
         fresh_folder(spark, "blocked-state"),
     )
-    stored = spark.read.parquet(events_at).select("event_id", "blocked_events_id", "spid")
+    stored = spark.read.parquet(events_at).drop(feeds.BATCH)
     return stored.join(spark.read.parquet(details_at).drop(feeds.BATCH), "event_id")
 
 
