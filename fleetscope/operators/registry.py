@@ -49,12 +49,16 @@ def instance_pending_install(instances: DataFrame) -> DataFrame:
     ).select("server_instance_id", instance_path().alias("sql_instance"), "backup_location")
 
 
+def _folded(name: str) -> Column:
+    return F.upper(F.trim(name)).alias(name)
+
+
 def normalised_instances(offered: DataFrame) -> DataFrame:
     """Names trimmed and upper-cased; equal names are offered once."""
     return (
         offered.select(
-            F.upper(F.trim("server_name")).alias("server_name"),
-            F.upper(F.trim("instance_name")).alias("instance_name"),
+            _folded("server_name"),
+            _folded("instance_name"),
             "backup_location",
         )
         .groupBy("server_name", "instance_name")
@@ -67,10 +71,10 @@ def instance_register(
 ) -> DataFrame:
     """The registry after instances that were not in it yet are added.
 
-    Names are normalised before they are looked up, so padded input finds its
-    row. New rows get an id made from their name and the defaults of the table.
+    Names match in any case and padding, on both sides; stored rows keep their
+    spelling. New rows get an id made from their name and the defaults of the table.
     """
-    known = instances.select("server_name", "instance_name")
+    known = instances.select(_folded("server_name"), _folded("instance_name"))
     new = normalised_instances(offered).join(known, ["server_name", "instance_name"], "left_anti")
     return instances.unionByName(
         new.select(
@@ -89,8 +93,8 @@ def instance_register(
 def instance_primary_flag(
     instances: DataFrame, primary: str, as_of: dt.datetime
 ) -> DataFrame:
-    """The registry with ``server\\instance`` marked as the primary console."""
-    hit = instance_path() == F.lit(primary)
+    """The registry with ``server\\instance``, in any case, marked as the primary console."""
+    hit = F.upper(instance_path()) == F.upper(F.lit(primary))
     changed = {
         "primary_console": F.when(hit, True).otherwise(F.col("primary_console")),
         "installed": F.when(hit, clock.ntz(as_of)).otherwise(F.col("installed")),

@@ -43,6 +43,15 @@ def test_register_normalises_before_it_looks_up(spark, rows):
     assert audits.key_constraint_audit(twice, ["server_name", "instance_name"]).isEmpty()
 
 
+def test_stored_names_match_in_any_case_and_keep_their_spelling(spark, rows):
+    table = rows("instances", instance("srv1", "inst1"), instance("Srv1", " Inst2"))
+    offered = rows(OFFER, ("SRV1", "INST1", "G:\\"), (" srv1", "inst2 ", "H:\\"), ("SRV1", "inst3", None))
+    got = as_dicts(registry.instance_register(table, offered, NOW), "instance_name")
+    assert [(g["server_name"], g["instance_name"]) for g in got] == [("Srv1", " Inst2"), ("SRV1", "INST3"), ("srv1", "inst1")]
+    flagged = registry.instance_primary_flag(table, "SRV1\\INST1", NOW)
+    assert [r.instance_name for r in flagged.filter("primary_console").collect()] == ["inst1"]
+
+
 def test_primary_flag(spark, rows):
     table = rows("instances", instance("A", "X"), instance("A", "Y"))
     got = as_dicts(registry.instance_primary_flag(table, "A\\Y", NOW), "instance_name")

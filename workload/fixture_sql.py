@@ -299,7 +299,8 @@ FIXTURES = {
         FROM plan_rows WHERE plan_hour = 13 AND backup_type IS NOT NULL""",
     "instances": f"""
         SELECT 'id-' || CAST(c_custkey AS VARCHAR) AS server_instance_id,
-               upper(n_name) AS server_name, upper(c_name) AS instance_name,
+               upper(n_name) AS server_name,
+               CASE WHEN c_custkey % 3 = 1 THEN c_name ELSE upper(c_name) END AS instance_name,
                'F:\\Backup\\' || c_name AS backup_location,
                c_custkey % 4 = 0 AS primary_console, c_custkey % 10 <> 3 AS is_monitored,
                CASE WHEN c_acctbal >= 4500 THEN {OPEN_END} ELSE {DAY_START} END AS installed,

@@ -456,7 +456,7 @@ def instances(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(
             F.concat(F.lit("id-"), key.cast("string")).alias("server_instance_id"),
             F.upper("n_name").alias("server_name"),
-            F.upper("c_name").alias("instance_name"),
+            F.when(key % 3 == 1, F.col("c_name")).otherwise(F.upper("c_name")).alias("instance_name"),
             F.concat(F.lit("F:\\Backup\\"), F.col("c_name")).alias("backup_location"),
             (key % 4 == 0).alias("primary_console"),
             (key % 10 != 3).alias("is_monitored"),

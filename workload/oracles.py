@@ -343,14 +343,14 @@ _SELECTS = {
                      upper(trim(instance_name)) AS instance_name, backup_location
               FROM offered_instances) AS o
         WHERE NOT EXISTS (SELECT 1 FROM instances i
-                          WHERE i.server_name = o.server_name
-                            AND i.instance_name = o.instance_name)
+                          WHERE upper(i.server_name) = o.server_name
+                            AND upper(i.instance_name) = o.instance_name)
         GROUP BY server_name, instance_name""",
     "instance_primary_flag": f"""
         SELECT server_instance_id, server_name, instance_name, backup_location,
                primary_console OR hit AS primary_console, is_monitored,
                {text(f"CASE WHEN hit THEN {AS_OF} ELSE installed END")} AS installed, create_date
-        FROM (SELECT *, server_name || '\\' || instance_name
+        FROM (SELECT *, upper(server_name || '\\' || instance_name)
                         = 'NATION_19\\CUSTOMER#000000001' AS hit
               FROM instances) AS i""",
     "backup_start": f"""

@@ -11,6 +11,7 @@ from fleetscope.operators import (
 )
 from fleetscope.plans import backup_cycle, failure_poll, fleet_status
 from fleetscope.session import cut_lineage, fresh_folder
+from fleetscope.sinks import snapshots
 from fleetscope.sources import config_xml, fleet, listings, templates
 from fleetscope.streaming import feeds
 from workload import fixtures as fx
@@ -394,14 +395,24 @@ def _names(spark: SparkSession, d: str) -> DataFrame:
     return backups.backup_names(plan, fx.AS_OF, location=fx.backup_location())
 
 
+def _tracking(spark: SparkSession, d: str) -> tuple[str, snapshots.Snapshot]:
+    """Both tracking tables, stored."""
+    location = fresh_folder(spark, "tracking")
+    stored = {backup_cycle.SETS: fx.backup_sets(spark, d), backup_cycle.HISTORY: fx.backup_history(spark, d)}
+    return location, snapshots.commit(spark, snapshots.Snapshot(location), backup_cycle.CREATED, stored)
+
+
 @query
 def backup_start(spark: SparkSession, d: str) -> DataFrame:
-    """The new rows of both tables, joined on the key they share."""
-    decision = backup_cycle.decide(
-        fx.databases(spark, d), fx.backup_history(spark, d), fx.backup_sets(spark, d), fx.AS_OF
+    """The rows that a decision stored in both tables, joined on the key they share."""
+    location, before = _tracking(spark, d)
+    state, _ = backup_cycle.run_decision(spark, location, fx.databases(spark, d), fx.AS_OF)
+    added = {t: [p for p in parts if p not in before.of(t)] for t, parts in state.parts.items()}
+    new_sets, new_history = (
+        snapshots.open_parts(spark, state, t, added[t]) for t in (backup_cycle.SETS, backup_cycle.HISTORY)
     )
-    both = decision.new_sets.select("server", "set_id", "backup_set_id", "database").join(
-        decision.new_history.drop("server"), "set_id"
+    both = new_sets.select("server", "set_id", "backup_set_id", "database").join(
+        new_history.drop("server"), "set_id"
     )
     return _portable(both, "process_start", "process_finish", "create_datetime")
 
@@ -438,15 +449,18 @@ def backup_fail(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def backup_retention(spark: SparkSession, d: str) -> DataFrame:
-    """What both tables keep after the daily run; a reset keeps nothing."""
+    """What both stored tables keep after the daily run; a reset keeps nothing."""
+    location, _ = _tracking(spark, d)
+    daily = backup_cycle.run_retention(spark, location, fx.AS_OF)
+    empty = backup_cycle.run_retention(spark, location, fx.AS_OF, backups.RESET)
     kept = [
-        backups.backup_retention(table, fx.AS_OF, days).select(
+        snapshots.open_parts(spark, state, table).select(
             F.lit(name).alias("table_name"), "server", F.col(key).alias("row_id"), "create_datetime"
         )
-        for name, key, table, days in (
-            ("history", "history_id", fx.backup_history(spark, d), backups.RETENTION_DAYS),
-            ("sets", "set_id", fx.backup_sets(spark, d), backups.RETENTION_DAYS),
-            ("reset", "set_id", fx.backup_sets(spark, d), backups.RESET),
+        for name, key, table, state in (
+            ("history", "history_id", backup_cycle.HISTORY, daily),
+            ("sets", "set_id", backup_cycle.SETS, daily),
+            ("reset", "set_id", backup_cycle.SETS, empty),
         )
     ]
     return kept[0].unionByName(kept[1]).unionByName(kept[2])
