@@ -10,8 +10,8 @@ The model is learned by counting over all given documents: trigrams and scripts
 per language, added up by Spark. It holds ``TRIGRAMS`` numbers per language.
 
 Null and empty texts, and texts without a letter, are ``und`` with score 0, as is
-every text if nothing was learned. A word in a script that no learned language
-uses says nothing. Ties go to the language that is first by code point. Repeated
+every text if nothing was learned; marks alone are no letters. A word in a script that no learned language
+uses says nothing: its letters lower the score, down to 0 for a text of such words only, which gets the first language. Ties go to the language that is first by code point. Repeated
 rows are kept, extra columns ignored.
 """
 
@@ -47,8 +47,10 @@ class _Words:
     def __init__(self, texts: pa.Array):
         self.starts, self.codes, uniques = split_words(texts)
         letters = pc.utf8_lower(pc.replace_substring_regex(uniques, r"[^\pL\pM]+", ""))
-        self.letters = pc.utf8_length(letters).to_numpy().astype(np.int64)
-        first = pc.utf8_slice_codeunits(letters, 0, 1).dictionary_encode()
+        # Marks belong to a word with a letter; alone they are none.
+        letters = pc.if_else(pc.match_substring_regex(letters, r"\pL"), letters, "")
+        self.letters = pc.utf8_length(pc.replace_substring_regex(letters, r"\pM+", "")).to_numpy().astype(np.int64)
+        first = pc.utf8_slice_codeunits(pc.replace_substring_regex(letters, r"^\pM+", ""), 0, 1).dictionary_encode()
         points = [ord(c) if c else 0 for c in first.dictionary.to_pylist()]
         firsts, scripts = map(np.array, zip(*SCRIPTS))
         at = np.searchsorted(firsts, points, side="right") - 1
@@ -176,8 +178,10 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
             row = np.repeat(np.arange(n), lengths)
             path = model.path(words) if model.languages else np.zeros(len(words.codes), np.int32)
             letters = words.letters[words.codes]
-            share = np.bincount(row * m + path, letters, n * m).reshape(n, m)
-            total, best = share.sum(1), share.argmax(1)
+            # Letters of words in no learned language's script count, but for no language.
+            says = letters * model.fits.any(1)[words.scripts][words.codes] if model.languages else letters
+            share = np.bincount(row * m + path, says, n * m).reshape(n, m)
+            total, best = np.bincount(row, letters, n), share.argmax(1)
             sure = (total > 0) & (len(model.languages) > 0)
             names = np.array([*model.languages, "und"], object)
             score = np.where(sure, share[np.arange(n), best] / np.maximum(total, 1), 0.0)
