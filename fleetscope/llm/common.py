@@ -69,6 +69,9 @@ def release() -> None:
     """Gives memory that this worker has freed back to the system; workers outlive their tasks."""
     import ctypes
 
+    # Memory of the system's allocator can be given back; Arrow's own keeps what it had.
+    if pa.default_memory_pool().backend_name != "system":
+        pa.set_memory_pool(pa.system_memory_pool())
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

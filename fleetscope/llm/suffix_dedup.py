@@ -47,6 +47,7 @@ RANGE_BYTES = 10 << 20
 ENTRIES_PER_BYTE = 0.1
 #: Ranges of ids that are counted before they are cut into batches.
 ID_RANGES = 512
+SUB_RANGES = 64
 #: Positions handled at once, few enough for a processor's cache.
 _SLICE = 1 << 15
 _LAST = (1 << 63) - 1
@@ -207,16 +208,20 @@ class _Batch:
         import zstandard
 
         expand = zstandard.ZstdDecompressor().decompress
-        texts = [expand(t) for t in rows.column("text").to_pylist()]
-        order = np.array(rows.column("order").to_pylist(), np.int64)
+        # Buffers of the table, not copies, are expanded; the texts go when they are joined.
+        texts = [expand(t.as_buffer()) for chunk in rows.column("text").chunks for t in chunk]
+        order = rows.column("order").to_numpy()
         place = sorted(range(len(texts)), key=lambda i: (order[i], texts[i]))
-        self.ids = [rows.column("id")[i].as_py() for i in place]
-        self.carry = [rows.column("carry")[i].as_py() for i in place]
+        chosen = pa.array(place, pa.int64())
+        self.ids, self.carry = rows.column("id").take(chosen), rows.column("carry").take(chosen)
         self.order = order[place]
         lengths = np.array([len(texts[i]) for i in place], np.int64)
         self.ends = np.cumsum(lengths)
         self.starts = self.ends - lengths
-        self.raw = np.frombuffer(b"".join([*(texts[i] for i in place), bytes(64)]), np.uint8)
+        self.raw = np.zeros(int(lengths.sum()) + 64, np.uint8)
+        for i, a, b in zip(place, self.starts.tolist(), self.ends.tolist()):
+            self.raw[a:b] = np.frombuffer(texts[i], np.uint8)
+            texts[i] = None
         self.runs = Runs(self.raw, self.starts, self.ends)
 
     def asked(self, numbers: np.ndarray) -> np.ndarray:
@@ -382,55 +387,82 @@ def _remove(key, rows, flags):
         first = runs.first[by[place]] + offset[each]
         np.add.at(change, first, 1)
         np.add.at(change, first + LENGTH, -1)
-    removed = np.cumsum(change[:n]) > 0
-    spans, kept = [], []
-    for a, b in zip(batch.starts.tolist(), batch.ends.tolist()):
-        mask = removed[a:b]
-        edges = np.flatnonzero(np.diff(mask, prepend=False, append=False))
-        spans.append([{"start": s, "end": e} for s, e in zip(edges[::2].tolist(), edges[1::2].tolist())])
-        kept.append(batch.raw[a:b][~mask].tobytes())
-    sizes = batch.ends - batch.starts
-    return pa.Table.from_arrays(
-        [pa.array(batch.ids, pa.int64()), pa.array(sizes), pa.array(spans, pa.list_(_SPAN)), pa.array(kept, pa.binary()),
-         pa.array(batch.carry, pa.string())],
-        schema=_KEPT,
+    del runs, by, new, own, gone
+    batch.runs = None
+    removed = np.cumsum(change[:n], dtype=np.int32) > 0
+    del change
+    # Spans end at the end of their document.
+    before = np.zeros(n, bool)
+    before[1:] = removed[:-1]
+    before[batch.starts[batch.starts < n]] = False
+    begins = np.flatnonzero(removed & ~before)
+    after = np.zeros(n, bool)
+    after[:-1] = removed[1:]
+    after[batch.ends[batch.ends > batch.starts] - 1] = False
+    stops = np.flatnonzero(removed & ~after) + 1
+    del before, after
+    first = np.searchsorted(begins, batch.starts)
+    last = np.searchsorted(begins, batch.ends)
+    of = np.repeat(np.arange(len(first)), last - first)
+    spans = pa.StructArray.from_arrays(
+        [pa.array(begins - batch.starts[of]), pa.array(stops - batch.starts[of])], fields=list(_SPAN)
     )
+    spans = pa.ListArray.from_arrays(pa.array(np.append(first, len(begins)).astype(np.int32)), spans)
+    ends = np.concatenate(([0], np.cumsum(~removed)))
+    kept = batch.raw[:n][~removed]
+    offsets = pa.array(np.append(ends[batch.starts], ends[-1]).astype(np.int32))
+    kept = pa.BinaryArray.from_buffers(pa.binary(), len(first), [None, offsets.buffers()[1], pa.py_buffer(kept)])
+    return pa.Table.from_arrays([batch.ids, pa.array(batch.ends - batch.starts), spans, kept, batch.carry], schema=_KEPT)
 
 
 def _batches(rows: DataFrame) -> tuple[DataFrame, int]:
-    """``rows`` (order, text) with their batch, and the number of bytes.
+    """``rows`` (id, order, text) with their batch, and the number of bytes.
 
-    Ids are first cut at ID_RANGES quantiles, then each range evenly into as many batches as its bytes need.
+    Ids are cut at ID_RANGES quantiles, ranges of several batches again at SUB_RANGES quantiles of their own,
+    so that ids far from all others do not matter; what is still larger is cut evenly. Rows of one id are one
+    batch, and so are those without an id, behind all others.
     """
-    at = [i / ID_RANGES for i in range(1, ID_RANGES)]
-    cuts = rows.agg(F.percentile_approx("order", at, 20 * ID_RANGES)).first()[0] or []
-    cuts = sorted(set(cuts))
-    bounds = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    # The number of cuts at or below the id.
-    range_no = F.size(F.filter(bounds, lambda c: c <= F.col("order"))) if len(cuts) < 8 else _steps(cuts)
+    spark = rows.sparkSession
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+
+    def quantiles(n: int) -> Column:
+        return F.percentile_approx("id", [i / n for i in range(1, n)], 20 * n)
+
+    cuts = sorted(set(rows.agg(quantiles(ID_RANGES)).first()[0] or []))
+    range_no = F.when(F.col("id").isNull(), ID_RANGES).otherwise(_steps(cuts))
     ranged = rows.withColumn("_range", range_no)
-    sizes = ranged.groupBy("_range").agg(
-        F.sum(F.octet_length("text")).alias("bytes"), F.min("order").alias("low"), F.max("order").alias("high")
+    known = ranged.groupBy("_range").agg(F.sum(size).alias("bytes")).collect()  # at most ID_RANGES + 1 rows
+    total = sum(r["bytes"] for r in known)
+    many = [r["_range"] for r in known if r["bytes"] > BATCH_BYTES and r["_range"] < ID_RANGES]
+    subs = []
+    if many:
+        inner = ranged.filter(F.col("_range").isin(many)).groupBy("_range").agg(quantiles(SUB_RANGES).alias("cuts"))
+        subs = [(r["_range"], sorted(set(r["cuts"]))) for r in inner.collect()]
+    bounds = spark.createDataFrame(subs, "_range int, _cuts array<long>")
+    # The number of inner cuts at or below the id.
+    below = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col("order"))), F.lit(0))
+    ranged = ranged.join(F.broadcast(bounds), "_range", "left").withColumn("_sub", below).drop("_cuts")
+    sizes = ranged.groupBy("_range", "_sub").agg(
+        F.sum(size).alias("bytes"), F.min("order").alias("low"), F.max("order").alias("high")
     )
-    known = sizes.collect()  # at most ID_RANGES rows
-    total = sum(r["bytes"] or 0 for r in known)
     # Ranges under a batch share one with their neighbours.
-    plan, number, filled = {}, 0, 0
-    for r in sorted(known, key=lambda r: r["_range"]):
-        parts = max(1, round((r["bytes"] or 0) / BATCH_BYTES))
-        if parts > 1 or filled + (r["bytes"] or 0) > BATCH_BYTES:
+    plan, number, filled = [], 0, 0
+    for r in sorted(sizes.collect(), key=lambda r: (r["_range"], r["_sub"])):
+        parts = max(1, round(r["bytes"] / BATCH_BYTES)) if r["high"] > r["low"] else 1
+        if parts > 1 or filled + r["bytes"] > BATCH_BYTES:
             number, filled = number + 1, 0
-        plan[r["_range"]] = (number, r["low"], -(-(r["high"] - r["low"] + 1) // parts))
-        filled += r["bytes"] or 0
+        plan.append((r["_range"], r["_sub"], number, parts, float(r["low"]), (r["high"] - r["low"] + 1) / parts))
+        filled += r["bytes"]
         if parts > 1:
             number, filled = number + parts, 0
-    if not plan:
-        return ranged.withColumn("batch", F.lit(0).cast("long")).drop("_range"), 0
-    spark = rows.sparkSession
-    lookup = spark.createDataFrame([(k, *v) for k, v in plan.items()], "_range int, _first long, _low long, _step long")
-    batch = F.col("_first") + F.floor((F.col("order") - F.col("_low")) / F.col("_step")).cast("long")
-    joined = ranged.join(F.broadcast(lookup), "_range")
-    return joined.withColumn("batch", batch).drop("_range", "_first", "_low", "_step"), total
+    lookup = spark.createDataFrame(
+        plan, "_range int, _sub int, _first long, _parts long, _low double, _step double"
+    )  # at most ID_RANGES * SUB_RANGES rows
+    # In doubles, since two ids can lie further apart than a long reaches; rounding keeps their order.
+    part = F.floor((F.col("order").cast("double") - F.col("_low")) / F.col("_step"))
+    batch = F.col("_first") + F.least(part, F.col("_parts") - 1).cast("long")
+    joined = ranged.join(F.broadcast(lookup), ["_range", "_sub"])
+    return joined.withColumn("batch", batch).drop("_range", "_sub", "_first", "_parts", "_low", "_step"), total
 
 
 def _steps(cuts: list[int]):

@@ -1,4 +1,4 @@
-"""Spelling variants, archives and token alignment against brute force, and on awkward rows."""
+"""Spelling variants, archives and token alignment against brute force; awkward rows of 3, 9 and the pipeline."""
 
 import base64
 import hashlib
@@ -14,7 +14,8 @@ import pytest
 import zstandard
 from pyspark.errors import PythonException
 
-from fleetscope.llm import spelling, token_alignment, warc
+import corpus_pipeline
+from fleetscope.llm import langid, spelling, suffix_dedup, token_alignment, warc
 from fleetscope.llm.common import table
 from fleetscope.llm.queries import QUERIES
 from fleetscope.session import fresh_folder
@@ -319,3 +320,71 @@ def test_parts_encode_as_the_whole_text():
         ids = pair.a.encode(" " + text, add_special_tokens=False).ids
         assert block.good.all() and int(block.counts[0][windows].sum()) == len(ids)
         assert int(block.counts[1][windows].sum()) == len(pair.b.encode(text))
+
+
+# --- 3, 9 and the pipeline -------------------------------------------------------------
+
+
+def test_marks_alone_and_strange_scripts(spark):
+    model = langid.fit(spark.createDataFrame([("the cat and the dog", "en"), ("le chat et le chien", "fr")], "text string, lang string"))
+    texts = ["\u0301\u0301", "\u0301 \u0308!", "\u0301the cat", "中文", "中文 the cat", "the\u0301 cat", None, "", "12 %"]
+    got = langid.predict(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).orderBy("doc_id").collect()
+    assert [r.lang_pred for r in got] == ["und", "und", "en", "en", "en", "en", "und", "und", "und"]
+    assert [r.score for r in got][:2] == [0, 0] and got[3].score == 0 and got[2].score == got[5].score == 1
+    assert got[4].score == pytest.approx(6 / 8)
+
+
+def without_repeats(rows):
+    last, first = (1 << 63) - 1, {}
+    for key, text in rows:
+        data = (text or "").encode()
+        for k in range(len(data) - 49):
+            first[data[k : k + 50]] = min(first.get(data[k : k + 50], last), last if key is None else key)
+    out = []
+    for key, text in rows:
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for k in range(len(data) - 49):
+            if first[data[k : k + 50]] < (last if key is None else key):
+                gone[k : k + 50] = bytes([1]) * 50
+        spans = [m.span() for m in re.finditer(b"\x01+", bytes(gone))]
+        out.append((key, len(data), tuple(spans), bytes(x for x, g in zip(data, gone) if not g)))
+    return out
+
+
+@pytest.mark.parametrize("ids", ["negative", "one", "far", "null"])
+@pytest.mark.parametrize("cut", [None, (3000, 4, 3)])
+def test_repeats_with_awkward_ids(spark, monkeypatch, ids, cut):
+    """Null ids beside ids up to 0, one id for all, ids at both ends of the range, no ids."""
+    draw = random.Random(ids)
+    passages = [" ".join("".join(draw.choices("abcdef", k=5)) for _ in range(30)) for _ in range(10)]
+
+    def text():
+        parts = (draw.choice(passages)[draw.randrange(60) :] if draw.random() < 0.6 else "".join(draw.choices("xyz ", k=80)) for _ in range(draw.randrange(5)))
+        return " ".join(parts)
+
+    keys = {"negative": [*range(-150, 0), None], "one": [0] * 80 + [None], "null": [None] * 30 + [3],
+            "far": [draw.choice([-(2**63), 2**63 - 1, 5, None]) if i % 9 == 0 else i for i in range(200)]}[ids]
+    rows = [(k, text()) for k in keys] + [(7, None), (8, "")]
+    if cut:
+        for name, value in zip(("BATCH_BYTES", "ID_RANGES", "SUB_RANGES"), cut):
+            monkeypatch.setattr(suffix_dedup, name, value)
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = [(r.doc_id, r.n_bytes, tuple(map(tuple, r.spans)), bytes(r.kept)) for r in got]
+    assert sorted(got, key=repr) == sorted(without_repeats(rows), key=repr)
+
+
+def test_one_far_id_does_not_swell_a_batch(spark, monkeypatch):
+    for name, value in (("BATCH_BYTES", 3000), ("ID_RANGES", 4), ("SUB_RANGES", 64)):
+        monkeypatch.setattr(suffix_dedup, name, value)
+    docs = spark.range(1000).selectExpr("IF(id = 999, 9000000000000000000, id) AS id", "id AS order", "repeat('x', 100) AS text")
+    sizes = suffix_dedup._batches(docs.withColumn("order", docs["id"]))[0].groupBy("batch").count().collect()
+    assert max(r["count"] for r in sizes) <= 60 and len(sizes) >= 25
+
+
+def test_pipeline_columns_of_its_own_names(spark):
+    rows = [(i, f"some words of a text that is number {i} " * 4, "en", "a", 10, 0.5, "m", "x") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, _score double, _mark string, _Turn string")
+    for stage in (corpus_pipeline.one_of_each_group, corpus_pipeline.mixed):
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns and {(r["_score"], r["_mark"], r["_Turn"]) for r in out.collect()} == {(0.5, "m", "x")}
