@@ -14,22 +14,30 @@ TOKENIZER = "word_bpe_49k.json"
 QUALITY_FROM = 0.3
 
 
+def _free(name: str, docs: DataFrame) -> str:
+    """The name, or a longer one if the documents have a column of that name in any case."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from the labelled ones among them, does not reject."""
     ship_package(spark)
     learn = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 != 0
     model = quality.fit(docs, table(spark, sf_dir, "labels").filter(learn))
-    scored = quality.score(docs, model, name="_score")
-    return scored.filter(F.col("_score") >= QUALITY_FROM).select(docs.columns)
+    score = _free("_score", docs)
+    return quality.score(docs, model, name=score).filter(F.col(score) >= QUALITY_FROM).select(docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
     ship_package(spark)
-    kept = ngram_join.join(docs).filter("kept").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_of"))
-    rows = docs.withColumn("_mark", ngram_join.text_mark("text"))
-    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_of")), "left_semi")
-    return rows.dropDuplicates(["doc_id", "_mark"]).select(docs.columns)
+    mark, one, of = (_free(name, docs) for name in ("_mark", "_id", "_of"))
+    kept = ngram_join.join(docs).filter("kept").select(F.col("doc_id").alias(one), F.col("mark").alias(of))
+    rows = docs.withColumn(mark, ngram_join.text_mark("text"))
+    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col(one)) & (F.col(mark) == F.col(of)), "left_semi")
+    return rows.dropDuplicates(["doc_id", mark]).select(docs.columns)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,11 +54,12 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the mix takes them."""
     ship_package(spark)
-    rows = docs.withColumn("_mark", ngram_join.text_mark("text"))
-    shares = mixing.mix(rows, carry=["_mark"]).filter("repeats > 0")
-    shares = shares.select(F.col("doc_id").alias("_id"), F.col("_mark").alias("_of"), "repeats")
-    rows = rows.join(shares, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_of")))
-    return rows.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("repeats")))).select(docs.columns)
+    mark, one, of, times, turn = (_free(name, docs) for name in ("_mark", "_id", "_of", "_times", "_turn"))
+    rows = docs.withColumn(mark, ngram_join.text_mark("text"))
+    shares = mixing.mix(rows, carry=[mark]).filter("repeats > 0")
+    shares = shares.select(F.col("doc_id").alias(one), F.col(mark).alias(of), F.col("repeats").alias(times))
+    rows = rows.join(shares, F.col("doc_id").eqNullSafe(F.col(one)) & (F.col(mark) == F.col(of)))
+    return rows.withColumn(turn, F.explode(F.sequence(F.lit(1), F.col(times)))).select(docs.columns)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -75,9 +84,13 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read back before the next."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES:
         folder = fresh_folder(spark, "stage")
         stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
+        if before:  # the stage that read it is written
+            path = spark._jvm.org.apache.hadoop.fs.Path(before)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        before = folder
     return docs
