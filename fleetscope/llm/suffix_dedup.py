@@ -18,7 +18,7 @@ The scan knows two kinds of matches:
   send their bytes to the hash range, where their windows are compared one by one.
 
 Inside a batch, equal runs are matched before anything is sent, so a passage that
-many documents share is one entry per batch. Runs of one anchor are told apart by a
+many documents share is one entry per batch. An entry has 14 bytes. Runs of one anchor are told apart by a
 64-bit mark of their bytes, windows by 64 bits within a range.
 
 Null texts are empty. Documents under ``LENGTH`` bytes lose nothing. Rows with one
@@ -57,6 +57,8 @@ _BYTE = _rng.integers(1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.ui
 _FACTORS = _rng.integers(1 << 63, size=GRAM // 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _R = 0xD1342543DE82EF95
 _MASK = (1 << 64) - 1
+#: Entries carry six bytes of an anchor's hash. Anchors alike in them are compared window by window.
+_ANCHOR = np.uint64(_MASK >> 16 << 16)
 
 
 def _powers(base: int) -> np.ndarray:
@@ -121,7 +123,7 @@ class Runs:
         np.cumsum(_BYTE[piece] * _UP[: len(piece)], out=sums[1:])
         mark = (sums[last + LENGTH] - sums[first]) * _DOWN[first] + (last - first).astype(np.uint64)
         # Smallest hashes crowd near zero; scrambled again they spread over the ranges.
-        return first + a, last + a, mix64(low[begin]), mix64(mark)
+        return first + a, last + a, mix64(low[begin]) & _ANCHOR, mix64(mark)
 
 
 def whole(anchor: np.ndarray, mark: np.ndarray) -> np.ndarray:
@@ -231,6 +233,17 @@ class _Batch:
         return one[np.argsort(self.runs.anchor[one], kind="stable")]
 
 
+def _short(anchor: np.ndarray) -> bytes:
+    """The six bytes of each anchor that are not zero."""
+    return anchor.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+
+
+def _long(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8").reshape(-1).astype(np.uint64)
+
+
 def _entries(bits: int):
     schema = pa.schema([("range", pa.int64()), ("batch", pa.int64()), ("anchor", pa.binary()), ("mark", pa.binary())])
 
@@ -247,7 +260,7 @@ def _entries(bits: int):
         stops = np.append(cuts[1:], len(anchor))
         return pa.Table.from_arrays(
             [pa.array(ranges[cuts]), pa.array(np.full(len(cuts), key[0].as_py())),
-             pa.array([anchor[a:b].tobytes() for a, b in zip(cuts, stops)], pa.binary()),
+             pa.array([_short(anchor[a:b]) for a, b in zip(cuts, stops)], pa.binary()),
              pa.array([mark[a:b].tobytes() for a, b in zip(cuts, stops)], pa.binary())],
             schema=schema,
         )
@@ -260,7 +273,7 @@ def _scan(key, rows):
     family, out = Family(), []
     batches = rows.column("batch").to_numpy()
     for i in np.argsort(batches, kind="stable").tolist():
-        anchor = np.frombuffer(rows.column("anchor")[i].as_py(), np.uint64)
+        anchor = _long(rows.column("anchor")[i].as_py())
         mark = np.frombuffer(rows.column("mark")[i].as_py(), np.uint64)
         anchor, mark = family.add(int(batches[i]), anchor, mark)
         if len(anchor):
