@@ -380,8 +380,9 @@ def _remove(key, rows, flags):
     # Whole runs: seen in an earlier batch, or in a smaller document of this one.
     gone = _member(runs.whole, _flagged(flags, SEEN))
     by = np.argsort(runs.whole, kind="stable")  # the runs stand in the order of their documents
+    in_order = runs.whole[by]
     new = np.ones(len(by), bool)
-    new[1:] = runs.whole[by][1:] != runs.whole[by][:-1]
+    new[1:] = in_order[1:] != in_order[:-1]
     own = batch.order[runs.doc[by]]
     if len(by):
         gone[by] |= own > own[np.flatnonzero(new)][np.cumsum(new) - 1]
@@ -393,14 +394,14 @@ def _remove(key, rows, flags):
             continue
         keys = np.frombuffer(flags.column("anchor")[i].as_py(), np.uint64)
         offset = np.frombuffer(flags.column("mark")[i].as_py(), np.uint32).astype(np.int64)
-        low = np.searchsorted(runs.whole[by], keys, "left")
-        high = np.searchsorted(runs.whole[by], keys, "right")
+        low = np.searchsorted(in_order, keys, "left")
+        high = np.searchsorted(in_order, keys, "right")
         each = np.repeat(np.arange(len(keys)), high - low)
         place = np.arange(len(each)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + low[each]
         first = runs.first[by[place]] + offset[each]
         np.add.at(change, first, 1)
         np.add.at(change, first + LENGTH, -1)
-    del runs, by, new, own, gone
+    del runs, by, in_order, new, own, gone
     batch.runs = None
     removed = np.cumsum(change[:n], dtype=np.int32) > 0
     del change
