@@ -33,6 +33,15 @@ def latest_activity(activity: DataFrame, as_of: dt.datetime) -> DataFrame:
     )
 
 
+def newest_runs(activity: DataFrame) -> DataFrame:
+    """The activity row of each job's newest start, with its latest stop if one is known."""
+    started = activity.filter(F.col("start").isNotNull())
+    newest = F.max(F.struct("start", "stop"))
+    return started.groupBy(*JOB).agg(newest.alias("newest")).select(
+        "job_id", F.col("newest.start").alias("start"), F.col("newest.stop").alias("stop"), "server"
+    )
+
+
 def latest_activity_per_job(
     jobs: DataFrame, activity: DataFrame, as_of: dt.datetime
 ) -> DataFrame:

@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.functions import clock, codes
+from fleetscope.operators import sketch
 from fleetscope.operators.paging import html_report
 
 SUCCEEDED = 1
+FAILURE = ["server", "instance_id"]
 
 
 def failed_jobs_view(
@@ -46,13 +48,21 @@ def failed_jobs_view(
     )
 
 
-def failed_jobs_new(view: DataFrame, recorded: DataFrame) -> DataFrame:
+def failed_jobs_new(
+    view: DataFrame, recorded: DataFrame, expected: int | None = None
+) -> DataFrame:
     """View rows that are not recorded yet.
 
     Ids are unique per server only, so the key is (server, instance_id).
+
+    With ``expected``, about the number of view rows, a Bloom filter of their keys thins
+    the record before it is shuffled, whatever its length. The view is
+    read twice then, so it should be stored or cached.
     """
-    known = recorded.select("server", "instance_id")
-    return view.join(known, ["server", "instance_id"], "left_anti").select(*view.columns)
+    known = recorded.select(*FAILURE)
+    if expected is not None:
+        known = sketch.may_match(known, view, FAILURE, expected)
+    return view.join(known, FAILURE, "left_anti").select(*view.columns)
 
 
 def loaded_rows(new: DataFrame, as_of: dt.datetime) -> DataFrame:

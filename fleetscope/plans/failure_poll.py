@@ -55,8 +55,8 @@ def poll(
     """
     spark = history.sparkSession
     recorded = recorded_failures(spark, tables.create_folder(spark, location), [run_day])
-    view = job_failures.failed_jobs_view(history, jobs, steps, run_day)
-    new = cut_lineage(job_failures.failed_jobs_new(view, recorded))
+    view = cut_lineage(job_failures.failed_jobs_view(history, jobs, steps, run_day))
+    new = cut_lineage(job_failures.failed_jobs_new(view, recorded, expected=view.count()))
     if new.isEmpty():
         return None
     record_failures(new, location, as_of)

@@ -2,7 +2,8 @@
 
 Each batch is written so that a repeated batch changes nothing: failed jobs by
 the anti-join against what is recorded, incidents by one folder per batch.
-No feed keeps operator state, so there is no watermark to lose late rows to.
+No feed keeps operator state, so there is no watermark to lose late rows to, but for
+``record_failed_jobs_bounded``, which never reads its record and pays with those rows.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetscope.functions import clock
 from fleetscope.operators import incidents, job_failures
 from fleetscope.plans import failure_poll
 from fleetscope.schemas import table_schema
@@ -66,7 +68,7 @@ def record_failed_jobs(
         try:
             days = [r[0] for r in once.select(F.to_date("exec_date")).distinct().collect()]
             recorded = failure_poll.recorded_failures(batch.sparkSession, location, days)
-            new = job_failures.failed_jobs_new(once, recorded)
+            new = job_failures.failed_jobs_new(once, recorded, expected=once.count())
             failure_poll.record_failures(new, location, as_of)
         finally:
             once.unpersist()
@@ -74,6 +76,44 @@ def record_failed_jobs(
     drain(history, on_batch, state)
 
 
+def record_failed_jobs_bounded(
+    history: DataFrame,
+    jobs: DataFrame,
+    steps: DataFrame,
+    location: str,
+    state: str,
+    as_of: dt.datetime,
+    late_by: str,
+) -> None:
+    """Store each failure once without reading what is stored, one folder per batch.
+
+    Repeats are known by the keys of the last ``late_by`` (as "2 days") of event time, which a
+    state store holds; the state is bounded by the failures of that time. A failure that
+    comes later than that is lost, as are rows without a time. A feed that starts
+    over with new state needs a new location.
+    """
+    tables.create_folder(history.sparkSession, location)
+    at = clock.agent_datetime(F.col("run_date"), F.col("run_time")).cast("timestamp")
+    failed = history.filter(F.col("run_status") != job_failures.SUCCEEDED).withColumn("_at", at)
+    once = (
+        failed.filter(F.col("_at").isNotNull())
+        .withWatermark("_at", late_by)
+        .dropDuplicatesWithinWatermark(job_failures.FAILURE)
+        .drop("_at")
+    )
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        view = job_failures.failed_jobs_view(batch, jobs, steps, None)
+        _store_batch(job_failures.loaded_rows(view, as_of), location, batch_id)
+
+    drain(once, on_batch, state)
+
+
+def bounded_record(spark: SparkSession, location: str) -> DataFrame:
+    """The failures that ``record_failed_jobs_bounded`` has stored."""
+    return tables.open_table(spark, location, "failed_jobs", f"{BATCH} long").drop(BATCH)
+
+
 def _store_batch(df: DataFrame, location: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{location}/{BATCH}={batch_id}")
 

@@ -19,7 +19,7 @@ def db(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(workload.oracles.ORACLES) <= set(ORACLES)
-    assert len(QUERIES) == 58
+    assert len(QUERIES) == 60
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

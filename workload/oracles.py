@@ -501,6 +501,9 @@ _SELECTS = {
         FROM job_history""",
 }
 
+# Other ways to the same rows.
+_SELECTS["failed_jobs_new_sketched"] = _SELECTS["failed_jobs_new"]
+_SELECTS["latest_activity_polled"] = _SELECTS["latest_activity_per_job"]
 
 
 def _with_texts(name: str, select: str) -> str:

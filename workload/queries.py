@@ -9,7 +9,7 @@ from fleetscope.functions import clock, codes
 from fleetscope.operators import (
     audits, backups, catalog, incidents, job_activity, job_failures, keys, registry, services,
 )
-from fleetscope.plans import backup_cycle, failure_poll, fleet_status
+from fleetscope.plans import activity_poll, backup_cycle, failure_poll, fleet_status
 from fleetscope.session import cut_lineage, fresh_folder
 from fleetscope.sinks import snapshots
 from fleetscope.sources import config_xml, fleet, listings, templates
@@ -117,6 +117,13 @@ def _new(spark: SparkSession, d: str) -> DataFrame:
     return job_failures.failed_jobs_new(_view(spark, d), _recorded(spark, d))
 
 
+@query
+def failed_jobs_new_sketched(spark: SparkSession, d: str) -> DataFrame:
+    """As failed_jobs_new, over a stored view whose keys thin the record first."""
+    view = cut_lineage(_view(spark, d))
+    return job_failures.failed_jobs_new(view, _recorded(spark, d), expected=view.count())
+
+
 @query
 def failed_jobs_append(spark: SparkSession, d: str) -> DataFrame:
     return job_failures.failed_jobs_append(_new(spark, d), _recorded(spark, d), fx.AS_OF)
@@ -313,6 +320,16 @@ def latest_activity_per_job(spark: SparkSession, d: str) -> DataFrame:
     return _portable(rows, "job_start")
 
 
+@query
+def latest_activity_polled(spark: SparkSession, d: str) -> DataFrame:
+    """As latest_activity_per_job, from three polls, of which the last is late and overlaps both others."""
+    location, activity = fresh_folder(spark, "newest-runs"), fx.job_activity(spark, d)
+    middle, late = clock.ntz(fx.dt.datetime(2024, 1, 8)), clock.ntz(fx.dt.datetime(2024, 1, 11))
+    for polled in (F.col("start") < middle, F.col("start") >= late, F.lit(True)):
+        activity_poll.merge_activity(activity.filter(polled), location)
+    return _portable(activity_poll.latest_activity_per_job(fx.jobs(spark, d), location, fx.AS_OF), "job_start")
+
+
 @query
 def current_jobs_status(spark: SparkSession, d: str) -> DataFrame:
     rows = job_activity.current_jobs_status(
