@@ -1,6 +1,8 @@
 """The operators against brute force on small tables, and on awkward rows."""
 
 import hashlib
+import math
+import operator
 import random
 import zlib
 
@@ -291,6 +293,42 @@ def test_mtree_keeps_rows_of_repeated_ids(spark):
     assert sorted(rows_of(got, "query_id", "rank", "vec_id", "score")) == sorted(want)
 
 
+def whole_best(rows):
+    """Brute force over (id, vector) in whole numbers within 64 bits."""
+    low, high = -(1 << 63), (1 << 63) - 1
+    whole = [(i, [min(max(math.floor(256 * x), low), high) for x in v]) for i, v in rows]
+    want = []
+    for query, q in whole:
+        if query % 50 == 0:
+            scored = [(min(max(sum(map(operator.mul, q, v)), low), high), j) for j, v in whole if j != query and len(v) == len(q)]
+            best = sorted(scored, key=lambda t: (-t[0], t[1]))[:5]
+            want += [(query, rank + 1, j, score) for rank, (score, j) in enumerate(best)]
+    return sorted(want)
+
+
+def test_mtree_large_components_and_empty_vectors(spark):
+    """Neither takes a vector out; products over 2^53 and 2^63 keep their order."""
+    draw = random.Random(3)
+    rows = [(50, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [40000.0, 1.0]), (100, [-40000.5, 3.0]), (200, []), (201, []), (250, [])]
+    rows += [(300 + i, [draw.choice([1.0, 3e6, 7e11, 1e30, -1e30]) * draw.uniform(-1, 1) for _ in range(3)]) for i in range(400)]
+    # scores that doubles cannot tell apart
+    rows += [(1000 + i, [2.0**24 + i / 256, 2.0**25, 1.0 + i % 3]) for i in range(60)]
+    rows += [(2000 + i, [0.25 * i, -1.0, 0.5, 2.0**40 * (i % 2)]) for i in range(60)]
+    data = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = mtree.top_k(data, F.col("vec_id") % 50 == 0)
+    assert sorted(rows_of(got, "query_id", "rank", "vec_id", "score")) == whole_best(rows)
+
+
+def test_mtree_answers_queries_in_blocks(spark, monkeypatch):
+    draw = random.Random(8)
+    rows = [(i, [draw.gauss(0, 1) for _ in range(4)]) for i in range(1500)]
+    data = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    monkeypatch.setattr(mtree, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(mtree, "SHARD", 20)
+    got = mtree.top_k(data, F.col("vec_id") % 50 == 0)
+    assert sorted(rows_of(got, "query_id", "rank", "vec_id", "score")) == whole_best(rows)
+
+
 def test_mtree_passes_pages_over():
     rng = np.random.default_rng(2)
     x = np.floor(rng.standard_normal((40, 1, 16)) * 900 + rng.standard_normal((40, 100, 16)) * 20).reshape(-1, 16)
