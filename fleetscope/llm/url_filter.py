@@ -7,21 +7,30 @@ left are counted per host, and the tree is walked down from its root:
 
 * a node whose children are mostly different (at least ``min_children`` of them,
   fewer than ``least_repeats`` pages each) is variable: its children become ``*``;
-* of the other children those with labels whose share of blocked pages does not
-  differ from that of all their siblings (two-sided test of two shares at
-  ``z``) are merged into ``+``; children without labels stay on their own;
-* below ``max_depth`` segments a template ends in ``**``.
+* of the other children those are merged into ``+`` that are like the rest of
+  their siblings: what follows them is (a chi-square test of the pages by next segment, end
+  of path included, at ``z``), and, where both have labels, so is their share of
+  blocked pages (test of two shares at ``z``). Children without labels are merged by
+  what follows them, so the labels of a template reach them;
+* a path that no other one shares its node with keeps the rest of its segments.
 
-A template is rejected if its smoothed purity, (blocked + strength / 2) /
-(labelled + strength), reaches ``reject_from``; one without labels has 0.5.
+A round of the walk takes one level of all hosts, so there are as many rounds as segments that
+two paths of a host share at most.
+
+A template is rejected if its smoothed purity reaches ``reject_from``. Rules do not label pages at
+random, so a page without a label counts as half a blocked one, and ``strength`` further pages
+do: (blocked + (unlabelled + strength) / 2) / (pages + strength). One without labels has 0.5.
 
 A null url or one without ``://`` has empty host and path and is allowed unless
-a rule fits. Repeated rows are kept; extra columns are ignored.
+a rule fits. Of rules of equal length the last by verdict, domain and path wins. Urls of any
+length and depth are judged whole. Repeated rows are kept, also those of null ids; extra columns are ignored; an
+empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
@@ -58,45 +67,64 @@ def matching_rule(host: Column, path: Column, rules: Sequence[tuple[str, str, st
     return (none, none) if rule is None else (rule, verdict)
 
 
-def templates(
-    paths: DataFrame, max_depth: int, min_children: int, least_repeats: float, z: float
-) -> DataFrame:
+def _alike(z: float) -> Column:
+    """Whether a child is like the rest of its node, from the counts of both."""
+    rest = F.col("_n") - F.col("n")
+    # The statistic of a table of two rows, child and rest, over what follows.
+    apart = F.col("_n") * F.col("_n") / (F.col("n") * rest) * (F.col("_fit") - F.col("n") * F.col("n") / F.col("_n"))
+    free = F.greatest(F.col("_kinds") - 1, F.lit(1)).cast("double")
+    third = 1 - 2 / (9 * free) + z * F.sqrt(2 / (9 * free))  # Wilson and Hilferty
+    follows = apart <= free * third * third * third
+    unseen = F.col("_labelled") - F.col("labelled")
+    both = (F.col("labelled") > 0) & (unseen > 0)
+    here, there = F.greatest("labelled", F.lit(1)), F.greatest(unseen, F.lit(1))
+    pooled = F.col("_blocked") / F.greatest("_labelled", F.lit(1))
+    gap = F.col("blocked") / here - (F.col("_blocked") - F.col("blocked")) / there
+    differ = both & (F.abs(gap) > z * F.sqrt(pooled * (1 - pooled) * (1 / here + 1 / there)))
+    return F.when(rest > 0, follows & ~differ).otherwise(False)
+
+
+def templates(paths: DataFrame, min_children: int, least_repeats: float, z: float) -> DataFrame:
     """``paths`` (host, form, n, labelled, blocked) with the ``template`` of each form.
 
-    One level of the tree at a time; a level is two aggregations and two joins of narrow rows.
+    One level of the tree at a time, in aggregations and joins of narrow rows.
     """
     segments = F.filter(F.split("form", "/"), lambda s: s != "")
     rows = paths.withColumn("_segments", segments).withColumn("template", F.lit(""))
-    deepest = paths.agg(F.max(F.size(segments))).first()[0] or 0
-    for depth in range(min(deepest, max_depth)):
-        step = F.try_element_at("_segments", F.lit(depth + 1))
-        rows = rows.withColumn("_step", step)
+    counts, node_key = ("n", "labelled", "blocked"), ["host", "template"]
+    done, depth = [], 0
+    while True:
+        step, following = (F.try_element_at("_segments", F.lit(depth + i)) for i in (1, 2))
+        rows = rows.withColumns({"_step": step, "_next": F.coalesce(following, F.lit(""))})
+        done.append(rows.filter(F.col("_step").isNull()).select(*paths.columns, "template"))
         live = rows.filter(F.col("_step").isNotNull())
-        child = live.groupBy("host", "template", "_step").agg(
-            *[F.sum(c).alias(c) for c in ("n", "labelled", "blocked")]
+        if live.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        after = live.groupBy(*node_key, "_step", "_next").agg(
+            *[F.sum(c).alias(c) for c in counts], F.count(F.lit(1)).alias("forms")
         )
-        node = child.groupBy("host", "template").agg(
-            F.count(F.lit(1)).alias("_children"),
-            *[F.sum(c).alias(f"_{c}") for c in ("n", "labelled", "blocked")],
+        kinds = after.groupBy(*node_key, "_next").agg(F.sum("n").alias("_of_kind"))
+        child = after.join(kinds, [*node_key, "_next"]).groupBy(*node_key, "_step").agg(
+            *[F.sum(c).alias(c) for c in (*counts, "forms")],
+            F.sum(F.col("n") * F.col("n") / F.col("_of_kind")).alias("_fit"),
         )
-        both = child.join(node, ["host", "template"])
-        rest = F.col("_labelled") - F.col("labelled")
-        pooled = F.col("_blocked") / F.greatest("_labelled", F.lit(1))
-        gap = F.col("blocked") / F.greatest("labelled", F.lit(1)) - (
-            (F.col("_blocked") - F.col("blocked")) / F.greatest(rest, F.lit(1))
+        node = child.groupBy(*node_key).agg(
+            F.count(F.lit(1)).alias("_children"), *[F.sum(c).alias(f"_{c}") for c in (*counts, "forms")]
         )
-        spread = F.sqrt(pooled * (1 - pooled) * (1 / F.greatest("labelled", F.lit(1)) + 1 / F.greatest(rest, F.lit(1))))
-        alike = (F.col("labelled") > 0) & (rest > 0) & (F.abs(gap) <= z * spread)
+        node = node.join(kinds.groupBy(*node_key).agg(F.count(F.lit(1)).alias("_kinds")), node_key)
         varies = (F.col("_children") >= min_children) & (F.col("_n") < least_repeats * F.col("_children"))
-        name = F.when((F.col("_step") == "*") | varies, "*").when(alike, "+").otherwise(F.col("_step"))
-        names = both.select(F.col("host").alias("_h"), F.col("template").alias("_t"), F.col("_step").alias("_s"), name.alias("_name"))
-        joined = rows.join(
-            names, (F.col("host") == F.col("_h")) & (F.col("template") == F.col("_t")) & (F.col("_step") == F.col("_s")), "left"
-        )
-        further = F.when(F.col("_name").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "_name"))
-        rows = cut_lineage(joined.withColumn("template", further).select(*paths.columns, "_segments", "template"))
-    deep = F.when(F.size("_segments") > max_depth, F.lit("/**")).otherwise("")
-    return rows.withColumn("template", F.concat("template", deep)).drop("_segments")
+        name = F.when((F.col("_step") == "*") | varies, "*").when(_alike(z), "+").otherwise(F.col("_step"))
+        names = child.join(node, node_key).select(
+            F.col("host").alias("_h"), F.col("template").alias("_t"), F.col("_step").alias("_s"),
+            name.alias("_name"), (F.col("_forms") == 1).alias("_alone"),
+        )
+        here = (F.col("host") == F.col("_h")) & (F.col("template") == F.col("_t")) & (F.col("_step") == F.col("_s"))
+        walked = live.join(names, here)
+        tail = F.concat_ws("/", F.slice("_segments", F.lit(depth + 1), F.size("_segments")))
+        further = F.concat("template", F.lit("/"), F.when(F.col("_alone"), tail).otherwise(F.col("_name")))
+        walked = cut_lineage(walked.withColumn("template", further).select(*paths.columns, "_segments", "template", "_alone"))
+        done.append(walked.filter("_alone").select(*paths.columns, "template"))
+        rows, depth = walked.filter("NOT _alone").drop("_alone"), depth + 1
 
 
 def judge(
@@ -104,7 +132,6 @@ def judge(
     rules: Sequence[tuple[str, str, str]] = RULES,
     key: str = "page_id",
     url: str = "url",
-    max_depth: int = 8,
     min_children: int = 8,
     least_repeats: float = 2.0,
     z: float = 1.96,
@@ -124,9 +151,13 @@ def judge(
         F.count("_said").alias("labelled"),
         F.count(F.when(F.col("_said") == "block", 1)).alias("blocked"),
     )
-    named = templates(cut_lineage(counted), max_depth, min_children, least_repeats, z)
-    tree = named.groupBy("host", "template").agg(F.sum("labelled").alias("_l"), F.sum("blocked").alias("_b"))
-    tree = tree.select("host", "template", ((F.col("_b") + strength / 2) / (F.col("_l") + strength)).alias("purity"))
+    named = cut_lineage(templates(cut_lineage(counted), min_children, least_repeats, z))
+    tree = named.groupBy("host", "template").agg(
+        *[F.sum(c).alias(f"_{c}") for c in ("n", "labelled", "blocked")]
+    )
+    undecided = F.col("_n") - F.col("_labelled") + strength
+    purity = (F.col("_blocked") + undecided / 2) / (F.col("_n") + strength)
+    tree = tree.select("host", "template", purity.alias("purity"))
     known = named.select("host", "form", "template").join(tree, ["host", "template"])
     known = known.select(F.col("host").alias("_h"), F.col("form").alias("_f"), "template", "purity")
     found = rows.join(known, (F.col("host") == F.col("_h")) & (F.col("form") == F.col("_f")))

@@ -4,6 +4,7 @@ import hashlib
 import math
 import operator
 import random
+import re
 import zlib
 
 import numpy as np
@@ -368,6 +369,106 @@ def test_url_templates(spark):
     assert {r["template"] for r in rows} == {"/spam/*", "/good/*", "/u/*"}
 
 
+def brute_templates(paths, min_children=8, least_repeats=2.0, z=1.96):
+    """{(host, form): template} of {(host, form): (pages, labelled, blocked)}, one node at a time."""
+    named = {}
+
+    def like(own, others):
+        if not others:
+            return False
+        n, rest = sum(c[0] for _, c in own), sum(c[0] for _, c in others)
+        kinds = {(s[1] if len(s) > 1 else "") for s, _ in own + others}
+        apart = 0.0
+        for kind in kinds:
+            ours, theirs = (sum(c[0] for s, c in side if (s[1] if len(s) > 1 else "") == kind) for side in (own, others))
+            for seen, size in ((ours, n), (theirs, rest)):
+                expected = size * (ours + theirs) / (n + rest)
+                apart += (seen - expected) ** 2 / expected
+        free = max(len(kinds) - 1, 1)
+        if apart > free * (1 - 2 / (9 * free) + z * math.sqrt(2 / (9 * free))) ** 3:
+            return False
+        (a, ab), (b, bb) = ((sum(c[1] for _, c in side), sum(c[2] for _, c in side)) for side in (own, others))
+        if not a or not b:
+            return True
+        share = (ab + bb) / (a + b)
+        return abs(ab / a - bb / b) <= z * math.sqrt(share * (1 - share) * (1 / a + 1 / b))
+
+    def walk(host, template, rows):
+        """rows: (segments left, counts, form)"""
+        children = {}
+        for left, counts, form in rows:
+            if left:
+                children.setdefault(left[0], []).append((left, counts, form))
+            else:
+                named[host, form] = template
+        if sum(map(len, children.values())) == 1:
+            ((left, _, form),) = next(iter(children.values()))
+            named[host, form] = "/".join([template, *left])
+            return
+        pages = sum(c[0] for group in children.values() for _, c, _ in group)
+        below = {}
+        for step, group in children.items():
+            own = [(left, c) for left, c, _ in group]
+            others = [(left, c) for other, rows in children.items() if other != step for left, c, _ in rows]
+            varies = len(children) >= min_children and pages < least_repeats * len(children)
+            name = "*" if step == "*" or varies else "+" if like(own, others) else step
+            below.setdefault(name, []).extend((left[1:], c, form) for left, c, form in group)
+        for name, group in below.items():
+            walk(host, f"{template}/{name}", group)
+
+    for host in {h for h, _ in paths}:
+        walk(host, "", [([s for s in f.split("/") if s], c, f) for (h, f), c in paths.items() if h == host])
+    return named
+
+
+def check_against_tree(pages, rules):
+    """The rows of the filter, each explained by the tree above."""
+    rows = url_filter.judge(pages, rules).collect()
+    assert len(rows) == pages.count()
+    forms, paths = [], {}
+    for r in rows:
+        form = "/".join("*" if re.search(url_filter.VARIABLE, s) else s for s in r["path"].split("/"))
+        forms.append(form)
+        known = paths.get((r["host"], form), (0, 0, 0))
+        blocked = r["rule"] is not None and r["verdict"] == "block"
+        paths[r["host"], form] = (known[0] + 1, known[1] + (r["rule"] is not None), known[2] + blocked)
+    named, sums = brute_templates(paths), {}
+    for (host, form), counts in paths.items():
+        sums.setdefault((host, named[host, form]), []).append(counts)
+    for r, form in zip(rows, forms):
+        template = named[r["host"], form]
+        pages_of, labelled, blocked = map(sum, zip(*sums[r["host"], template]))
+        purity = (blocked + (pages_of - labelled + 4) / 2) / (pages_of + 4)
+        assert r["template"] == template and r["purity"] == pytest.approx(purity)
+        assert r["rule"] is not None or r["verdict"] == ("block" if r["purity"] >= 0.8 else "allow")
+    return rows
+
+
+def test_url_tree_on_pages(spark):
+    """Labels reach pages without a rule."""
+    rows = check_against_tree(table(spark, "/root/testdata/sf0.1", "pages"), url_filter.RULES)
+    free = [r for r in rows if r["rule"] is None]
+    assert any(r["purity"] > 0.5 for r in free) and any(r["purity"] < 0.5 for r in free)
+
+
+def test_url_tree_blocks_pages_without_a_rule(spark):
+    """Branches with the same pages below share their labels; another kind of branch, and one with other labels, do not."""
+    rules = [("block", "h.com", f"/{name}/") for name in ("aa", "bb", "cc")] + [("allow", "h.com", "/ok/")]
+    urls = [f"http://h.com/{name}/{kind}/{i}" for name in ("aa", "bb", "cc", "dd") for kind in ("x", "y") for i in range(20)]
+    urls += [f"http://k.com/{name}/item/{i}" for name in ("aa", "bb") for i in range(20)] + ["http://h.com/dd/x/5"] * 3
+    draw = random.Random(2)
+    words = ["p", "q", "r", "long" * 5, "12", "", "ü", "v-1", "w w"]
+    rows = urls + [f"http://m.com/{'/'.join(draw.choices(words, k=draw.randrange(7)))}" for _ in range(400)]
+    rows += ["http://d.com/" + "/".join(["s"] * 3000), "http://d.com/" + "/".join(["s"] * 12 + ["t"] * 9), "http://d.com/" + "/".join(["s"] * 12), None, None]
+    pages = spark.createDataFrame([(i if i % 9 else None, u) for i, u in enumerate(rows)], "page_id long, url string")
+    rules += [("block", "m.com", "/p/q"), ("allow", "m.com", "/r")]
+    got = check_against_tree(pages, rules)
+    blocked = {r["path"].split("/")[1] for r in got if r["host"] == "h.com" and r["rule"] is None and r["verdict"] == "block"}
+    assert blocked == {"dd"}
+    assert {r["verdict"] for r in got if r["host"] == "k.com"} == {"allow"}
+    assert max(len(r["template"]) for r in got) > 5000
+
+
 # --- 8 and 10 --------------------------------------------------------------------------
 
 
