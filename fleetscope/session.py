@@ -21,6 +21,7 @@ SETTINGS = {
 }
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
 
@@ -80,16 +81,32 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """``df`` written to the working folder and read back.
 
     It is computed once, later readers take only the columns they need, and a
-    lost executor costs no recomputation of what came before. ``drop_cuts``
-    deletes it when the results made from it are written.
+    lost executor costs no recomputation of what came before. The shuffle files
+    of the computation are deleted with its end, since nobody reads them again. ``drop_cuts``
+    deletes the rows when the results made from them are written.
     """
     spark = df.sparkSession
     folder = fresh_folder(spark, "cut")
-    df.write.parquet(folder)
+    write_and_forget(df, folder)
     _cuts.setdefault(spark.sparkContext.applicationId, []).append(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def write_and_forget(df: DataFrame, folder: str) -> None:
+    """``df`` as Parquet in a new folder; its shuffle files go as soon as it is written.
+
+    Without this they stay until the driver happens to collect its garbage.
+    """
+    spark = df.sparkSession
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        # A frame decides about its shuffles when it is made, so this is a new one.
+        df.select("*").write.parquet(folder)
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 _cuts: dict[str, list[str]] = {}
 
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import time
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -87,6 +88,23 @@ def test_cut_lineage_is_computed_once(spark):
     assert seen.value == 1000
 
 
+def test_a_cut_leaves_no_shuffle_files(spark):
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: {b.name() for b in _each(disk.getAllBlocks()) if b.isShuffle() or "shuffle" in b.name()}
+    before = shuffles()
+    cut = session.cut_lineage(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count())
+    for _ in range(50):  # Spark deletes them in the background
+        if shuffles() <= before:
+            break
+        time.sleep(0.1)
+    assert shuffles() <= before and cut.count() == 100
+    assert spark.conf.get(session.CLEANUP) == "false"
+
+
+def _each(sequence):
+    return [sequence.apply(i) for i in range(sequence.size())]
+
+
 def test_cuts_are_deleted_on_request(spark):
     cut = session.cut_lineage(spark.range(10))
     folder = cut.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file:")
