@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from fleetscope.llm import bpe, mixing, ngram_join, quality, suffix_dedup
 from fleetscope.llm.common import ship_package, table
-from fleetscope.session import fresh_folder
+from fleetscope.session import fresh_folder, write_and_forget
 
 TOKENIZER = "word_bpe_49k.json"
 QUALITY_FROM = 0.3
@@ -87,7 +87,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for _, stage in STAGES:
         folder = fresh_folder(spark, "stage")
-        stage(spark, docs, sf_dir).write.parquet(folder)
+        write_and_forget(stage(spark, docs, sf_dir), folder)
         docs = spark.read.parquet(folder)
         if before:  # the stage that read it is written
             path = spark._jvm.org.apache.hadoop.fs.Path(before)
