@@ -45,9 +45,9 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     ship_package(spark)
     others = [c for c in docs.columns if c not in ("doc_id", "text", "n_chars")]
     shape = docs.select(others).schema
-    kept = suffix_dedup.remove_repeats(docs, carry=F.to_json(F.struct(*others)))
-    kept = suffix_dedup.kept_text(kept.select("doc_id", "carry", "kept"))
-    kept = kept.withColumn("_others", F.from_json("carry", shape)).select("doc_id", "text", "_others.*")
+    kept = suffix_dedup.remove_repeats(docs, carry=F.to_json(F.struct(*others)), as_text=True)
+    kept = kept.select("doc_id", F.col("kept").alias("text"), F.from_json("carry", shape).alias("_others"))
+    kept = kept.select("doc_id", "text", "_others.*")
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 

@@ -371,6 +371,18 @@ _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 _KEPT = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("spans", pa.list_(_SPAN)), ("kept", pa.binary()), ("carry", pa.string())])
 
 
+_WITH_TEXT = pa.schema([pa.field("kept", pa.string()) if f.name == "kept" else f for f in _KEPT])
+
+
+def _remove_to_text(key, rows, flags):
+    """As ``_remove``, with the kept bytes as text, without a worker of its own for it."""
+    table = _remove(key, rows, flags)
+    at = _KEPT.get_field_index("kept")
+    texts = (t.as_buffer() for chunk in table.column(at).chunks for t in chunk)
+    texts = pa.array([bytes(t).decode(errors="ignore") for t in texts], pa.string())
+    return table.set_column(at, _WITH_TEXT.field(at), texts)
+
+
 def _remove(key, rows, flags):
     if not rows.num_rows:
         return _KEPT.empty_table()
@@ -491,10 +503,13 @@ def _steps(cuts: list[int]):
     return half(0, len(cuts))
 
 
-def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", carry: Column | None = None) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", carry: Column | None = None, as_text: bool = False
+) -> DataFrame:
     """Per document ``key``, n_bytes, the removed spans (byte ranges) and the kept bytes.
 
-    ``carry`` is a string that comes with each row. Cuts can fall inside a character: see ``kept_text``.
+    ``carry`` is a string that comes with each row. Cuts can fall inside a character; with ``as_text`` the kept
+    bytes come as text, without the rests of characters cut in two.
     """
     order = F.coalesce(F.col(key).cast("long"), F.lit(_LAST))
     carry = F.lit(None).cast("string") if carry is None else carry
@@ -512,23 +527,9 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", car
     )
     covered = sent.groupBy("range").applyInArrow(_compare, _FLAGS_DDL)
     flags = flags.filter(F.col("kind") == SEEN).unionByName(covered)
+    kind = "string" if as_text else "binary"
     kept = texts.cogroup(flags.groupBy("batch")).applyInArrow(
-        _remove, "id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary, carry string"
+        _remove_to_text if as_text else _remove,
+        f"id long, n_bytes long, spans array<struct<start: long, end: long>>, kept {kind}, carry string",
     )
     return kept.withColumnRenamed("id", key)
-
-
-def kept_text(kept: DataFrame, bytes_: str = "kept", name: str = "text") -> DataFrame:
-    """The rows with the kept bytes as text; the rests of characters cut in two are left out."""
-    rows = kept.drop(name)
-
-    def run(batches):
-        for batch in text_slices(batches, bytes_):
-            at = batch.schema.get_field_index(bytes_)
-            texts = [None if b is None else b.decode(errors="ignore") for b in batch.column(at).to_pylist()]
-            columns = [c for i, c in enumerate(batch.columns) if i != at]
-            names = [n for i, n in enumerate(batch.schema.names) if i != at]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(texts, pa.string())], names=[*names, name])
-
-    fields = [f for f in rows.schema.fields if f.name != bytes_]
-    return rows.mapInArrow(tidy(run), T.StructType([*fields, T.StructField(name, T.StringType())]))
