@@ -32,7 +32,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fleetscope.llm.common import mix64, release, text_slices, texts_of, tidy
 from fleetscope.session import cut_lineage
