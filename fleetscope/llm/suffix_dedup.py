@@ -14,16 +14,17 @@ every level and then stored; two levels of one size merge into one of the next.
 The scan knows two kinds of matches:
 
 * the whole run occurs in an earlier batch: all its bytes go;
-* only its anchor does, or several runs of one batch share the anchor: these runs
-  send their bytes to the hash range, where their windows are compared one by one.
+* only its anchor does, or several runs of one batch share the anchor: the windows
+  of these runs are compared one by one. Each goes as a hash, once per batch, to a range of
+  its own hash, so an anchor that very many different runs share is dealt to all ranges.
 
 Inside a batch, equal runs are matched before anything is sent, so a passage that
 many documents share is one entry per batch. An entry has 14 bytes. Runs of one anchor are told apart by a
-64-bit mark of their bytes, windows by 64 bits within a range.
+64-bit mark of their bytes, windows by 64 bits within a range that a second hash names.
 
-Null texts are empty. Documents under ``LENGTH`` bytes lose nothing. Rows with one
-id do not take from each other; a null id counts as larger than all others. Extra
-columns are ignored; an empty table gives an empty result.
+Null texts are empty. Documents under ``LENGTH`` bytes lose nothing. A text of any length is whole in one
+batch. Rows with one id do not take from each other, and are dealt to several batches of one generation if they
+are many; a null id counts as larger than all others. Extra columns are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -47,6 +48,8 @@ ENTRIES_PER_BYTE = 0.1
 #: Ranges of ids that are counted before they are cut into batches.
 ID_RANGES = 512
 SUB_RANGES = 64
+#: A batch's number is its generation, in the order of ids, and below it the part among batches of one id.
+PART_BITS = 20
 #: Positions handled at once, few enough for a processor's cache.
 _SLICE = 1 << 15
 _LAST = (1 << 63) - 1
@@ -136,8 +139,9 @@ class Family:
     def __init__(self):
         self.levels: list[dict] = []
 
-    def add(self, batch: int, anchor: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Scans a sorted batch against all levels, stores what is new and returns the entries seen before."""
+    def add(self, batch: np.ndarray, anchor: np.ndarray, mark: np.ndarray) -> np.ndarray:
+        """Scans the sorted entries of a generation's batches against all levels, stores what is new and returns
+        which were seen before."""
         key = whole(anchor, mark)
         seen, shared = np.zeros(len(key), bool), np.zeros(len(key), bool)
         shared[1:] |= anchor[1:] == anchor[:-1]
@@ -162,14 +166,14 @@ class Family:
         if fresh.any():
             self.levels.append({
                 "anchor": anchor[fresh], "mark": mark[fresh], "keys": np.sort(key[fresh]),
-                "batch": np.full(int(fresh.sum()), batch, np.int64), "asked": shared[fresh],
+                "batch": batch[fresh], "asked": shared[fresh],
             })
         while len(self.levels) > 1 and 2 * len(self.levels[-1]["anchor"]) > len(self.levels[-2]["anchor"]):
             b, a = self.levels.pop(), self.levels.pop()
             both = {c: np.concatenate([a[c], b[c]]) for c in a}
             order = np.argsort(both["anchor"], kind="stable")
             self.levels.append({c: np.sort(v, kind="stable") if c == "keys" else v[order] for c, v in both.items()})
-        return anchor[seen], mark[seen]
+        return seen
 
     def asked(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Batch, anchor and fingerprint of the entries whose windows have to be compared."""
@@ -267,23 +271,38 @@ def _entries(bits: int):
     return run
 
 
+def _by_batch(batch: np.ndarray, kind: int, *columns: np.ndarray) -> list[tuple]:
+    """One row of flags for each batch; the columns' items stay in their order."""
+    order = np.argsort(batch, kind="stable")
+    batch, columns = batch[order], [c[order] for c in columns]
+    cuts = np.flatnonzero(np.diff(batch, prepend=-1))
+    return [
+        (int(batch[a]), kind, *(c[a:b].tobytes() for c in columns)) for a, b in zip(cuts, np.append(cuts[1:], len(batch)))
+    ]
+
+
+def _flag_rows(out: list[tuple]) -> pa.Table:
+    return pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out) if out else [[]] * 4, _FLAGS)], schema=_FLAGS)
+
+
 def _scan(key, rows):
     release()
     family, out = Family(), []
     batches = rows.column("batch").to_numpy()
-    for i in np.argsort(batches, kind="stable").tolist():
-        anchor = _long(rows.column("anchor")[i].as_py())
-        mark = np.frombuffer(rows.column("mark")[i].as_py(), np.uint64)
-        anchor, mark = family.add(int(batches[i]), anchor, mark)
-        if len(anchor):
-            out.append((int(batches[i]), SEEN, anchor.tobytes(), mark.tobytes()))
+    order = np.argsort(batches, kind="stable")
+    generation = batches[order] >> PART_BITS
+    for some in np.split(order, np.flatnonzero(np.diff(generation)) + 1):
+        anchor = [_long(rows.column("anchor")[i].as_py()) for i in some.tolist()]
+        mark = [np.frombuffer(rows.column("mark")[i].as_py(), np.uint64) for i in some.tolist()]
+        batch = np.repeat(batches[some], [len(a) for a in anchor])
+        anchor, mark = np.concatenate(anchor), np.concatenate(mark)
+        if len(some) > 1:
+            by = np.lexsort((mark, anchor))
+            batch, anchor, mark = batch[by], anchor[by], mark[by]
+        seen = family.add(batch, anchor, mark)
+        out += _by_batch(batch[seen], SEEN, anchor[seen], mark[seen])
     batch, anchor, mark = family.asked()
-    order = np.argsort(batch, kind="stable")
-    batch, anchor, mark = batch[order], anchor[order], mark[order]
-    cuts = np.flatnonzero(np.diff(batch, prepend=-1))
-    for a, b in zip(cuts, np.append(cuts[1:], len(batch))):
-        out.append((int(batch[a]), ASKED, anchor[a:b].tobytes(), mark[a:b].tobytes()))
-    return pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out) if out else [[]] * 4, _FLAGS)], schema=_FLAGS)
+    return _flag_rows(out + _by_batch(batch, ASKED, anchor, mark))
 
 
 def _flagged(flags: pa.Table, kind: int) -> np.ndarray:
@@ -296,6 +315,13 @@ def _flagged(flags: pa.Table, kind: int) -> np.ndarray:
     return np.sort(np.concatenate([np.zeros(0, np.uint64), *found]))
 
 
+def _hashes(flags: pa.Table, kind: int) -> np.ndarray:
+    """Sorted hashes flagged so."""
+    chosen = [i for i, k in enumerate(flags.column("kind").to_pylist()) if k == kind]
+    found = [np.frombuffer(flags.column("anchor")[i].as_py(), np.uint64) for i in chosen]
+    return np.sort(np.concatenate([np.zeros(0, np.uint64), *found]))
+
+
 def _member(values: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     """Which values are among the sorted numbers."""
     if not len(numbers):
@@ -303,67 +329,64 @@ def _member(values: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     return numbers[np.minimum(np.searchsorted(numbers, values), len(numbers) - 1)] == values
 
 
+_WINDOWS = (0, 8, 16, 24, 32, 40, LENGTH - 8)
+
+
+def _windows(batch: _Batch, one: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All windows of the runs ``one``: place of the run in ``one``, offset in it, hash, and a second hash."""
+    first = batch.runs.first[one]
+    counts = batch.runs.last[one] - first + 1
+    run = np.repeat(np.arange(len(one)), counts)
+    offset = np.arange(len(run)) - np.repeat(np.cumsum(counts) - counts, counts)
+    at = first[run] + offset
+    eight = _loads(batch.raw)
+    hashed, second = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
+    for i, shift in enumerate(_WINDOWS):
+        part = eight[at + shift]
+        hashed = mix64(hashed + part * _UP[i + 1])
+        second += (part ^ part >> np.uint64(31)) * _UP[i + len(_WINDOWS) + 1]
+    return run, offset, hashed, mix64(second)
+
+
 def _send(bits: int):
-    """The bytes of the asked runs, once per batch, to their hash range."""
-    schema = pa.schema(
-        [("range", pa.int64()), ("batch", pa.int64()), ("key", pa.binary()), ("order", pa.binary()), ("size", pa.binary()), ("bytes", pa.binary())]
-    )
+    """The hashes of the asked runs' windows, once per batch, to their ranges."""
+    schema = pa.schema([("range", pa.int64()), ("batch", pa.int64()), ("hashes", pa.binary())])
 
     def run(key, rows, flags):
         if not rows.num_rows or not flags.num_rows:
             return schema.empty_table()
         release()
         batch = _Batch(rows)
-        runs, one = batch.runs, batch.asked(_flagged(flags, ASKED))
-        ranges = (runs.anchor[one] >> np.uint64(64 - bits)).astype(np.int64)
+        _, _, hashed, second = _windows(batch, batch.asked(_flagged(flags, ASKED)))
+        del batch
+        hashed, one = np.unique(hashed, return_index=True)
+        ranges = (second[one] >> np.uint64(64 - bits)).astype(np.int64)
+        by = np.argsort(ranges, kind="stable")
+        ranges, hashed = ranges[by], hashed[by]
         cuts = np.flatnonzero(np.diff(ranges, prepend=-1))
-        size = (runs.last[one] - runs.first[one] + LENGTH).astype(np.int64)
-        out = [[] for _ in schema]
-        for a, b in zip(cuts, np.append(cuts[1:], len(one))):
-            some = one[a:b]
-            taken = b"".join(batch.raw[f : l + LENGTH].tobytes() for f, l in zip(runs.first[some], runs.last[some]))
-            values = (int(ranges[a]), key[0].as_py(), runs.whole[some].tobytes(), batch.order[runs.doc[some]].tobytes(),
-                      size[a:b].tobytes(), taken)
-            for column, value in zip(out, values):
-                column.append(value)
-        return pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(out, schema)], schema=schema)
+        sent = [hashed[a:b].tobytes() for a, b in zip(cuts, np.append(cuts[1:], len(hashed)))]
+        return pa.Table.from_arrays(
+            [pa.array(ranges[cuts]), pa.array(np.full(len(cuts), key[0].as_py())), pa.array(sent, pa.binary())], schema=schema
+        )
 
     return run
 
 
 def _compare(key, rows):
-    """Single windows of the runs of a hash range: those that start in a smaller document."""
+    """To each batch the hashes of its windows that an earlier generation has."""
     release()
-    n = rows.num_rows
-    joined = {c: [rows.column(c)[i].as_py() for i in range(n)] for c in ("key", "order", "size", "bytes")}
-    keys = np.frombuffer(b"".join(joined["key"]), np.uint64)
-    order = np.frombuffer(b"".join(joined["order"]), np.int64)
-    size = np.frombuffer(b"".join(joined["size"]), np.int64)
-    batch = np.repeat(rows.column("batch").to_numpy(), [len(k) // 8 for k in joined["key"]])
-    raw = np.frombuffer(b"".join([*joined["bytes"], bytes(8)]), np.uint8)
-    begin = np.cumsum(size) - size
-    windows = size - LENGTH + 1
-    run = np.repeat(np.arange(len(size)), windows)
-    offset = np.arange(len(run)) - np.repeat(np.cumsum(windows) - windows, windows)
-    at = begin[run] + offset
-    eight = _loads(raw)
-    print_ = np.zeros(len(at), np.uint64)
-    for i, shift in enumerate((0, 8, 16, 24, 32, 40, LENGTH - 8)):
-        print_ = mix64(print_ + eight[at + shift] * _UP[i + 1])
-    by = np.lexsort((order[run], print_))
-    sorted_ = print_[by]
+    sent = [np.frombuffer(t.as_buffer(), np.uint64) for chunk in rows.column("hashes").chunks for t in chunk]
+    batch = np.repeat(rows.column("batch").to_numpy(), [len(h) for h in sent])
+    hashed = np.concatenate([np.zeros(0, np.uint64), *sent])
+    del sent
+    by = np.lexsort((batch, hashed))
+    batch, hashed = batch[by], hashed[by]
     new = np.ones(len(by), bool)
-    new[1:] = sorted_[1:] != sorted_[:-1]
-    least = order[run[by]][np.flatnonzero(new)][np.cumsum(new) - 1] if len(by) else np.zeros(0, np.int64)
-    hit = by[order[run[by]] > least]
-    hit = hit[np.argsort(batch[run[hit]], kind="stable")]
-    of = batch[run[hit]]
-    cuts = np.flatnonzero(np.diff(of, prepend=-1))
-    out = []
-    for a, b in zip(cuts, np.append(cuts[1:], len(hit))):
-        some = hit[a:b]
-        out.append((int(of[a]), COVERED, keys[run[some]].tobytes(), offset[some].astype(np.uint32).tobytes()))
-    return pa.Table.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*out) if out else [[]] * 4, _FLAGS)], schema=_FLAGS)
+    new[1:] = hashed[1:] != hashed[:-1]
+    least = batch[new][np.cumsum(new) - 1]
+    later = batch >> PART_BITS > least >> PART_BITS
+    batch, hashed = batch[later], hashed[later]
+    return _flag_rows(_by_batch(batch, COVERED, hashed, np.zeros((len(hashed), 0), np.uint8)))
 
 
 _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
@@ -400,11 +423,19 @@ def _remove(key, rows, flags):
     change = np.zeros(n + 1, np.int32)
     np.add.at(change, runs.first[gone], 1)
     np.add.at(change, runs.last[gone] + LENGTH, -1)
-    for i, kind in enumerate(flags.column("kind").to_pylist()):
-        if kind != COVERED:
-            continue
-        keys = np.frombuffer(flags.column("anchor")[i].as_py(), np.uint64)
-        offset = np.frombuffer(flags.column("mark")[i].as_py(), np.uint32).astype(np.int64)
+    asked = batch.asked(_flagged(flags, ASKED))
+    if len(asked):
+        # Windows of runs that share their anchor: in an earlier batch, or in a smaller document of this one.
+        run, offset, hashed, _ = _windows(batch, asked)
+        order = batch.order[runs.doc[asked]][run]
+        hit = _member(hashed, _hashes(flags, COVERED))
+        sorted_ = np.lexsort((order, hashed))
+        starts = np.ones(len(sorted_), bool)
+        starts[1:] = hashed[sorted_[1:]] != hashed[sorted_[:-1]]
+        hit[sorted_] |= order[sorted_] > order[sorted_[starts]][np.cumsum(starts) - 1]
+        keys, offset = runs.whole[asked][run[hit]], offset[hit]
+        del run, hashed, order, sorted_, starts, hit
+        # What holds for a run holds for its copies, whose documents are no smaller.
         low = np.searchsorted(in_order, keys, "left")
         high = np.searchsorted(in_order, keys, "right")
         each = np.repeat(np.arange(len(keys)), high - low)
@@ -444,8 +475,9 @@ def _batches(rows: DataFrame) -> tuple[DataFrame, int]:
     """``rows`` (id, order, text) with their batch, and the number of bytes.
 
     Ids are cut at ID_RANGES quantiles, ranges of several batches again at SUB_RANGES quantiles of their own,
-    so that ids far from all others do not matter; what is still larger is cut evenly. Rows of one id are one
-    batch, and so are those without an id, behind all others.
+    so that ids far from all others do not matter; what is still larger is cut evenly. An id that fills several
+    quantiles is a range of its own, and so are rows without an id, behind all others: such a range is one
+    generation, whose batches are dealt by a hash of the text.
     """
     spark = rows.sparkSession
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
@@ -453,16 +485,21 @@ def _batches(rows: DataFrame) -> tuple[DataFrame, int]:
     def quantiles(n: int) -> Column:
         return F.percentile_approx("id", [i / n for i in range(1, n)], 20 * n)
 
-    cuts = sorted(set(rows.agg(quantiles(ID_RANGES)).first()[0] or []))
-    range_no = F.when(F.col("id").isNull(), ID_RANGES).otherwise(_steps(cuts))
+    def bounds_of(found: list[int]) -> list[int]:
+        often = {a for a, b in zip(found, found[1:]) if a == b and a < _LAST}
+        return sorted({*found, *(v + 1 for v in often)})
+
+    cuts = bounds_of(rows.agg(quantiles(ID_RANGES)).first()[0] or [])
+    beyond = len(cuts) + 1
+    range_no = F.when(F.col("id").isNull(), beyond).otherwise(_steps(cuts))
     ranged = rows.withColumn("_range", range_no)
-    known = ranged.groupBy("_range").agg(F.sum(size).alias("bytes")).collect()  # at most ID_RANGES + 1 rows
+    known = ranged.groupBy("_range").agg(F.sum(size).alias("bytes")).collect()  # at most 2 * ID_RANGES rows
     total = sum(r["bytes"] for r in known)
-    many = [r["_range"] for r in known if r["bytes"] > BATCH_BYTES and r["_range"] < ID_RANGES]
+    many = [r["_range"] for r in known if r["bytes"] > BATCH_BYTES and r["_range"] < beyond]
     subs = []
     if many:
         inner = ranged.filter(F.col("_range").isin(many)).groupBy("_range").agg(quantiles(SUB_RANGES).alias("cuts"))
-        subs = [(r["_range"], sorted(set(r["cuts"]))) for r in inner.collect()]
+        subs = [(r["_range"], bounds_of(r["cuts"])) for r in inner.collect()]
     bounds = spark.createDataFrame(subs, "_range int, _cuts array<long>")
     # The number of inner cuts at or below the id.
     below = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col("order"))), F.lit(0))
@@ -473,21 +510,24 @@ def _batches(rows: DataFrame) -> tuple[DataFrame, int]:
     # Ranges under a batch share one with their neighbours.
     plan, number, filled = [], 0, 0
     for r in sorted(sizes.collect(), key=lambda r: (r["_range"], r["_sub"])):
-        parts = max(1, round(r["bytes"] / BATCH_BYTES)) if r["high"] > r["low"] else 1
+        parts, one_id = max(1, round(r["bytes"] / BATCH_BYTES)), r["high"] == r["low"]
         if parts > 1 or filled + r["bytes"] > BATCH_BYTES:
             number, filled = number + 1, 0
-        plan.append((r["_range"], r["_sub"], number, parts, float(r["low"]), (r["high"] - r["low"] + 1) / parts))
+        plan.append((r["_range"], r["_sub"], number, parts, one_id, float(r["low"]), (r["high"] - r["low"] + 1) / parts))
         filled += r["bytes"]
         if parts > 1:
-            number, filled = number + parts, 0
+            number, filled = number + (1 if one_id else parts), 0
     lookup = spark.createDataFrame(
-        plan, "_range int, _sub int, _first long, _parts long, _low double, _step double"
-    )  # at most ID_RANGES * SUB_RANGES rows
+        plan, "_range int, _sub int, _first long, _parts long, _one boolean, _low double, _step double"
+    )  # at most 4 * ID_RANGES * SUB_RANGES rows
     # In doubles, since two ids can lie further apart than a long reaches; rounding keeps their order.
     part = F.floor((F.col("order").cast("double") - F.col("_low")) / F.col("_step"))
-    batch = F.col("_first") + F.least(part, F.col("_parts") - 1).cast("long")
+    part = F.least(part, F.col("_parts") - 1).cast("long")
+    dealt = F.pmod(F.xxhash64("text"), F.least("_parts", F.lit(1 << PART_BITS)))
+    batch = F.when(F.col("_one"), F.col("_first") * (1 << PART_BITS) + dealt)
+    batch = batch.otherwise((F.col("_first") + part) * (1 << PART_BITS))
     joined = ranged.join(F.broadcast(lookup), ["_range", "_sub"])
-    return joined.withColumn("batch", batch).drop("_range", "_sub", "_first", "_parts", "_low", "_step"), total
+    return joined.withColumn("batch", batch).drop("_range", "_sub", "_first", "_parts", "_one", "_low", "_step"), total
 
 
 def _steps(cuts: list[int]):
@@ -521,11 +561,8 @@ def remove_repeats(
     entries = texts.applyInArrow(_entries(bits), "range long, batch long, anchor binary, mark binary")
     flags = cut_lineage(entries.groupBy("range").applyInArrow(_scan, _FLAGS_DDL))
     asked = flags.filter(F.col("kind") == ASKED).groupBy("batch")
-    sent = texts.cogroup(asked).applyInArrow(
-        _send(bits), "range long, batch long, key binary, order binary, size binary, bytes binary"
-    )
-    covered = sent.groupBy("range").applyInArrow(_compare, _FLAGS_DDL)
-    flags = flags.filter(F.col("kind") == SEEN).unionByName(covered)
+    sent = texts.cogroup(asked).applyInArrow(_send(bits), "range long, batch long, hashes binary")
+    flags = flags.unionByName(sent.groupBy("range").applyInArrow(_compare, _FLAGS_DDL))
     kind = "string" if as_text else "binary"
     kept = texts.cogroup(flags.groupBy("batch")).applyInArrow(
         _remove_to_text if as_text else _remove,

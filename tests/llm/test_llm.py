@@ -557,6 +557,29 @@ def test_repeats_over_many_batches(spark, monkeypatch, batch_bytes):
     check_cut(table(spark, "/root/testdata/sf0.001", "documents"))
 
 
+def test_repeats_with_one_id_in_a_third_of_the_rows(spark, monkeypatch):
+    """Rows of one id, and of none, fill several batches and still take nothing from each other."""
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 1500)
+    some = random.Random(4)
+    passages = ["".join(some.choices("abcdef ", k=some.randint(40, 90))) for _ in range(30)]
+    ids = [7] * 60 + [None] * 60 + list(range(-30, 30)) + [-(1 << 62), (1 << 63) - 2]
+    rows = [(i, "".join(some.choices(passages, k=some.randint(0, 4)))) for i in ids]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    ranged, _ = suffix_dedup._batches(docs.select(F.col("doc_id").alias("id"), F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("order"), "text"))
+    parts = {i: {r["batch"] for r in ranged.filter(F.col("id").eqNullSafe(F.lit(i))).collect()} for i in (7, None)}
+    assert all(len(p) > 2 and len({b >> suffix_dedup.PART_BITS for b in p}) == 1 for p in parts.values())
+    check_cut(docs)
+
+
+def test_repeats_of_an_anchor_in_every_row(spark, monkeypatch):
+    """Different runs around one frequent string: their windows are dealt to all ranges."""
+    monkeypatch.setattr(suffix_dedup, "BATCH_BYTES", 3000)
+    some = random.Random(6)
+    hot = "".join(some.choices("abcdefghij", k=45))
+    rows = [(i, "".join(some.choices("kl", k=9)) + hot + "".join(some.choices("kl", k=9))) for i in range(400)]
+    check_cut(spark.createDataFrame(rows, "doc_id long, text string"))
+
+
 def test_marks_of_many_runs_differ():
     """As many different runs as one frequent passage has contexts; 32 bits would make some of them equal."""
     n = 300_000
