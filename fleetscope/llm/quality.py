@@ -12,7 +12,8 @@ holds less often than the labelled rows do count for more.
 Null and empty texts, and texts of fewer than three bytes, have no trigram; they
 get the share of label 1 among the labelled rows. Without labelled rows every
 score is 0.5. Rows without a label and labels without a document teach nothing;
-repeated rows are scored each; extra columns are ignored.
+repeated rows are scored each; extra columns stay as they are. Which of equally near neighbours is
+the last to vote depends on the sample alone. Texts of any length count whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -123,29 +124,35 @@ def fit(
     known = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull())
     known = known.join(docs.select(key).distinct(), key, "left_semi")
     sizes = {r[0]: r[1] for r in known.groupBy(label).count().collect()}
-    chosen = known.select(key, F.col(label).alias("_label")).withColumnRenamed(key, "_key")
-    order = Window.partitionBy("_label").orderBy(F.xxhash64(F.lit("sample"), "_key"), "_key")
-    chosen = chosen.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= per_label).drop("_n")
-    # At most 2 * per_label rows.
+    chosen = known.select(F.col(key).alias("_key"), F.col(label).cast("long").alias("_label"))
+    # Each partition keeps its smallest hashes only, so no task holds a label.
+    drawn = [F.xxhash64(F.lit("sample"), "_key"), F.col("_key")]
+    first, second = (chosen.filter(F.col("_label") == v).orderBy(*drawn).limit(per_label) for v in (0, 1))
+    chosen = first.unionByName(second)  # at most 2 * per_label rows
     sample = docs.select(key, text).join(F.broadcast(chosen), F.col(key) == F.col("_key"))
     sample = sample.select(F.col("_key"), F.col("_label"), F.col(text).alias("_text"))
-    schema = pa.schema([("key", pa.int64()), ("label", pa.int64()), ("counts", pa.binary())])
+    schema = pa.schema([("key", pa.int64()), ("label", pa.int64()), ("at", pa.binary()), ("counts", pa.binary())])
 
     def run(batches):
         for batch in text_slices(batches, "_text"):
             counts = trigram_counts(texts_of(batch, "_text"))
-            packed = pa.array([c.tobytes() for c in np.minimum(counts, 65000).astype(np.float16)], pa.binary())
+            filled = [np.flatnonzero(c) for c in counts]
+            at = pa.array([f.astype(np.uint16).tobytes() for f in filled], pa.binary())
+            packed = pa.array([c[f].tobytes() for c, f in zip(counts, filled)], pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.int64()), packed], schema=schema
+                [batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.int64()), at, packed], schema=schema
             )
 
-    rows = sample.mapInArrow(tidy(run), "key long, label long, counts binary")
+    # Counts that are not zero, as exact as those of the texts to be scored.
+    rows = sample.mapInArrow(tidy(run), "key long, label long, at binary, counts binary")
     rows = rows.dropDuplicates(["key", "label"]).orderBy("key", "label").limit(2 * per_label).collect()
     if not rows:
         empty = np.zeros((0, dimensions), np.float32)
         return Model(np.ones(FEATURES, np.float32), np.zeros((FEATURES + RATIOS, dimensions), np.float32), empty, np.zeros(0),
                      np.zeros(0), 0.5, neighbours, sharpness)
-    counts = np.stack([np.frombuffer(r["counts"], np.float16) for r in rows]).astype(np.float32)
+    counts = np.zeros((len(rows), FEATURES + RATIOS), np.float32)
+    for i, r in enumerate(rows):
+        counts[i, np.frombuffer(r["at"], np.uint16)] = np.frombuffer(r["counts"], np.float32)
     marks = np.array([r["label"] for r in rows], np.float64)
     in_texts = (counts[:, :FEATURES] > 0).sum(0)
     idf = np.log((1 + len(rows)) / (1 + in_texts)).astype(np.float32) + np.float32(1)
