@@ -40,6 +40,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def store_of(location: str):
+    """Arrow's file system of a location, and the path in it."""
+    from pyarrow import fs
+
+    if location.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + location[5:].lstrip("/")
+    return fs.FileSystem.from_uri(location)
+
+
 def texts_of(batch: pa.RecordBatch, column: str) -> pa.Array:
     """The column as strings; null becomes empty."""
     return pc.fill_null(batch.column(batch.schema.get_field_index(column)), "")

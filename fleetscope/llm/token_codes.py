@@ -7,18 +7,22 @@ bitmap per level tells which ids go on, and a rank directory holds the number of
 set bits before each block of 512, so the place of id i at the next level takes
 one directory entry and the bits of one block; nothing before it is decoded.
 
-The files are a Parquet folder with one row per shard: whole documents, about
-SHARD_IDS ids, so the work is split by document ranges and a document is in one
-shard. ``read_documents`` and ``read_tokens`` give them back.
+A task writes its shards, whole documents of about SHARD_IDS ids, one behind the
+other and uncompressed into a file of its own. An index in Parquet has a row per shard: file,
+place and length, ids and sizes of its documents. Spark commits the index, so files of lost
+attempts are named nowhere. A single token is looked up in the index and then takes a few reads of up to 64 bytes at
+known places of the file. ``read_documents`` and ``read_tokens`` give documents and tokens back.
 
 A null text holds the end id only. Rows of one doc_id stand next to each other,
-ordered by a hash of their text; a null doc_id comes first. Extra columns are
-ignored; an empty table gives files without rows.
+ordered by a hash of their text; a null doc_id comes first. A text of any length is
+whole in one shard. Extra columns are ignored; an empty table gives an index without rows.
+Files are written and read through Arrow's file systems.
 """
 
 from __future__ import annotations
 
 import struct
+import uuid
 import zlib
 
 import numpy as np
@@ -28,12 +32,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetscope.llm.bpe import encoder
-from fleetscope.llm.common import release, text_slices, texts_of
+from fleetscope.llm.common import release, store_of, text_slices, texts_of
 
 CHUNKS = (8, 8, 16)
 BLOCK = 512
 MAGIC = b"DAC1"
 SHARD_IDS = 1 << 19
+#: Shards that a task reads, and tasks at most; a task holds one shard at a time.
+TASK_SHARDS = 8
+TASKS = 100_000
 _TYPES = {8: np.dtype("<u1"), 16: np.dtype("<u2")}
 
 
@@ -108,7 +115,40 @@ class Codes:
         return ids
 
 
-_SHARDS = "part long, seq long, n_ids long, doc_ids array<long>, n_tokens array<long>, codes binary"
+class StoredCodes:
+    """Packed ids in an open file, of which only what an id needs is read."""
+
+    def __init__(self, file: pa.NativeFile, at: int = 0):
+        if file.read_at(4, at) != MAGIC:
+            raise ValueError("not a block of codes")
+        self.file, self.levels = file, []
+        (self.size,) = struct.unpack("<Q", file.read_at(8, at + 4))
+        at += 12
+        for bits in CHUNKS:
+            (n,) = struct.unpack("<Q", file.read_at(8, at))
+            blocks, width = -(-n // BLOCK), bits // 8
+            bitmap = at + 8 + n * width
+            self.levels.append((bits, width, at + 8, bitmap, bitmap + blocks * BLOCK // 8))
+            at = bitmap + blocks * (BLOCK // 8 + 4)
+
+    def __getitem__(self, i: int) -> int:
+        """One id, from one chunk, one entry of the rank directory and the bits before it in its block per level."""
+        if not 0 <= i < self.size:
+            raise IndexError(i)
+        value = shift = 0
+        for bits, width, chunks, bitmap, ranks in self.levels:
+            value |= int.from_bytes(self.file.read_at(width, chunks + i * width), "little") << shift
+            shift += bits
+            block, place = divmod(i, BLOCK)
+            marks = int.from_bytes(self.file.read_at((place >> 3) + 1, bitmap + block * BLOCK // 8), "little")
+            if not marks >> place & 1:
+                break
+            (rank,) = struct.unpack("<I", self.file.read_at(4, ranks + 4 * block))
+            i = rank + (marks & (1 << place) - 1).bit_count()
+        return value
+
+
+_SHARDS = "part long, seq long, n_ids long, doc_ids array<long>, n_tokens array<long>, file string, at long, length long"
 
 
 def write(
@@ -120,17 +160,28 @@ def write(
     """
     schema = pa.schema(
         [("part", pa.int64()), ("seq", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
-         ("n_tokens", pa.list_(pa.int64())), ("codes", pa.binary())]
+         ("n_tokens", pa.list_(pa.int64())), ("file", pa.string()), ("at", pa.int64()), ("length", pa.int64())]
     )
+    spark = docs.sparkSession
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/codes")
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(place)
 
     def run(batches):
         code, part, seq = encoder(path), TaskContext.get().partitionId(), 0
-        keys, sizes, held, n = [], [], [], 0
+        keys, sizes, held, n, at = [], [], [], 0, 0
+        store, inside = store_of(f"{folder}/codes")
+        name = f"part-{part:05d}-{uuid.uuid4().hex}.bin"
+        out = None
 
         def shard():
+            nonlocal out, at
+            out = out or store.open_output_stream(f"{inside}/{name}", compression=None)
+            codes = pack(np.concatenate(held))
+            out.write(codes)
+            at += len(codes)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part]), pa.array([seq]), pa.array([n]), pa.array([keys], pa.list_(pa.int64())),
-                 pa.array([sizes], pa.list_(pa.int64())), pa.array([pack(np.concatenate(held))], pa.binary())],
+                 pa.array([sizes], pa.list_(pa.int64())), pa.array([name]), pa.array([at - len(codes)]), pa.array([len(codes)])],
                 schema=schema,
             )
 
@@ -151,23 +202,26 @@ def write(
                 if n >= SHARD_IDS or first < len(batch_keys):
                     yield shard()
                     seq, keys, sizes, held, n = seq + 1, [], [], [], 0
-        if keys:
-            yield shard()
+        last_shard = [shard()] if keys else []
+        if out:
+            out.close()
+        yield from last_shard
         code.forget()
         release()
 
     rows = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
     rows = rows.withColumn("_tie", F.xxhash64("_text"))
     rows = rows.repartitionByRange("_key", "_tie").sortWithinPartitions("_key", "_tie")
-    rows.select("_key", "_text").mapInArrow(run, _SHARDS).write.option("compression", "zstd").parquet(folder)
+    rows.select("_key", "_text").mapInArrow(run, _SHARDS).write.parquet(f"{folder}/index")
 
 
 def read_shards(spark: SparkSession, folder: str) -> DataFrame:
-    """The shards with ``first_id``, the number of ids before each in the whole corpus.
+    """The index of the shards with ``first_id``, the number of ids before each in the whole corpus.
 
-    Only sizes pass through the windows: one row per part, then the shards of a part.
+    No code is read. Only sizes pass through the windows: one row per part, then the shards of a part.
     """
-    shards = spark.read.parquet(folder)
+    shards = spark.read.schema(_SHARDS).parquet(f"{folder}/index")
+    shards = shards.withColumn("file", F.concat(F.lit(f"{folder}/codes/"), "file"))
     parts = shards.groupBy("part").agg(F.sum("n_ids").alias("_n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
@@ -184,15 +238,21 @@ def read_documents(shards: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for row in range(batch.num_rows):
-                first, keys, sizes, data = (batch.column(c)[row] for c in range(4))
+                first, keys, sizes, file, at, length = (batch.column(c)[row] for c in range(6))
+                store, path = store_of(file.as_py())
+                with store.open_input_file(path) as codes:
+                    data = codes.read_at(length.as_py(), at.as_py())
                 lengths = sizes.values.to_numpy()
                 ends = np.cumsum(lengths)
-                raw = memoryview(Codes(data.as_py()).all().astype("<u4").tobytes())
+                raw = memoryview(Codes(data).all().astype("<u4").tobytes())
                 crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(ends - lengths, ends)]
                 columns = [keys.values, pa.array(first.as_py() + ends - lengths), pa.array(lengths), pa.array(crc, pa.int64())]
                 yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        release()
 
-    rows = shards.select("first_id", "doc_ids", "n_tokens", "codes")
+    # The index is small beside the codes, so its rows are dealt out by their number.
+    tasks = min(TASKS, max(1, -(-shards.count() // TASK_SHARDS)))
+    rows = shards.select("first_id", "doc_ids", "n_tokens", "file", "at", "length").repartition(tasks, "file", "at")
     return rows.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
@@ -201,10 +261,10 @@ def read_tokens(shards: DataFrame, positions: DataFrame, position: str = "positi
     bits = 19
     last = F.col("first_id") + F.col("n_ids") - 1
     cells = F.explode(F.sequence(F.shiftright("first_id", bits), F.shiftright(last, bits)))
-    held = shards.select("first_id", "n_ids", "codes", cells.alias("_cell"))
+    held = shards.select("first_id", "n_ids", cells.alias("_cell"))
     asked = positions.select(F.col(position).cast("long").alias("_at")).distinct()
     asked = asked.withColumn("_cell", F.shiftright("_at", bits))
-    found = asked.join(held.select("first_id", "n_ids", "_cell"), "_cell")
+    found = asked.join(held, "_cell")
     found = found.filter((F.col("_at") >= F.col("first_id")) & (F.col("_at") < F.col("first_id") + F.col("n_ids")))
     found = found.groupBy("first_id", F.shiftright("_at", 16).alias("_run")).agg(F.collect_list("_at").alias("_at"))
     schema = pa.schema([("position", pa.int64()), ("token_id", pa.int64())])
@@ -212,9 +272,11 @@ def read_tokens(shards: DataFrame, positions: DataFrame, position: str = "positi
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                codes = Codes(row["codes"])
-                ids = [codes[at - row["first_id"]] for at in row["_at"]]
+                store, path = store_of(row["file"])
+                with store.open_input_file(path) as file:
+                    codes = StoredCodes(file, row["at"])
+                    ids = [codes[at - row["first_id"]] for at in row["_at"]]
                 yield pa.RecordBatch.from_arrays([pa.array(row["_at"], pa.int64()), pa.array(ids, pa.int64())], schema=schema)
 
-    joined = found.join(shards.select("first_id", "codes"), "first_id").select("first_id", "_at", "codes")
+    joined = found.join(shards.select("first_id", "file", "at"), "first_id").select("first_id", "_at", "file", "at")
     return joined.mapInArrow(run, "position long, token_id long").withColumnRenamed("position", position)

@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.llm.common import release, text_slices
+from fleetscope.llm.common import release, store_of, text_slices
 from fleetscope.operators.spread import spread_lookup
 
 #: Fixed values of the formats: a skippable frame for dictionaries, other skippable frames, a frame of data, a
@@ -196,21 +196,13 @@ def records(file: BinaryIO) -> Iterator[Record]:
 # --- Files of any store that Arrow knows ----------------------------------------------
 
 
-def _store(location: str):
-    from pyarrow import fs
-
-    if location.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + location[5:].lstrip("/")
-    return fs.FileSystem.from_uri(location)
-
-
 class Archive:
     """An open archive. The first records wait until there is enough text for a dictionary."""
 
     def __init__(self, folder: str, date: str):
         task = TaskContext.get()
         self.name = f"part-{task.partitionId() if task else 0:05d}-{uuid.uuid4().hex}.warc.zst"
-        store, path = _store(folder)
+        store, path = store_of(folder)
         self.file = store.open_output_stream(f"{path}/{self.name}", compression=None)
         self.size = self.records = self.payload = self.waiting_bytes = 0
         self.waiting: list[bytes] = []
@@ -360,7 +352,7 @@ def _reader(folder: str, with_payload: bool) -> Callable:
     )
 
     def rows(file: str, count: int | None) -> Iterator[tuple]:
-        store, path = _store(folder)
+        store, path = store_of(folder)
         number = 0
         with store.open_input_stream(f"{path}/{file}", compression=None) as data:
             for record in records(data):

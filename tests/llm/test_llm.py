@@ -478,6 +478,8 @@ def test_codes():
         ids = rng.integers(0, [1, 200, 70_000, 1 << 32][n % 4], n, dtype=np.uint64).astype(np.uint32)
         codes = token_codes.Codes(token_codes.pack(ids))
         assert (codes.all() == ids).all() and [codes[i] for i in range(0, n, 7)] == ids[::7].tolist()
+        stored = token_codes.StoredCodes(pa.BufferReader(b"before" + token_codes.pack(ids) + b"behind"), 6)
+        assert [stored[i] for i in range(0, n, 7)] == ids[::7].tolist()
     with pytest.raises(IndexError):
         codes[5000]
 
@@ -498,6 +500,20 @@ def test_token_files(spark, tokenizer, odd_docs, tmp_path):
     assert sorted(rows_of(found, "position", "token_id")) == [(p, every[p]) for p in at[:-1]]
 
 
+def test_token_files_of_repeated_and_null_ids(spark, tokenizer, odd_docs, tmp_path):
+    token_codes.write(odd_docs.repartition(3), f"{tmp_path}/codes", PATH)
+    shards = token_codes.read_shards(spark, f"{tmp_path}/codes")
+    got = rows_of(token_codes.read_documents(shards), "doc_id", "start", "n_tokens", "ids_crc32")
+    want = []
+    for i, t in rows_of(odd_docs, "doc_id", "text"):
+        ids = [*tokenizer.encode(t or "", add_special_tokens=False).ids, 1]
+        want.append((i, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+    assert sorted(((i, n, crc) for i, _, n, crc in got), key=str) == sorted(want, key=str)
+    by_start = sorted(got, key=lambda r: r[1])
+    assert [i for i, *_ in by_start] == sorted((i for i, *_ in got), key=lambda i: -1 if i is None else i)
+    assert [s for _, s, *_ in by_start] == np.cumsum([0, *(n for _, _, n, _ in by_start)])[:-1].tolist()
+
+
 @pytest.mark.parametrize("long_chars", [500, bpe.LONG_CHARS])
 def test_bpe(spark, tokenizer, odd_docs, long_chars, monkeypatch):
     monkeypatch.setattr(bpe, "PART", min(bpe.PART, long_chars))
