@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from fleetscope.functions import clock, markup
 from fleetscope.operators.keys import assign_keys
+from fleetscope.operators.spread import spread_lookup
+from fleetscope.session import cut_lineage
 from fleetscope.sources.config_xml import XML_OPTIONS
 
 # Attributes read from a process element, in report order.
@@ -85,8 +87,10 @@ def with_processes(reports: DataFrame) -> DataFrame:
 def process_list(reports: DataFrame) -> DataFrame:
     """Reports with the array ``processes``: blocked processes first, then blocking ones, in document order.
 
-    The blocking side has no wait time, transaction or lock mode.
+    The blocking side has no wait time, transaction or lock mode. Reports that come with the array stay as they are.
     """
+    if "processes" in reports.columns:
+        return reports
 
     def tagged(nature: str, processes: Column, attributes) -> Column:
         def row(process: Column) -> Column:
@@ -114,8 +118,8 @@ def process_list(reports: DataFrame) -> DataFrame:
 
 def process_rows(reports: DataFrame) -> DataFrame:
     """One row per process in each report, with its ``position`` in the list and the raw database id."""
-    rows = reports if "processes" in reports.columns else process_list(reports)
-    return rows.select("event_id", "server", F.posexplode("processes").alias("position", "row")).select(
+    listed = process_list(reports)
+    return listed.select("event_id", "server", F.posexplode("processes").alias("position", "row")).select(
         "event_id", "server", "position", "row.*"
     )
 
@@ -142,8 +146,9 @@ def database_name_lookup(
 
     The name of an unknown id is empty. The names are looked up inside the list, in the server's
     dictionary, so reports are neither exploded nor shuffled. Dictionaries are broadcast
-    up to ``max_names`` names, which are counted first; beyond that, ids and names meet in a shuffle of the narrow
-    columns, and the lists of names are joined to the reports.
+    up to ``max_names`` names, which are counted first. Beyond that the parsed reports are written out, and names are
+    looked up once for each different list of ids of a server, in shuffles of narrow rows; then each report is
+    shuffled once to the names of its list. Frequent ids and lists are spread.
     """
     listed = process_list(reports)
     few = databases.limit(max_names + 1).count() <= max_names
@@ -162,14 +167,18 @@ def database_name_lookup(
             return F.try_element_at(F.try_element_at(F.col("names"), part), process["database_id"])
 
         return rows.withColumn("processes", named(in_dictionary)).drop("names")
-    asked = listed.select("event_id", "server", F.posexplode("processes.database_id").alias("position", "database_id"))
-    names = databases.groupBy("server", "database_id").agg(F.max("name").alias("name"))
-    found = asked.join(names, ["server", "database_id"])
-    lists = found.groupBy("event_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("position", "name"))).alias("names")
+    # Parsed once; the look-ups read the ids only.
+    listed = cut_lineage(listed.withColumn("_ids", F.transform("processes", lambda p: p["database_id"])))
+    lists = cut_lineage(listed.select("server", "_ids").distinct())
+    asked = lists.select("*", F.explode(F.array_distinct("_ids")).alias("database_id"))
+    one = databases.groupBy("server", "database_id").agg(F.max("name").alias("name"))
+    found = spread_lookup(asked, one, ["server", "database_id"], "_ids")
+    names = found.groupBy("server", "_ids").agg(
+        F.map_from_entries(F.collect_list(F.struct("database_id", "name"))).alias("names")
     )
-    rows = listed.join(lists, "event_id", "left")
-    return rows.withColumn("processes", named(lambda p, i: F.try_element_at(F.col("names"), i))).drop("names")
+    rows = spread_lookup(listed, names, ["server", "_ids"], "event_id", "left", hashed=True)
+    by_id = named(lambda p, _: F.try_element_at(F.col("names"), p["database_id"]))
+    return rows.withColumn("processes", by_id).select(*listed.drop("_ids").columns)
 
 
 def blocked_process_details(reports: DataFrame, databases: DataFrame) -> DataFrame:

@@ -37,6 +37,7 @@ def spread_lookup(
     spread_by: str,
     how: str = "inner",
     pieces: int = PIECES,
+    hashed: bool = False,
 ) -> DataFrame:
     """Join ``rows`` to ``keyed``, which has one row per ``keys``.
 
@@ -49,7 +50,8 @@ def spread_lookup(
     All other keys are joined as they are. At most ``pieces`` keys can be hot,
     which bounds the list that is broadcast. ``rows`` is evaluated twice: for the
     counts, when this is called, and for the join. Use it where ``keyed`` is the result of an aggregation; ``how`` is inner, left,
-    left_semi or left_anti.
+    left_semi or left_anti. ``hashed`` is for wide rows and a ``keyed`` much smaller than they are: a task
+    holds its part of ``keyed`` in a hash table and does not sort its rows.
     """
     hot = hot_keys(rows, keys, pieces)
 
@@ -61,4 +63,6 @@ def spread_lookup(
     salts = F.coalesce("_salts", F.lit(1).cast("long"))
     salted = with_salts(rows, F.pmod(F.xxhash64(spread_by), salts))
     repeated = with_salts(keyed, F.explode(F.sequence(F.lit(0).cast("long"), salts - 1)))
+    if hashed:
+        repeated = repeated.hint("shuffle_hash")
     return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")

@@ -177,3 +177,24 @@ def test_storing_shuffles_no_text(spark, rows):
         exchanges = re.findall(r"(?<!Broadcast)(?<!Reused)Exchange \w+\(?\w*", plan)
         assert set(exchanges) == {"Exchange hashpartitioning(_file"}  # the runs of each file
         assert "Window" not in plan
+
+
+def parses_of(df):
+    return plan_of(df).count("from_xml(")
+
+
+def test_many_names_parse_once_and_keep_repeated_and_missing_events(spark, rows, tmp_path):
+    """Beyond the broadcast, events that come twice, on two servers or without an id keep their names."""
+    databases = rows("databases", (5, "Sales", 1, False, False, "A"), (5, "HR", 1, False, False, "B"), (6, "Six", 1, False, False, "A"))
+    one, two = report(blocked(process(currentdb="5"))), report(blocked(process(currentdb="6"), process(currentdb="5"), process()))
+    given = [(1, NOW, one, "A"), (1, NOW, one, "A"), (1, NOW, two, "A"), (1, NOW, one, "B"), (None, NOW, two, "A"), (None, NOW, one, "B"),
+             (7, NOW, one, None), (8, NOW, "<a/>", "A")]
+    rows("blocked_reports", *given).write.parquet(f"{tmp_path}/reports")
+    reports = spark.read.parquet(f"{tmp_path}/reports")
+    got = in_both_ways(reports, databases)
+    assert sorted((event or 0, name) for event, _, _, name in got) == sorted(
+        [(1, "Sales")] * 3 + [(1, "Six"), (1, ""), (1, "HR"), (0, "Six"), (0, "Sales"), (0, ""), (0, "HR"), (7, "")]
+    )
+    many = incidents.database_name_lookup(reports, databases, max_names=0)
+    assert set(many.columns) == set(incidents.database_name_lookup(reports, databases).columns)
+    assert many.count() == len(given) and parses_of(many) == 0  # parsed when it was written out
