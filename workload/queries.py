@@ -251,7 +251,8 @@ def existence_semi_join(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def database_name_lookup(spark: SparkSession, d: str) -> DataFrame:
-    named = incidents.database_name_lookup(fx.blocked_reports(spark, d), fx.databases(spark, d))
+    listed = incidents.process_list(fx.blocked_reports(spark, d)).select("event_id", "server", "processes")
+    named = incidents.database_name_lookup(listed, fx.databases(spark, d))
     return incidents.process_rows(named).select("event_id", "position", "database_id", "currentdb")
 
 
