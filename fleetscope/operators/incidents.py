@@ -117,11 +117,14 @@ def process_list(reports: DataFrame) -> DataFrame:
 
 
 def process_rows(reports: DataFrame) -> DataFrame:
-    """One row per process in each report, with its ``position`` in the list and the raw database id."""
+    """One row per process in each report, with its ``position`` in the list and the raw database id.
+
+    A plain explode makes the optimizer ask for lists that are not empty, below the parser: that
+    filter parses each report again, twice for each mention of the list. So empty lists give a row here that goes afterwards.
+    """
     listed = process_list(reports)
-    return listed.select("event_id", "server", F.posexplode("processes").alias("position", "row")).select(
-        "event_id", "server", "position", "row.*"
-    )
+    rows = listed.select("event_id", "server", F.posexplode_outer("processes").alias("position", "row"))
+    return rows.filter(F.col("position").isNotNull()).select("event_id", "server", "position", "row.*")
 
 
 def server_dictionaries(databases: DataFrame) -> DataFrame:

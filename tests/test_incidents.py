@@ -183,6 +183,15 @@ def parses_of(df):
     return plan_of(df).count("from_xml(")
 
 
+def test_exploded_processes_are_parsed_once(spark, rows, tmp_path):
+    document = report(blocked(process(currentdb="5"), process()))
+    rows("blocked_reports", (1, NOW, document), (2, NOW, "<a/>"), (3, NOW, None)).write.parquet(f"{tmp_path}/reports")
+    reports = spark.read.parquet(f"{tmp_path}/reports")
+    exploded = incidents.process_rows(reports)
+    assert parses_of(exploded) == 1
+    assert [(g["event_id"], g["position"]) for g in as_dicts(exploded, "position")] == [(1, 0), (1, 1)]
+
+
 def test_many_names_parse_once_and_keep_repeated_and_missing_events(spark, rows, tmp_path):
     """Beyond the broadcast, events that come twice, on two servers or without an id keep their names."""
     databases = rows("databases", (5, "Sales", 1, False, False, "A"), (5, "HR", 1, False, False, "B"), (6, "Six", 1, False, False, "A"))
