@@ -186,7 +186,8 @@ def database_name_lookup(
 
 def blocked_process_details(reports: DataFrame, databases: DataFrame) -> DataFrame:
     """Blocked and blocking processes of each report, ten text columns."""
-    named = process_rows(database_name_lookup(reports, databases))
+    listed = process_list(reports).select("event_id", "server", "processes")
+    named = process_rows(database_name_lookup(listed, databases))
     return named.select("event_id", "position", *DETAIL_COLUMNS)
 
 

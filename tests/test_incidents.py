@@ -190,6 +190,7 @@ def test_exploded_processes_are_parsed_once(spark, rows, tmp_path):
     exploded = incidents.process_rows(reports)
     assert parses_of(exploded) == 1
     assert [(g["event_id"], g["position"]) for g in as_dicts(exploded, "position")] == [(1, 0), (1, 1)]
+    assert parses_of(incidents.blocked_process_details(reports, rows("databases", *DATABASES))) == 1
 
 
 def test_many_names_parse_once_and_keep_repeated_and_missing_events(spark, rows, tmp_path):
